@@ -46,15 +46,24 @@ def blank_to_empty(col) -> Column:
     return F.coalesce(_c(col), F.lit(""))
 
 
+def _squeeze(col) -> Column:
+    """Collapse runs of spaces and trim; valid once all whitespace is a plain space."""
+    return F.trim(F.regexp_replace(_c(col), " {2,}", " "))
+
+
 def clean_name(col) -> Column:
-    """Basic cleaning of a raw beneficiary string; null -> ``""``."""
-    s = py_strip(blank_to_empty(col))
-    s = collapse_ws(s)
-    s = F.regexp_replace(s, rf"(?U)[{WS}]*{CNPJ}[{WS}]*", " ")
-    s = F.regexp_replace(s, rf"(?U)[{WS}]*[-–][{WS}]*\d{{5,}}\z", "")
-    s = F.regexp_replace(s, rf"(?U){NOT_WS}+@{NOT_WS}+\.{NOT_WS}+", "")
-    s = F.regexp_replace(s, rf"(?U)https?://{NOT_WS}+", "")
-    return py_strip(collapse_ws(s))
+    """Basic cleaning of a raw beneficiary string; null -> ``""``.
+
+    Whitespace is collapsed to single spaces first (Unicode-aware), which makes
+    Python's strip the same as ``trim`` and lets the later patterns use a plain
+    space for ``\\s``; the result equals the step-by-step rule.
+    """
+    s = F.trim(collapse_ws(blank_to_empty(col)))
+    s = F.regexp_replace(s, rf"(?U) *{CNPJ} *", " ")
+    s = F.regexp_replace(s, r"(?U) *[-–] *\d{5,}\z", "")
+    s = F.regexp_replace(s, r"[^ ]+@[^ ]+\.[^ ]+", "")
+    s = F.regexp_replace(s, r"https?://[^ ]+", "")
+    return _squeeze(s)
 
 
 def _regex_escape(text: str) -> str:
@@ -67,14 +76,18 @@ def suffix_pattern(suffixes: list[str] | None = None) -> str:
 
 
 def normalize_folded(folded, suffixes: list[str] | None = None) -> Column:
-    """Steps after the accent fold: lower, drop ids, punctuation, suffixes."""
-    s = F.lower(_c(folded))
+    """Steps after the accent fold: lower, drop ids, punctuation, suffixes.
+
+    Whitespace is collapsed first (it only separates words in every later step),
+    so the later classes can use a plain space.
+    """
+    s = collapse_ws(F.lower(_c(folded)))
     s = F.regexp_replace(s, rf"(?U)\b{CNPJ}\b", "")
     s = F.regexp_replace(s, rf"(?U)\b{SSN_LIKE}\b", "")
-    s = F.regexp_replace(s, rf"(?U)\b{EIN}\b", "")
-    s = F.regexp_replace(s, rf"(?U)[^\p{{L}}\p{{N}}_{WS}]", " ")
+    s = F.regexp_replace(s, r"(?U)\bein[: ]*\d+-\d+\b", "")
+    s = F.regexp_replace(s, r"(?U)[^\p{L}\p{N}_ ]", " ")
     s = F.regexp_replace(s, suffix_pattern(suffixes), "")
-    return py_strip(collapse_ws(s))
+    return _squeeze(s)
 
 
 def normalize_name(col, suffixes: list[str] | None = None) -> Column:

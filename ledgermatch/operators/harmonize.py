@@ -15,9 +15,9 @@ NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Date formats tried in order per registry (parameters of the harmonise step)
 DEFAULT_DATE_FORMATS = {
     "verra": ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"],
-    "gold": ["dd/MM/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"],
+    "gold": ["dd/MM/yyyy", "yyyy-MM-dd"],
     "acr": ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"],
-    "car": ["MM/dd/yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"],
+    "car": ["MM/dd/yyyy", "yyyy-MM-dd"],
 }
 GENERIC_DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy"]
 
@@ -150,8 +150,8 @@ OUTPUT_TYPES = {
 }
 
 
-def project_output(df: DataFrame) -> DataFrame:
-    """The fixed 14 columns; absent ones padded with ``""`` then typed."""
+def project_output(df: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
+    """The fixed 14 columns (absent ones padded with ``""``, then typed), plus ``extra``."""
     cols = []
     for name in codes.OUTPUT_COLUMNS:
         c = F.col(name) if name in df.columns else F.lit("")
@@ -162,7 +162,7 @@ def project_output(df: DataFrame) -> DataFrame:
         else:
             c = c.cast("string")
         cols.append(c.alias(name))
-    return df.select(*cols)
+    return df.select(*cols, *extra)
 
 
 def sanitize(df: DataFrame) -> DataFrame:

@@ -81,28 +81,30 @@ def summary_by_method(df: DataFrame) -> DataFrame:
 def summary_rollup(df: DataFrame) -> DataFrame:
     """Registry, year, method and grand totals in one pass (GROUPING SETS).
 
-    Long form: (dim, key, total, matched, total_mtco2, matched_mtco2). Null years
-    stay out of the year set, as in the per-year roll-up.
+    Long form: (dim, key, total, matched, unique_firms, total_mtco2,
+    matched_mtco2). Null years stay out of the year set, as in the per-year
+    roll-up; the grand-total row carries the KPI values.
     """
-    view = df.select("registry", "match_method", "factset_entity_id", _qty(df).alias("quantity"),
-                     "retirement_year")
-    name = f"_rollup_{abs(hash(id(df)))}"
-    view.createOrReplaceTempView(name)
-    out = df.sparkSession.sql(f"""
-        SELECT CASE WHEN grouping(registry) = 0 THEN 'registry'
-                    WHEN grouping(retirement_year) = 0 THEN 'year'
-                    WHEN grouping(match_method) = 0 THEN 'method'
-                    ELSE 'all' END AS dim,
-               coalesce(registry, cast(retirement_year AS string), match_method, '') AS key,
-               count(*) AS total,
-               count_if(coalesce(factset_entity_id NOT IN ('', 'None'), false)) AS matched,
-               bround(coalesce(sum(quantity), 0D) / 1e6, 1) AS total_mtco2,
-               bround(coalesce(sum(quantity) FILTER (WHERE coalesce(factset_entity_id NOT IN ('', 'None'), false)), 0D) / 1e6, 1) AS matched_mtco2
-        FROM {name}
-        GROUP BY GROUPING SETS ((registry), (retirement_year), (match_method), ())
-        HAVING NOT (grouping(retirement_year) = 0 AND retirement_year IS NULL)
-    """)
-    return out
+    m = is_matched()
+    q = _qty(df)
+    view = df.select("registry", "match_method", "retirement_year",
+                     m.alias("_m"), q.alias("_q"), F.when(m, F.col("factset_entity_id")).alias("_fid"))
+    year_key = F.col("retirement_year").cast("string")
+    dim = (F.when(F.grouping("registry") == 0, "registry")
+           .when(F.grouping("retirement_year") == 0, "year")
+           .when(F.grouping("match_method") == 0, "method").otherwise("all"))
+    out = (view.groupingSets([["registry"], ["retirement_year"], ["match_method"], []],
+                             "registry", "retirement_year", "match_method")
+           .agg(dim.alias("dim"),
+                F.coalesce(F.col("registry"), year_key, F.col("match_method"), F.lit("")).alias("key"),
+                F.count(F.lit(1)).alias("total"),
+                F.count_if(F.col("_m")).alias("matched"),
+                F.countDistinct("_fid").alias("unique_firms"),
+                megatonnes(F.coalesce(F.sum("_q"), F.lit(0.0))).alias("total_mtco2"),
+                megatonnes(F.coalesce(F.sum(F.when(F.col("_m"), F.col("_q"))), F.lit(0.0)))
+                .alias("matched_mtco2")))
+    return (out.filter(~((F.col("dim") == "year") & F.col("retirement_year").isNull()))
+            .select("dim", "key", "total", "matched", "unique_firms", "total_mtco2", "matched_mtco2"))
 
 
 # ------------------------------------------------------------------ maps
