@@ -105,7 +105,10 @@ def harmonize(df: DataFrame, registry_columns: dict[str, set[str]] | None = None
         "project_id": pick("project_id"),
         "vintage": registry_case(df, registry_columns, build_vintage),
     }
-    kept = [c for c in df.columns if c not in unified and (keep is None or c in keep)]
+    # Spark resolves names case-insensitively: an export column such as
+    # "Quantity" would clash with the unified "quantity", so it is not kept
+    lower = {k.lower() for k in unified}
+    kept = [c for c in df.columns if c.lower() not in lower and (keep is None or c in keep)]
     return df.select(*[F.col(f"`{c}`") for c in kept], *[v.alias(k) for k, v in unified.items()])
 
 

@@ -584,13 +584,56 @@ def _sql() -> dict[str, str]:
              CASE WHEN coalesce(registry <> '', false) THEN ' (registry: ' || registry || ')' ELSE '' END ||
              CASE WHEN coalesce(country <> '', false) THEN ' (country: ' || country || ')' ELSE '' END AS request_line
       FROM p"""
+    resolver_cte = """,
+      ctx AS (SELECT raw_beneficiary AS raw_name, min(seq) AS first_seq FROM parsed GROUP BY 1),
+      un AS (SELECT c.* FROM ctx c JOIN results r USING (raw_name)
+             WHERE r.factset_entity_id IS NULL OR r.factset_entity_id = ''),
+      b AS (SELECT *, CAST(('0x' || substr(md5(raw_name), 1, 8)) AS BIGINT) % 64 AS bucket FROM un),
+      p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY raw_name) AS pos,
+                   CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY raw_name) - 1) / 20) AS INTEGER) AS batch
+            FROM b),
+      firsts AS (SELECT bucket, batch, arg_min(raw_name, pos) AS first_name FROM p GROUP BY 1, 2),
+      digits AS (SELECT p.*, f.first_name LIKE '%9' AS failed,
+                        coalesce(list_sum(list_transform(regexp_extract_all(raw_name, '[0-9]'), lambda x: x::INT)), 0) AS d
+                 FROM p JOIN firsts f USING (bucket, batch)),
+      resolved AS (
+        SELECT raw_name, first_seq,
+               CASE WHEN NOT failed AND d % 2 = 0 THEN 'Firm ' || (d % 50) END AS matched_name,
+               CASE WHEN NOT failed AND d % 2 = 0 THEN 'E' || (d % 50) END AS factset_entity_id,
+               CASE WHEN failed OR d % 2 = 1 THEN 'none' WHEN d % 7 = 0 THEN 'low' ELSE 'medium' END AS confidence,
+               CASE WHEN failed THEN 'llm_error' ELSE 'llm' END AS match_method
+        FROM digits)"""
+    q["resolve_batch"] = w + resolver_cte + """
+      SELECT raw_name, matched_name, factset_entity_id, confidence, match_method FROM resolved"""
+    q["cache_update"] = w + resolver_cte + f""",
+      accepted AS (
+        SELECT raw_name AS company_raw, {NORM('raw_name')} AS company_normalized,
+               coalesce(matched_name, '') AS official_name, factset_entity_id, 1 AS batch, '' AS ord_firm,
+               first_seq AS ord_seq
+        FROM resolved
+        WHERE factset_entity_id IS NOT NULL AND factset_entity_id <> '' AND match_method = 'llm'
+          AND CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END >= 2),
+      both_rows AS (
+        SELECT company_raw, company_normalized, official_name, factset_entity_id, batch, ord_firm, ord_seq
+        FROM known_matches UNION ALL SELECT * FROM accepted),
+      firstrow AS (
+        SELECT arg_min({{'company_raw': company_raw, 'official_name': official_name, 'batch': batch,
+                         'ord_firm': ord_firm, 'ord_seq': ord_seq}},
+                       {{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS r, company_normalized, factset_entity_id
+        FROM both_rows GROUP BY company_normalized, factset_entity_id)
+      SELECT r.company_raw AS company_raw, company_normalized, r.official_name AS official_name,
+             factset_entity_id, r.batch AS batch, r.ord_firm AS ord_firm, r.ord_seq.o AS ord_o,
+             r.ord_seq.l AS ord_l, r.ord_seq.p AS ord_p, r.ord_seq.s AS ord_s
+      FROM firstrow"""
     q["firm_context"] = w + """,
-      f AS (SELECT factset_entity_id, entity_proper_name, iso_country,
+      f AS (SELECT factset_entity_id, entity_proper_name, iso_country, seq,
                    md5(factset_entity_id || '42') AS k FROM firms),
-      pool AS (SELECT * FROM f WHERE iso_country IN ('US', 'BR')
-               UNION ALL (SELECT * FROM f WHERE NOT coalesce(iso_country IN ('US', 'BR'), false) ORDER BY k LIMIT 500)),
-      dedup AS (SELECT factset_entity_id, arg_min(entity_proper_name, k) AS entity_proper_name,
-                       arg_min(iso_country, k) AS iso_country, min(k) AS k FROM pool GROUP BY 1),
+      pool AS (SELECT *, 0 AS part FROM f WHERE iso_country IN ('US', 'BR')
+               UNION ALL (SELECT *, 1 FROM f WHERE NOT coalesce(iso_country IN ('US', 'BR'), false)
+                          ORDER BY k, seq LIMIT 500)),
+      dedup AS (SELECT factset_entity_id, arg_min(entity_proper_name, {'p': part, 's': seq}) AS entity_proper_name,
+                       arg_min(iso_country, {'p': part, 's': seq}) AS iso_country, min(k) AS k
+                FROM pool GROUP BY 1),
       picked AS (SELECT * FROM dedup ORDER BY k LIMIT 2000)
       SELECT substr(string_agg(factset_entity_id || '|' || coalesce(entity_proper_name, '') || '|' ||
                                coalesce(iso_country, ''), chr(10) ORDER BY k), 1, 8000) AS context,

@@ -86,9 +86,9 @@ def q_load_registry(spark, sf_dir):
             .write.option("header", True).csv(path)
         sources[r], columns[r] = (path, "csv"), ordered
     mixed, present = reg_src.load_registries(spark, sources, columns)
-    serial = harmonize.registry_serial(mixed, present)
-    qty = harmonize.harmonize(mixed, present, keep=["registry_key"])
-    return (qty.withColumn("_serial", serial).groupBy("registry_key")
+    mixed = mixed.withColumn("_serial", harmonize.registry_serial(mixed, present))
+    qty = harmonize.harmonize(mixed, present, keep=["registry_key", "_serial"])
+    return (qty.groupBy("registry_key")
             .agg(F.count(F.lit(1)).alias("rows"), F.count("_serial").alias("serials"),
                  F.sum("quantity").alias("quantity")))
 
@@ -138,7 +138,7 @@ def q_matched_only_export(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     path = sinks.write_matched_csv(c.output(), c.scratch("matched_csv"))
     schema = c.output().select(*codes.OUTPUT_COLUMNS).schema
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return sinks.read_csv(spark, path, schema)
 
 
 def q_known_matches(spark, sf_dir):
@@ -231,7 +231,7 @@ def q_report_export(spark, sf_dir):
     top = view.orderBy("src", "seq").limit(500)
     path = sinks.write_report_csv(top, c.scratch("report_csv"))
     cols = [x for x in report.display_columns(view) if x not in codes.REPORT_EXCLUDED_EXPORT_COLUMNS]
-    return spark.read.option("header", True).schema(view.select(*cols).schema).csv(path)
+    return sinks.read_csv(spark, path, view.select(*cols).schema)
 
 
 # ------------------------------------------------------------------ projections
@@ -337,7 +337,8 @@ def q_snapshot_diff(spark, sf_dir):
     """Per registry, rows of the new snapshot absent from the previous one
     (previous snapshot = rows retired up to 2000), by that registry's serial column."""
     led = _ctx(spark, sf_dir).ledger
-    h = harmonize.harmonize(led, fx.REGISTRY_COLUMNS)
+    keep = ["seq", "registry_key", *sorted(set(codes.SERIAL_COLUMN.values()))]
+    h = harmonize.harmonize(led, fx.REGISTRY_COLUMNS, keep=keep)
     out = None
     for r in codes.REGISTRIES:
         serial_col = codes.SERIAL_COLUMN[r]

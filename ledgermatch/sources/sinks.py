@@ -20,11 +20,24 @@ def write_matched(df: DataFrame, path: str, partition_by: str | None = "registry
     return path
 
 
+# Nulls are written as \N so that an empty string and a null survive a CSV round trip.
+CSV_NULL = "\\N"
+
+
+def csv_writer(df: DataFrame):
+    return df.write.mode("overwrite").option("header", True).option("nullValue", CSV_NULL)
+
+
+def read_csv(spark, path: str, schema) -> DataFrame:
+    """Read back a CSV written by this module, with its typed schema."""
+    return (spark.read.option("header", True).option("nullValue", CSV_NULL)
+            .option("emptyValue", "").schema(schema).csv(path))
+
+
 def write_matched_csv(df: DataFrame, path: str) -> str:
     """Matched rows only, key columns, CSV with header."""
     cols = [c for c in codes.OUTPUT_COLUMNS if c in df.columns]
-    (df.filter(report.is_matched_loose()).select(*cols)
-     .write.mode("overwrite").option("header", True).csv(path))
+    csv_writer(df.filter(report.is_matched_loose()).select(*cols)).csv(path)
     return path
 
 
@@ -32,7 +45,7 @@ def write_cache(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Known-match cache; CSV keeps the order key as JSON text."""
     if fmt == "csv":
         out = df.withColumn("ord_seq", F.to_json("ord_seq"))
-        out.write.mode("overwrite").option("header", True).csv(path)
+        csv_writer(out).csv(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return path
@@ -94,5 +107,5 @@ def map_document(df: DataFrame, firms: DataFrame | None, mode: str = "row") -> D
 def write_report_csv(df: DataFrame, path: str) -> str:
     """Report export (S15): display columns minus the excluded ones."""
     cols = [c for c in report.display_columns(df) if c not in codes.REPORT_EXCLUDED_EXPORT_COLUMNS]
-    df.select(*cols).write.mode("overwrite").option("header", True).csv(path)
+    csv_writer(df.select(*cols)).csv(path)
     return path

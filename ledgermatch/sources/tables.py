@@ -44,7 +44,8 @@ def load_cache(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         return spark.createDataFrame([], CACHE_SCHEMA)
     if fmt == "csv":
         text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in CACHE_SCHEMA])
-        raw = spark.read.option("header", True).schema(text_schema).csv(path)
+        raw = (spark.read.option("header", True).option("nullValue", "\\N").option("emptyValue", "")
+               .schema(text_schema).csv(path))
         return raw.select(
             "company_raw", "company_normalized", "official_name", "factset_entity_id",
             F.col("batch").cast("int").alias("batch"), "ord_firm",
