@@ -42,10 +42,35 @@ def to_year(col) -> Column:
                   F.trim(c.cast("string")).try_cast("double").cast("int"))
 
 
+_FORMAT_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{1,2}"), ("dd", r"\d{1,2}"), ("HH", r"\d{1,2}"),
+                  ("mm", r"\d{1,2}"), ("ss", r"\d{1,2}")]
+
+
+def format_shape(fmt: str) -> str:
+    """Regular expression for the text shape of a datetime pattern (by rule)."""
+    out, i = "", 0
+    while i < len(fmt):
+        for token, rx in _FORMAT_TOKENS:
+            if fmt.startswith(token, i):
+                out += rx
+                i += len(token)
+                break
+        else:
+            ch = fmt[i]
+            out += ("\\" + ch) if not ch.isalnum() and ch != " " else ch
+            i += 1
+    return "^" + out + "$"
+
+
 def parse_timestamp(col, formats: list[str]) -> Column:
-    """First format that parses wins; bad or null text becomes null."""
-    c = _c(col).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in formats])
+    """First format that parses wins; bad or null text becomes null.
+
+    Each format is tried only on text of its shape, so a non-matching format
+    costs a cheap pattern test instead of a failed parse.
+    """
+    c = F.trim(_c(col).cast("string"))
+    return F.coalesce(*[F.when(c.rlike(format_shape(fmt)), F.try_to_timestamp(c, F.lit(fmt)))
+                        for fmt in formats])
 
 
 def _present(columns: set[str], name: str) -> Column:

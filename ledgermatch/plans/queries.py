@@ -33,7 +33,14 @@ def flat_seq(col: str = "seq", prefix: str = "seq") -> list:
 
 
 class Context:
-    """Derived inputs and the matching job for one session and scale."""
+    """Derived inputs, written lookups, the matching job and its published table.
+
+    The data flow is the original one: the lookup builders write the cache and
+    the firm universe, the job reads them and publishes the matched table, and
+    the roll-ups and the report read the published table. Each written table is
+    a Parquet folder under the session's checkpoint folder (shared storage on a
+    cluster), so later plans start from files, not from a long lineage.
+    """
 
     _cache: dict = {}
 
@@ -43,9 +50,19 @@ class Context:
         self.base_raw = fx.base(spark, sf_dir)
         self.coverage = fx.coverage(spark, sf_dir)
         self.identifiers = fx.identifiers(spark, sf_dir)
-        self.cache = build_cache(self.base_raw)
-        self.firms = build_firms(self.coverage, self.identifiers)
-        self.job = MatchingJob(self.ledger, fx.REGISTRY_COLUMNS, self.base_raw, self.cache, self.firms)
+        self.cache = self._written("known_matches", build_cache(self.base_raw))
+        self.firms = self._written("public_firms", build_firms(self.coverage, self.identifiers))
+        self.job = self.new_job()
+        self._published = None
+        self._report = None
+
+    def new_job(self, **kw) -> MatchingJob:
+        return MatchingJob(self.ledger, fx.REGISTRY_COLUMNS, self.base_raw, self.cache, self.firms, **kw)
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Context":
@@ -55,10 +72,17 @@ class Context:
         return cls._cache[key]
 
     def output(self) -> DataFrame:
-        return self.job.output()
+        """The published matched table (written once by the job, then read)."""
+        if self._published is None:
+            path = sinks.write_matched(self.job.output(), self.scratch("matched_retirements"))
+            self._published = self.spark.read.parquet(path).select(*codes.OUTPUT_COLUMNS, "src", "seq")
+        return self._published
 
     def report(self) -> DataFrame:
-        return report.report_view(self.output())
+        """Report view over the published table, cached like the dashboard's load."""
+        if self._report is None:
+            self._report = report.report_view(self.output()).cache()
+        return self._report
 
     def scratch(self, name: str) -> str:
         return os.path.join(checkpoint_dir(self.spark), "out", f"{name}-{uuid.uuid4().hex}")
@@ -126,9 +150,14 @@ def q_public_firms(spark, sf_dir):
 
 
 def q_pipeline_e2e(spark, sf_dir):
-    """The published table, written partitioned by registry and read back."""
+    """A complete incremental run (fresh job, nothing reused but the input
+    files and the written lookups), published partitioned by registry and read back."""
     c = _ctx(spark, sf_dir)
-    path = sinks.write_matched(c.output(), c.scratch("matched_e2e"))
+    job = c.new_job()
+    try:
+        path = sinks.write_matched(job.output(), c.scratch("matched_e2e"))
+    finally:
+        job.release()
     back = spark.read.parquet(path)
     return back.select(*_order_cols(), *codes.OUTPUT_COLUMNS)
 
