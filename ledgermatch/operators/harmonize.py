@@ -12,14 +12,11 @@ from ledgermatch.operators.extract import registry_case
 # Numbers pandas accepts: optional sign, digits with optional fraction, optional exponent
 NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Date formats tried in order per registry (parameters of the harmonise step)
-DEFAULT_DATE_FORMATS = {
-    "verra": ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"],
-    "gold": ["dd/MM/yyyy", "yyyy-MM-dd"],
-    "acr": ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"],
-    "car": ["MM/dd/yyyy", "yyyy-MM-dd"],
-}
-GENERIC_DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy"]
+# Slashed dates are day-first in these registries, month-first in the others
+# (a parameter of the harmonise step); ISO dates and date-times parse anywhere.
+DEFAULT_DAY_FIRST = {"verra": False, "gold": True, "acr": False, "car": False}
+ISO_FORMATS = ["yyyy-M-d H:m:s", "yyyy-M-d"]
+GENERIC_DATE_FORMATS = ISO_FORMATS
 
 UNIFIED = ["quantity", "country", "retirement_date", "projectname", "projecttype", "project_id"]
 
@@ -42,8 +39,9 @@ def to_year(col) -> Column:
                   F.trim(c.cast("string")).try_cast("double").cast("int"))
 
 
-_FORMAT_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{1,2}"), ("dd", r"\d{1,2}"), ("HH", r"\d{1,2}"),
-                  ("mm", r"\d{1,2}"), ("ss", r"\d{1,2}")]
+_FORMAT_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
+                  ("mm", r"\d{2}"), ("ss", r"\d{2}"), ("M", r"\d{1,2}"), ("d", r"\d{1,2}"),
+                  ("H", r"\d{1,2}"), ("m", r"\d{1,2}"), ("s", r"\d{1,2}")]
 
 
 def format_shape(fmt: str) -> str:
@@ -62,15 +60,22 @@ def format_shape(fmt: str) -> str:
     return "^" + out + "$"
 
 
-def parse_timestamp(col, formats: list[str]) -> Column:
-    """First format that parses wins; bad or null text becomes null.
+def parse_timestamp(col, formats: list[str] | None = None, day_first=False) -> Column:
+    """Date text to timestamp; bad or null text becomes null.
 
-    Each format is tried only on text of its shape, so a non-matching format
-    costs a cheap pattern test instead of a failed parse.
+    ``d/m/yyyy`` (``day_first``) or ``m/d/yyyy`` text is first rewritten to ISO
+    order, then each format is tried only on text of its shape, so a
+    non-matching format costs a pattern test instead of a failed parse.
     """
     c = F.trim(_c(col).cast("string"))
-    return F.coalesce(*[F.when(c.rlike(format_shape(fmt)), F.try_to_timestamp(c, F.lit(fmt)))
-                        for fmt in formats])
+    slashed = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
+    if isinstance(day_first, bool):
+        iso = F.regexp_replace(c, slashed, "$3-$2-$1" if day_first else "$3-$1-$2")
+    else:
+        iso = F.when(day_first, F.regexp_replace(c, slashed, "$3-$2-$1")) \
+            .otherwise(F.regexp_replace(c, slashed, "$3-$1-$2"))
+    return F.coalesce(*[F.when(iso.rlike(format_shape(fmt)), F.try_to_timestamp(iso, F.lit(fmt)))
+                        for fmt in (formats or ISO_FORMATS)])
 
 
 def _present(columns: set[str], name: str) -> Column:
@@ -78,7 +83,7 @@ def _present(columns: set[str], name: str) -> Column:
 
 
 def harmonize(df: DataFrame, registry_columns: dict[str, set[str]] | None = None,
-              date_formats: dict[str, list[str]] | None = None, keep: list[str] | None = None) -> DataFrame:
+              day_first: dict[str, bool] | None = None, keep: list[str] | None = None) -> DataFrame:
     """Registry-specific columns to the unified names, per the registry of each row.
 
     A unified column already present in an export wins over the rename, like the
@@ -86,10 +91,11 @@ def harmonize(df: DataFrame, registry_columns: dict[str, set[str]] | None = None
     (bad -> 0), the retirement date a timestamp (bad -> null) with its year, and
     vintage the year of ``Vintage Start`` or else the ``Vintage`` text.
 
-    One projection: the raw export columns are dropped unless listed in ``keep``
-    (``None`` keeps every column), so later stages carry only what they use.
+    Cheap CASEs over the registry pick each source column; every parse then runs
+    once per row. One projection: the raw export columns are dropped unless
+    listed in ``keep`` (``None`` keeps every column).
     """
-    formats = {**DEFAULT_DATE_FORMATS, **(date_formats or {})}
+    first = {**DEFAULT_DAY_FIRST, **(day_first or {})}
 
     def pick(target):
         def build(reg, cols):
@@ -99,42 +105,43 @@ def harmonize(df: DataFrame, registry_columns: dict[str, set[str]] | None = None
             return _present(cols, sources[0]).cast("string") if sources else F.lit(None).cast("string")
         return registry_case(df, registry_columns, build)
 
-    def build_date(reg, cols):
-        text = pick_one(reg, cols, "retirement_date")
-        return parse_timestamp(text, formats.get(reg, GENERIC_DATE_FORMATS))
-
-    def pick_one(reg, cols, target):
-        if target in cols:
-            return _present(cols, target)
-        sources = [s for s, t in codes.COLUMN_RENAMES[reg].items() if t == target and s in cols]
-        return _present(cols, sources[0]) if sources else F.lit(None).cast("string")
-
-    def build_vintage(reg, cols):
+    def vintage_source(reg, cols):
         if "vintage" in cols:
-            return F.col("vintage").cast("string")
+            return F.struct(F.col("vintage").cast("string").alias("text"), F.lit(False).alias("is_date"))
         if codes.VINTAGE_START in cols:
-            ts = parse_timestamp(_present(cols, codes.VINTAGE_START), formats.get(reg, GENERIC_DATE_FORMATS))
-            return F.year(ts).cast("string")
+            return F.struct(_present(cols, codes.VINTAGE_START).cast("string").alias("text"),
+                            F.lit(True).alias("is_date"))
         if codes.VINTAGE in cols:
-            return _present(cols, codes.VINTAGE).cast("string")
-        return F.lit(None).cast("string")
-
-    retirement_date = registry_case(df, registry_columns, build_date)
+            return F.struct(_present(cols, codes.VINTAGE).cast("string").alias("text"),
+                            F.lit(False).alias("is_date"))
+        return F.struct(F.lit(None).cast("string").alias("text"), F.lit(False).alias("is_date"))
+
+    day_first_col = registry_case(df, registry_columns, lambda reg, cols: F.lit(first.get(reg, False)))
+    staged = df.select(
+        "*",
+        pick("quantity").alias("__quantity"), pick("country").alias("__country"),
+        pick("retirement_date").alias("__date"), pick("projectname").alias("__projectname"),
+        pick("projecttype").alias("__projecttype"), pick("project_id").alias("__project_id"),
+        registry_case(df, registry_columns, vintage_source).alias("__vintage"),
+        day_first_col.alias("__day_first"))
+    retirement_date = parse_timestamp(F.col("__date"), day_first=F.col("__day_first"))
+    vintage_year = F.year(parse_timestamp(F.col("__vintage.text"), day_first=F.col("__day_first")))
     unified = {
-        "quantity": to_quantity(pick("quantity")),
-        "country": pick("country"),
+        "quantity": to_quantity(F.col("__quantity")),
+        "country": F.col("__country"),
         "retirement_date": retirement_date,
-        "retirement_year": F.year(retirement_date),
-        "projectname": pick("projectname"),
-        "projecttype": pick("projecttype"),
-        "project_id": pick("project_id"),
-        "vintage": registry_case(df, registry_columns, build_vintage),
+        "projectname": F.col("__projectname"),
+        "projecttype": F.col("__projecttype"),
+        "project_id": F.col("__project_id"),
+        "vintage": F.when(F.col("__vintage.is_date"), vintage_year.cast("string"))
+                    .otherwise(F.col("__vintage.text")),
     }
     # Spark resolves names case-insensitively: an export column such as
     # "Quantity" would clash with the unified "quantity", so it is not kept
-    lower = {k.lower() for k in unified}
+    lower = {k.lower() for k in unified} | {"retirement_year"}
     kept = [c for c in df.columns if c.lower() not in lower and (keep is None or c in keep)]
-    return df.select(*[F.col(f"`{c}`") for c in kept], *[v.alias(k) for k, v in unified.items()])
+    out = staged.select(*[F.col(f"`{c}`") for c in kept], *[v.alias(k) for k, v in unified.items()])
+    return out.withColumn("retirement_year", F.year("retirement_date"))
 
 
 def registry_serial(df: DataFrame, registry_columns: dict[str, set[str]] | None = None) -> Column:

@@ -52,17 +52,19 @@ def has_id(col) -> Column:
 
 def match_cache(names: DataFrame, cache: DataFrame, name_col: str = "raw_beneficiary",
                 suffixes: list[str] | None = None) -> DataFrame:
-    """MatchResult per distinct name: exact key first, normal form only on a miss.
+    """MatchResult per distinct name: the exact key wins, the normal form counts only on a miss.
 
     An exact hit is final even when its id is blank (then the name is
     unmatched); an empty name never matches.
     """
     distinct = names.select(F.col(name_col).alias("raw_name")).distinct()
-    exact = distinct.withColumn("_ekey", exact_key(F.col("raw_name"))).join(
-        exact_lookup(cache), "_ekey", "left")
-    miss = F.col("e_hit").isNull() & (F.col("raw_name") != "")
-    normed = normalize_names(exact, "raw_name", "_nkey", suffixes, only_when=miss)
-    both = normed.join(normalized_lookup(cache), "_nkey", "left")
+    # Normal form of every distinct name (cheap next to the rows), computed before
+    # the lookups so each generated stage stays small enough for whole-stage codegen.
+    normed = normalize_names(distinct, "raw_name", "_nkey", suffixes,
+                             only_when=F.col("raw_name") != "")
+    keyed = normed.withColumn("_ekey", exact_key(F.col("raw_name")))
+    both = (keyed.join(exact_lookup(cache), "_ekey", "left")
+            .join(normalized_lookup(cache), "_nkey", "left"))
     is_blank = F.coalesce(F.col("raw_name") == "", F.lit(True))
     by_exact = ~is_blank & F.col("e_hit").isNotNull()
     by_norm = ~is_blank & F.col("e_hit").isNull() & (F.col("_nkey") != "") & F.col("n_hit").isNotNull()
