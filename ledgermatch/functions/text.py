@@ -120,25 +120,23 @@ def exact_key(col) -> Column:
 def first_json_array(col) -> Column:
     """First balanced ``[...]`` by bracket depth (not string-aware); none -> null.
 
-    A left fold over the characters after the first ``[`` keeps
-    (depth, end position); no regular expression can count depth.
+    The text from the first ``[`` is split before every bracket, so each piece
+    starts with one; a left fold over the pieces (as many as there are
+    brackets, not characters) tracks the depth and the end position. No
+    regular expression can count depth.
     """
     text = _c(col)
     start = F.instr(text, "[")
     tail = F.substring(text, start, F.length(text))  # whole remaining text
-    chars = F.split(tail, "")
+    pieces = F.split(tail, r"(?=[\[\]])")
     init = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(0).alias("pos"))
 
-    def step(acc, ch):
-        pos = acc["pos"] + 1
+    def step(acc, piece):
         done = acc["end"] > 0
-        depth = (F.when(done, acc["depth"])
-                 .when(ch == "[", acc["depth"] + 1)
-                 .when(ch == "]", acc["depth"] - 1)
-                 .otherwise(acc["depth"]))
-        end = F.when(done, acc["end"]).when((ch == "]") & (depth == 0), pos).otherwise(F.lit(0))
-        return F.struct(depth.alias("depth"), end.alias("end"), pos.alias("pos"))
-
-    folded = F.aggregate(chars, init, step)
-    end = folded["end"]
+        opening = F.substring(piece, 1, 1) == "["
+        depth = F.when(done, acc["depth"]).when(opening, acc["depth"] + 1).otherwise(acc["depth"] - 1)
+        end = F.when(done, acc["end"]).when(~opening & (depth == 0), acc["pos"] + 1).otherwise(F.lit(0))
+        return F.struct(depth.alias("depth"), end.alias("end"), (acc["pos"] + F.length(piece)).alias("pos"))
+
+    end = F.aggregate(pieces, init, step)["end"]
     return F.when((start > 0) & (end > 0), F.substring(tail, 1, end))

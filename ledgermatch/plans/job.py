@@ -42,31 +42,32 @@ class MatchingJob:
     def new_raw(self) -> DataFrame:
         return incremental.find_new_rows(self.ledger, self.base_raw, self.registry_columns)
 
-    def parsed(self) -> DataFrame:
-        """New rows with a beneficiary, in unified columns.
+    def new_rows(self) -> DataFrame:
+        """Every new row with its beneficiary struct (or null), in unified columns.
 
         Persisted once (memory, spilling to disk): the name extraction is the
-        costliest step and three branches read it (distinct names, resolver
-        context, join back). A lost executor's blocks are recomputed.
+        costliest step and several branches read it (distinct names, resolver
+        context, join back, stage counts). Lost blocks are recomputed.
         """
-        if "parsed" not in self._memo:
-            self._memo["parsed"] = self._parsed().persist(StorageLevel.MEMORY_AND_DISK)
-        return self._memo["parsed"]
+        if "new_rows" not in self._memo:
+            rows = extract.with_beneficiary(self.new_raw(), self.registry_columns)
+            h = harmonize.harmonize(rows, self.registry_columns, keep=["seq", "registry_key", extract.PARSED])
+            self._memo["new_rows"] = h.persist(StorageLevel.MEMORY_AND_DISK)
+        return self._memo["new_rows"]
+
+    def parsed(self) -> DataFrame:
+        """New rows with a beneficiary, with raw_beneficiary, source_field and registry label."""
+        return (self.new_rows().filter(F.col(extract.PARSED).isNotNull())
+                .withColumn("raw_beneficiary", F.col("parsed.raw_name"))
+                .withColumn("source_field", F.col("parsed.source_field"))
+                .withColumn("registry", F.col("parsed.registry"))
+                .drop(extract.PARSED))
 
     def release(self) -> None:
         for df in self._memo.values():
             df.unpersist()
         self._memo.clear()
 
-    def _parsed(self) -> DataFrame:
-        rows = extract.with_beneficiary(self.new_raw(), self.registry_columns)
-        rows = rows.filter(F.col(extract.PARSED).isNotNull())
-        h = harmonize.harmonize(rows, self.registry_columns, keep=["seq", "registry_key", extract.PARSED])
-        return (h.withColumn("raw_beneficiary", F.col("parsed.raw_name"))
-                .withColumn("source_field", F.col("parsed.source_field"))
-                .withColumn("registry", F.col("parsed.registry"))
-                .drop(extract.PARSED))
-
     def names(self) -> DataFrame:
         """Distinct names with the position they were first seen (partial aggregation)."""
         return (self.parsed().groupBy(F.col("raw_beneficiary").alias("raw_name"))

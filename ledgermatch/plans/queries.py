@@ -434,7 +434,7 @@ def q_stage_metrics(spark, sf_dir):
     job = c.job
     base = job.base()
     res = job.cache_results()
-    new_per_reg = job.new_raw().groupBy(F.concat(F.lit("new_rows_"), F.col("registry_key")).alias("stage")) \
+    new_per_reg = job.new_rows().groupBy(F.concat(F.lit("new_rows_"), F.col("registry_key")).alias("stage")) \
         .agg(F.count(F.lit(1)).alias("value"))
     parts = [
         base.agg(F.lit("base_rows").alias("stage"), F.count(F.lit(1)).alias("value")),
@@ -599,7 +599,7 @@ def q_cache_update(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     job = MatchingJob(c.ledger, fx.REGISTRY_COLUMNS, c.base_raw, c.cache, c.firms,
                       resolver=resolve.local_resolver())
-    job._memo["parsed"] = c.job.parsed()
+    job._memo["new_rows"] = c.job.new_rows()
     updated = job.updated_cache()
     path = sinks.write_cache(updated, c.scratch("known_matches_v2"))
     back = tables.load_cache(spark, path)
