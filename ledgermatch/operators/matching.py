@@ -62,6 +62,9 @@ def match_cache(names: DataFrame, cache: DataFrame, name_col: str = "raw_benefic
     # the lookups so each generated stage stays small enough for whole-stage codegen.
     normed = normalize_names(distinct, "raw_name", "_nkey", suffixes,
                              only_when=F.col("raw_name") != "")
+    # Stage boundary (a shuffle of distinct names only): keeps the regex-heavy
+    # normalisation and the lookup joins in separate, compilable stages.
+    normed = normed.repartition("raw_name")
     keyed = normed.withColumn("_ekey", exact_key(F.col("raw_name")))
     both = (keyed.join(exact_lookup(cache), "_ekey", "left")
             .join(normalized_lookup(cache), "_nkey", "left"))
