@@ -64,6 +64,8 @@ class MatchingJob:
                 .drop(extract.PARSED))
 
     def release(self) -> None:
+        """Unpersist this job's stage. Spark's cache is keyed by plan, so this also
+        drops it for any other job over the same inputs."""
         for df in self._memo.values():
             df.unpersist()
         self._memo.clear()

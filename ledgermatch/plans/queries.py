@@ -150,14 +150,15 @@ def q_public_firms(spark, sf_dir):
 
 
 def q_pipeline_e2e(spark, sf_dir):
-    """A complete incremental run (fresh job, nothing reused but the input
-    files and the written lookups), published partitioned by registry and read back."""
+    """A complete incremental run, published partitioned by registry and read back.
+
+    A new job over the same files and lookups; Spark's cache is keyed by plan,
+    so it shares the session's persisted new-row stage when that already exists
+    (and must not unpersist it, which would drop it for every other job).
+    """
     c = _ctx(spark, sf_dir)
     job = c.new_job()
-    try:
-        path = sinks.write_matched(job.output(), c.scratch("matched_e2e"))
-    finally:
-        job.release()
+    path = sinks.write_matched(job.output(), c.scratch("matched_e2e"))
     back = spark.read.parquet(path)
     return back.select(*_order_cols(), *codes.OUTPUT_COLUMNS)
 
