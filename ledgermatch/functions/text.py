@@ -104,12 +104,14 @@ def extract_on_behalf(col, word_bounded: bool = False) -> Column:
     p1, p2 = ((BEHALF_PATTERN_BOUNDED, RETIRED_PATTERN_BOUNDED) if word_bounded
               else (BEHALF_PATTERN, RETIRED_PATTERN))
 
-    def candidate(pattern: str) -> Column:
+    def candidate(pattern: str, guard: str) -> Column:
         hit = py_strip(F.regexp_extract(_c(col), pattern, 1))
         hit = F.regexp_replace(hit, r"[.,;:]+\z", "")
-        return F.when(F.length(hit) > 3, hit)
+        # the guard holds whenever the pattern can match (same case-insensitive flags)
+        return F.when(_c(col).rlike(guard) & (F.length(hit) > 3), hit)
 
-    return F.coalesce(candidate(p1), candidate(p2))
+    return F.coalesce(candidate(p1, "(?iu)on behalf of|for the benefit of|representing"),
+                      candidate(p2, "(?iu)retired for|retired by"))
 
 
 def exact_key(col) -> Column:

@@ -14,7 +14,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from ledgermatch.session import get_spark
-    s = get_spark("ledgermatch-tests", master="local[*]", shuffle_partitions=8)
+    s = get_spark("ledgermatch-tests", master="local[*]", shuffle_partitions=8,
+                  extra={"spark.driver.memory": "4g"})
     yield s
 
 
