@@ -31,7 +31,8 @@ class MatchingJob:
     firms: DataFrame | None                # firm universe with seq, or None
     suffixes: list[str] | None = None
     resolver: Callable | None = None
-    resolver_buckets: int = 64
+    resolver_buckets: int | None = None     # None: sized from the unmatched-name count
+    names_per_bucket: int = 20_000
     batch_size: int = 20
     _memo: dict = field(default_factory=dict, repr=False)
 
@@ -88,11 +89,20 @@ class MatchingJob:
         return ctx.join(miss, "raw_name", "left_semi")
 
     def resolver_results(self) -> DataFrame | None:
+        """Resolver results for the unmatched names (memoised: each name is sent once)."""
         if self.resolver is None:
             return None
-        return resolve.resolve_batches(self.unmatched(), self.resolver, "raw_name",
-                                       self.resolver_buckets, self.batch_size,
-                                       registry_col="registry", country_col="country")
+        if "resolved" not in self._memo:
+            names = self.unmatched()
+            buckets = self.resolver_buckets
+            if buckets is None:
+                # one small count decides the batch plan, so each bucket's window holds
+                # at most about names_per_bucket names whatever the data size
+                buckets = max(1, -(-names.count() // self.names_per_bucket))
+            self._memo["resolved"] = resolve.resolve_batches(
+                names, self.resolver, "raw_name", buckets, self.batch_size,
+                registry_col="registry", country_col="country").persist(StorageLevel.MEMORY_AND_DISK)
+        return self._memo["resolved"]
 
     def all_results(self) -> DataFrame:
         """Cache results plus resolver results (the latter only when a resolver is set)."""

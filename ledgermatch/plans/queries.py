@@ -599,7 +599,7 @@ def q_cache_update(spark, sf_dir):
     """Accepted resolver results appended, deduplicated, new cache version read back."""
     c = _ctx(spark, sf_dir)
     job = MatchingJob(c.ledger, fx.REGISTRY_COLUMNS, c.base_raw, c.cache, c.firms,
-                      resolver=resolve.local_resolver())
+                      resolver=resolve.local_resolver(), resolver_buckets=64)
     job._memo["new_rows"] = c.job.new_rows()
     updated = job.updated_cache()
     path = sinks.write_cache(updated, c.scratch("known_matches_v2"))

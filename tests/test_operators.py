@@ -136,3 +136,16 @@ def test_sanitize_and_output_shape(spark):
     row = out.collect()[0]
     assert row["raw_beneficiary"] == "" and row["registry"] == "" and row["matched_name"] == ""
     assert row["quantity"] == 0.0 and row["retirement_year"] == 2021
+
+
+def test_job_with_resolver_end_to_end(spark):
+    from conftest import SF_SMALL
+    from ledgermatch.plans.queries import Context
+    c = Context.get(spark, SF_SMALL)
+    job = c.new_job(resolver=resolve.local_resolver())
+    out = job.output()
+    methods = {r["match_method"] for r in out.select("match_method").distinct().collect()}
+    assert "llm" in methods and "cache_exact" in methods and "original" in methods
+    assert out.count() == c.output().count()
+    cache2 = job.updated_cache()
+    assert cache2.filter("batch = 1").count() > 0
