@@ -444,6 +444,7 @@ def _sql() -> dict[str, str]:
       AS project_category FROM ledger_rows GROUP BY projecttype"""
     q["load_registry"] = w + """ SELECT registry_key, count(*) AS rows, count(serial) AS serials,
       sum(quantity) AS quantity FROM ledger_rows GROUP BY registry_key"""
+    q["load_snapshot"] = q["load_registry"]
     q["ingest_log"] = w + """ SELECT '2026-02' AS version, registry_key, count(*) AS rows FROM ledger_rows
       GROUP BY registry_key UNION ALL SELECT '2026-02', 'total', count(*) FROM ledger_rows"""
     q["public_firms"] = w + """ SELECT factset_entity_id, entity_name, entity_proper_name, iso_country,

@@ -117,6 +117,22 @@ def q_load_registry(spark, sf_dir):
                  F.sum("quantity").alias("quantity")))
 
 
+def q_load_snapshot(spark, sf_dir):
+    """One versioned snapshot laid out as snapshot=<v>/registry=<key>/ (Parquet), loaded whole."""
+    c = _ctx(spark, sf_dir)
+    root = c.scratch("snapshots")
+    for r, cols in fx.REGISTRY_COLUMNS.items():
+        path = os.path.join(root, "snapshot=2026-02", f"registry={r}")
+        c.ledger.filter(F.col("registry_key") == r).select(*[F.col(f"`{x}`") for x in sorted(cols)]) \
+            .write.parquet(path)
+    mixed, present = reg_src.load_snapshot(spark, root, "2026-02")
+    mixed = mixed.withColumn("_serial", harmonize.registry_serial(mixed, present))
+    qty = harmonize.harmonize(mixed, present, keep=["registry_key", "_serial"])
+    return (qty.groupBy("registry_key")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count("_serial").alias("serials"),
+                 F.sum("quantity").alias("quantity")))
+
+
 def q_load_base(spark, sf_dir):
     """Base rows renamed, year parsed, registry normalised, defaults."""
     b = harmonize.prepare_base(_ctx(spark, sf_dir).base_raw)
@@ -626,6 +642,7 @@ def q_stream_new_rows(spark, sf_dir):
 QUERIES = {
     "summary_by_registry": q_summary_by_registry,
     "load_registry": q_load_registry,
+    "load_snapshot": q_load_snapshot,
     "load_base": q_load_base,
     "cache_match": q_cache_match,
     "report_load": q_report_load,
