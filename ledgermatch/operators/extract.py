@@ -80,10 +80,13 @@ def with_beneficiary(df: DataFrame, registry_columns: dict[str, set[str]] | None
     label = registry_case(df, registry_columns,
                           lambda reg, cols: F.lit(codes.REGISTRY_LABEL[reg]))
     staged = df.select("*", *[v.alias(f"_nm_{k}") for k, v in picks.items()], label.alias("_nm_label"))
-    found = F.when(F.col("_nm_f_text"), extract_on_behalf(F.col("_nm_f"), word_bounded)) \
-        .otherwise(F.col("_nm_f"))
-    staged = staged.select("*", clean_name(F.col("_nm_p")).alias("_nm_pc"), found.alias("_nm_found"))
-    staged = staged.select("*", clean_name(F.col("_nm_found")).alias("_nm_fc"))
+    staged = staged.select("*", clean_name(F.col("_nm_p")).alias("_nm_pc"))
+    # the fallback is read only when the primary name cleans to blank
+    need = F.col("_nm_pc") == ""
+    found = F.when(need, F.when(F.col("_nm_f_text"), extract_on_behalf(F.col("_nm_f"), word_bounded))
+                   .otherwise(F.col("_nm_f")))
+    staged = staged.select("*", found.alias("_nm_found"))
+    staged = staged.select("*", F.when(need, clean_name(F.col("_nm_found"))).alias("_nm_fc"))
 
     def result(name: str, field: str) -> Column:
         return F.struct(F.col(name).alias("raw_name"), F.col(field).alias("source_field"),
