@@ -65,13 +65,14 @@ def registry_case(df: DataFrame, registry_columns: dict[str, set[str]] | None,
     return expr.otherwise(F.raise_error(F.concat(F.lit("Unknown registry: "), F.col(key_col))))
 
 
-def with_beneficiary(df: DataFrame, registry_columns: dict[str, set[str]] | None = None,
-                     word_bounded: bool = False) -> DataFrame:
-    """Add ``parsed`` (struct<raw_name, source_field, registry> or null) to every row.
+def _staged_names(df: DataFrame, registry_columns: dict[str, set[str]] | None,
+                  word_bounded: bool) -> DataFrame:
+    """Helper columns ``_nm_*`` and the three result columns, or null when no name is found.
 
     A cheap CASE over the registry picks the primary and fallback texts; the
-    cleaning and extraction chains then run once per row, not once per registry,
-    which keeps the generated code small enough for whole-stage codegen.
+    cleaning and extraction chains then run once per row (the fallback only when
+    the primary cleans to blank), which keeps the generated code small enough
+    for whole-stage codegen.
     """
     picks = {}
     for part in ("p", "p_field", "f", "f_field", "f_text"):
@@ -87,27 +88,40 @@ def with_beneficiary(df: DataFrame, registry_columns: dict[str, set[str]] | None
                    .otherwise(F.col("_nm_f")))
     staged = staged.select("*", found.alias("_nm_found"))
     staged = staged.select("*", F.when(need, clean_name(F.col("_nm_found"))).alias("_nm_fc"))
+    use_p = F.col("_nm_pc") != ""
+    use_f = (F.col("_nm_f_text") & F.col("_nm_found").isNotNull()) | \
+        (~F.col("_nm_f_text") & (F.col("_nm_fc") != ""))
+    return staged.select(
+        "*",
+        F.when(use_p, F.col("_nm_pc")).when(use_f, F.col("_nm_fc")).alias("_nm_raw_name"),
+        F.when(use_p, F.col("_nm_p_field")).when(use_f, F.col("_nm_f_field")).alias("_nm_source_field"),
+        F.when(use_p | use_f, F.col("_nm_label")).alias("_nm_registry"))
+
 
-    def result(name: str, field: str) -> Column:
-        return F.struct(F.col(name).alias("raw_name"), F.col(field).alias("source_field"),
-                        F.col("_nm_label").alias("registry"))
+def _drop_helpers(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_nm_")])
 
-    parsed = (F.when(F.col("_nm_pc") != "", result("_nm_pc", "_nm_p_field"))
-              .when(F.col("_nm_f_text") & F.col("_nm_found").isNotNull(), result("_nm_fc", "_nm_f_field"))
-              .when(~F.col("_nm_f_text") & (F.col("_nm_fc") != ""), result("_nm_fc", "_nm_f_field")))
-    helper = [c for c in staged.columns if c.startswith("_nm_")]
-    return staged.withColumn(PARSED, parsed).drop(*helper)
+
+def with_beneficiary(df: DataFrame, registry_columns: dict[str, set[str]] | None = None,
+                     word_bounded: bool = False) -> DataFrame:
+    """Add ``parsed`` (struct<raw_name, source_field, registry> or null) to every row."""
+    staged = _staged_names(df, registry_columns, word_bounded)
+    parsed = F.when(F.col("_nm_raw_name").isNotNull(),
+                    F.struct(F.col("_nm_raw_name").alias("raw_name"),
+                             F.col("_nm_source_field").alias("source_field"),
+                             F.col("_nm_registry").alias("registry")))
+    return _drop_helpers(staged.withColumn(PARSED, parsed))
 
 
 def extract_beneficiary(df: DataFrame, registry_columns: dict[str, set[str]] | None = None,
                         word_bounded: bool = False) -> DataFrame:
     """Rows where a name was found, with raw_beneficiary, source_field, registry."""
-    parsed = with_beneficiary(df, registry_columns, word_bounded)
-    return (parsed.filter(F.col(PARSED).isNotNull())
-            .withColumn("raw_beneficiary", F.col(f"{PARSED}.raw_name"))
-            .withColumn("source_field", F.col(f"{PARSED}.source_field"))
-            .withColumn("registry", F.col(f"{PARSED}.registry"))
-            .drop(PARSED))
+    staged = _staged_names(df, registry_columns, word_bounded)
+    out = (staged.filter(F.col("_nm_raw_name").isNotNull())
+           .withColumn("raw_beneficiary", F.col("_nm_raw_name"))
+           .withColumn("source_field", F.col("_nm_source_field"))
+           .withColumn("registry", F.col("_nm_registry")))
+    return _drop_helpers(out)
 
 
 def parse_rate(df: DataFrame, registry_columns: dict[str, set[str]] | None = None) -> DataFrame:
