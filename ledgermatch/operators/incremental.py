@@ -22,17 +22,21 @@ def base_serials(base: DataFrame) -> DataFrame | None:
     return None
 
 
-def _spread_key(serial: Column, df: DataFrame) -> Column:
-    """Serial, or for null serials a distinct per-row key that matches nothing."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.coalesce(serial, F.concat(F.lit(_NULL_KEY_PREFIX), row_hash.cast("string")))
+def _spread_key(serial: Column) -> Column:
+    """Serial, or for a null serial a distinct per-row key that matches nothing.
+
+    The row id reads no column (so the scan stays pruned to what the plan
+    uses); its exact value never matters, because no serial can equal it.
+    """
+    row_id = F.monotonically_increasing_id().cast("string")
+    return F.coalesce(serial, F.concat(F.lit(_NULL_KEY_PREFIX), row_id))
 
 
 def anti_join_serials(df: DataFrame, serial: Column, seen: DataFrame | None) -> DataFrame:
     """Rows of ``df`` whose serial text is not in ``seen._serial``; null serial is always new."""
     if seen is None:
         return df
-    keyed = df.withColumn("_serial", _spread_key(serial, df))
+    keyed = df.withColumn("_serial", _spread_key(serial))
     seen = seen.filter(~F.col("_serial").startswith(_NULL_KEY_PREFIX))
     return keyed.join(seen, "_serial", "left_anti").drop("_serial")
 
