@@ -10,7 +10,8 @@ from conftest import SF_SMALL
 
 FAST = ["summary_by_registry", "summary_rollup", "known_matches", "cache_match", "extract_beneficiary",
         "new_rows_anti", "public_firms", "map_hq", "report_metrics", "top_firms", "resolve_batch",
-        "cache_update", "json_results_decode", "clean_name", "summary_json", "matched_only_export"]
+        "cache_update", "json_results_decode", "clean_name", "summary_json", "matched_only_export",
+        "stream_new_rows", "load_snapshot"]
 
 
 def _norm(v):
