@@ -4,26 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import packing, token_files
+from ledgermatch.llm import (decontaminate, html_extract, kneser_ney, minhash, packing, quality_rules, sharding, token_counts,
+                             token_files, url_filter)
 from ledgermatch.llm.common import read
 
+#: (host, path, verdict) of op8.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
 
 def tokenizer(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(read(spark, sf_dir, "pages"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(read(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(spark, read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(read(spark, sf_dir, "documents"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.judge_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(spark, read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {
-    "op2_token_files": op2_token_files,
-    "op10_packing": op10_packing,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_html_text, op2_token_files, op3_near_duplicates, op4_quality_rules, op5_token_counts, op6_decontamination, op7_sharding,
+    op8_url_filter, op9_quality_classifier, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
