@@ -100,10 +100,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     df = held(docs.select("doc_id", "text"), text_key=text_key(F.col("text")), words=word_hashes(F.col("text"))).drop("text")
     df = held(df, g=_marked(_grams(F.col("words"), GRAM)))
     df = held(df, m=_window_minima(F.col("g"))).drop("g")
-    prints = F.transform(_winnowed(F.col("m")), lambda x: F.struct(F.lit(0).alias("short"), x["hash"].alias("hash"), x["place"].alias("place")))
+    def labelled(found: Column, size: int) -> Column:
+        return F.transform(found, lambda x: F.struct(F.lit(size).alias("short"), x["hash"].alias("hash"), x["place"].alias("place")))
+
+    prints = labelled(_winnowed(F.col("m")), 0)
     for n in sizes:
-        prints = F.concat(prints, F.transform(_short_grams(F.col("words"), n), lambda x, n=n: F.struct(
-            F.lit(n).alias("short"), x["hash"].alias("hash"), x["place"].alias("place"))))
+        prints = F.concat(prints, labelled(_short_grams(F.col("words"), n), n))
     # Each text also sends one row with its length; its hash spreads these rows and matches nothing.
     head = F.array(F.struct(F.lit(-1).alias("short"), F.col("text_key").alias("hash"), F.size("words").alias("place")))
     prints = df.select("doc_id", "text_key", F.explode(F.concat(head, prints)).alias("p")).select("doc_id", "text_key", "p.*")

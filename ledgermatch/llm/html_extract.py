@@ -4,7 +4,7 @@ A page is flattened into blocks, the runs of text between block-level tags, with
 its number of words and its link density (share of words inside links), those of the block before and the one
 after, and what its markup says: inside an article or main part, inside a navigation, header, footer, aside or form
 part (or one whose class or id names such a thing), heading, paragraph, sentence end. A decision tree
-trained on the small labelled table ``TRAINING`` decides which blocks are main text; these are joined by
+trained on a small labelled table (``training_pages``) decides which blocks are main text; these are joined by
 newlines in page order.
 
 Scripts, styles, templates, comments, hidden parts and form fields give no blocks. Character references are decoded
@@ -31,8 +31,10 @@ from ledgermatch.llm.common import slices
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "in_main", "in_frame",
             "content_name", "heading", "paragraph", "sentence", "page_has_main")
 
-# A comment, a declaration, or a tag whose quoted attribute values may hold ">".
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+# A comment, a declaration, a tag whose quoted attribute values may hold ">", or one with an open quote. What is
+# not closed ends with the page.
+_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|"
+                  r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _SKIPPED = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "button", "title", "object",
             "canvas", "math", "audio", "video", "datalist"}
 _SKIP_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in _SKIPPED}
@@ -96,8 +98,7 @@ class _Page:
                 self.parts.append(" ")
             elif tag not in _VOID and tag != "a" and (hidden or _FRAME_NAME.search(named)):
                 self.end_block()
-                _, main, _, content = self.open[-1]
-                self.open.append((tag, main, True, content))
+                self.open.append((tag, False, True, False))
             return
         self.end_block()
         self.in_link = self.in_link and tag == "a"
@@ -109,7 +110,8 @@ class _Page:
         header = tag == "header" or _HEADER_NAME.search(named)
         frame = frame or hidden or tag in _FRAME or (bool(header) and not main) or bool(_FRAME_NAME.search(named))
         main = (main or tag in ("article", "main") or names.get("role", "").lower() == "main") and not frame
-        self.open.append((tag, main, frame, content or bool(_CONTENT_NAME.search(named))))
+        content = (content or bool(_CONTENT_NAME.search(named))) and not frame
+        self.open.append((tag, main, frame, content))
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -166,40 +168,55 @@ def _links(*n: int) -> str:
     return "".join(f'<li><a href="/x">{_words(k, "")}</a></li>' for k in n)
 
 
-#: The labelled table: pages whose main blocks start with the mark.
+#: Stands at the start of the main blocks of the labelled pages.
 MARK = "§"
-TRAINING = (
-    # An article between a menu, an advert and a footer.
-    f"<nav><ul>{_links(1, 1, 2, 1)}</ul></nav><div class='ad'>{_words(8)}</div><article><h1>{MARK}{_words(9, '')}</h1><p>{MARK}{_words(30)}"
-    f"<p>{MARK}{_words(5)}</p><p>{MARK}{_words(1)}</p></article><footer>{_words(9)}</footer>",
-    f"<header><h1>{_words(3, '')}</h1><p>{_words(12)}</p></header><main><h1>{MARK}{_words(6, '')}</h1><p>{MARK}{_words(60)}</p><ul><li>{MARK}{_words(7, '')}</li>"
-    f"<li>{MARK}{_words(4)}</li></ul><blockquote>{MARK}{_words(20)}</blockquote></main><aside><h2>{_words(2, '')}</h2><p>{_words(25)}</p></aside>"
-    f"<footer><p>{_words(18)}</p><p>{_words(40)}</p></footer>",
-    f"<article><header><h1>{MARK}{_words(8, '')}</h1></header><p>{MARK}{_words(80)}</p><div class='related'><a href='/r'>{_words(6, '')}</a></div>"
-    f"<p>{MARK}<a href='/y'>{_words(3, '')}</a> {_words(4)}</p><table><tr><td>{MARK}{_words(2, '')}</td><td>{MARK}{_words(1, '')}</td></tr></table>"
-    f"<section id='comments'><p>{_words(30)}</p><p>{_words(70)}</p></section></article>",
-    f"<div class='cookie-notice'><p>{_words(35)}</p></div><article><h2>{MARK}{_words(2, '')}</h2><p>{MARK}{_words(3, '')}</p><div>{MARK}{_words(12)}</div>"
-    f"<form><p>{_words(9)}</p></form><pre>{MARK}{_words(15, '')}</pre></article><div class='sidebar'><p>{_words(50)}</p></div>",
-    # The same without article or main: content by name, or by words and links alone.
-    f"<div id='menu'>{_links(1, 2, 1)}</div><div class='content'><h1>{MARK}{_words(5, '')}</h1><p>{MARK}{_words(45)}</p><p>{MARK}{_words(6)}</p>"
-    f"<p>{MARK}{_words(33)}</p></div><div class='footer'><p>{_words(10)}</p></div>",
-    f"<div class='post'><h3>{MARK}{_words(4, '')}</h3><div>{MARK}{_words(22)}</div><div>{MARK}{_words(9)}</div></div><div class='comments'><div>{_words(28)}</div></div>",
-    f"<ul>{_links(2, 1, 3, 1, 2)}</ul><h1>{MARK}{_words(7, '')}</h1><p>{MARK}{_words(50)}</p><p>{MARK}{_words(41)}</p><p>{MARK}{_words(18)}</p><p>{MARK}{_words(8)}</p>"
-    f"<ul>{_links(4, 5, 2)}</ul><div>{_words(6, '')}</div>",
-    f"<div><a href='/'>{_words(1, '')}</a></div><div><a href='/a'>{_words(2, '')}</a> | <a href='/b'>{_words(1, '')}</a></div><p>{MARK}{_words(28)}</p>"
-    f"<p>{MARK}{_words(90)}</p><div>{_words(4, '')}</div><div><a href='/c'>{_words(3, '')}</a></div>",
-    f"<div>{_words(3, '')}</div><div>{_links(1, 1)}</div><h2>{MARK}{_words(5, '')}</h2><div>{MARK}{_words(36)}</div><div>{MARK}{_words(25)}</div>"
-    f"<div><a href='/m'>{_words(2, '')}</a></div><div>{_words(5, '')}</div>",
-    f"<p>{MARK}{_words(40)}</p><p>{MARK}{_words(11)}</p><p>{MARK}{_words(60)}</p><p><a href='/n'>{_words(8, '')}</a></p><p><a href='/o'>{_words(12, '')}</a></p>",
-    # A page that has a main part, with plain blocks outside it.
-    f"<div>{_words(30)}</div><main><p>{MARK}{_words(2)}</p><p>{MARK}{_words(14)}</p><p>{MARK}<a href='/p'>{_words(6, '')}</a></p></main><p>{_words(45)}</p><div>{_words(12, '')}</div>",
-    f"<p>{_words(16)}</p><h2>{_words(3, '')}</h2><article><h1>{MARK}{_words(1, '')}</h1><div>{MARK}{_words(48)}</div></article><p>{_words(22)}</p><h2>{_words(4, '')}</h2>",
-)
+
+
+def training_pages() -> list[str]:
+    """The labelled table: small pages of the usual makes, each with short and with long blocks."""
+    pages = []
+    for n in (2, 5, 9, 16, 30, 55, 120):
+        text, tail = _words(n), _words(max(2, n // 3))
+        keep = MARK if n >= 16 else ""
+        # An article between a menu, an advert and a footer; blocks of every length inside and outside.
+        pages += [
+            f"<nav><ul>{_links(1, 1, 2, 1)}</ul></nav><div class='ad'>{text}</div><article><h1>{MARK}{_words(9, '')}</h1><p>{MARK}{text}<p>{MARK}{tail}</p>"
+            f"<p>{MARK}{_words(1)}</p></article><footer>{text}</footer>",
+            f"<header><h1>{_words(3, '')}</h1><p>{text}</p></header><main><h1>{MARK}{_words(6, '')}</h1><p>{MARK}{text}</p><ul><li>{MARK}{tail}</li>"
+            f"<li>{MARK}{_words(4, '')}</li></ul><blockquote>{MARK}{text}</blockquote></main><aside><h2>{_words(2, '')}</h2><p>{text}</p></aside>"
+            f"<footer><p>{tail}</p><p>{text}</p></footer>",
+            f"<article><header><h1>{MARK}{_words(8, '')}</h1></header><p>{MARK}{text}</p><div class='related'><a href='/r'>{_words(n, '')}</a></div>"
+            f"<p>{MARK}<a href='/y'>{_words(n, '')}</a> {_words(4)}</p><table><tr><td>{MARK}{_words(2, '')}</td><td>{MARK}{_words(1, '')}</td></tr></table>"
+            f"<section id='comments'><p>{text}</p><p>{tail}</p></section></article>",
+            f"<div class='cookie-notice'><p>{text}</p></div><article><h2>{MARK}{_words(2, '')}</h2><p>{MARK}{_words(3, '')}</p><div>{MARK}{text}</div>"
+            f"<form><p>{text}</p></form><pre>{MARK}{_words(n, '')}</pre></article><div class='sidebar'><p>{text}</p></div>",
+            # Plain blocks outside a main part.
+            f"<div>{text}</div><main><p>{MARK}{_words(2)}</p><p>{MARK}{text}</p><p>{MARK}<a href='/p'>{_words(n, '')}</a></p></main><p>{text}</p><div>{tail}</div>",
+            f"<p>{text}</p><h2>{_words(3, '')}</h2><article><h1>{MARK}{_words(1, '')}</h1><div>{MARK}{text}</div></article><p>{text}</p><h2>{_words(4, '')}</h2>",
+            # Content only by name.
+            f"<div id='menu'>{_links(1, 2, 1)}</div><div class='content'><h1>{MARK}{_words(5, '')}</h1><p>{MARK}{text}</p><p>{MARK}{_words(6)}</p>"
+            f"<p>{MARK}{tail}</p></div><div class='footer'><p>{text}</p></div>",
+            f"<div class='post'><h3>{MARK}{_words(4, '')}</h3><div>{MARK}{text}</div><div>{MARK}{tail}</div></div><div class='comments'><div>{text}</div></div>",
+            # Words and links alone.
+            f"<ul>{_links(2, 1, 3, 1, 2)}</ul><h1>{MARK}{_words(7, '')}</h1><p>{MARK}{_words(50)}</p><p>{MARK}{text}</p><p>{MARK}{_words(40)}</p><p>{MARK}{_words(8)}</p>"
+            f"<ul>{_links(4, 5, 2)}</ul><div>{_words(6, '')}</div>",
+            f"<div><a href='/'>{_words(1, '')}</a></div><div><a href='/a'>{_words(2, '')}</a> | <a href='/b'>{_words(1, '')}</a></div><p>{MARK}{_words(28)}</p>"
+            f"<p>{MARK}{text}</p><p>{MARK}{_words(35)}</p><div>{_words(4, '')}</div><div><a href='/c'>{_words(n, '')}</a></div>",
+            f"<div>{_words(3, '')}</div><div>{_links(1, 1)}</div><h2>{MARK}{_words(5, '')}</h2><div>{MARK}{_words(36)}</div><div>{MARK}{_words(25)}</div>"
+            f"<div><a href='/m'>{_words(2, '')}</a></div><div>{_words(5, '')}</div>",
+            f"<p>{MARK}{_words(40)}</p><p>{MARK}{text}</p><p>{MARK}{_words(60)}</p><p><a href='/n'>{_words(n, '')}</a></p><p><a href='/o'>{_words(12, '')}</a></p>",
+            # A page of one block, and one block among links.
+            f"{keep}{_words(n, '.' if keep else '')}",
+            f"<div>{keep}{_words(n, '.' if keep else '')}</div>",
+            f"<p>{keep}{text}</p>" if keep else f"<div>{_words(n, '')}</div>",
+            f"<ul>{_links(1, 2)}</ul><div>{keep}{_words(n, '.' if keep else '')}</div><ul>{_links(2, 1)}</ul>",
+        ]
+    return pages
 
 
 def labelled() -> list[tuple[float, list[float]]]:
     rows = []
-    for page in TRAINING:
+    for page in training_pages():
         blocks = flatten(page)
         rows += [(float(b[0].startswith(MARK)), list(f)) for b, f in zip(blocks, features(blocks))]
     return rows
@@ -208,7 +225,7 @@ def labelled() -> list[tuple[float, list[float]]]:
 def train_tree(spark: SparkSession) -> tuple:
     """The tree as nested (feature, threshold, left, right) with 0.0 or 1.0 at its leaves."""
     frame = spark.createDataFrame([(y, Vectors.dense(x)) for y, x in labelled()], ["label", "features"]).coalesce(1)
-    model = DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=1, seed=7).fit(frame)
+    model = DecisionTreeClassifier(maxDepth=10, maxBins=256, minInstancesPerNode=1, seed=7).fit(frame)
 
     def plain(node):
         if node.getClass().getSimpleName() == "LeafNode":
