@@ -181,10 +181,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
 
 def _judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
     own = limits.where("`group` <> '*'").select(F.col("group").alias("__lang"), F.col("median").alias("__m"), F.col("limit").alias("__l"))
-    whole = limits.where("`group` = '*'").select(F.lit(1).alias("__one"), F.col("median").alias("__m2"), F.col("limit").alias("__l2"))
-    df = scored.withColumns({"__lang": F.coalesce("lang", F.lit("")), "__one": F.lit(1)}) \
-        .join(small_side(own), "__lang", "left").join(F.broadcast(whole), "__one", "left")  # one row
-    excess = F.coalesce(_excess(F.coalesce("__m", "__m2")) - F.coalesce("__l", "__l2"), F.lit(0.0))
+    whole = limits.where("`group` = '*'").first()  # one row, or none without held-out texts
+    middle, most = (whole["median"], whole["limit"]) if whole else (None, None)
+    df = scored.withColumn("__lang", F.coalesce("lang", F.lit(""))).join(small_side(own), "__lang", "left")
+    excess = _excess(F.coalesce("__m", F.lit(middle).cast("double"))) - F.coalesce("__l", F.lit(most).cast("double"))
+    excess = F.coalesce(excess, F.lit(0.0))
     return df.withColumn("__kept", F.col("__ppl").isNotNull() & (excess <= 0))
 
 
