@@ -114,7 +114,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 .select("doc_id", "text_key", "item", "short", F.when(F.col("short") < 0, F.col("place")).alias("n_words"),
                         (F.col("place") - F.col("at")).alias("shift")))
     heads = found.where("short < 0").select("doc_id", "text_key", F.col("n_words").cast("long"))
-    aligned = found.where("short >= 0").select("doc_id", "text_key", "item", "shift").distinct()
+    aligned = cut(found.where("short >= 0").select("doc_id", "text_key", "item", "shift").distinct())
 
     hit = _extended(docs, items, aligned)
     of_doc = hit.select("doc_id", "text_key", "at").distinct().groupBy("doc_id", "text_key").agg(F.count("*").alias("n_hit"))
@@ -137,7 +137,7 @@ def _extended(docs: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFram
     """(doc_id, text_key, item, at): the words hit along the alignments."""
     al = aligned.withColumnsRenamed({"doc_id": "__d", "text_key": "__k"})
     texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")) \
-        .join(al.select("__d", "__k").distinct(), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k")), "left_semi") \
+        .join(small_side(al.select("__d", "__k").distinct()), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k")), "left_semi") \
         .dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", word_hashes(F.col("text")).alias("doc_words"))
     # Only the part of the document beside the item goes on.
     pairs = texts.join(al, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k"))) \
@@ -157,4 +157,5 @@ def _extended(docs: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFram
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__d")) & (text_key(F.col("text")) == F.col("__k")), "left_anti")
+    bad = cut(bad)  # counted and joined
+    return docs.join(small_side(bad), F.col("doc_id").eqNullSafe(F.col("__d")) & (text_key(F.col("text")) == F.col("__k")), "left_anti")
