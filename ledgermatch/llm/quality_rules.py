@@ -88,11 +88,10 @@ def _verdict(df: DataFrame, limits: DataFrame, counts: str) -> DataFrame:
     level = {k: limits.where(F.col("level") == k) for k in range(3)}
     one = level[0].select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.col("limits").alias("__0"))
     two = level[1].select(F.col("lang").alias("__lang"), F.col("limits").alias("__1"))
-    whole = level[2].select(F.lit(1).alias("__one"), F.col("limits").alias("__2"))  # a single row
-    df = df.join(small_side(one), ["__lang", "__source"], "left").join(small_side(two), "__lang", "left") \
-        .withColumn("__one", F.lit(1)).join(F.broadcast(whole), "__one", "left")
-    limit = F.coalesce("__0", "__1", "__2")
-    within = [F.coalesce(F.col(counts)[m] <= limit[m], F.lit(True)) for m in LEAST_SPREAD]
+    whole = level[2].select("limits.*").first()  # a single row, of nulls if no text passes
+    df = df.join(small_side(one), ["__lang", "__source"], "left").join(small_side(two), "__lang", "left")
+    near = F.coalesce("__0", "__1")
+    within = [F.coalesce(F.col(counts)[m] <= F.coalesce(near[m], F.lit(whole and whole[m]).cast("double")), F.lit(True)) for m in LEAST_SPREAD]
     kept = ~F.col(counts)["base_failed"]
     for x in within:
         kept = kept & x
