@@ -12,7 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgermatch import codes
-from ledgermatch.functions.unicode_fold import fold_single
 
 WS = r"\s\x1c-\x1f"          # body of a Python-compatible whitespace class
 NOT_WS = f"[^{WS}]"
@@ -90,15 +89,6 @@ def normalize_folded(folded, suffixes: list[str] | None = None) -> Column:
     return _squeeze(s)
 
 
-def normalize_name(col, suffixes: list[str] | None = None) -> Column:
-    """Normal form for matching; exact for text without multi-character folds.
-
-    Use ``operators.names.normalize_names`` on a frame for the exact rule on any
-    text (it routes the rare expanding code points through Python).
-    """
-    return normalize_folded(fold_single(blank_to_empty(col)), suffixes)
-
-
 def extract_on_behalf(col, word_bounded: bool = False) -> Column:
     """Entity named in free text ("on behalf of X", "retired by X"), else null."""
     p1, p2 = ((BEHALF_PATTERN_BOUNDED, RETIRED_PATTERN_BOUNDED) if word_bounded

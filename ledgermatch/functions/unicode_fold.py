@@ -7,7 +7,7 @@ Spark has no Unicode normalisation function, so the fold is split in two:
   ``unicodedata`` by rule, not written out;
 * the few code points that expand to several characters (ligatures, fractions,
   Roman numerals, Hangul syllables, ...) are folded by an Arrow ``pandas_udf``,
-  applied only to the rows that hold one (see ``fold_frame``).
+  which gets the texts that hold one and nulls for all others.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import sys
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,17 +99,3 @@ def has_multi_char_fold(col: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def fold_udf(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else py_fold(t))
-
-
-def fold_frame(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Exact fold of ``col`` into ``out``.
-
-    Rows without an expanding code point stay on the JVM ``translate`` path;
-    the rest are filtered out first and sent through the Arrow UDF, because a
-    Python UDF inside ``when`` is still evaluated for every row. Callers pass
-    frames of distinct values, so both branches read one shuffle output.
-    """
-    flag = has_multi_char_fold(F.col(col))
-    plain = df.filter(F.col(col).isNull() | ~flag).withColumn(out, fold_single(F.col(col)))
-    multi = df.filter(flag).withColumn(out, fold_udf(F.col(col)))
-    return plain.unionByName(multi)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch import codes
+from ledgermatch.operators.incremental import spread_key
 
 
 def code_table(spark: SparkSession, mapping: dict[str, str], key: str, value: str) -> DataFrame:
@@ -32,8 +33,11 @@ def hq_country(df: DataFrame, firms: DataFrame | None, seq_col: str = "seq") ->
         return df.withColumn("hq_country", F.lit(""))
     last = (firms.groupBy(F.col("factset_entity_id").alias("_fid"))
             .agg(F.max_by("iso_country", seq_col).alias("_hq")))
-    out = df.drop("hq_country").join(last, F.col("factset_entity_id") == F.col("_fid"), "left")
-    return out.withColumn("hq_country", F.coalesce(F.col("_hq"), F.lit(""))).drop("_fid", "_hq")
+    # Rows without an id (most of the ledger, all with the same blank) get keys of their own that match
+    # nothing: one pass over the rows, and where the join shuffles they spread over all tasks.
+    key = spread_key(F.when(F.col("factset_entity_id") != "", F.col("factset_entity_id")))
+    out = df.drop("hq_country").withColumn("_key", key).join(last, F.col("_key") == F.col("_fid"), "left")
+    return out.withColumn("hq_country", F.coalesce(F.col("_hq"), F.lit(""))).drop("_key", "_fid", "_hq")
 
 
 def project_category(col) -> Column:

@@ -15,8 +15,8 @@ NUMBER_SHAPE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 # Slashed dates are day-first in these registries, month-first in the others
 # (a parameter of the harmonise step); ISO dates and date-times parse anywhere.
 DEFAULT_DAY_FIRST = {"verra": False, "gold": True, "acr": False, "car": False}
-ISO_FORMATS = ["yyyy-M-d H:m:s", "yyyy-M-d"]
-GENERIC_DATE_FORMATS = ISO_FORMATS
+DATE_FORMATS = ["yyyy-M-d H:m:s", "yyyy-M-d H:m", "yyyy-M-d", "MMM d yyyy"]
+GENERIC_DATE_FORMATS = DATE_FORMATS
 
 UNIFIED = ["quantity", "country", "retirement_date", "projectname", "projecttype", "project_id"]
 
@@ -39,43 +39,49 @@ def to_year(col) -> Column:
                   F.trim(c.cast("string")).try_cast("double").cast("int"))
 
 
-_FORMAT_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
-                  ("mm", r"\d{2}"), ("ss", r"\d{2}"), ("M", r"\d{1,2}"), ("d", r"\d{1,2}"),
-                  ("H", r"\d{1,2}"), ("m", r"\d{1,2}"), ("s", r"\d{1,2}")]
-
-
-def format_shape(fmt: str) -> str:
-    """Regular expression for the text shape of a datetime pattern (by rule)."""
-    out, i = "", 0
-    while i < len(fmt):
-        for token, rx in _FORMAT_TOKENS:
-            if fmt.startswith(token, i):
-                out += rx
-                i += len(token)
-                break
-        else:
-            ch = fmt[i]
-            out += ("\\" + ch) if not ch.isalnum() and ch != " " else ch
-            i += 1
-    return "^" + out + "$"
+# Rewrites that bring other date texts to the shapes of DATE_FORMATS: a date and time joined by T, a
+# fraction of a second, a zone (the wall time is kept), year first with slashes, names of months.
+_DATE_REWRITES = [
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    (r"^(\d{4}-\d{1,2}-\d{1,2})[Tt]", "$1 "),
+    (r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}(?::\d{1,2})?)(?:[.,]\d+)?\s*(?:[Zz]|UTC|GMT|[+-]\d{2}:?\d{2})?$", "$1"),
+    (r"^(\d{1,2})[ -]([A-Za-z]{3})[a-z]*\.?[ ,-]+(\d{4})$", "$2 $1 $3"),
+    (r"^([A-Za-z]{3})[a-z]*\.? +(\d{1,2}),? +(\d{4})$", "$1 $2 $3"),
+]
+_SHAPES = {
+    "yyyy-M-d H:m:s": r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$",
+    "yyyy-M-d H:m": r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$",
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "MMM d yyyy": r"^[A-Z][a-z]{2} \d{1,2} \d{4}$",
+}
 
 
 def parse_timestamp(col, formats: list[str] | None = None, day_first=False) -> Column:
     """Date text to timestamp; bad or null text becomes null.
 
-    ``d/m/yyyy`` (``day_first``) or ``m/d/yyyy`` text is first rewritten to ISO
-    order, then each format is tried only on text of its shape, so a
-    non-matching format costs a pattern test instead of a failed parse.
+    Plain ISO dates are parsed at once. ``d/m/yyyy`` (``day_first``) or
+    ``m/d/yyyy`` text and the other accepted shapes are rewritten first; then
+    each format is tried only on text of its shape, so a non-matching format
+    costs a pattern test instead of a failed parse.
     """
     c = F.trim(_c(col).cast("string"))
+    formats = formats or DATE_FORMATS
     slashed = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
     if isinstance(day_first, bool):
-        iso = F.regexp_replace(c, slashed, "$3-$2-$1" if day_first else "$3-$1-$2")
+        text = F.regexp_replace(c, slashed, "$3-$2-$1" if day_first else "$3-$1-$2")
     else:
-        iso = F.when(day_first, F.regexp_replace(c, slashed, "$3-$2-$1")) \
-            .otherwise(F.regexp_replace(c, slashed, "$3-$1-$2"))
-    return F.coalesce(*[F.when(iso.rlike(format_shape(fmt)), F.try_to_timestamp(iso, F.lit(fmt)))
-                        for fmt in (formats or ISO_FORMATS)])
+        text = F.regexp_replace(c, F.lit(slashed), F.when(day_first, "$3-$2-$1").otherwise("$3-$1-$2"))
+    for pattern, replacement in _DATE_REWRITES:
+        text = F.regexp_replace(text, pattern, replacement)
+    # A month's name is looked up as "Jan", whatever its case.
+    text = F.initcap(F.lower(text))
+
+    def by_shape(t: Column) -> Column:
+        return F.coalesce(*[F.when(t.rlike(_SHAPES[fmt]), F.try_to_timestamp(t, F.lit(fmt))) for fmt in formats])
+
+    # The one-element array binds the rewritten text to a name: it is computed once, and the generated code stays small.
+    other = F.get(F.transform(F.array(text), by_shape), F.lit(0))
+    return F.when(c.rlike(_SHAPES["yyyy-M-d"]), F.try_to_timestamp(c, F.lit("yyyy-M-d"))).otherwise(other)
 
 
 def _present(columns: set[str], name: str) -> Column:
@@ -210,7 +216,3 @@ def sanitize(df: DataFrame) -> DataFrame:
         out.append(c.alias(field.name))
     return df.select(*out)
 
-
-def combine(base: DataFrame, new: DataFrame) -> DataFrame:
-    """Union all of base and new rows, both projected to the 14 columns."""
-    return project_output(base).unionByName(project_output(new))

@@ -22,21 +22,21 @@ def base_serials(base: DataFrame) -> DataFrame | None:
     return None
 
 
-def _spread_key(serial: Column) -> Column:
-    """Serial, or for a null serial a distinct per-row key that matches nothing.
+def spread_key(key: Column) -> Column:
+    """The key, or for a null key a distinct per-row one that matches nothing.
 
     The row id reads no column (so the scan stays pruned to what the plan
-    uses); its exact value never matters, because no serial can equal it.
+    uses); its exact value never matters, because no key can equal it.
     """
     row_id = F.monotonically_increasing_id().cast("string")
-    return F.coalesce(serial, F.concat(F.lit(_NULL_KEY_PREFIX), row_id))
+    return F.coalesce(key, F.concat(F.lit(_NULL_KEY_PREFIX), row_id))
 
 
 def anti_join_serials(df: DataFrame, serial: Column, seen: DataFrame | None) -> DataFrame:
     """Rows of ``df`` whose serial text is not in ``seen._serial``; null serial is always new."""
     if seen is None:
         return df
-    keyed = df.withColumn("_serial", _spread_key(serial))
+    keyed = df.withColumn("_serial", spread_key(serial))
     seen = seen.filter(~F.col("_serial").startswith(_NULL_KEY_PREFIX))
     return keyed.join(seen, "_serial", "left_anti").drop("_serial")
 
@@ -52,10 +52,16 @@ def find_new_rows(ledger: DataFrame, base: DataFrame,
     return anti_join_serials(ledger, serial, base_serials(base))
 
 
-def snapshot_diff(new: DataFrame, previous: DataFrame | None, serial_col: str) -> DataFrame:
-    """Rows of a new snapshot whose serial is absent in the previous one (all if none)."""
+def snapshot_diff(new: DataFrame, previous: DataFrame | None, registry_col: str = "registry_key",
+                  serial_col: str = "serial") -> DataFrame:
+    """Rows of a new snapshot whose (registry, serial) the previous one lacks (all if there is none).
+
+    One anti-join over all registries; a row without a serial is always new and
+    gets a key of its own, so such rows do not meet in one task.
+    """
     if previous is None:
         return new
-    seen = (previous.select(F.col(f"`{serial_col}`").cast("string").alias("_serial"))
-            .filter(F.col("_serial").isNotNull()).distinct())
-    return anti_join_serials(new, F.col(f"`{serial_col}`").cast("string"), seen)
+    seen = previous.select(F.col(registry_col).alias("_registry"), F.col(serial_col).cast("string").alias("_seen")) \
+        .filter(F.col("_seen").isNotNull() & ~F.coalesce(F.col("_seen").startswith(_NULL_KEY_PREFIX), F.lit(False))).distinct()
+    keyed = new.withColumn("_serial", spread_key(F.col(serial_col).cast("string")))
+    return keyed.join(seen, (F.col(registry_col) == F.col("_registry")) & (F.col("_serial") == F.col("_seen")), "left_anti").drop("_serial")

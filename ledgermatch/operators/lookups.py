@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgermatch import codes
 from ledgermatch.functions.text import py_strip
 from ledgermatch.operators.names import normalize_names
+from ledgermatch.session import written
 
 CACHE_COLUMNS = ["company_raw", "company_normalized", "official_name", "factset_entity_id",
                  "batch", "ord_firm", "ord_seq"]
@@ -18,39 +19,40 @@ def known_matches(matched: DataFrame, suffixes: list[str] | None = None,
     """Cache of raw name -> firm from earlier matched rows.
 
     Per firm: the first non-null official name, each distinct raw name with the
-    position it was first seen; blank names skipped; then one row per (normal
-    form, firm), keeping the first seen. Two hash aggregations (partial
-    aggregation absorbs hot firms and names), no collected lists, no explode.
+    place it was first seen; blank names skipped; then one row per (normal form,
+    firm), keeping the first seen. The base is read once and reduced, by hash
+    aggregation on the bigint order key, to its distinct (firm, raw name, official
+    name) triples; these few rows are written down and everything else is made
+    from them.
     """
-    rows = matched.filter(F.col("factset_entity_id") != "")
-    official = (rows.filter(F.col("official_name").isNotNull())
-                .groupBy("factset_entity_id")
-                .agg(F.min_by("official_name", seq_col).alias("official_name")))
-    names = (rows.filter(F.col("company").isNotNull() & (py_strip(F.col("company")) != ""))
+    triples = (matched.filter(F.col("factset_entity_id") != "")
+               .groupBy("factset_entity_id", "company", "official_name").agg(F.min(seq_col).alias("seq")))
+    triples = written(triples, "known_triples")
+    official = (triples.filter(F.col("official_name").isNotNull())
+                .groupBy("factset_entity_id").agg(F.min_by("official_name", "seq").alias("official_name")))
+    names = (triples.filter(F.col("company").isNotNull() & (py_strip(F.col("company")) != ""))
              .groupBy("factset_entity_id", "company")
-             .agg(F.min(seq_col).alias("first_seq")))
+             .agg(F.min("seq").alias("first_seq")))
     names = normalize_names(names, "company", "company_normalized", suffixes)
-    per_form = (names.groupBy("company_normalized", "factset_entity_id")
-                .agg(F.min_by(F.struct(py_strip(F.col("company")).alias("company_raw"),
-                                       F.col("first_seq").alias("first_seq")),
-                              F.col("first_seq")).alias("_k")))
+    first = names.groupBy("company_normalized", "factset_entity_id").agg(F.min("first_seq").alias("first_seq"))
+    per_form = first.join(names.select("first_seq", "company"), "first_seq")
     return (per_form.join(official, "factset_entity_id", "left")
-            .select(F.col("_k.company_raw").alias("company_raw"),
+            .select(py_strip(F.col("company")).alias("company_raw"),
                     "company_normalized",
                     "official_name",
                     "factset_entity_id",
                     F.lit(0).alias("batch"),
                     F.col("factset_entity_id").alias("ord_firm"),
-                    F.col("_k.first_seq").alias("ord_seq")))
+                    F.col("first_seq").alias("ord_seq")))
 
 
 def public_firms(coverage: DataFrame, identifiers: DataFrame | None,
                  suffixes: list[str] | None = None, seq_col: str = "seq") -> DataFrame:
     """Listed firms (type PUB) with normalised name and first ISIN / LEI.
 
-    The type filter and the column list reach the Parquet scan. Identifiers are
-    semi-joined to the firms, filtered to the two types, and pivoted with the
-    first value (by source order) per firm and type.
+    The type filter and the column list reach the Parquet scan; each input is read
+    once. Identifiers are filtered to the two types and pivoted with the first
+    value (by source order) per entity and type.
     """
     keep = [c for c in codes.FIRM_COLUMNS if c in coverage.columns]
     firms = coverage.filter(F.col("entity_type") == "PUB").select(*keep, seq_col)
@@ -61,10 +63,7 @@ def public_firms(coverage: DataFrame, identifiers: DataFrame | None,
     if identifiers is None:
         return (firms.withColumn("isin", F.lit(None).cast("string"))
                 .withColumn("lei", F.lit(None).cast("string")))
-    ids = (identifiers
-           .filter(F.col("entity_id_type").isin(codes.IDENTIFIER_TYPES)
-                   & F.col("entity_id_value").isNotNull())
-           .join(firms.select("factset_entity_id"), "factset_entity_id", "left_semi"))
+    ids = identifiers.filter(F.col("entity_id_type").isin(codes.IDENTIFIER_TYPES) & F.col("entity_id_value").isNotNull())
     pivot = (ids.groupBy("factset_entity_id")
              .pivot("entity_id_type", codes.IDENTIFIER_TYPES)
              .agg(F.min_by("entity_id_value", seq_col)))

@@ -86,13 +86,6 @@ def match_cache(names: DataFrame, cache: DataFrame, name_col: str = "raw_benefic
     )
 
 
-def split_matched(results: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(results with an id, names without one)."""
-    matched = results.filter(has_id("factset_entity_id"))
-    unmatched = results.filter(~has_id("factset_entity_id")).select("raw_name")
-    return matched, unmatched
-
-
 def apply_matches(parsed: DataFrame, results: DataFrame, name_col: str = "raw_beneficiary") -> DataFrame:
     """Join results with an id back onto the rows by raw name; the rest are unmatched.
 

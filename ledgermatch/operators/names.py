@@ -9,27 +9,29 @@ from ledgermatch.functions.text import blank_to_empty, normalize_folded
 from ledgermatch.functions.unicode_fold import fold_single, fold_udf, has_multi_char_fold
 
 
+def _folded(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """Add ``out`` = accent fold of ``text`` in one pass over the frame.
+
+    Texts with a code point that folds to several characters (rare) go through
+    the Arrow UDF; for all others it gets a null and the fold stays on the JVM.
+    """
+    rare = F.when(has_multi_char_fold(text), text)
+    return df.withColumn(out, F.coalesce(fold_udf(rare), fold_single(text)))
+
+
 def normalize_names(df: DataFrame, col: str, out: str, suffixes: list[str] | None = None,
                     only_when: Column | None = None) -> DataFrame:
     """Add ``out`` = normal form of ``col`` (``""`` for null).
 
-    Rows with a code point that folds to several characters (rare) are split off
-    and folded in an Arrow UDF; all other rows stay on the JVM. ``only_when``
-    limits the work to the rows that need it (others get null). Call this on a
-    frame of distinct names so that both branches read one shuffle output.
+    ``only_when`` limits the work to the rows that need it (others get null).
     """
-    cond = F.lit(True) if only_when is None else only_when
-    multi = F.coalesce(has_multi_char_fold(F.col(col)) & cond, F.lit(False))
-    plain = (df.filter(~multi)
-             .withColumn(out, F.when(cond, normalize_folded(fold_single(blank_to_empty(F.col(col))),
-                                                            suffixes))))
-    rare = df.filter(multi).withColumn(out, normalize_folded(fold_udf(F.col(col)), suffixes))
-    return plain.unionByName(rare)
+    text = blank_to_empty(F.col(col))
+    if only_when is not None:
+        text = F.when(only_when, text)
+    folded = _folded(df, text, "__folded")
+    return folded.withColumn(out, normalize_folded(F.col("__folded"), suffixes)).drop("__folded")
 
 
 def fold_accents(df: DataFrame, col: str, out: str) -> DataFrame:
     """Accent-folded copy of a text column (NFKD, combining marks dropped)."""
-    multi = F.coalesce(has_multi_char_fold(F.col(col)), F.lit(False))
-    plain = df.filter(~multi).withColumn(out, fold_single(F.col(col)))
-    rare = df.filter(multi).withColumn(out, fold_udf(F.col(col)))
-    return plain.unionByName(rare)
+    return _folded(df, F.col(col), out)

@@ -128,11 +128,13 @@ def map_project(df: DataFrame, mode: str = "row") -> DataFrame:
             out = (lookup(per, "country", codes.COUNTRY_TO_ISO3, "iso3")
                    .filter(F.col("iso3").isNotNull()).select("iso3", "tonnes"))
     else:
-        named = lookup(listed, "country", codes.COUNTRY_TO_ISO3, "_iso3_name")
-        iso = F.coalesce(F.when(F.col("isocode") != "", F.col("isocode")) if "isocode" in df.columns
-                         else F.lit(None).cast("string"), F.col("_iso3_name"))
-        out = (named.withColumn("iso3", iso).filter(F.col("iso3").isNotNull())
-               .groupBy("iso3").agg(F.sum(q).alias("tonnes")))
+        # grouped by the two columns first: the code table meets the few groups, not the rows
+        code = (F.when(F.col("isocode") != "", F.col("isocode")) if "isocode" in df.columns
+                else F.lit(None).cast("string"))
+        groups = listed.groupBy(code.alias("_code"), "country").agg(F.sum(q).alias("tonnes"))
+        named = lookup(groups, "country", codes.COUNTRY_TO_ISO3, "_iso3_name")
+        out = (named.withColumn("iso3", F.coalesce("_code", "_iso3_name")).filter(F.col("iso3").isNotNull())
+               .groupBy("iso3").agg(F.sum("tonnes").alias("tonnes")))
     return (out.filter(F.col("tonnes") > 0)
             .select("iso3", F.col("tonnes").cast("long").alias("tonnes"),
                     F.log10(F.col("tonnes") + 1).alias("log_tonnes")))
@@ -227,10 +229,10 @@ def report_metrics(df: DataFrame) -> DataFrame:
 
 
 def fmt_tonnes(col) -> Column:
-    """>= 1e6 'x.xM', >= 1e3 'xK', else thousands-separated, no decimals."""
+    """>= 1e6 'x.xM', >= 1e3 'xK', both without grouping; else thousands-separated, no decimals."""
     t = F.col(col) if isinstance(col, str) else col
-    return (F.when(t >= 1e6, F.concat(F.format_number(F.bround(t / 1e6, 1), 1), F.lit("M")))
-            .when(t >= 1e3, F.concat(F.format_number(F.bround(t / 1e3, 0), 0), F.lit("K")))
+    return (F.when(t >= 1e6, F.format_string("%.1fM", F.bround(t / 1e6, 1)))
+            .when(t >= 1e3, F.format_string("%.0fK", F.bround(t / 1e3, 0)))
             .otherwise(F.format_number(F.bround(t, 0), 0)))
 
 
@@ -272,26 +274,32 @@ def top_firms(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 def facets(df: DataFrame) -> DataFrame:
-    """Facet values in one pass: sorted distinct HQ names, countries, categories; year range."""
+    """Facet values as (facet, value) rows in one pass: the distinct HQ names, countries and categories, and the first and last year.
+
+    Each row gives its few values; distinct values are pre-aggregated, so no task gathers a column's whole set.
+    """
     country_col = _first_present(df, codes.REPORT_COUNTRY_COLUMNS)
-    aggs = [F.min("retirement_year").alias("min_year"), F.max("retirement_year").alias("max_year")]
-    if "hq_country_name" in df.columns:
-        aggs.append(F.sort_array(F.collect_set("hq_country_name")).alias("hq_countries"))
-    if country_col:
-        aggs.append(F.sort_array(F.collect_set(F.col(f"`{country_col}`"))).alias("countries"))
-    if "project_category" in df.columns:
-        aggs.append(F.sort_array(F.collect_set("project_category")).alias("categories"))
-    return df.agg(*aggs)
+    columns = {"hq_countries": "hq_country_name", "countries": country_col, "categories": "project_category"}
+    pairs = [F.struct(F.lit(facet).alias("facet"), F.col(f"`{c}`").cast("string").alias("value"), F.lit(None).cast("int").alias("year"))
+             for facet, c in columns.items() if c and c in df.columns]
+    year = F.col("retirement_year").cast("int")
+    pairs += [F.struct(F.lit(facet).alias("facet"), F.lit(None).cast("string").alias("value"), year.alias("year"))
+              for facet in ("min_year", "max_year")]
+    values = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter(
+        F.col("value").isNotNull() | F.col("facet").isin("min_year", "max_year"))
+    per = values.groupBy("facet", "value").agg(F.min("year").alias("low"), F.max("year").alias("high"))
+    text = F.when(F.col("facet") == "min_year", F.col("low").cast("string")) \
+        .when(F.col("facet") == "max_year", F.col("high").cast("string")).otherwise(F.col("value"))
+    return per.select("facet", text.alias("value"))
 
 
 def display_columns(df: DataFrame) -> list[str]:
     return [c for c in codes.REPORT_DISPLAY_COLUMNS if c in df.columns]
 
 
-def report_table(df: DataFrame, n: int = 500, seq_col: str = "seq") -> DataFrame:
-    """First n rows of the filtered view in source order, display columns only."""
-    cols = display_columns(df)
-    return df.orderBy(seq_col).limit(n).select(*cols)
+def report_table(df: DataFrame, n: int = 500, order: tuple[str, ...] = ("src", "seq")) -> DataFrame:
+    """First n rows of the filtered view in source order, display columns only (the on-screen table)."""
+    return df.orderBy(*order).limit(n).select(*display_columns(df))
 
 
 def registry_share(stats: DataFrame) -> DataFrame:

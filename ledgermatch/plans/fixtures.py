@@ -5,7 +5,7 @@ earlier matched rows and the firm universe are derived from the TPC-H-style
 tables: one ledger row per ``lineitem`` row (so the work grows with the data),
 registry from ``l_suppkey % 4``, beneficiary text from the customer name with a
 pattern chosen by ``l_linenumber``. Row order for first/last-wins rules is the
-struct ``seq = (l_orderkey, l_linenumber, l_partkey, l_suppkey)``, unique here.
+bigint ``seq``, the place of a row by (l_orderkey, l_linenumber, l_partkey, l_suppkey).
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermatch.operators.numbering import number_rows
+from ledgermatch.session import scratch_path
+
 # FIXED VALUES of the fixture design (not of the reference)
 FIXTURE_REGISTRIES = ["verra", "gold", "acr", "car"]
 FIXTURE_COUNTRIES = [
@@ -46,6 +49,8 @@ REGISTRY_COLUMNS = {
             "Project Type", "Project ID", "Vintage"},
 }
 
+DATE_VARIANTS = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss'.123'", "yyyy/MM/dd",
+                 "MMM d, yyyy", "d MMM yyyy", "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'"]
 DATE_PATTERNS = {"verra": "yyyy-MM-dd", "gold": "dd/MM/yyyy", "acr": "yyyy-MM-dd HH:mm:ss",
                  "car": "MM/dd/yyyy"}
 
@@ -82,8 +87,7 @@ def ledger_base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.replace(F.col("c_name"), F.lit("Customer"), F.lit("Client"))
     qty = (F.col("l_quantity") * 1000).cast("long").cast("string")
     return j.select(
-        F.struct(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"),
-                 F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s")).alias("seq"),
+        "l_partkey", "l_suppkey",
         _pick(FIXTURE_REGISTRIES, F.col("l_suppkey") % 4).alias("registry_key"),
         "l_orderkey", "l_linenumber", "l_shipdate", "c_custkey", "s_nationkey",
         n.alias("n"),
@@ -114,11 +118,15 @@ def ledger_base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed raw ledger: the four registry exports' columns, null where an export lacks one."""
-    r = ledger_base_rows(spark, sf_dir)
+    r = landed(spark, sf_dir, "ledger_rows")
     reg = F.col("registry_key")
     ln = F.col("l_linenumber")
-    date_text = F.when(F.col("l_orderkey") % 101 == 0, F.lit("not a date")).otherwise(
-        _reg_case({k: F.date_format("l_shipdate", v) for k, v in DATE_PATTERNS.items()}))
+    # the registry's own pattern, and on some rows the other shapes that exports hold
+    variant = F.lit(None).cast("string")
+    for k, pattern in enumerate(DATE_VARIANTS):
+        variant = F.when(F.col("l_orderkey") % 17 == k, F.date_format("l_shipdate", pattern)).otherwise(variant)
+    own = _reg_case({k: F.date_format("l_shipdate", v) for k, v in DATE_PATTERNS.items()})
+    date_text = F.when(F.col("l_orderkey") % 101 == 0, F.lit("not a date")).otherwise(F.coalesce(variant, own))
     vintage_start = F.date_format("o_orderdate", "yyyy-MM-dd")
     vintage = F.year("o_orderdate").cast("string")
     only = lambda regs, value: F.when(reg.isin(regs), value)
@@ -161,7 +169,7 @@ def ledger_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def base_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier matched rows (ship year <= 2000) in the base shape."""
-    r = ledger_base_rows(spark, sf_dir).filter(F.year("l_shipdate") <= 2000)
+    r = landed(spark, sf_dir, "ledger_rows").filter(F.year("l_shipdate") <= 2000)
     ln = F.col("l_linenumber")
     ck = F.col("c_custkey")
     n = F.col("n")
@@ -246,7 +254,13 @@ def entity_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LANDED: dict[tuple[str, str, str], str] = {}
 
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived rows with their order key, as ingestion numbers them."""
+    return number_rows(ledger_base_rows(spark, sf_dir), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
 BUILDERS = {
+    "ledger_rows": ledger_rows,
     "ledger_raw": ledger_raw,
     "base": base_dataset,
     "entity_coverage": entity_coverage,
@@ -262,21 +276,19 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     and is done once per session and scale. The folder is the shared
     checkpoint folder of the session (``spark.checkpoint.dir``).
     """
-    import os
-    import uuid
+    return spark.read.parquet(landed_path(spark, sf_dir, name))
 
-    from ledgermatch.session import checkpoint_dir
 
-    app = spark.sparkContext.applicationId
-    key = (app, os.path.abspath(sf_dir), name)
-    path = _LANDED.get(key)
-    if path is None:
-        path = os.path.join(checkpoint_dir(spark), "landed", f"{name}-{uuid.uuid4().hex}")
+def landed_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a derived input, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _LANDED:
+        path = scratch_path(spark, f"landed-{name}")
         # spread the landed export over as many files as there are task slots
         frame = BUILDERS[name](spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
         frame.write.mode("errorifexists").parquet(path)
         _LANDED[key] = path
-    return spark.read.parquet(path)
+    return _LANDED[key]
 
 
 def registry_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

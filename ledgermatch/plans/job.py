@@ -4,7 +4,8 @@
 beneficiary extraction -> harmonised columns -> cache match over distinct names
 (-> optional batch resolver) -> join back -> combine with base -> HQ country ->
 sanitise -> the 14 published columns (plus ``src``/``seq``, the source order).
-Nothing here runs a job until an output is written or collected.
+``publish`` writes every output of a run. New rows and resolver replies are
+written to the shared folder as soon as a later stage asks for them.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch import codes
 from ledgermatch.operators import enrich, extract, harmonize, incremental, lookups, matching, resolve
+from ledgermatch.session import written
+from ledgermatch.sources import sinks, tables
 
 ORDER_COLUMNS = ["src", "seq"]
 
@@ -31,8 +34,7 @@ class MatchingJob:
     firms: DataFrame | None                # firm universe with seq, or None
     suffixes: list[str] | None = None
     resolver: Callable | None = None
-    resolver_buckets: int | None = None     # None: sized from the unmatched-name count
-    names_per_bucket: int = 20_000
+    resolver_context: str = ""              # firm list for the resolver (resolve.context_text)
     batch_size: int = 20
     _memo: dict = field(default_factory=dict, repr=False)
 
@@ -46,14 +48,14 @@ class MatchingJob:
     def new_rows(self) -> DataFrame:
         """Every new row with its beneficiary struct (or null), in unified columns.
 
-        Persisted once (memory, spilling to disk): the name extraction is the
-        costliest step and several branches read it (distinct names, resolver
-        context, join back, stage counts). Lost blocks are recomputed.
+        Written once to the shared folder: the name extraction is the costliest
+        step and several branches read it (distinct names, resolver context,
+        join back, stage counts). On a first run this is the whole ledger.
         """
         if "new_rows" not in self._memo:
             rows = extract.with_beneficiary(self.new_raw(), self.registry_columns)
             h = harmonize.harmonize(rows, self.registry_columns, keep=["seq", "registry_key", extract.PARSED])
-            self._memo["new_rows"] = h.persist(StorageLevel.MEMORY_AND_DISK)
+            self._memo["new_rows"] = written(h, "new_rows")
         return self._memo["new_rows"]
 
     def parsed(self) -> DataFrame:
@@ -64,13 +66,6 @@ class MatchingJob:
                 .withColumn("registry", F.col("parsed.registry"))
                 .drop(extract.PARSED))
 
-    def release(self) -> None:
-        """Unpersist this job's stage. Spark's cache is keyed by plan, so this also
-        drops it for any other job over the same inputs."""
-        for df in self._memo.values():
-            df.unpersist()
-        self._memo.clear()
-
     def names(self) -> DataFrame:
         """Distinct names with the position they were first seen (partial aggregation)."""
         return (self.parsed().groupBy(F.col("raw_beneficiary").alias("raw_name"))
@@ -80,28 +75,24 @@ class MatchingJob:
         return matching.match_cache(self.names(), self.cache, "raw_name", self.suffixes)
 
     def unmatched(self) -> DataFrame:
-        """Names the cache gave no id, with first sight, registry and country context."""
-        ctx = (self.parsed().groupBy(F.col("raw_beneficiary").alias("raw_name"))
-               .agg(F.min("seq").alias("first_seq"),
-                    F.min_by("registry", "seq").alias("registry"),
-                    F.min_by("country", "seq").alias("country")))
+        """Names the cache gave no id, with first sight, registry and country context.
+
+        The few names are kept first; then the rows at their first positions,
+        which are unique, give the context.
+        """
         miss = self.cache_results().filter(~matching.has_id("factset_entity_id")).select("raw_name")
-        return ctx.join(miss, "raw_name", "left_semi")
+        first = self.names().join(miss, "raw_name", "left_semi")
+        rows = self.parsed().select(F.col("seq").alias("first_seq"), "registry", "country")
+        return first.join(rows, "first_seq").select("raw_name", "first_seq", "registry", "country")
 
     def resolver_results(self) -> DataFrame | None:
-        """Resolver results for the unmatched names (memoised: each name is sent once)."""
+        """Resolver results for the unmatched names; the replies are written down, each name is sent once."""
         if self.resolver is None:
             return None
         if "resolved" not in self._memo:
-            names = self.unmatched()
-            buckets = self.resolver_buckets
-            if buckets is None:
-                # one small count decides the batch plan, so each bucket's window holds
-                # at most about names_per_bucket names whatever the data size
-                buckets = max(1, -(-names.count() // self.names_per_bucket))
             self._memo["resolved"] = resolve.resolve_batches(
-                names, self.resolver, "raw_name", buckets, self.batch_size,
-                registry_col="registry", country_col="country").persist(StorageLevel.MEMORY_AND_DISK)
+                self.unmatched(), self.resolver, "raw_name", self.batch_size,
+                registry_col="registry", country_col="country", context=self.resolver_context)
         return self._memo["resolved"]
 
     def all_results(self) -> DataFrame:
@@ -118,7 +109,7 @@ class MatchingJob:
         if more is None:
             return None
         with_order = more.join(self.names(), "raw_name", "left")
-        return resolve.update_cache(self.cache, with_order, "first_seq", batch=1,
+        return resolve.update_cache(self.cache, with_order, "first_seq",
                                     min_confidence=min_confidence, suffixes=self.suffixes)
 
     def new_matched(self) -> DataFrame:
@@ -136,6 +127,53 @@ class MatchingJob:
         ordered = enriched.select(*codes.OUTPUT_COLUMNS, *ORDER_COLUMNS)
         return harmonize.sanitize(ordered)
 
+    def stage_counts(self, output: DataFrame | None = None) -> DataFrame:
+        """(stage, value) counts of the run: one aggregate per stage's rows, each read once."""
+        has = matching.has_id("factset_entity_id")
+        parsed = F.col(extract.PARSED).isNotNull()
+        per_registry = self.new_rows().groupBy("registry_key").agg(
+            F.count("*").alias("new"), F.count_if(parsed).alias("parsed"))
+        new = per_registry.select(F.concat(F.lit("new_rows_"), F.col("registry_key")).alias("stage"), F.col("new").alias("value"),
+                                  "parsed")
+        frames = [new.select("stage", "value"),
+                  new.agg(F.coalesce(F.sum("parsed"), F.lit(0)).alias("value")).select(F.lit("parsed_rows").alias("stage"), "value")]
+
+        def counted(df, **stages):
+            wide = df.agg(*[c.cast("long").alias(k) for k, c in stages.items()])
+            return wide.unpivot([], list(stages), "stage", "value")
+
+        frames.append(counted(self.cache_results(), unique_names=F.count("*"), cache_hits=F.count_if(has), cache_misses=F.count_if(~has)))
+        resolved = self.resolver_results()
+        if resolved is not None:
+            frames.append(counted(resolved, resolver_names=F.count("*"), resolver_hits=F.count_if(has)))
+        out = self.output() if output is None else output
+        of_base, matched = F.col("src") == 0, F.coalesce(F.col("factset_entity_id") != "", F.lit(False))
+        frames.append(counted(out, base_rows=F.count_if(of_base), base_matched=F.count_if(of_base & matched),
+                              new_matched=F.count_if(~of_base & matched), combined_rows=F.count("*")))
+        counts = frames[0]
+        for f in frames[1:]:
+            counts = counts.unionByName(f)
+        return counts
+
+    def publish(self, root: str, last_updated: str | None = None) -> dict[str, str]:
+        """Write every output of a run under ``root``; returns their paths by name.
+
+        The matched table is written first and the others are made from it. The
+        stats document goes to two places; the updated cache only exists with a resolver.
+        """
+        paths = {n: f"{root}/{n}" for n in ("matched_retirements", "matched_retirements_csv", "summary_stats",
+                                            "docs/summary_stats", "map_data")}
+        sinks.write_matched(self.output(), paths["matched_retirements"])
+        schema = T.StructType([*tables.PUBLISHED_SCHEMA, T.StructField("src", T.IntegerType()), T.StructField("seq", tables.SEQ_TYPE)])
+        table = sinks.read_matched(self.ledger.sparkSession, paths["matched_retirements"], schema)
+        sinks.write_matched_csv(table, paths["matched_retirements_csv"])
+        sinks.write_json_text(sinks.stats_document(table, last_updated), [paths["summary_stats"], paths["docs/summary_stats"]])
+        sinks.write_json_text(sinks.map_document(table, self.firms), [paths["map_data"]])
+        cache = self.updated_cache()
+        if cache is not None:
+            paths["known_matches"] = sinks.write_cache(cache, f"{root}/known_matches")
+        return paths
+
 
 def build_cache(base_raw: DataFrame, suffixes: list[str] | None = None) -> DataFrame:
     """Known-match cache from earlier matched rows (M9)."""

@@ -71,8 +71,7 @@ def MT(x: str) -> str:
 
 LEDGER_ROWS = f"""
 ledger_rows AS (
-  SELECT {{'o': l_orderkey, 'l': l_linenumber, 'p': l_partkey, 's': l_suppkey}} AS seq,
-         l_orderkey AS seq_o, l_linenumber AS seq_l, l_partkey AS seq_p, l_suppkey AS seq_s,
+  SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS seq,
          {_list(fx.FIXTURE_REGISTRIES)}[l_suppkey % 4 + 1] AS registry_key,
          l_orderkey, l_linenumber AS ln, l_shipdate, c_custkey, s_nationkey, o_orderdate,
          replace(c_name, 'Customer', 'Client') AS n,
@@ -139,7 +138,7 @@ parsed_all AS (
 
 BASE_RAW = f"""
 base_raw AS (
-  SELECT seq, seq_o, seq_l, seq_p, seq_s, registry_key, ln, l_orderkey, c_custkey, n,
+  SELECT seq, registry_key, ln, l_orderkey, c_custkey, n,
          CASE ln WHEN 1 THEN n WHEN 2 THEN upper(n) || ' Inc.' WHEN 3 THEN n || ' Holdings, Ltd'
                  WHEN 4 THEN n WHEN 5 THEN n WHEN 6 THEN n || ' S.A.' END AS company,
          CASE WHEN c_custkey % 3 = 0 THEN
@@ -161,7 +160,7 @@ base_raw2 AS (
 
 BASE = """
 base AS (
-  SELECT seq, seq_o, seq_l, seq_p, seq_s, company AS raw_beneficiary, official_name AS matched_name,
+  SELECT seq, company AS raw_beneficiary, official_name AS matched_name,
          factset_entity_id,
          CASE registry_label WHEN 'Acr' THEN 'ACR' WHEN 'Car' THEN 'CAR' WHEN 'gold' THEN 'Gold'
                              WHEN 'verra' THEN 'Verra' ELSE registry_label END AS registry,
@@ -248,12 +247,12 @@ new_matched AS (
 
 COMBINED = """
 combined AS (
-  SELECT 0 AS src, seq, seq_o, seq_l, seq_p, seq_s, raw_beneficiary, matched_name, factset_entity_id,
+  SELECT 0 AS src, seq, raw_beneficiary, matched_name, factset_entity_id,
          '' AS hq_country, registry, retirement_year, country, coalesce(quantity, 0.0) AS quantity,
          match_confidence, match_method, projectname, projecttype, vintage, isocode
   FROM base
   UNION ALL
-  SELECT 1 AS src, seq, seq_o, seq_l, seq_p, seq_s, raw_beneficiary, matched_name, factset_entity_id,
+  SELECT 1 AS src, seq, raw_beneficiary, matched_name, factset_entity_id,
          '' AS hq_country, registry, retirement_year, country, quantity,
          match_confidence, match_method, projectname, projecttype, vintage, '' AS isocode
   FROM new_matched
@@ -302,7 +301,7 @@ firms AS (SELECT f.*, p.isin, p.lei FROM firms_pub f LEFT JOIN id_pivot p USING
 OUTPUT = """
 hq_last AS (SELECT factset_entity_id AS fid, arg_max(iso_country, seq) AS hq FROM firms GROUP BY 1),
 output AS (
-  SELECT c.src, c.seq, c.seq_o, c.seq_l, c.seq_p, c.seq_s,
+  SELECT c.src, c.seq,
          coalesce(c.raw_beneficiary, '') AS raw_beneficiary, coalesce(c.matched_name, '') AS matched_name,
          coalesce(c.factset_entity_id, '') AS factset_entity_id, coalesce(h.hq, '') AS hq_country,
          coalesce(c.registry, '') AS registry, c.retirement_year, coalesce(c.country, '') AS country,
@@ -354,12 +353,53 @@ STATS = lambda src: f"""
 
 ISO3_OF_NAME = f"(SELECT * FROM {_map_values(codes.COUNTRY_TO_ISO3)} AS t(name, iso3))"
 ISO3_OF_ISO2 = f"(SELECT * FROM {_map_values(codes.ISO2_TO_ISO3)} AS t(iso2, iso3))"
-REPORT_ORDER = "src, seq_o, seq_l, seq_p, seq_s"
+REPORT_ORDER = "src, seq"
 
 
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     w = WITH(*ALL)
+    resolver_cte = """,
+      un AS (SELECT raw_name, first_seq FROM results WHERE factset_entity_id IS NULL OR factset_entity_id = ''),
+      p AS (SELECT *, row_number() OVER (ORDER BY raw_name) - 1 AS place FROM un),
+      firsts AS (SELECT place // 20 AS batch, arg_min(raw_name, place) AS first_name FROM p GROUP BY 1),
+      digits AS (SELECT p.*, f.first_name LIKE '%9' AS failed,
+                        coalesce(list_sum(list_transform(regexp_extract_all(raw_name, '[0-9]'), lambda x: x::INT)), 0) AS d
+                 FROM p JOIN firsts f ON p.place // 20 = f.batch),
+      resolved AS (
+        SELECT raw_name, first_seq,
+               CASE WHEN NOT failed AND d % 2 = 0 THEN 'Firm ' || (d % 50) END AS matched_name,
+               CASE WHEN NOT failed AND d % 2 = 0 THEN 'E' || (d % 50) END AS factset_entity_id,
+               CASE WHEN failed OR d % 2 = 1 THEN 'none' WHEN d % 7 = 0 THEN 'low' ELSE 'medium' END AS confidence,
+               CASE WHEN failed THEN 'llm_error' ELSE 'llm' END AS match_method
+        FROM digits)"""
+    accepted_cte = f""",
+      accepted AS (
+        SELECT raw_name AS company_raw, {NORM('raw_name')} AS company_normalized,
+               coalesce(matched_name, '') AS official_name, factset_entity_id, 1 AS batch, '' AS ord_firm,
+               first_seq AS ord_seq
+        FROM resolved
+        WHERE factset_entity_id IS NOT NULL AND factset_entity_id <> '' AND match_method = 'llm'
+          AND CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END >= 2),
+      both_rows AS (
+        SELECT company_raw, company_normalized, official_name, factset_entity_id, batch, ord_firm, ord_seq
+        FROM known_matches UNION ALL SELECT * FROM accepted),
+      next_cache AS (
+        SELECT arg_min({{'company_raw': company_raw, 'official_name': official_name, 'batch': batch,
+                         'ord_firm': ord_firm, 'ord_seq': ord_seq}},
+                       {{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS r, company_normalized, factset_entity_id
+        FROM both_rows GROUP BY company_normalized, factset_entity_id)"""
+    # The run with the resolver: names the cache misses take the resolver's firm where it names one.
+    full_output = """,
+      resolver_hits AS (SELECT * FROM resolved WHERE factset_entity_id <> ''),
+      full_rows AS (
+        SELECT c.src, c.raw_beneficiary, coalesce(r.factset_entity_id, c.factset_entity_id) AS factset_entity_id,
+               coalesce(r.match_method, c.match_method) AS match_method, c.registry, c.retirement_year, c.quantity, c.country, c.isocode
+        FROM combined c LEFT JOIN resolver_hits r ON c.src = 1 AND c.raw_beneficiary = r.raw_name),
+      full_output AS (
+        SELECT src, coalesce(raw_beneficiary, '') AS raw_beneficiary, coalesce(factset_entity_id, '') AS factset_entity_id,
+               coalesce(registry, '') AS registry, coalesce(match_method, '') AS match_method, retirement_year, quantity,
+               coalesce(country, '') AS country, coalesce(isocode, '') AS isocode FROM full_rows)"""
     q["summary_by_registry"] = w + f" SELECT registry, {STATS('output')} FROM output GROUP BY registry"
     q["summary_kpis"] = w + f"""
       SELECT count(*) AS total_retirements,
@@ -396,24 +436,31 @@ def _sql() -> dict[str, str]:
     q["registry_share"] = w + f"""
       SELECT upper(registry) AS registry_key, sum(total_mtco2) AS total_mtco2, sum(matched_mtco2) AS matched_mtco2
       FROM (SELECT registry, {STATS('output')} FROM output GROUP BY registry) GROUP BY 1"""
-    q["pipeline_e2e"] = w + f" SELECT src, seq_o, seq_l, seq_p, seq_s, {', '.join(codes.OUTPUT_COLUMNS)} FROM output"
-    q["enrich_hq"] = w + " SELECT src, seq_o, seq_l, seq_p, seq_s, factset_entity_id, hq_country FROM output"
+    q["matched_table"] = w + f" SELECT src, seq, {', '.join(codes.OUTPUT_COLUMNS)} FROM output"
+    q["matched_table_types"] = w + """ SELECT CASE seq % 3 WHEN 0 THEN '' WHEN 1 THEN '2021' ELSE registry END AS registry,
+      count(*) AS rows, sum(quantity) AS quantity FROM output GROUP BY 1"""
+    q["pipeline_first_run"] = WITH(LEDGER_ROWS, PARSED_ALL) + """
+      SELECT 1 AS src, seq, raw_beneficiary, '' AS matched_name, '' AS factset_entity_id,
+             '' AS hq_country, registry, retirement_year, coalesce(country, '') AS country, quantity, 'none' AS match_confidence,
+             'unmatched' AS match_method, projectname, coalesce(projecttype, '') AS projecttype, coalesce(vintage, '') AS vintage,
+             '' AS isocode FROM parsed_all WHERE raw_beneficiary IS NOT NULL"""
+    q["enrich_hq"] = w + " SELECT src, seq, factset_entity_id, hq_country FROM output"
     q["matched_only_export"] = w + f" SELECT {', '.join(codes.OUTPUT_COLUMNS)} FROM output WHERE factset_entity_id <> ''"
     cols14 = ", ".join(codes.OUTPUT_COLUMNS)
-    q["combine"] = w + f" SELECT src, seq_o, seq_l, seq_p, seq_s, {cols14} FROM combined"
+    q["combine"] = w + f" SELECT src, seq, {cols14} FROM combined"
     san = ", ".join(
         c if c in ("retirement_year", "quantity") else
         f"CASE WHEN {c} IS NULL OR {c} IN ('nan', 'None') THEN '' ELSE {c} END AS {c}"
         for c in codes.OUTPUT_COLUMNS)
-    q["sanitize"] = w + f" SELECT src, seq_o, seq_l, seq_p, seq_s, {san} FROM combined"
+    q["sanitize"] = w + f" SELECT src, seq, {san} FROM combined"
     q["review_queue"] = w + """ SELECT match_confidence,
       CASE match_confidence WHEN 'high' THEN 'accept' WHEN 'medium' THEN 'accept_flagged'
            WHEN 'low' THEN 'review' ELSE 'none' END AS review_flag, count(*) AS rows
       FROM output GROUP BY 1, 2"""
-    q["load_base"] = w + """ SELECT seq_o, seq_l, seq_p, seq_s, raw_beneficiary, matched_name, factset_entity_id,
+    q["load_base"] = w + """ SELECT seq, raw_beneficiary, matched_name, factset_entity_id,
       registry, retirement_year, match_confidence, match_method, serialnumber, quantity FROM base"""
     q["known_matches"] = w + """ SELECT company_raw, company_normalized, official_name, factset_entity_id, batch,
-      ord_firm, ord_seq.o AS ord_o, ord_seq.l AS ord_l, ord_seq.p AS ord_p, ord_seq.s AS ord_s FROM known_matches"""
+      ord_firm, ord_seq FROM known_matches"""
     q["cache_lookups"] = w + """
       SELECT 'exact' AS kind, ekey AS key, e.name AS official_name, e.id AS factset_entity_id FROM exact_lookup
       UNION ALL SELECT 'normalized', nkey, nv.name, nv.id FROM norm_lookup"""
@@ -422,31 +469,34 @@ def _sql() -> dict[str, str]:
     q["unmatched_names"] = w + """,
       ctx AS (SELECT raw_beneficiary AS raw_name, min(seq) AS first_seq, arg_min(registry, seq) AS registry,
                      arg_min(country, seq) AS country FROM parsed GROUP BY 1)
-      SELECT c.raw_name, c.first_seq.o AS first_o, c.first_seq.l AS first_l, c.first_seq.p AS first_p,
-             c.first_seq.s AS first_s, c.registry, c.country
+      SELECT c.raw_name, c.first_seq, c.registry, c.country
       FROM ctx c JOIN results r USING (raw_name)
       WHERE r.factset_entity_id IS NULL OR r.factset_entity_id = ''"""
-    q["apply_matches"] = w + """ SELECT seq_o, seq_l, seq_p, seq_s, registry, raw_beneficiary, factset_entity_id,
+    q["apply_matches"] = w + """ SELECT seq, registry, raw_beneficiary, factset_entity_id,
       matched_name, match_confidence, match_method FROM new_matched"""
-    q["new_rows_anti"] = w + " SELECT seq_o, seq_l, seq_p, seq_s, registry_key, serial FROM new_rows"
+    q["new_rows_anti"] = w + " SELECT seq, registry_key, serial FROM new_rows"
     q["stream_new_rows"] = q["new_rows_anti"]
-    q["snapshot_diff"] = w + """ SELECT seq_o, seq_l, seq_p, seq_s, registry_key, serial FROM ledger_rows l
+    q["snapshot_diff"] = w + """ SELECT seq, registry_key, serial FROM ledger_rows l
       WHERE serial IS NULL OR serial NOT IN (
         SELECT serial FROM ledger_rows p WHERE p.retirement_year <= 2000 AND p.serial IS NOT NULL
           AND p.registry_key = l.registry_key)"""
-    q["extract_beneficiary"] = w + """ SELECT seq_o, seq_l, seq_p, seq_s, registry_key, registry, raw_beneficiary,
+    q["extract_beneficiary"] = w + """ SELECT seq, registry_key, registry, raw_beneficiary,
       source_field FROM parsed_all WHERE raw_beneficiary IS NOT NULL"""
     q["parse_rate"] = w + """ SELECT registry_key, count(raw_beneficiary) AS parsed_rows, count(*) AS total_rows,
       round(count(raw_beneficiary) * 100.0 / count(*), 1) AS parse_pct FROM parsed_all GROUP BY 1"""
-    q["harmonize"] = w + """ SELECT seq_o, seq_l, seq_p, seq_s, registry_key, quantity, country, retirement_year,
+    q["harmonize"] = w + """ SELECT seq, registry_key, quantity, country, retirement_year,
       projectname, projecttype, project_id, vintage FROM ledger_rows"""
     q["project_category"] = w + f""" SELECT projecttype, count(*) AS rows, {_category_sql('projecttype')}
       AS project_category FROM ledger_rows GROUP BY projecttype"""
-    q["load_registry"] = w + """ SELECT registry_key, count(*) AS rows, count(serial) AS serials,
-      sum(quantity) AS quantity FROM ledger_rows GROUP BY registry_key"""
-    q["load_snapshot"] = q["load_registry"]
-    q["ingest_log"] = w + """ SELECT '2026-02' AS version, registry_key, count(*) AS rows FROM ledger_rows
-      GROUP BY registry_key UNION ALL SELECT '2026-02', 'total', count(*) FROM ledger_rows"""
+    messy = """, messy AS (
+        SELECT *, 'The "' || projectname || '", first line,' || chr(10) || '"second" line' AS messy_name,
+               registry_key <> 'verra' OR seq % 7 <> 0 AS has_date FROM ledger_rows)
+      SELECT registry_key, count(*) AS rows, count(serial) AS serials, sum(quantity) AS quantity,
+             count(retirement_year) FILTER (WHERE has_date) AS dated, CAST(sum(length(messy_name)) AS BIGINT) AS name_chars FROM messy"""
+    q["load_registry"] = w + messy + " WHERE registry_key <> 'car' GROUP BY registry_key"
+    q["load_snapshot"] = w + messy + " WHERE registry_key IN ('verra', 'gold') AND has_date GROUP BY registry_key"
+    q["ingest_log"] = w + """ SELECT '2026-02' AS version, '2026-02-03' AS date, registry_key, count(*) AS rows FROM ledger_rows
+      GROUP BY registry_key UNION ALL SELECT '2026-02', '2026-02-03', 'total', count(*) FROM ledger_rows"""
     q["public_firms"] = w + """ SELECT factset_entity_id, entity_name, entity_proper_name, iso_country,
       sector_code, industry_code, primary_sic_code, entity_name_normalized, isin, lei FROM firms"""
     q["id_pivot"] = w + " SELECT factset_entity_id, isin, lei FROM firms"
@@ -459,7 +509,7 @@ def _sql() -> dict[str, str]:
       UNION ALL SELECT 'matched_rows', count(*) FROM base_raw2 WHERE factset_entity_id <> ''
       UNION ALL SELECT 'matched_firms', count(DISTINCT factset_entity_id) FROM base_raw2 WHERE factset_entity_id <> ''
       UNION ALL SELECT 'cache_rows', count(*) FROM known_matches"""
-    q["stage_metrics"] = w + """
+    q["stage_metrics"] = w + resolver_cte + full_output + """
       SELECT 'base_rows' AS stage, count(*)::BIGINT AS value FROM base
       UNION ALL SELECT 'base_matched', count(*) FILTER (WHERE factset_entity_id <> '') FROM base
       UNION ALL SELECT 'new_rows_' || registry_key, count(*) FROM new_rows GROUP BY registry_key
@@ -467,8 +517,10 @@ def _sql() -> dict[str, str]:
       UNION ALL SELECT 'unique_names', count(*) FROM results
       UNION ALL SELECT 'cache_hits', count(*) FILTER (WHERE factset_entity_id <> '') FROM results
       UNION ALL SELECT 'cache_misses', count(*) FILTER (WHERE factset_entity_id IS NULL OR factset_entity_id = '') FROM results
-      UNION ALL SELECT 'new_matched', count(*) FILTER (WHERE factset_entity_id <> '') FROM new_matched
-      UNION ALL SELECT 'combined_rows', count(*) FROM output"""
+      UNION ALL SELECT 'resolver_names', count(*) FROM resolved
+      UNION ALL SELECT 'resolver_hits', count(*) FILTER (WHERE factset_entity_id <> '') FROM resolved
+      UNION ALL SELECT 'new_matched', count(*) FILTER (WHERE src = 1 AND factset_entity_id <> '') FROM full_output
+      UNION ALL SELECT 'combined_rows', count(*) FROM full_output"""
     proj_row = f"""
       SELECT iso3, CAST(trunc(tonnes) AS BIGINT) AS tonnes, round(log10(tonnes + 1), 6) AS log_tonnes FROM (
         SELECT coalesce(CASE WHEN o.isocode <> '' THEN o.isocode END, m.iso3) AS iso3, sum(o.quantity) AS tonnes
@@ -495,12 +547,29 @@ def _sql() -> dict[str, str]:
       JOIN {ISO3_OF_ISO2} m ON t.iso_country = m.iso2 WHERE t.tonnes > 0"""
     q["map_json"] = w + f"""
       SELECT 'project_countries' AS kind, iso3, tonnes FROM ({proj_row}) UNION ALL {hq_row}"""
-    q["report_load"] = w + """ SELECT src, seq_o, seq_l, seq_p, seq_s, matched_name, factset_entity_id, registry,
+    matched = "factset_entity_id NOT IN ('', 'None')"
+    stats_rows = f"""SELECT 'all|' AS key, count(*)::DOUBLE AS value FROM full_output
+        UNION ALL SELECT 'registry|' || registry, count(*) FROM full_output GROUP BY registry
+        UNION ALL SELECT 'year|' || retirement_year, count(*) FROM full_output WHERE retirement_year IS NOT NULL GROUP BY retirement_year
+        UNION ALL SELECT 'method|' || match_method, count(*) FROM full_output GROUP BY match_method"""
+    q["pipeline_e2e"] = w + resolver_cte + accepted_cte + full_output + f"""
+      SELECT 'table' AS output, registry || '|' || match_method AS key, count(*)::DOUBLE AS value FROM full_output GROUP BY ALL
+      UNION ALL SELECT 'csv', registry || '|' || match_method, count(*) FROM full_output WHERE factset_entity_id <> '' GROUP BY ALL
+      UNION ALL SELECT 'summary_stats', key, value FROM ({stats_rows})
+      UNION ALL SELECT 'docs/summary_stats', key, value FROM ({stats_rows})
+      UNION ALL SELECT 'map_data', 'project_countries|' || iso3, trunc(tonnes) FROM (
+        SELECT coalesce(CASE WHEN o.isocode <> '' THEN o.isocode END, m.iso3) AS iso3, sum(o.quantity) AS tonnes
+        FROM full_output o LEFT JOIN {ISO3_OF_NAME} m ON o.country = m.name WHERE {matched} GROUP BY 1) WHERE iso3 IS NOT NULL AND tonnes > 0
+      UNION ALL SELECT 'map_data', 'hq_countries|' || m.iso3, trunc(t.tonnes) FROM (
+        SELECT h.hq AS iso_country, sum(o.quantity) AS tonnes FROM full_output o JOIN hq_last h ON o.factset_entity_id = h.fid
+        WHERE {matched} AND h.hq IS NOT NULL GROUP BY 1) t JOIN {ISO3_OF_ISO2} m ON t.iso_country = m.iso2 WHERE t.tonnes > 0
+      UNION ALL SELECT 'known_matches', r.batch::VARCHAR, count(*) FROM next_cache GROUP BY ALL"""
+    q["report_load"] = w + """ SELECT src, seq, matched_name, factset_entity_id, registry,
       retirement_year, country_clean AS country, quantity, project_category, hq_country, hq_country_name FROM report"""
     q["report_metrics"] = w + """ SELECT coalesce(sum(quantity), 0.0) AS total_quantity, count(*) AS transactions,
       count(DISTINCT factset_entity_id) AS unique_firms, count(DISTINCT country_clean) AS countries,
-      CASE WHEN coalesce(sum(quantity), 0) >= 1e6 THEN printf('%,.1f', round_even(sum(quantity) / 1e6, 1)) || 'M'
-           WHEN coalesce(sum(quantity), 0) >= 1e3 THEN printf('%,.0f', round_even(sum(quantity) / 1e3, 0)) || 'K'
+      CASE WHEN coalesce(sum(quantity), 0) >= 1e6 THEN printf('%.1f', round_even(sum(quantity) / 1e6, 1)) || 'M'
+           WHEN coalesce(sum(quantity), 0) >= 1e3 THEN printf('%.0f', round_even(sum(quantity) / 1e3, 0)) || 'K'
            ELSE printf('%,.0f', round_even(coalesce(sum(quantity), 0), 0)) END AS quantity_label
       FROM report"""
     q["category_share"] = w + """ SELECT category, tonnes, tonnes / sum(tonnes) OVER () * 100 AS pct,
@@ -514,21 +583,35 @@ def _sql() -> dict[str, str]:
       WHERE country_clean IS NOT NULL GROUP BY 1 ORDER BY tonnes DESC, country LIMIT 20"""
     q["top_firms"] = w + """ SELECT matched_name AS firm, sum(quantity) AS tonnes FROM report
       WHERE matched_name IS NOT NULL GROUP BY 1 ORDER BY tonnes DESC, firm LIMIT 20"""
-    q["faceted_filter"] = w + """ SELECT src, seq_o, seq_l, seq_p, seq_s, matched_name, retirement_year,
-      project_category, hq_country_name, quantity FROM report
-      WHERE coalesce(retirement_year BETWEEN 1996 AND 1999, false)
+    facet_choice = """coalesce(retirement_year BETWEEN 1996 AND 1999, false)
         AND coalesce(hq_country_name IN ('United States', 'Brazil', 'Germany', 'Cyprus', 'DR Congo'), false)
+        AND country_clean IN ('Brazil', 'India', 'Kenya', 'South Korea', 'Peru', 'Laos', 'Ghana', 'Mexico', 'Vietnam')
         AND coalesce(project_category IN ('Renewable Energy', 'Carbon Capture', 'Other', 'Transport'), false)
         AND coalesce(regexp_matches(matched_name, '(?i)firm (1|2)[0-9]$'), false)"""
+    q["faceted_filter"] = w + f""" SELECT src, seq, matched_name, retirement_year,
+      project_category, hq_country_name, quantity FROM report WHERE {facet_choice}"""
     q["facets"] = w + """
       SELECT 'min_year' AS facet, CAST(min(retirement_year) AS VARCHAR) AS value FROM report
       UNION ALL SELECT 'max_year', CAST(max(retirement_year) AS VARCHAR) FROM report
       UNION ALL SELECT DISTINCT 'hq_countries', hq_country_name FROM report WHERE hq_country_name IS NOT NULL
       UNION ALL SELECT DISTINCT 'countries', country_clean FROM report WHERE country_clean IS NOT NULL
       UNION ALL SELECT DISTINCT 'categories', project_category FROM report WHERE project_category IS NOT NULL"""
-    q["report_export"] = w + f""" SELECT matched_name, hq_country_name, registry, retirement_year,
-      country_clean AS country, quantity, projectname, projecttype, vintage FROM report
-      ORDER BY {REPORT_ORDER} LIMIT 500"""
+    export = """matched_name, coalesce(hq_country_name, '') AS hq_country_name, registry, retirement_year,
+      country_clean AS country, quantity, projectname, projecttype, vintage"""
+    q["report_export_full"] = w + f" SELECT {export} FROM report"
+    q["report_export_filtered"] = w + f" SELECT {export} FROM report WHERE {facet_choice}"
+    q["report_table"] = w + f""" SELECT matched_name, hq_country_name, registry, retirement_year, country_clean AS country, quantity,
+      projectname, projecttype, vintage FROM report ORDER BY {REPORT_ORDER} LIMIT 500"""
+    q["report_load_csv"] = w + """ SELECT matched_name, factset_entity_id, registry, retirement_year, country_clean AS country,
+      quantity, project_category, hq_country, hq_country_name FROM report WHERE retirement_year BETWEEN 1995 AND 1999"""
+    q["report_dates"] = w + " UNION ALL ".join(f""" SELECT '{c}' AS column, retirement_year, count(*) AS rows,
+      sum(quantity) AS quantity FROM report GROUP BY retirement_year""" for c in codes.REPORT_DATE_COLUMNS)
+    q["tonnes_label"] = """
+      WITH t AS (SELECT o_orderkey, scale, floor(o_totalprice * scale) AS tonnes FROM orders,
+                   (SELECT unnest([0.0001, 0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0, 100000.0])::DOUBLE AS scale))
+      SELECT o_orderkey, scale, CASE WHEN tonnes >= 1e6 THEN printf('%.1fM', round_even(tonnes / 1e6, 1))
+             WHEN tonnes >= 1e3 THEN printf('%.0fK', round_even(tonnes / 1e3, 0))
+             ELSE printf('%.0f', tonnes) END AS label FROM t"""
     q["fingerprint"] = "SELECT doc_id, sha256(text) AS sha256 FROM documents"
     q["fold_accents"] = "SELECT doc_id, strip_accents(text) AS folded FROM documents"
     q["clean_name"] = WITH(LEDGER_ROWS) + f""",
@@ -577,68 +660,57 @@ def _sql() -> dict[str, str]:
                      arg_min(country, seq) AS country FROM parsed GROUP BY 1),
       un AS (SELECT c.* FROM ctx c JOIN results r USING (raw_name)
              WHERE r.factset_entity_id IS NULL OR r.factset_entity_id = ''),
-      b AS (SELECT *, CAST(('0x' || substr(md5(raw_name), 1, 8)) AS BIGINT) % 64 AS bucket FROM un),
-      p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY raw_name) AS pos FROM b)
-      SELECT raw_name, bucket, CAST(floor((pos - 1) / 20) AS INTEGER) AS batch,
-             CAST((pos - 1) % 20 + 1 AS INTEGER) AS line,
-             ((pos - 1) % 20 + 1) || '. "' || raw_name || '"' ||
+      p AS (SELECT *, row_number() OVER (ORDER BY raw_name) - 1 AS place FROM un)
+      SELECT raw_name, place // 20 AS batch, CAST(place % 20 + 1 AS INTEGER) AS line,
+             (place % 20 + 1) || '. "' || raw_name || '"' ||
              CASE WHEN coalesce(registry <> '', false) THEN ' (registry: ' || registry || ')' ELSE '' END ||
              CASE WHEN coalesce(country <> '', false) THEN ' (country: ' || country || ')' ELSE '' END AS request_line
       FROM p"""
-    resolver_cte = """,
-      ctx AS (SELECT raw_beneficiary AS raw_name, min(seq) AS first_seq FROM parsed GROUP BY 1),
-      un AS (SELECT c.* FROM ctx c JOIN results r USING (raw_name)
-             WHERE r.factset_entity_id IS NULL OR r.factset_entity_id = ''),
-      b AS (SELECT *, CAST(('0x' || substr(md5(raw_name), 1, 8)) AS BIGINT) % 64 AS bucket FROM un),
-      p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY raw_name) AS pos,
-                   CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY raw_name) - 1) / 20) AS INTEGER) AS batch
-            FROM b),
-      firsts AS (SELECT bucket, batch, arg_min(raw_name, pos) AS first_name FROM p GROUP BY 1, 2),
-      digits AS (SELECT p.*, f.first_name LIKE '%9' AS failed,
-                        coalesce(list_sum(list_transform(regexp_extract_all(raw_name, '[0-9]'), lambda x: x::INT)), 0) AS d
-                 FROM p JOIN firsts f USING (bucket, batch)),
-      resolved AS (
-        SELECT raw_name, first_seq,
-               CASE WHEN NOT failed AND d % 2 = 0 THEN 'Firm ' || (d % 50) END AS matched_name,
-               CASE WHEN NOT failed AND d % 2 = 0 THEN 'E' || (d % 50) END AS factset_entity_id,
-               CASE WHEN failed OR d % 2 = 1 THEN 'none' WHEN d % 7 = 0 THEN 'low' ELSE 'medium' END AS confidence,
-               CASE WHEN failed THEN 'llm_error' ELSE 'llm' END AS match_method
-        FROM digits)"""
     q["resolve_batch"] = w + resolver_cte + """
       SELECT raw_name, matched_name, factset_entity_id, confidence, match_method FROM resolved"""
-    q["cache_update"] = w + resolver_cte + f""",
-      accepted AS (
-        SELECT raw_name AS company_raw, {NORM('raw_name')} AS company_normalized,
-               coalesce(matched_name, '') AS official_name, factset_entity_id, 1 AS batch, '' AS ord_firm,
-               first_seq AS ord_seq
-        FROM resolved
-        WHERE factset_entity_id IS NOT NULL AND factset_entity_id <> '' AND match_method = 'llm'
-          AND CASE confidence WHEN 'high' THEN 3 WHEN 'medium' THEN 2 WHEN 'low' THEN 1 ELSE 0 END >= 2),
-      both_rows AS (
-        SELECT company_raw, company_normalized, official_name, factset_entity_id, batch, ord_firm, ord_seq
-        FROM known_matches UNION ALL SELECT * FROM accepted),
-      firstrow AS (
-        SELECT arg_min({{'company_raw': company_raw, 'official_name': official_name, 'batch': batch,
-                         'ord_firm': ord_firm, 'ord_seq': ord_seq}},
-                       {{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS r, company_normalized, factset_entity_id
-        FROM both_rows GROUP BY company_normalized, factset_entity_id)
+    q["cache_update"] = w + resolver_cte + accepted_cte + """
       SELECT r.company_raw AS company_raw, company_normalized, r.official_name AS official_name,
-             factset_entity_id, r.batch AS batch, r.ord_firm AS ord_firm, r.ord_seq.o AS ord_o,
-             r.ord_seq.l AS ord_l, r.ord_seq.p AS ord_p, r.ord_seq.s AS ord_s
-      FROM firstrow"""
-    q["firm_context"] = w + """,
+             factset_entity_id, r.batch AS batch, r.ord_firm AS ord_firm, r.ord_seq AS ord_seq
+      FROM next_cache"""
+    # Each update adds every name with one firm, so the second one's row is the last of every exact key that it
+    # adds: of the names with one normal form the first seen stays, and gives that form's entry.
+    q["cache_update_twice"] = w + f""",
+      forms AS (SELECT raw_name, first_seq, {NORM('raw_name')} AS nkey FROM names),
+      added AS (SELECT DISTINCT firm, nkey, arg_min(raw_name, first_seq) OVER (PARTITION BY nkey) AS company_raw,
+                       min(first_seq) OVER (PARTITION BY nkey) AS first_seq
+                FROM forms, (VALUES ('E1', 1), ('E2', 2)) v(firm, batch)),
+      grown AS (
+        SELECT company_raw, company_normalized, official_name, factset_entity_id, batch, ord_firm, ord_seq FROM known_matches
+        UNION ALL
+        SELECT company_raw, nkey, 'Firm ' || firm, firm, CASE firm WHEN 'E1' THEN 1 ELSE 2 END, '', first_seq FROM added),
+      cache3 AS (
+        SELECT arg_min({{'company_raw': company_raw, 'official_name': official_name}}, {{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS r,
+               min({{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS pos, company_normalized, factset_entity_id
+        FROM grown GROUP BY company_normalized, factset_entity_id),
+      ex AS (SELECT trim(lower(r.company_raw)) AS ekey, arg_max({{'n': r.official_name, 'i': factset_entity_id}}, pos) AS v
+             FROM cache3 WHERE r.company_raw <> '' GROUP BY 1),
+      nm AS (SELECT company_normalized AS nkey, arg_max({{'n': r.official_name, 'i': factset_entity_id}}, pos) AS v
+             FROM cache3 WHERE company_normalized <> '' GROUP BY 1)
+      SELECT raw_name, CASE WHEN raw_name = '' THEN NULL WHEN ex.ekey IS NOT NULL THEN ex.v.n ELSE nm.v.n END AS matched_name,
+             CASE WHEN raw_name = '' THEN NULL WHEN ex.ekey IS NOT NULL THEN ex.v.i ELSE nm.v.i END AS factset_entity_id,
+             CASE WHEN raw_name = '' THEN 'unmatched' WHEN ex.ekey IS NOT NULL THEN 'cache_exact'
+                  WHEN nm.nkey IS NOT NULL THEN 'cache_normalized' ELSE 'unmatched' END AS match_method
+      FROM forms LEFT JOIN ex ON trim(lower(raw_name)) = ex.ekey LEFT JOIN nm ON forms.nkey = nm.nkey AND forms.nkey <> ''"""
+    context_line = "factset_entity_id || '|' || coalesce(entity_proper_name, '') || '|' || coalesce(iso_country, '') AS line"
+    q["firm_context"] = w + f"""
+      SELECT factset_entity_id, entity_proper_name, iso_country, {context_line} FROM (
+        SELECT factset_entity_id, arg_min(entity_proper_name, seq) AS entity_proper_name, arg_min(iso_country, seq) AS iso_country
+        FROM firms GROUP BY 1)"""
+    q["firm_context_bounded"] = w + f""",
       f AS (SELECT factset_entity_id, entity_proper_name, iso_country, seq,
                    md5(factset_entity_id || '42') AS k FROM firms),
       pool AS (SELECT *, 0 AS part FROM f WHERE iso_country IN ('US', 'BR')
                UNION ALL (SELECT *, 1 FROM f WHERE NOT coalesce(iso_country IN ('US', 'BR'), false)
                           ORDER BY k, seq LIMIT 500)),
-      dedup AS (SELECT factset_entity_id, arg_min(entity_proper_name, {'p': part, 's': seq}) AS entity_proper_name,
-                       arg_min(iso_country, {'p': part, 's': seq}) AS iso_country, min(k) AS k
-                FROM pool GROUP BY 1),
-      picked AS (SELECT * FROM dedup ORDER BY k LIMIT 2000)
-      SELECT substr(string_agg(factset_entity_id || '|' || coalesce(entity_proper_name, '') || '|' ||
-                               coalesce(iso_country, ''), chr(10) ORDER BY k), 1, 8000) AS context,
-             count(*) AS firms FROM picked"""
+      dedup AS (SELECT factset_entity_id, arg_min(entity_proper_name, {{'p': part, 's': seq}}) AS entity_proper_name,
+                       arg_min(iso_country, {{'p': part, 's': seq}}) AS iso_country, min(k) AS k
+                FROM pool GROUP BY 1)
+      SELECT factset_entity_id, entity_proper_name, iso_country, {context_line} FROM (SELECT * FROM dedup ORDER BY k LIMIT 2000)"""
     return q
 
 

@@ -9,9 +9,6 @@ under the session's checkpoint folder and return what they read back.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,17 +18,10 @@ from ledgermatch.operators import (enrich, extract, harmonize, incremental, matc
                                    report, resolve)
 from ledgermatch.plans import fixtures as fx
 from ledgermatch.plans.job import MatchingJob, build_cache, build_firms
-from ledgermatch.session import checkpoint_dir
+from ledgermatch.session import scratch_path, written
 from ledgermatch.sources import registry as reg_src
 from ledgermatch.sources import sinks, tables
 
-SEQ_FIELDS = ["o", "l", "p", "s"]
-
-
-def flat_seq(col: str = "seq", prefix: str = "seq") -> list:
-    return [F.col(f"{col}.{f}").alias(f"{prefix}_{f}") for f in SEQ_FIELDS]
-
-
 class Context:
     """Derived inputs, written lookups, the matching job and its published table.
 
@@ -50,42 +40,49 @@ class Context:
         self.base_raw = fx.base(spark, sf_dir)
         self.coverage = fx.coverage(spark, sf_dir)
         self.identifiers = fx.identifiers(spark, sf_dir)
-        self.cache = self._written("known_matches", build_cache(self.base_raw))
-        self.firms = self._written("public_firms", build_firms(self.coverage, self.identifiers))
-        self.job = self.new_job()
-        self._published = None
-        self._report = None
+        self._memo: dict = {}
+
+    def _once(self, name: str, build) -> DataFrame:
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
+
+    @property
+    def cache(self) -> DataFrame:
+        return self._once("cache", lambda: written(build_cache(self.base_raw), "known_matches"))
+
+    @property
+    def firms(self) -> DataFrame:
+        return self._once("firms", lambda: written(build_firms(self.coverage, self.identifiers), "public_firms"))
+
+    @property
+    def job(self) -> MatchingJob:
+        return self._once("job", self.new_job)
 
     def new_job(self, **kw) -> MatchingJob:
         return MatchingJob(self.ledger, fx.REGISTRY_COLUMNS, self.base_raw, self.cache, self.firms, **kw)
 
-    def _written(self, name: str, df: DataFrame) -> DataFrame:
-        path = self.scratch(name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Context":
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
         if key not in cls._cache:
             cls._cache[key] = Context(spark, sf_dir)
         return cls._cache[key]
 
     def output(self) -> DataFrame:
         """The published matched table (written once by the job, then read)."""
-        if self._published is None:
-            path = sinks.write_matched(self.job.output(), self.scratch("matched_retirements"))
-            self._published = self.spark.read.parquet(path).select(*codes.OUTPUT_COLUMNS, "src", "seq")
-        return self._published
+        def build():
+            df = self.job.output()
+            path = sinks.write_matched(df, self.scratch("matched_retirements"))
+            return sinks.read_matched(self.spark, path, df.schema)
+        return self._once("output", build)
 
     def report(self) -> DataFrame:
         """Report view over the published table, cached like the dashboard's load."""
-        if self._report is None:
-            self._report = report.report_view(self.output()).cache()
-        return self._report
+        return self._once("report", lambda: report.report_view(self.output()).cache())
 
     def scratch(self, name: str) -> str:
-        return os.path.join(checkpoint_dir(self.spark), "out", f"{name}-{uuid.uuid4().hex}")
+        return scratch_path(self.spark, name)
 
 
 def _ctx(spark, sf_dir) -> Context:
@@ -93,50 +90,63 @@ def _ctx(spark, sf_dir) -> Context:
 
 
 def _order_cols() -> list:
-    return [F.col("src"), *flat_seq()]
+    return ["src", "seq"]
 
 
 # ------------------------------------------------------------------ sources, sinks
 
+def _messy_exports(c: "Context") -> dict[str, DataFrame]:
+    """The exports with what real files hold: quotes, commas and line breaks in texts, verra rows without a date."""
+    name = {r: "Name" if r == "verra" else "Project Name" for r in fx.REGISTRY_COLUMNS}
+    out = {}
+    for r, cols in fx.REGISTRY_COLUMNS.items():
+        df = c.ledger.filter(F.col("registry_key") == r)
+        text = F.concat(F.lit('The "'), F.col(name[r]), F.lit('", first line,\n"second" line'))
+        df = df.withColumn(name[r], text)
+        if r == "verra":
+            date = codes.VERRA_RETIREMENT_DATE
+            df = df.withColumn(date, F.when(F.col("seq") % 7 != 0, F.col(f"`{date}`")))
+        out[r] = df.select(*[F.col(f"`{x}`") for x in sorted(cols)])
+    return out
+
+
+def _load_counts(mixed: DataFrame, present: dict) -> DataFrame:
+    mixed = mixed.withColumn("_serial", harmonize.registry_serial(mixed, present))
+    h = harmonize.harmonize(mixed, present, keep=["registry_key", "_serial"])
+    return (h.groupBy("registry_key")
+            .agg(F.count("*").alias("rows"), F.count("_serial").alias("serials"), F.sum("quantity").alias("quantity"),
+                 F.count("retirement_date").alias("dated"), F.sum(F.length("projectname")).alias("name_chars")))
+
+
 def q_load_registry(spark, sf_dir):
-    """Four per-registry CSV exports written, then loaded as one mixed ledger."""
+    """CSV exports with quoted text and undated rows written, then loaded as one mixed ledger; one export is absent."""
     c = _ctx(spark, sf_dir)
     root = c.scratch("exports")
     sources, columns = {}, {}
-    for r, cols in fx.REGISTRY_COLUMNS.items():
-        ordered = sorted(cols)
-        path = os.path.join(root, r)
-        c.ledger.filter(F.col("registry_key") == r).select(*[F.col(f"`{x}`") for x in ordered]) \
-            .write.option("header", True).csv(path)
-        sources[r], columns[r] = (path, "csv"), ordered
-    mixed, present = reg_src.load_registries(spark, sources, columns)
-    mixed = mixed.withColumn("_serial", harmonize.registry_serial(mixed, present))
-    qty = harmonize.harmonize(mixed, present, keep=["registry_key", "_serial"])
-    return (qty.groupBy("registry_key")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count("_serial").alias("serials"),
-                 F.sum("quantity").alias("quantity")))
+    for r, df in _messy_exports(c).items():
+        sources[r], columns[r] = (f"{root}/{r}", "csv"), df.columns
+        if r != "car":
+            sinks.csv_writer(df).csv(f"{root}/{r}")
+    return _load_counts(*reg_src.load_registries(spark, sources, columns))
 
 
 def q_load_snapshot(spark, sf_dir):
-    """One versioned snapshot laid out as snapshot=<v>/registry=<key>/ (Parquet), loaded whole."""
+    """The latest of two snapshots (Parquet), one sheet missing and one unreadable; undated verra rows dropped."""
     c = _ctx(spark, sf_dir)
     root = c.scratch("snapshots")
-    for r, cols in fx.REGISTRY_COLUMNS.items():
-        path = os.path.join(root, "snapshot=2026-02", f"registry={r}")
-        c.ledger.filter(F.col("registry_key") == r).select(*[F.col(f"`{x}`") for x in sorted(cols)]) \
-            .write.parquet(path)
-    mixed, present = reg_src.load_snapshot(spark, root, "2026-02")
-    mixed = mixed.withColumn("_serial", harmonize.registry_serial(mixed, present))
-    qty = harmonize.harmonize(mixed, present, keep=["registry_key", "_serial"])
-    return (qty.groupBy("registry_key")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count("_serial").alias("serials"),
-                 F.sum("quantity").alias("quantity")))
+    exports = _messy_exports(c)
+    for r, df in exports.items():
+        if r in ("verra", "gold"):
+            df.write.parquet(f"{root}/snapshot=2026-02/registry={r}")
+    exports["acr"].select(F.lit("not a table").alias("value")).distinct().write.text(f"{root}/snapshot=2026-02/registry=acr")
+    exports["car"].select(F.lit("x").alias("Name")).write.parquet(f"{root}/snapshot=2026-01/registry=car")
+    return _load_counts(*reg_src.load_snapshot(spark, root))
 
 
 def q_load_base(spark, sf_dir):
     """Base rows renamed, year parsed, registry normalised, defaults."""
     b = harmonize.prepare_base(_ctx(spark, sf_dir).base_raw)
-    return b.select(*flat_seq(), "raw_beneficiary", "matched_name", "factset_entity_id", "registry",
+    return b.select("seq", "raw_beneficiary", "matched_name", "factset_entity_id", "registry",
                     "retirement_year", "match_confidence", "match_method", "serialnumber", "quantity")
 
 
@@ -149,15 +159,38 @@ def q_cache_match(spark, sf_dir):
 
 
 def q_report_load(spark, sf_dir):
-    """Published Parquet read back (no CSV present) into the report view."""
+    """Published Parquet read back (no CSV present) into the report view."""
     c = _ctx(spark, sf_dir)
     path = sinks.write_matched(c.output(), c.scratch("matched_parquet"))
-    pub = tables.load_published(spark, os.path.join(path, "_no_csv_"), path)
+    pub = tables.load_published(spark, f"{path}/_no_csv_", path)
     view = report.report_view(pub)
     return view.select(*_order_cols(), "matched_name", "factset_entity_id", "registry", "retirement_year",
                        "country", "quantity", "project_category", "hq_country", "hq_country_name")
 
 
+def q_report_load_csv(spark, sf_dir):
+    """The preferred CSV source, written by the run, into the report view and its year filter."""
+    c = _ctx(spark, sf_dir)
+    csv = sinks.write_matched_csv(c.output(), c.scratch("matched_csv_source"))
+    view = report.report_view(tables.load_published(spark, csv, f"{csv}/_no_parquet_"))
+    view = report.faceted_filter(view, year_range=(1995, 1999))
+    return view.select("matched_name", "factset_entity_id", "registry", "retirement_year", "country", "quantity",
+                       "project_category", "hq_country", "hq_country_name")
+
+
+def q_report_dates(spark, sf_dir):
+    """Each date column the report accepts gives the year, the first present one wins."""
+    c = _ctx(spark, sf_dir)
+    rows = c.output().select("factset_entity_id", "quantity", F.make_date(F.col("retirement_year"), F.lit(3), F.lit(5)).alias("day"))
+    out = None
+    for column, shape in zip(codes.REPORT_DATE_COLUMNS, ("yyyy-MM-dd", "yyyy/MM/dd", "yyyy-MM-dd'T'HH:mm:ss'Z'", "MMM d, yyyy")):
+        view = report.report_view(rows.withColumn(column, F.date_format("day", shape)).drop("day"))
+        part = view.groupBy("retirement_year").agg(F.count("*").alias("rows"), F.sum("quantity").alias("quantity")) \
+            .select(F.lit(column).alias("column"), "retirement_year", "rows", "quantity")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_public_firms(spark, sf_dir):
     """Listed-firm universe with ISIN and LEI."""
     f = _ctx(spark, sf_dir).firms
@@ -165,33 +198,76 @@ def q_public_firms(spark, sf_dir):
                     "industry_code", "primary_sic_code", "entity_name_normalized", "isin", "lei")
 
 
+def _published_rows(spark, paths: dict[str, str], schema) -> DataFrame:
+    """Every published output of a run read back: (output, key, value) rows."""
+    table = sinks.read_matched(spark, paths["matched_retirements"], schema)
+    csv = tables.read_published_csv(spark, paths["matched_retirements_csv"])
+
+    def group(name, df):
+        return df.groupBy(F.concat_ws("|", "registry", "match_method").alias("key")).agg(F.count("*").alias("value")) \
+            .select(F.lit(name).alias("output"), "key", F.col("value").cast("double"))
+
+    out = group("table", table).unionByName(group("csv", csv))
+    for name in ("summary_stats", "docs/summary_stats"):
+        long = _stats_long(tables.load_stats(spark, paths[name]))
+        out = out.unionByName(long.select(F.lit(name).alias("output"), F.concat_ws("|", "dim", "key").alias("key"),
+                                          F.col("total").cast("double").alias("value")))
+    maps = _map_rows(spark, paths["map_data"])
+    out = out.unionByName(maps.select(F.lit("map_data").alias("output"), F.concat_ws("|", "kind", "iso3").alias("key"),
+                                      F.col("tonnes").cast("double").alias("value")))
+    if "known_matches" in paths:
+        cache = tables.load_cache(spark, paths["known_matches"])
+        out = out.unionByName(cache.groupBy(F.col("batch").cast("string").alias("key")).agg(F.count("*").cast("double").alias("value"))
+                              .select(F.lit("known_matches").alias("output"), "key", "value"))
+    return out
+
+
 def q_pipeline_e2e(spark, sf_dir):
-    """A complete incremental run, published partitioned by registry and read back.
+    """A complete run with resolver and cache update, all of its outputs published and read back."""
+    c = _ctx(spark, sf_dir)
+    job = c.new_job(resolver=resolve.local_resolver())
+    paths = job.publish(c.scratch("run"), last_updated="2026-01-01")
+    return _published_rows(spark, paths, c.output().schema)
 
-    A new job over the same files and lookups; Spark's cache is keyed by plan,
-    so it shares the session's persisted new-row stage when that already exists
-    (and must not unpersist it, which would drop it for every other job).
-    """
+
+def q_pipeline_first_run(spark, sf_dir):
+    """M8/S3: the first run: no base, no cache and no firm universe; the published table read back."""
     c = _ctx(spark, sf_dir)
-    job = c.new_job()
-    path = sinks.write_matched(job.output(), c.scratch("matched_e2e"))
-    back = spark.read.parquet(path)
+    none = c.scratch("absent")
+    job = MatchingJob(c.ledger, fx.REGISTRY_COLUMNS, tables.load_base(spark, f"{none}/base"),
+                      tables.load_cache(spark, f"{none}/cache"), tables.load_firms(spark, f"{none}/firms"))
+    paths = job.publish(c.scratch("first_run"), last_updated="2026-01-01")
+    back = sinks.read_matched(spark, paths["matched_retirements"], c.output().schema)
     return back.select(*_order_cols(), *codes.OUTPUT_COLUMNS)
 
 
+def q_matched_table(spark, sf_dir):
+    """The published table as written and read, all rows."""
+    return _ctx(spark, sf_dir).output().select(*_order_cols(), *codes.OUTPUT_COLUMNS)
+
+
+def q_matched_table_types(spark, sf_dir):
+    """Blank and number-like registries survive the folders by registry."""
+    c = _ctx(spark, sf_dir)
+    odd = c.output().withColumn("registry", F.when(F.col("seq") % 3 == 0, "").when(F.col("seq") % 3 == 1, "2021")
+                                .otherwise(F.col("registry")))
+    path = sinks.write_matched(odd, c.scratch("odd_registry"))
+    back = sinks.read_matched(spark, path, odd.schema)
+    return back.groupBy("registry").agg(F.count("*").alias("rows"), F.sum("quantity").alias("quantity"))
+
+
 def q_matched_only_export(spark, sf_dir):
     """Matched rows, key columns, CSV read back with the typed schema."""
     c = _ctx(spark, sf_dir)
     path = sinks.write_matched_csv(c.output(), c.scratch("matched_csv"))
-    schema = c.output().select(*codes.OUTPUT_COLUMNS).schema
-    return sinks.read_csv(spark, path, schema)
+    return tables.read_published_csv(spark, path)
 
 
 def q_known_matches(spark, sf_dir):
     """The known-match cache built from the base."""
     k = _ctx(spark, sf_dir).cache
     return k.select("company_raw", "company_normalized", "official_name", "factset_entity_id", "batch",
-                    "ord_firm", *flat_seq("ord_seq", "ord"))
+                    "ord_firm", "ord_seq")
 
 
 def _stats_long(stats: DataFrame) -> DataFrame:
@@ -226,6 +302,10 @@ def q_map_json(spark, sf_dir):
     c = _ctx(spark, sf_dir)
     doc = sinks.map_document(c.output(), c.firms, mode="row")
     (path,) = sinks.write_json_text(doc, [c.scratch("map_data")])
+    return _map_rows(spark, path)
+
+
+def _map_rows(spark, path: str) -> DataFrame:
     schema = "project_countries struct<iso3:array<string>,tonnes:array<bigint>>, " \
              "hq_countries struct<iso3:array<string>,tonnes:array<bigint>>"
     back = spark.read.schema(schema).json(path)
@@ -239,11 +319,12 @@ def q_map_json(spark, sf_dir):
 
 
 def q_ingest_log(spark, sf_dir):
-    """Rows per registry and the grand total for one snapshot version."""
-    led = _ctx(spark, sf_dir).ledger
-    return (led.rollup("registry_key").agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit("2026-02").alias("version"),
-                    F.coalesce(F.col("registry_key"), F.lit("total")).alias("registry_key"), "rows"))
+    """The ingest record (version, date, rows per registry and in all) written as JSON and read back."""
+    c = _ctx(spark, sf_dir)
+    (path,) = sinks.write_json_text(sinks.ingest_document(c.ledger, "2026-02", "2026-02-03"), [c.scratch("ingest_log")])
+    back = spark.read.schema("version string, date string, total_rows long, rows map<string,long>").json(path)
+    per = back.select("version", "date", F.explode("rows").alias("registry_key", "rows"))
+    return per.unionByName(back.select("version", "date", F.lit("total").alias("registry_key"), F.col("total_rows").alias("rows")))
 
 
 def q_fingerprint(spark, sf_dir):
@@ -252,13 +333,6 @@ def q_fingerprint(spark, sf_dir):
     return docs.select("doc_id", F.sha2(F.col("text"), 256).alias("sha256"))
 
 
-def q_file_fingerprint(spark, sf_dir):
-    """SHA-256 of every input file, read as binary files."""
-    files = spark.read.format("binaryFile").load(f"{sf_dir}/*.parquet")
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
-                        F.sha2(F.col("content"), 256).alias("sha256"))
-
-
 def q_registry_share(spark, sf_dir):
     """Stats JSON read back, registry case variants merged."""
     c = _ctx(spark, sf_dir)
@@ -270,14 +344,25 @@ def q_registry_share(spark, sf_dir):
     return report.registry_share(per)
 
 
-def q_report_export(spark, sf_dir):
-    """First 500 rows of the report view in source order, CSV read back."""
+def q_report_table(spark, sf_dir):
+    """The on-screen table, the first 500 rows of the view in source order."""
+    return report.report_table(_ctx(spark, sf_dir).report())
+
+
+def _exported(spark, view: DataFrame, path: str) -> DataFrame:
+    return tables.read_published_csv(spark, sinks.write_report_csv(view, path), view.select(*sinks.export_columns(view)).schema)
+
+
+def q_report_export_full(spark, sf_dir):
+    """The whole report view as CSV, read back."""
     c = _ctx(spark, sf_dir)
-    view = c.report()
-    top = view.orderBy("src", "seq").limit(500)
-    path = sinks.write_report_csv(top, c.scratch("report_csv"))
-    cols = [x for x in report.display_columns(view) if x not in codes.REPORT_EXCLUDED_EXPORT_COLUMNS]
-    return sinks.read_csv(spark, path, view.select(*cols).schema)
+    return _exported(spark, c.report(), c.scratch("report_csv"))
+
+
+def q_report_export_filtered(spark, sf_dir):
+    """The report view under a facet choice as CSV, read back."""
+    c = _ctx(spark, sf_dir)
+    return _exported(spark, report.faceted_filter(c.report(), **FACET_CHOICE), c.scratch("report_csv_filtered"))
 
 
 # ------------------------------------------------------------------ projections
@@ -286,7 +371,7 @@ def q_harmonize(spark, sf_dir):
     """Every ledger row in unified columns."""
     led = _ctx(spark, sf_dir).ledger
     h = harmonize.harmonize(led, fx.REGISTRY_COLUMNS, keep=["seq", "registry_key"])
-    return h.select(*flat_seq(), "registry_key", "quantity", "country", "retirement_year", "projectname",
+    return h.select("seq", "registry_key", "quantity", "country", "retirement_year", "projectname",
                     "projecttype", "project_id", "vintage")
 
 
@@ -363,7 +448,7 @@ def q_extract_beneficiary(spark, sf_dir):
     """Name and its source field for every ledger row that has one."""
     led = _ctx(spark, sf_dir).ledger
     e = extract.extract_beneficiary(led, fx.REGISTRY_COLUMNS)
-    return e.select(*flat_seq(), "registry_key", "registry", "raw_beneficiary", "source_field")
+    return e.select("seq", "registry_key", "registry", "raw_beneficiary", "source_field")
 
 
 def q_parse_rate(spark, sf_dir):
@@ -375,7 +460,7 @@ def q_new_rows_anti(spark, sf_dir):
     """Ledger rows whose serial is not in the base (null serial always new)."""
     c = _ctx(spark, sf_dir)
     new = c.job.new_raw()
-    return new.select(*flat_seq(), "registry_key",
+    return new.select("seq", "registry_key",
                       harmonize.registry_serial(new, fx.REGISTRY_COLUMNS).alias("serial"))
 
 
@@ -383,23 +468,16 @@ def q_snapshot_diff(spark, sf_dir):
     """Per registry, rows of the new snapshot absent from the previous one
     (previous snapshot = rows retired up to 2000), by that registry's serial column."""
     led = _ctx(spark, sf_dir).ledger
-    keep = ["seq", "registry_key", *sorted(set(codes.SERIAL_COLUMN.values()))]
-    h = harmonize.harmonize(led, fx.REGISTRY_COLUMNS, keep=keep)
-    out = None
-    for r in codes.REGISTRIES:
-        serial_col = codes.SERIAL_COLUMN[r]
-        new = h.filter(F.col("registry_key") == r)
-        prev = new.filter(F.col("retirement_year") <= 2000)
-        diff = incremental.snapshot_diff(new, prev, serial_col).select(
-            *flat_seq(), "registry_key", F.col(f"`{serial_col}`").alias("serial"))
-        out = diff if out is None else out.unionByName(diff)
-    return out
+    led = led.withColumn("serial", harmonize.registry_serial(led, fx.REGISTRY_COLUMNS))
+    h = harmonize.harmonize(led, fx.REGISTRY_COLUMNS, keep=["seq", "registry_key", "serial"])
+    diff = incremental.snapshot_diff(h, h.filter(F.col("retirement_year") <= 2000))
+    return diff.select("seq", "registry_key", "serial")
 
 
 def q_unmatched_names(spark, sf_dir):
     """Distinct names the cache could not match, with first sight and context."""
     u = _ctx(spark, sf_dir).job.unmatched()
-    return u.select("raw_name", *flat_seq("first_seq", "first"), "registry", "country")
+    return u.select("raw_name", "first_seq", "registry", "country")
 
 
 def q_cache_lookups(spark, sf_dir):
@@ -417,7 +495,7 @@ def q_cache_lookups(spark, sf_dir):
 def q_apply_matches(spark, sf_dir):
     """Match columns joined back onto the new rows by raw name."""
     m = _ctx(spark, sf_dir).job.new_matched()
-    return m.select(*flat_seq(), "registry", "raw_beneficiary", "factset_entity_id", "matched_name",
+    return m.select("seq", "registry", "raw_beneficiary", "factset_entity_id", "matched_name",
                     "match_confidence", "match_method")
 
 
@@ -446,32 +524,11 @@ def q_universe_coverage(spark, sf_dir):
 
 
 def q_stage_metrics(spark, sf_dir):
-    """Stage counts of a run as (stage, value)."""
+    """Stage counts of a run with a resolver as (stage, value)."""
     c = _ctx(spark, sf_dir)
-    job = c.job
-    base = job.base()
-    res = job.cache_results()
-    new_per_reg = job.new_rows().groupBy(F.concat(F.lit("new_rows_"), F.col("registry_key")).alias("stage")) \
-        .agg(F.count(F.lit(1)).alias("value"))
-    parts = [
-        base.agg(F.lit("base_rows").alias("stage"), F.count(F.lit(1)).alias("value")),
-        base.agg(F.lit("base_matched").alias("stage"),
-                 F.count_if(F.coalesce(F.col("factset_entity_id") != "", F.lit(False))).alias("value")),
-        new_per_reg,
-        job.parsed().agg(F.lit("parsed_rows").alias("stage"), F.count(F.lit(1)).alias("value")),
-        res.agg(F.lit("unique_names").alias("stage"), F.count(F.lit(1)).alias("value")),
-        res.agg(F.lit("cache_hits").alias("stage"),
-                F.count_if(matching.has_id("factset_entity_id")).alias("value")),
-        res.agg(F.lit("cache_misses").alias("stage"),
-                F.count_if(~matching.has_id("factset_entity_id")).alias("value")),
-        job.new_matched().agg(F.lit("new_matched").alias("stage"),
-                              F.count_if(F.col("factset_entity_id") != "").alias("value")),
-        c.output().agg(F.lit("combined_rows").alias("stage"), F.count(F.lit(1)).alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    job = c.new_job(resolver=resolve.local_resolver())
+    job._memo["new_rows"] = c.job.new_rows()
+    return job.stage_counts()
 
 
 # ------------------------------------------------------------------ report
@@ -492,7 +549,7 @@ def q_yearly_quantity(spark, sf_dir):
 
 
 FACET_CHOICE = dict(year_range=(1996, 1999), hq=["United States", "Brazil", "Germany", "Cyprus", "DR Congo"],
-                    countries=None, categories=["Renewable Energy", "Carbon Capture", "Other", "Transport"],
+                    countries=["Brazil", "India", "Kenya", "South Korea", "Peru", "Laos", "Ghana", "Mexico", "Vietnam"], categories=["Renewable Energy", "Carbon Capture", "Other", "Transport"],
                     firm_search="firm (1|2)[0-9]$")
 
 
@@ -505,16 +562,15 @@ def q_faceted_filter(spark, sf_dir):
 
 def q_facets(spark, sf_dir):
     """Facet values as (facet, value) rows."""
-    v = _ctx(spark, sf_dir).report()
-    f = report.facets(v)
-    parts = [f.select(F.lit("min_year").alias("facet"), F.col("min_year").cast("string").alias("value")),
-             f.select(F.lit("max_year").alias("facet"), F.col("max_year").cast("string").alias("value"))]
-    for col in ("hq_countries", "countries", "categories"):
-        parts.append(f.select(F.lit(col).alias("facet"), F.explode(col).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return report.facets(_ctx(spark, sf_dir).report())
+
+
+def q_tonnes_label(spark, sf_dir):
+    """The tonnes label of each order's price at seven scales, so that every branch is met."""
+    o = fx.table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.array(*[F.lit(10.0 ** k) for k in range(-4, 6)])).alias("scale"),
+                                                 F.col("o_totalprice"))
+    tonnes = F.floor(F.col("o_totalprice") * F.col("scale"))
+    return o.select("o_orderkey", "scale", report.fmt_tonnes(tonnes.cast("double")).alias("label"))
 
 
 def q_top_countries(spark, sf_dir):
@@ -597,45 +653,67 @@ def q_json_results_decode(spark, sf_dir):
 
 
 def q_resolver_request(spark, sf_dir):
-    """Request lines of the unmatched names, batched by name bucket."""
+    """Request lines of the unmatched names, batched in name order."""
     u = _ctx(spark, sf_dir).job.unmatched()
     b = resolve.request_lines(resolve.batched(u, "raw_name"), "raw_name", "registry", "country")
-    return b.select("raw_name", "bucket", "batch", "line", "request_line")
+    return b.select("raw_name", "batch", "line", "request_line")
 
 
 def q_resolve_batch(spark, sf_dir):
-    """M3: unmatched names resolved in batches of 20 by the local resolver."""
+    """M3: unmatched names resolved in batches of 20 by the local resolver, with the firm context at hand."""
     c = _ctx(spark, sf_dir)
+    context = resolve.context_text(resolve.firm_context(c.firms), max_firms=2000)
     r = resolve.resolve_batches(c.job.unmatched(), resolve.local_resolver(), "raw_name",
-                                registry_col="registry", country_col="country")
+                                registry_col="registry", country_col="country", context=context)
     return r.select("raw_name", "matched_name", "factset_entity_id", "confidence", "match_method")
 
 
+def _cache_columns(cache: DataFrame) -> DataFrame:
+    return cache.select("company_raw", "company_normalized", "official_name", "factset_entity_id", "batch",
+                        "ord_firm", "ord_seq")
+
+
 def q_cache_update(spark, sf_dir):
     """Accepted resolver results appended, deduplicated, new cache version read back."""
     c = _ctx(spark, sf_dir)
-    job = MatchingJob(c.ledger, fx.REGISTRY_COLUMNS, c.base_raw, c.cache, c.firms,
-                      resolver=resolve.local_resolver(), resolver_buckets=64)
+    job = c.new_job(resolver=resolve.local_resolver())
     job._memo["new_rows"] = c.job.new_rows()
-    updated = job.updated_cache()
-    path = sinks.write_cache(updated, c.scratch("known_matches_v2"))
-    back = tables.load_cache(spark, path)
-    return back.select("company_raw", "company_normalized", "official_name", "factset_entity_id", "batch",
-                       "ord_firm", *flat_seq("ord_seq", "ord"))
+    path = sinks.write_cache(job.updated_cache(), c.scratch("known_matches_v2"))
+    return _cache_columns(tables.load_cache(spark, path))
+
+
+def q_cache_update_twice(spark, sf_dir):
+    """M4: two updates that give every name another firm; the exact lookup takes the later one."""
+    c = _ctx(spark, sf_dir)
+    names = c.job.names().select("raw_name", "first_seq")
+    cache = c.cache
+    for firm in ("E1", "E2"):
+        results = names.select("raw_name", "first_seq", F.lit(f"Firm {firm}").alias("matched_name"), F.lit(firm).alias("factset_entity_id"),
+                               F.lit("high").alias("confidence"), F.lit("llm").alias("match_method"))
+        cache = written(resolve.update_cache(cache, results), "known_matches_next")
+    found = matching.match_cache(names, cache, "raw_name")
+    return found.select("raw_name", "matched_name", "factset_entity_id", "match_method")
 
 
 def q_firm_context(spark, sf_dir):
-    """Seeded firm sample for the resolver as one reference text."""
-    firms = _ctx(spark, sf_dir).firms
-    return resolve.firm_context(firms, countries=["US", "BR"], others=500, cap=2000)
+    """The firms for the resolver as rows, all of them."""
+    rows = resolve.firm_context(_ctx(spark, sf_dir).firms)
+    return rows.select("factset_entity_id", "entity_proper_name", "iso_country", "line")
+
+
+def q_firm_context_bounded(spark, sf_dir):
+    """The same under a caller's bounds: firms of two countries, 500 others, 2,000 in all."""
+    rows = resolve.firm_context(_ctx(spark, sf_dir).firms, countries=["US", "BR"], others=500, cap=2000)
+    return rows.select("factset_entity_id", "entity_proper_name", "iso_country", "line")
 
 
 def q_stream_new_rows(spark, sf_dir):
     """J1 as a file stream: availableNow trigger, anti-join per micro-batch."""
     from ledgermatch.streaming.ingest import stream_new_rows
     c = _ctx(spark, sf_dir)
-    out = stream_new_rows(spark, c.ledger, c.base_raw, fx.REGISTRY_COLUMNS, c.scratch("stream"))
-    return out.select(*flat_seq(), "registry_key",
+    out = stream_new_rows(spark, fx.landed_path(spark, sf_dir, "ledger_raw"), c.ledger.schema, c.base_raw,
+                          fx.REGISTRY_COLUMNS, c.scratch("stream"))
+    return out.select("seq", "registry_key",
                       harmonize.registry_serial(out, fx.REGISTRY_COLUMNS).alias("serial"))
 
 
@@ -654,9 +732,16 @@ QUERIES = {
     "map_json": q_map_json,
     "ingest_log": q_ingest_log,
     "fingerprint": q_fingerprint,
-    "file_fingerprint": q_file_fingerprint,
     "registry_share": q_registry_share,
-    "report_export": q_report_export,
+    "report_table": q_report_table,
+    "report_export_full": q_report_export_full,
+    "report_export_filtered": q_report_export_filtered,
+    "report_load_csv": q_report_load_csv,
+    "report_dates": q_report_dates,
+    "tonnes_label": q_tonnes_label,
+    "matched_table": q_matched_table,
+    "matched_table_types": q_matched_table_types,
+    "pipeline_first_run": q_pipeline_first_run,
     "harmonize": q_harmonize,
     "combine": q_combine,
     "sanitize": q_sanitize,
@@ -696,6 +781,8 @@ QUERIES = {
     "resolver_request": q_resolver_request,
     "resolve_batch": q_resolve_batch,
     "cache_update": q_cache_update,
+    "cache_update_twice": q_cache_update_twice,
     "firm_context": q_firm_context,
+    "firm_context_bounded": q_firm_context_bounded,
     "stream_new_rows": q_stream_new_rows,
 }

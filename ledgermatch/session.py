@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import pathlib
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,20 +50,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="ledgermatch-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (a cluster on which it is not installed)."""
+    root = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="ledgermatch-ship-")) / "ledgermatch.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "tables", name)
-    return path
+    """A fresh path under the shared folder for a written table."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet, then read: what follows starts from files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

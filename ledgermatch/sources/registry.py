@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
-import os
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermatch import codes
+from ledgermatch.sources.paths import exists, folder_names
+
+log = logging.getLogger(__name__)
+
+#: Quoted fields may hold line breaks, commas and doubled quotes.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def _all_string(df: DataFrame) -> DataFrame:
+    """Every column as text; a timestamp keeps the shape that the date parser reads."""
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
 def read_export(spark: SparkSession, path: str, fmt: str = "csv",
-                columns: list[str] | None = None) -> DataFrame:
+                columns: list[str] | None = None, splittable: bool = False) -> DataFrame:
     """One registry export with every column as text.
 
     CSV is read with a header and an explicit all-string schema when the column
     list is known (no inference pass over the data); Parquet columns are cast.
+    A CSV file is read by one task, since a quoted field may hold line breaks;
+    ``splittable`` says that the caller knows there are none. Large exports are
+    better landed as Parquet.
     """
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("multiLine", False)
+        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", not splittable)
         if columns:
             schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
             reader = reader.schema(schema).option("enforceSchema", False)
@@ -31,45 +41,56 @@ def read_export(spark: SparkSession, path: str, fmt: str = "csv",
     return _all_string(spark.read.format(fmt).load(path))
 
 
+def _mixed(frames: dict[str, DataFrame]) -> tuple[DataFrame | None, dict[str, set[str]]]:
+    """Union of the exports (missing columns -> null) tagged with ``registry_key``, and each one's own columns."""
+    out = None
+    for reg, df in frames.items():
+        df = df.withColumn("registry_key", F.lit(reg))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out, {reg: set(df.columns) for reg, df in frames.items()}
+
+
 def load_registries(spark: SparkSession, sources: dict[str, tuple[str, str]],
-                    columns: dict[str, list[str]] | None = None
+                    columns: dict[str, list[str]] | None = None, splittable: bool = False
                     ) -> tuple[DataFrame | None, dict[str, set[str]]]:
-    """Mixed ledger from ``{registry: (path, format)}``; a missing file is skipped.
-
-    Returns the union (missing columns -> null) tagged with ``registry_key``, and
-    each export's own column set, which later steps use for "column absent".
-    The snapshot's verra sheet keeps real retirements only (date not null).
-    """
-    frames, present = [], {}
+    """Mixed ledger from ``{registry: (path, format)}``; a missing file is skipped, all rows of the others are kept."""
+    frames = {}
     for reg, (path, fmt) in sources.items():
         if reg not in codes.REGISTRIES:
             raise ValueError(f"Unknown registry: {reg}. Must be one of {codes.REGISTRIES}")
-        if not _exists(path):
-            print(f"  Warning: {path} not found")
+        if not exists(spark, path):
+            log.warning("%s: %s not found", reg, path)
             continue
-        df = read_export(spark, path, fmt, (columns or {}).get(reg))
-        if reg == "verra" and codes.VERRA_RETIREMENT_DATE in df.columns:
-            df = df.filter(F.col(f"`{codes.VERRA_RETIREMENT_DATE}`").isNotNull())
-        present[reg] = set(df.columns)
-        frames.append(df.withColumn("registry_key", F.lit(reg)))
-    if not frames:
-        return None, present
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out, present
+        frames[reg] = read_export(spark, path, fmt, (columns or {}).get(reg), splittable)
+    return _mixed(frames)
 
 
-def load_snapshot(spark: SparkSession, root: str, version: str, fmt: str = "parquet"
-                  ) -> tuple[DataFrame | None, dict[str, set[str]]]:
-    """All registries of one versioned snapshot laid out as ``root/snapshot=<v>/registry=<key>/``."""
-    sources = {}
-    for sheet, reg in codes.SNAPSHOT_SHEETS.items():
-        sources[reg] = (os.path.join(root, f"snapshot={version}", f"registry={reg}"), fmt)
-    return load_registries(spark, sources)
+def latest_snapshot(spark: SparkSession, root: str) -> str | None:
+    """The highest version among the ``snapshot=<version>`` folders under ``root``."""
+    versions = [n.removeprefix("snapshot=") for n in folder_names(spark, root) if n.startswith("snapshot=")]
+    return max(versions, default=None)
+
 
+def load_snapshot(spark: SparkSession, root: str, version: str | None = None, fmt: str = "parquet"
+                  ) -> tuple[DataFrame | None, dict[str, set[str]]]:
+    """All registries of one snapshot laid out as ``root/snapshot=<v>/registry=<key>/``; the latest by default.
 
-def _exists(path: str) -> bool:
-    if "://" in path and not path.startswith("file://"):
-        return True  # remote stores: let the reader report a missing path
-    return os.path.exists(path.replace("file://", ""))
+    The verra sheet keeps real retirements only (date not null). A sheet that is
+    missing or cannot be read is logged and skipped; the others are loaded.
+    """
+    version = version or latest_snapshot(spark, root)
+    frames = {}
+    for reg in codes.SNAPSHOT_SHEETS.values():
+        path = f"{root}/snapshot={version}/registry={reg}"
+        if not exists(spark, path):
+            log.warning("snapshot %s: no sheet for %s", version, reg)
+            continue
+        try:
+            df = read_export(spark, path, fmt)
+        except Exception as exc:  # noqa: BLE001 - a bad sheet must not stop the others
+            log.warning("snapshot %s: sheet %s cannot be read: %s", version, reg, str(exc)[:200])
+            continue
+        if reg == "verra" and codes.VERRA_RETIREMENT_DATE in df.columns:
+            df = df.filter(F.col(f"`{codes.VERRA_RETIREMENT_DATE}`").isNotNull())
+        frames[reg] = df
+    return _mixed(frames)

@@ -9,29 +9,28 @@ from pyspark.sql import functions as F
 
 from ledgermatch import codes
 from ledgermatch.operators import report
+from ledgermatch.sources import tables
+from ledgermatch.sources.registry import CSV_OPTIONS
 
 
-def write_matched(df: DataFrame, path: str, partition_by: str | None = "registry") -> str:
-    """Matched table as Parquet, partitioned by registry."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+def write_matched(df: DataFrame, path: str) -> str:
+    """Matched table as Parquet in folders by registry.
+
+    The folders are named by a copy of the column, so ``registry`` itself stays
+    in the files with its type and blank values.
+    """
+    df.withColumn(tables.FOLDER, F.col("registry")).write.mode("overwrite").partitionBy(tables.FOLDER).parquet(path)
     return path
 
 
-# Nulls are written as \N so that an empty string and a null survive a CSV round trip.
-CSV_NULL = "\\N"
+def read_matched(spark, path: str, schema) -> DataFrame:
+    """The matched table as written, without the folder column."""
+    return spark.read.schema(schema).parquet(path).drop(tables.FOLDER)
 
 
 def csv_writer(df: DataFrame):
-    return df.write.mode("overwrite").option("header", True).option("nullValue", CSV_NULL)
-
-
-def read_csv(spark, path: str, schema) -> DataFrame:
-    """Read back a CSV written by this module, with its typed schema."""
-    return (spark.read.option("header", True).option("nullValue", CSV_NULL)
-            .option("emptyValue", "").schema(schema).csv(path))
+    """CSV with empty fields for nulls and blanks, quotes doubled inside quoted fields."""
+    return (df.write.mode("overwrite").options(**CSV_OPTIONS).option("nullValue", "").option("emptyValue", ""))
 
 
 def write_matched_csv(df: DataFrame, path: str) -> str:
@@ -42,10 +41,9 @@ def write_matched_csv(df: DataFrame, path: str) -> str:
 
 
 def write_cache(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Known-match cache; CSV keeps the order key as JSON text."""
+    """Known-match cache; the CSV tells nulls from blanks."""
     if fmt == "csv":
-        out = df.withColumn("ord_seq", F.to_json("ord_seq"))
-        csv_writer(out).csv(path)
+        df.write.mode("overwrite").options(**CSV_OPTIONS).option("nullValue", tables.CSV_NULL).csv(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return path
@@ -105,7 +103,20 @@ def map_document(df: DataFrame, firms: DataFrame | None, mode: str = "row") -> D
 
 
 def write_report_csv(df: DataFrame, path: str) -> str:
-    """Report export (S15): display columns minus the excluded ones."""
-    cols = [c for c in report.display_columns(df) if c not in codes.REPORT_EXCLUDED_EXPORT_COLUMNS]
-    csv_writer(df.select(*cols)).csv(path)
+    """Report export (S15), all rows: display columns minus the excluded ones."""
+    csv_writer(df.select(*export_columns(df))).csv(path)
     return path
+
+
+def export_columns(df: DataFrame) -> list[str]:
+    return [c for c in report.display_columns(df) if c not in codes.REPORT_EXCLUDED_EXPORT_COLUMNS]
+
+
+def ingest_document(ledger: DataFrame, version: str, day: str | None = None) -> DataFrame:
+    """One-row frame with the ingest record as JSON: version, date, rows per registry and in all."""
+    counts = ledger.groupBy("registry_key").agg(F.count("*").alias("rows"))  # one row per registry
+    entry = F.struct("registry_key", "rows")
+    return counts.agg(F.to_json(F.struct(
+        F.lit(version).alias("version"), F.lit(day or _dt.date.today().isoformat()).alias("date"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("rows"))).alias("value"))

@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermatch import codes
+from ledgermatch.operators.harmonize import OUTPUT_TYPES
 from ledgermatch.operators.lookups import CACHE_COLUMNS
+from ledgermatch.sources.paths import exists
+from ledgermatch.sources.registry import CSV_OPTIONS
 
-SEQ_TYPE = T.StructType([
-    T.StructField("o", T.LongType()), T.StructField("l", T.IntegerType()),
-    T.StructField("p", T.LongType()), T.StructField("s", T.LongType()),
-])
+#: Order key of a row, set at ingestion (operators.numbering).
+SEQ_TYPE = T.LongType()
+
+#: Folder column of the matched table, a copy of its registry.
+FOLDER = "registry_folder"
+
+#: Null marker of the cache as CSV, so that a null and a blank survive the round trip.
+CSV_NULL = "\\N"
+
+#: The 14 published columns.
+PUBLISHED_SCHEMA = T.StructType([T.StructField(c, OUTPUT_TYPES.get(c, T.StringType())) for c in codes.OUTPUT_COLUMNS])
+
+#: Base of earlier matched rows, as far as the job needs it.
+BASE_SCHEMA = T.StructType([T.StructField("seq", SEQ_TYPE), *[T.StructField(c, T.StringType()) for c in (
+    "company", "official_name", "factset_entity_id", "registry", "ret_date", "serialnumber")],
+    T.StructField("quantity", T.DoubleType()), *[T.StructField(c, T.StringType()) for c in (
+        "country", "projectname", "projecttype", "vintage", "isocode")]])
 
 CACHE_SCHEMA = T.StructType([
     T.StructField("company_raw", T.StringType()),
@@ -26,44 +41,40 @@ CACHE_SCHEMA = T.StructType([
 ])
 
 
-def _exists(path: str) -> bool:
-    return "://" in path and not path.startswith("file://") or os.path.exists(path.replace("file://", ""))
-
-
-def load_base(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet base of earlier matched rows; an empty typed frame when absent."""
-    if _exists(path):
+def load_base(spark: SparkSession, path: str, schema: T.StructType = BASE_SCHEMA) -> DataFrame:
+    """Parquet base of earlier matched rows; an empty frame of the base shape when absent (a first run)."""
+    if exists(spark, path):
         return spark.read.parquet(path)
-    schema = schema or T.StructType([T.StructField("factset_entity_id", T.StringType())])
     return spark.createDataFrame([], schema)
 
 
 def load_cache(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Known-match cache; empty when absent. CSV carries the order key as JSON text."""
-    if not _exists(path):
+    """Known-match cache; empty when absent."""
+    if not exists(spark, path):
         return spark.createDataFrame([], CACHE_SCHEMA)
     if fmt == "csv":
-        text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in CACHE_SCHEMA])
-        raw = (spark.read.option("header", True).option("nullValue", "\\N").option("emptyValue", "")
-               .schema(text_schema).csv(path))
-        return raw.select(
-            "company_raw", "company_normalized", "official_name", "factset_entity_id",
-            F.col("batch").cast("int").alias("batch"), "ord_firm",
-            F.from_json("ord_seq", SEQ_TYPE).alias("ord_seq"))
+        return (spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("nullValue", CSV_NULL)
+                .option("emptyValue", "").schema(CACHE_SCHEMA).option("enforceSchema", False).csv(path))
     return spark.read.schema(CACHE_SCHEMA).parquet(path).select(*CACHE_COLUMNS)
 
 
 def load_firms(spark: SparkSession, path: str) -> DataFrame | None:
     """Firm universe Parquet, or None when absent (enrichment then gives "")."""
-    return spark.read.parquet(path) if _exists(path) else None
+    return spark.read.parquet(path) if exists(spark, path) else None
+
+
+def read_published_csv(spark: SparkSession, path: str, schema: T.StructType = PUBLISHED_SCHEMA) -> DataFrame:
+    """A published CSV with typed columns. An empty field is an empty text, or a null number."""
+    raw = spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(schema).option("enforceSchema", False).csv(path)
+    return raw.fillna("")
 
 
 def load_published(spark: SparkSession, csv_path: str | None, parquet_path: str | None) -> DataFrame | None:
     """Published table for the report: CSV if present, else Parquet, else None."""
-    if csv_path and _exists(csv_path):
-        return spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
-    if parquet_path and _exists(parquet_path):
-        return spark.read.parquet(parquet_path)
+    if csv_path and exists(spark, csv_path):
+        return read_published_csv(spark, csv_path)
+    if parquet_path and exists(spark, parquet_path):
+        return spark.read.parquet(parquet_path).drop(FOLDER)
     return None
 
 
@@ -88,7 +99,3 @@ def load_stats(spark: SparkSession, path: str) -> DataFrame:
     """Summary stats JSON (one document) with an explicit schema."""
     return spark.read.schema(STATS_SCHEMA).option("multiLine", True).json(path)
 
-
-def scan_filtered(spark: SparkSession, path: str, columns: list[str], condition) -> DataFrame:
-    """Large-table scan: column list and filter reach the Parquet reader (no chunk loop)."""
-    return spark.read.parquet(path).filter(condition).select(*columns)

@@ -3,39 +3,57 @@
 The same serial anti-join as the batch job, run per micro-batch with
 ``foreachBatch`` over whatever export files landed since the last run, with
 ``trigger(availableNow=True)`` so a scheduled run processes the backlog and
-stops. The stream's checkpoint records which files were seen, so a rerun (or
-a restart after a lost executor or driver) does not process a file twice.
+stops. The stream's checkpoint records which files were seen. A micro-batch
+writes one folder named by its number and overwrites it when it is retried, so
+a restart neither loses nor doubles rows. Serials that earlier micro-batches
+gave out count as seen, so a file that lands twice gives its rows once.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.operators.harmonize import registry_serial
 from ledgermatch.operators.incremental import anti_join_serials, base_serials
-from ledgermatch.session import checkpoint_dir
+from ledgermatch.session import written
+from ledgermatch.sources.paths import exists
+
+SERIAL = "_new_serial"
 
 
-def stream_new_rows(spark: SparkSession, landed: DataFrame, base_raw: DataFrame,
+def stream_new_rows(spark: SparkSession, source_dir: str, schema: T.StructType, base_raw: DataFrame,
                     registry_columns: dict[str, set[str]] | None, out_path: str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """New rows of every landed export file, appended to ``out_path``; returns them read back."""
-    source_dir = os.path.dirname(landed.inputFiles()[0])
-    reader = spark.readStream.format("parquet").schema(landed.schema)
+    """New rows of every export file under ``source_dir`` (partition folders included), written to ``out_path``.
+
+    Call it again with the same ``out_path`` after more files have landed.
+    Returns all new rows so far.
+    """
+    rows_path, state_path = f"{out_path}/rows", f"{out_path}/state"
+    reader = spark.readStream.format("parquet").schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source_dir)
-    seen = base_serials(base_raw)
+    known = base_serials(base_raw)
+    # The base does not change while the stream runs: its serials are computed once, not per micro-batch.
+    known = None if known is None else written(known, "base_serials")
+    out_schema = T.StructType([*schema, T.StructField(SERIAL, T.StringType()), T.StructField("batch", T.LongType())])
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        seen = known
+        if exists(session, rows_path):
+            earlier = session.read.schema(out_schema).parquet(rows_path).filter(F.col("batch") < epoch_id)
+            given = earlier.select(F.col(SERIAL).alias("_serial")).filter(F.col("_serial").isNotNull()).distinct()
+            seen = given if seen is None else seen.unionByName(given)
         serial = registry_serial(batch, registry_columns)
-        anti_join_serials(batch, serial, seen).write.mode("append").parquet(out_path)
+        new = anti_join_serials(batch.withColumn(SERIAL, serial), F.col(SERIAL), seen)
+        new.write.mode("overwrite").parquet(f"{rows_path}/batch={epoch_id}")
 
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", os.path.basename(out_path))
-    query = (stream.writeStream.foreachBatch(per_batch)
-             .option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
+    query = (reader.load(source_dir).writeStream.foreachBatch(per_batch)
+             .option("checkpointLocation", state_path).trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(landed.schema).parquet(out_path)
+    if not exists(spark, rows_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(out_schema).parquet(rows_path).drop(SERIAL, "batch")

@@ -26,6 +26,31 @@ def test_dates(spark):
     assert [tuple(r) for r in got] == [(None, None, None), (None, None, None), (2001, 2, 3), (2001, 2, 2)]
 
 
+DATES = [
+    ("2021-01-05T10:00:00", "2021-01-05 10:00:00"), ("2021-01-05T10:00:00Z", "2021-01-05 10:00:00"), ("2021-01-05 10:00:00.123", "2021-01-05 10:00:00"),
+    ("2021-01-05T23:30:00.5+02:00", "2021-01-05 23:30:00"), ("2021/01/05", "2021-01-05 00:00:00"), ("2021/1/5 7:08", "2021-01-05 07:08:00"),
+    ("Jan 5, 2021", "2021-01-05 00:00:00"), ("january 5 2021", "2021-01-05 00:00:00"), ("5 JAN 2021", "2021-01-05 00:00:00"), ("05-Jan-2021", "2021-01-05 00:00:00"),
+    ("31/12/2020", "2020-12-31 00:00:00"), ("2021-13-01", None), ("Foo 5, 2021", None), ("2021", None), ("", None), ("2021-02-30", None),
+]
+
+
+def test_date_shapes(spark):
+    df = spark.createDataFrame([(d,) for d, _ in DATES], "d string")
+    got = df.select(harmonize.parse_timestamp("d", day_first=True).cast("string").alias("t")).collect()
+    assert [r["t"] for r in got] == [t for _, t in DATES]
+
+
+def test_typed_timestamp_keeps_its_value(spark):
+    df = spark.sql("SELECT CAST(TIMESTAMP '2021-01-05 10:00:00.123' AS STRING) AS d")
+    assert df.select(F.year(harmonize.parse_timestamp("d"))).first()[0] == 2021
+
+
+def test_tonnes_labels(spark):
+    cases = [(1.3076e9, "1307.6M"), (999_600.0, "1000K"), (1e6, "1.0M"), (1_250_000.0, "1.2M"), (2500.0, "2K"), (1500.0, "2K"), (999.0, "999"), (0.0, "0")]
+    df = spark.createDataFrame([(v,) for v, _ in cases], "t double")
+    assert [r[0] for r in df.select(report.fmt_tonnes("t")).collect()] == [s for _, s in cases]
+
+
 def _ledger(spark, rows, columns):
     schema = ", ".join(f"`{c}` string" for c in columns)
     return spark.createDataFrame(rows, schema)
@@ -66,12 +91,12 @@ def test_anti_join_keeps_null_serials_and_matches_text(spark):
 
 
 def test_cache_lookup_last_row_wins_and_blank_exact_hit(spark):
-    seq = "struct<o:bigint,l:int,p:bigint,s:bigint>"
+    seq = "bigint"
     cache = spark.createDataFrame([
-        ("Acme", "acme", "Acme One", "E1", 0, "E1", (1, 1, 1, 1)),
-        ("ACME ", "acme", "Acme Two", "E2", 0, "E2", (2, 1, 1, 1)),
-        ("Blank Co", "blank", "Nobody", "", 0, "", (3, 1, 1, 1)),
-        ("Other", "blank", "Somebody", "E3", 0, "E3", (4, 1, 1, 1)),
+        ("Acme", "acme", "Acme One", "E1", 0, "E1", 1),
+        ("ACME ", "acme", "Acme Two", "E2", 0, "E2", 2),
+        ("Blank Co", "blank", "Nobody", "", 0, "", 3),
+        ("Other", "blank", "Somebody", "E3", 0, "E3", 4),
     ], f"company_raw string, company_normalized string, official_name string, factset_entity_id string, "
        f"batch int, ord_firm string, ord_seq {seq}")
     names = spark.createDataFrame([("acme",), ("Acme Inc",), ("Blank Co",), ("",), ("blank co.",)],
@@ -108,24 +133,57 @@ def test_map_modes(spark):
     assert row == {"VNM": 15}
 
 
-def test_resolver_batches_and_failures(spark):
-    names = spark.createDataFrame([(f"Name {i:03d}",) for i in range(60)], "raw_name string")
-    calls = []
+def test_resolver_batches_and_failures(spark, tmp_path):
+    names = spark.createDataFrame([(f"Name {i:03d}", i) for i in range(65)], "raw_name string, n int")
+    calls = str(tmp_path)
 
-    def resolver(reqs):
-        calls.append(len(reqs))
-        if any(r["name"].endswith("7") for r in reqs[:1]):
+    def resolver(reqs, context):
+        import os
+        import uuid
+        with open(os.path.join(calls, uuid.uuid4().hex), "w") as f:
+            f.write(str(len(reqs)))
+        assert context == "firms"
+        if reqs[0]["name"] == "Name 020":
             raise RuntimeError("down")
-        return [{"index": i + 1, "parent_name": "P", "factset_entity_id": "E1", "confidence": "high"}
-                for i in range(len(reqs))]
-
-    out = resolve.resolve_batches(names, resolver, "raw_name", buckets=2, batch_size=20).collect()
-    assert len(out) == 60
-    assert {r["match_method"] for r in out} <= {"llm", "llm_error"}
-    per_batch = {}
-    for r in out:
-        per_batch.setdefault((r["bucket"], (r["pos"] - 1) // 20), set()).add(r["match_method"])
-    assert all(len(v) == 1 for v in per_batch.values())  # a batch fails or succeeds as a whole
+        if reqs[0]["name"] == "Name 040":
+            return "no list here"
+        items = [{"index": i + 1, "parent_name": f"P {r['name']}", "factset_entity_id": "E1", "confidence": "high"} for i, r in enumerate(reqs)]
+        return items[:-1]
+
+    out = resolve.resolve_batches(names, resolver, "raw_name", batch_size=20, context="firms")
+    got = {r["raw_name"]: r for r in out.collect()}
+    out.collect()
+    assert len(got) == 65
+    for i in range(65):
+        r = got[f"Name {i:03d}"]
+        if 20 <= i < 60:  # the second call fails, the third reply cannot be read
+            assert (r["match_method"], r["confidence"], r["matched_name"]) == ("llm_error", "none", None)
+            assert r["reasoning"] == ("down" if i < 40 else "")
+        elif i in (19, 64):  # no item for the last line
+            assert (r["match_method"], r["confidence"], r["factset_entity_id"]) == ("llm", "none", None)
+        else:
+            assert (r["matched_name"], r["factset_entity_id"], r["match_method"]) == (f"P Name {i:03d}", "E1", "llm")
+    import os
+    sizes = sorted(open(os.path.join(calls, f)).read() for f in os.listdir(calls))
+    assert sizes == ["20", "20", "20", "5"]  # each batch is sent once, however often the result is read
+
+
+def test_batches_do_not_depend_on_partitions(spark):
+    names = spark.createDataFrame([(f"n{i:04d}",) for i in range(101)], "raw_name string")
+    seen = set()
+    for parts in (1, 7):
+        rows = resolve.batched(names.repartition(parts), batch_size=20).collect()
+        assert sorted((r["batch"], r["line"]) for r in rows) == [(i // 20, i % 20 + 1) for i in range(101)]
+        seen.add(tuple(sorted((r["raw_name"], r["batch"], r["line"]) for r in rows)))
+    assert len(seen) == 1
+    assert resolve.resolve_batches(names.limit(0), lambda r, c: "[]").collect() == []
+
+
+def test_repeated_index_takes_the_last_item(spark):
+    names = spark.createDataFrame([("a",), ("b",)], "raw_name string")
+    reply = '[{"index": 1, "parent_name": "old"}, {"index": 1, "parent_name": "new", "confidence": "low"}]'
+    got = {r["raw_name"]: (r["matched_name"], r["confidence"]) for r in resolve.resolve_batches(names, lambda r, c: reply).collect()}
+    assert got == {"a": ("new", "low"), "b": (None, "none")}
 
 
 def test_sanitize_and_output_shape(spark):
