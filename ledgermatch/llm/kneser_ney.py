@@ -100,8 +100,8 @@ def _discounted(counts: DataFrame) -> DataFrame:
     return counts.withColumn("d", F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3))
 
 
-def _interpolated(counts: DataFrame, below: DataFrame, order: int) -> DataFrame:
-    """(gram, p) for all n-grams of ``order``; below: (gram, p) of the order under it."""
+def _interpolated(counts: DataFrame, below: DataFrame | None, order: int) -> DataFrame:
+    """(gram, p) for all n-grams of ``order``; below: (gram, p) of the order under it, None for equal chances."""
     spark = counts.sparkSession
     counts = _discounted(counts)
     contexts = counts.groupBy(F.shiftright("gram", BITS).alias("context")).agg(
@@ -109,8 +109,11 @@ def _interpolated(counts: DataFrame, below: DataFrame, order: int) -> DataFrame:
     every = spark.range(CLASSES ** order).select(F.col("id").cast("int").alias("gram"))
     every = every.withColumns({"context": F.shiftright("gram", BITS),
                                "lower": F.col("gram").bitwiseAND(F.lit(CLASSES ** (order - 1) - 1))})
-    found = every.join(counts, "gram", "left").join(contexts, "context", "left") \
-        .join(below.select(F.col("gram").alias("lower"), F.col("p").alias("p_lower")), "lower")
+    found = every.join(counts, "gram", "left").join(contexts, "context", "left")
+    if below is None:
+        found = found.withColumn("p_lower", F.lit(1.0 / CLASSES))
+    else:
+        found = found.join(below.select(F.col("gram").alias("lower"), F.col("p").alias("p_lower")), "lower")
     own = F.coalesce((F.col("c") - F.col("d")) / F.col("total"), F.lit(0.0))
     # A context that was never seen leaves everything to the order below.
     return found.select("gram", (own + F.coalesce(F.col("freed") / F.col("total"), F.lit(1.0)) * F.col("p_lower")).alias("p"))
@@ -122,7 +125,7 @@ def train(texts: DataFrame) -> np.ndarray:
     for order in range(ORDER - 1, 0, -1):  # lower orders count the n-grams that they continue
         counts[order] = cut(counts[order + 1].groupBy(F.col("gram").bitwiseAND(F.lit(CLASSES ** order - 1)).alias("gram"))
                             .agg(F.count("*").alias("c")))
-    p = texts.sparkSession.range(1).select(F.lit(0).alias("gram"), F.lit(1.0 / CLASSES).alias("p"))
+    p = None
     for order in range(1, ORDER + 1):
         p = _interpolated(counts[order], p, order)
     rows = p.select("gram", F.log("p").cast("float").alias("p")).toArrow()  # 32^4 rows at any input size
