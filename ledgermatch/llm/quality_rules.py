@@ -24,7 +24,7 @@ WINDOW = 5
 MAX_REPEATED_PERCENT = 20
 FENCE = 3.0
 #: measure -> the least quartile distance that counts, so that uniform groups do not reject ordinary texts.
-LEAST_SPREAD = {"symbol_share": 0.03, "mark_share": 0.03, "capital_share": 0.04, "dup_line_share": 0.10, "word_length": 1.5}
+LEAST_SPREAD = {"symbol_share": 0.03, "mark_share": 0.03, "capital_share": 0.04, "dup_line_share": 0.20, "word_length": 1.5}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SPACE = " \t\n\x0b\x0c\r"
 _BREAK = r"[\x20\x09-\x0D]+"
