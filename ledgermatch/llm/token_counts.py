@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgermatch.llm.bpe import _byte_letters
+from ledgermatch.llm.bpe import LETTERS, byte_letters, uncached_model
 from ledgermatch.llm.common import fresh_path, slices
 
 BLOCK_BYTES = 32 << 20
 BLOCK_PIECES = 1_000_000
 # Letters, contractions, single digits, other marks; white space is dropped.
-_SPLIT = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\s\w]|_)+")
+_SPLIT = re.compile(rf"[{LETTERS}]++|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\s0-9{LETTERS}]++")
 # Elsewhere the library normalises and splits: here lower case and classes agree and nothing composes.
 _UNSURE = re.compile("[^\t\n\r -~\u00a0-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 BLOCK_SCHEMA = "block long, doc_id long, n_bytes long, base long, numbers binary, times binary, pieces array<string>"
@@ -46,7 +46,7 @@ class PreTokens:
             spec = json.load(f)
         added = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.added = re.compile("|".join(sorted(added, key=len, reverse=True))) if added else None
-        self.letters = _byte_letters()
+        self.letters, self.model = byte_letters(), uncached_model(self.tokenizer)
         self.bytes = {ord(c): b for b, c in self.letters.items()}
         kinds = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
         splits = [p.get("type") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
@@ -67,7 +67,7 @@ class PreTokens:
         return [bytes(map(self.bytes.__getitem__, map(ord, p))).decode() for p, _ in shown]
 
     def count(self, piece: str) -> int:
-        return len(self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
+        return len(self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
 
 
 class _Numbers(dict):
