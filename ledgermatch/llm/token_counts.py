@@ -34,7 +34,7 @@ BLOCK_PIECES = 1_000_000
 _SPLIT = re.compile(rf"[{LETTERS}]++|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\s0-9{LETTERS}]++")
 # Elsewhere the library normalises and splits: here lower case and classes agree and nothing composes.
 _UNSURE = re.compile("[^\t\n\r -~\u00a0-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
-BLOCK_SCHEMA = "block long, doc_id long, n_bytes long, base long, numbers binary, times binary, pieces array<string>"
+BLOCK_SCHEMA = "block long, doc_id long, n_bytes long, base long, frequencies binary, pieces array<string>"
 
 
 class PreTokens:
@@ -70,6 +70,21 @@ class PreTokens:
         return len(self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
 
 
+def packed(numbers: np.ndarray, times: np.ndarray) -> bytes:
+    """Ascending numbers and how often each occurs: two width bytes, the steps between the numbers, the counts."""
+    steps = np.diff(numbers.astype(np.int64), prepend=0)
+    wide = 2 if not len(steps) or steps.max() < 1 << 16 else 4
+    high = 1 if not len(times) or times.max() < 1 << 8 else 4
+    return bytes((wide, high)) + steps.astype(f"<u{wide}").tobytes() + times.astype(f"<u{high}").tobytes()
+
+
+def unpacked(frequencies: bytes) -> tuple[np.ndarray, np.ndarray]:
+    wide, high = frequencies[0], frequencies[1]
+    n = (len(frequencies) - 2) // (wide + high)
+    numbers = np.cumsum(np.frombuffer(frequencies, f"<u{wide}", n, 2), dtype=np.int64)
+    return numbers, np.frombuffer(frequencies, f"<u{high}", n, 2 + n * wide).astype(np.int64)
+
+
 class _Numbers(dict):
     def __missing__(self, piece: str) -> int:
         self[piece] = n = len(self)
@@ -90,7 +105,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str) -> str:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 pieces, extra = split.pieces(text)
                 own, times = np.unique(np.fromiter(map(numbers.__getitem__, pieces), np.uint32, len(pieces)), return_counts=True)
-                rows.append((block, doc_id, len(text.encode()), len(pieces) + extra, own.tobytes(), times.astype(np.uint32).tobytes(), None))
+                rows.append((block, doc_id, len(text.encode()), len(pieces) + extra, packed(own, times), None))
                 held += len(text)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
             if held > BLOCK_BYTES or len(numbers) > BLOCK_PIECES:
@@ -100,7 +115,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str) -> str:
             yield listed()
 
     schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("base", pa.int64()),
-                        ("numbers", pa.binary()), ("times", pa.binary()), ("pieces", pa.list_(pa.string()))])
+                        ("frequencies", pa.binary()), ("pieces", pa.list_(pa.string()))])
     (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
      .mapInArrow(count, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path))
     return path
@@ -131,14 +146,14 @@ def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, limi
         more = np.zeros(numbers.max() + 1 if len(numbers) else 1, np.int64)
         more[numbers] = right.column("more").to_numpy()
         sums = array("q")
-        for own, times in zip(left.column("numbers").to_pylist(), left.column("times").to_pylist()):
-            own = np.frombuffer(own, np.uint32)
+        for frequencies in left.column("frequencies").to_pylist():
+            own, times = unpacked(frequencies)
             inside = own < len(more)
-            sums.append(int(more[own[inside]] @ np.frombuffer(times, np.uint32)[inside].astype(np.int64)))
+            sums.append(int(more[own[inside]] @ times[inside]))
         total = np.array(sums, np.int64) + left.column("base").to_numpy()
         return pa.table({"doc_id": left.column("doc_id"), "n_bytes": left.column("n_bytes"), "n_tokens": total,
                          "over_limit": total > limit})
 
-    docs_of = rows.where("numbers IS NOT NULL").select("block", "doc_id", "n_bytes", "base", "numbers", "times")
+    docs_of = rows.where("frequencies IS NOT NULL").select("block", "doc_id", "n_bytes", "base", "frequencies")
     return docs_of.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         add_up, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

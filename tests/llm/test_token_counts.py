@@ -42,6 +42,13 @@ def test_odd_rows_and_small_blocks(spark, library, monkeypatch):
     assert token_counts.count_tokens(spark, df.limit(0), PATH).collect() == []
 
 
+def test_packed_frequencies():
+    import numpy as np
+    for numbers, times in (([], []), ([0], [1]), ([5, 70000, 70001, 9_000_000], [1, 300, 2, 70_000]), (list(range(300)), [255] * 300)):
+        got = token_counts.unpacked(token_counts.packed(np.array(numbers, np.uint32), np.array(times, np.int64)))
+        assert got[0].tolist() == numbers and got[1].tolist() == times
+
+
 def test_sure_characters(library):
     split = token_counts.PreTokens(PATH)
     for c in (c for c in map(chr, range(0x2100)) if not token_counts._UNSURE.search(c)):
