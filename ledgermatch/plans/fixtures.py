@@ -5,7 +5,7 @@ earlier matched rows and the firm universe are derived from the TPC-H-style
 tables: one ledger row per ``lineitem`` row (so the work grows with the data),
 registry from ``l_suppkey % 4``, beneficiary text from the customer name with a
 pattern chosen by ``l_linenumber``. Row order for first/last-wins rules is the
-bigint ``seq``, the place of a row by (l_orderkey, l_linenumber, l_partkey, l_suppkey).
+bigint ``seq``, the place of a row by (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate).
 """
 
 from __future__ import annotations
@@ -256,7 +256,7 @@ _LANDED: dict[tuple[str, str, str], str] = {}
 
 def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived rows with their order key, as ingestion numbers them."""
-    return number_rows(ledger_base_rows(spark, sf_dir), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return number_rows(ledger_base_rows(spark, sf_dir), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quantity_value", "l_shipdate"])
 
 
 BUILDERS = {

@@ -71,7 +71,7 @@ def MT(x: str) -> str:
 
 LEDGER_ROWS = f"""
 ledger_rows AS (
-  SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS seq,
+  SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) - 1 AS seq,
          {_list(fx.FIXTURE_REGISTRIES)}[l_suppkey % 4 + 1] AS registry_key,
          l_orderkey, l_linenumber AS ln, l_shipdate, c_custkey, s_nationkey, o_orderdate,
          replace(c_name, 'Customer', 'Client') AS n,
