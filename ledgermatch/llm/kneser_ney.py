@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermatch.llm.common import cut, slices, small_side
 
@@ -156,8 +157,8 @@ def with_perplexity(docs: DataFrame, table: np.ndarray) -> DataFrame:
                 ppl = -(sums[ends] - sums[ends - lengths]) / lengths
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ppl, mask=lengths == 0), pa.array(lengths)], [*own, "__ppl", "__n"])
 
-    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["__ppl double", "__n long"])
-    return docs.mapInArrow(score, fields)
+    schema = T.StructType([*docs.schema.fields, T.StructField("__ppl", T.DoubleType()), T.StructField("__n", T.LongType())])
+    return docs.mapInArrow(score, schema)
 
 
 def _excess(median: Column) -> Column:
