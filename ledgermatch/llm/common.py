@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -25,6 +26,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files and checkpoints that nothing refers to any more.
+
+    It acts on what the driver's garbage collection finds, which a small driver may not run for a whole loop.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new place for a written table under the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

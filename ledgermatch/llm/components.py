@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut
+from ledgermatch.llm.common import cut, release
 
 MAX_ROUNDS = 60
 
@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: the larger neighbours of u point to the smallest.
-        large = _lowest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _lowest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: u and its smaller neighbours point to the smallest.
         small = _lowest(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
@@ -32,6 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
+        del both, large, small
+        release(pairs.sparkSession)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = pairs.select("v").distinct()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut, held, slices
+from ledgermatch.llm.common import cut, held, release, slices
 from ledgermatch.llm.components import components
 
 SHINGLE = 4
@@ -194,9 +194,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = cut(named.groupBy("set_key").agg(F.min("doc_id").alias("node")))
     nodes_of = nodes.withColumnRenamed("set_key", "__key")
     first = named.join(nodes_of, (F.col("set_key") == F.col("__key")) & (F.col("doc_id") == F.col("node")))
-    candidates = components(candidate_links(first.select("node", "bands").distinct()))
+    candidates = cut(components(candidate_links(first.select("node", "bands").distinct())))
+    release(docs.sparkSession)
     sizes = first.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"))
-    links = confirmed_links(docs, candidates, sizes)
+    links = cut(confirmed_links(docs, candidates, sizes))
+    release(docs.sparkSession)
     # A doc_id with several texts connects the nodes of all of them.
     same_id = named.join(nodes_of, F.col("set_key") == F.col("__key")).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     repeated = same_id.join(named.groupBy("doc_id").agg(F.count_distinct("set_key").alias("n")).where("n > 1").select(F.col("doc_id").alias("b")), "b")
