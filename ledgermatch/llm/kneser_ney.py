@@ -1,12 +1,15 @@
 """Operator 9: a modified Kneser-Ney language model of trusted text as a quality classifier.
 
-The model is an interpolated modified Kneser-Ney model of character classes, order 4: letters with accents
-folded, capitals, white space, digits, punctuation, other marks and the start of a text, 32 in all, so an n-gram is a
-number below 32^n. All texts labelled good are counted but for a held-out fifth; tasks pre-aggregate, the counts are summed in
-shards by n-gram, and every order is a join of the n-gram counts with the totals of their
-contexts and with the order below. The result is one number for each of the 32^4 n-grams: 4 MB
-whatever the size of the corpus, and for that reason it may be broadcast. Each document's per-class log perplexity is
-the mean over its whole text.
+The units are words, runs of other marks, white space other than a single blank, and the start and end of a text, each as a 64-bit hash; a
+pair is the hash of two. All pairs of the texts labelled good but for a held-out fifth are counted, so the model grows
+with the trusted text. It is interpolated: pairs over continuation counts of units over the chance of a unit's spelling.
+The spelling of units that no trusted text has comes from a Kneser-Ney model of order 4 over 32 character
+classes (``train``), which is of one size (4 MB) and broadcast; it is only this base.
+
+Scoring joins counts in shards. The texts of a task form blocks; a block asks once for each of its distinct units and
+pairs, in lists by the top bits of the hash; a shard looks its part of the lists up in its part of
+the counts, and the answers go back to the block, which sums over its texts. No task holds more than a block, or
+a shard. The log perplexity is over the whole text, per character.
 
 The limits come from the held-out good texts of each language: the excess over the language's median, scaled by the
 root of the text's length (up to ``STEADY`` characters), may be at most ``SLACK`` times the upper quantile seen there. Languages with
@@ -19,17 +22,21 @@ texts all documents with a text are kept. Repeated rows are scored each. Other c
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgermatch.llm.common import cut, slices, small_side
+from ledgermatch.llm.common import cut, fresh_path, release, slices, small_side
+from ledgermatch.llm.decontaminate import text_key
 
 ORDER, BITS = 4, 5
 CLASSES = 1 << BITS
@@ -37,6 +44,15 @@ HELD_OUT = 5  # one good text in so many is not counted but sets the limits
 MIN_GROUP = 30
 STEADY = 400
 QUANTILE, SLACK = 0.99, 2.0
+BLOCK_CHARS = 24 << 20
+RANGE_BITS = 12  # a block's lists are cut by the top bits of the hash
+SHARD_KEYS = 1_000_000  # keys asked for per shard at most, as far as there are ranges
+MAX_BROADCAST_LABELS = 1_000_000  # (long, boolean) rows
+START, END = "", "\0"  # no unit is empty, and a lone NUL is a mark
+_UNIT = re.compile(r"\w+|[^\w\s]+|\s\s+|[^\S ]")
+_TURN = 23
+BLOCK_SCHEMA = ("block long, n_units long, doc_id array<long>, lang array<string>, held array<boolean>, text_key array<long>, n array<long>, "
+                "lengths array<long>, units binary, hashes binary, spelled binary")
 
 
 @lru_cache(maxsize=1)
@@ -142,23 +158,242 @@ def trusted_labels(labels: DataFrame) -> DataFrame:
     return good.select("label_id", (F.pmod(F.xxhash64("label_id"), F.lit(HELD_OUT)) == 0).alias("held"))
 
 
-def with_perplexity(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """``docs`` with ``__ppl`` (log perplexity per character, null without text) and ``__n`` (characters)."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    own = docs.columns
+@lru_cache(maxsize=1)
+def _class_sizes() -> np.ndarray:
+    """log of the number of code points in each class."""
+    sizes = np.bincount(class_table()[:0x10000], minlength=CLASSES).astype(np.float64)
+    sizes[31] += 0x110000 - 0x10000
+    return np.log(np.maximum(sizes, 1))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            codes, lengths = grams(texts)
-            sums = np.concatenate([[0.0], np.cumsum(shared.value[codes], dtype=np.float64)])
-            ends = np.cumsum(lengths)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                ppl = -(sums[ends] - sums[ends - lengths]) / lengths
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ppl, mask=lengths == 0), pa.array(lengths)], [*own, "__ppl", "__n"])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("__ppl", T.DoubleType()), T.StructField("__n", T.LongType())])
-    return docs.mapInArrow(score, schema)
+def spellings(units: list[str], table: np.ndarray) -> np.ndarray:
+    """log chance of each unit's characters and of the blank that ends it."""
+    codes, lengths = grams([u + " " for u in units])
+    sums = np.concatenate([[0.0], np.cumsum(table[codes].astype(np.float64) - _class_sizes()[codes & (CLASSES - 1)])])
+    ends = np.cumsum(lengths)
+    return sums[ends] - sums[ends - lengths]
+
+
+def unit_hash(unit: str) -> int:
+    return xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"))
+
+
+def pair_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hash of each two neighbours (uint64): the first, and the second turned, so that order matters."""
+    a, b = hashes[:-1], hashes[1:]
+    return a ^ ((b << np.uint64(_TURN)) | (b >> np.uint64(64 - _TURN)))
+
+
+class _Units(dict):
+    """Numbers of the units in order of first sight; 0 and 1 are the start and the end of a text."""
+
+    def __init__(self):
+        super().__init__({START: 0, END: 1})
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = n = len(self)
+        return n
+
+    def of(self, text: str) -> np.ndarray:
+        found = _UNIT.findall(text)
+        out = np.empty(len(found) + 2, np.uint32)
+        out[0], out[-1] = 0, 1
+        out[1:-1] = np.fromiter(map(self.__getitem__, found), np.uint32, len(found))
+        return out
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(unit_hash, self), np.uint64, len(self))
+
+
+def _pair_places(lengths: np.ndarray) -> np.ndarray:
+    """Places in a row of texts with so many units each that start a pair inside a text."""
+    inside = np.ones(lengths.sum(), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    return np.flatnonzero(inside)
+
+
+def _small(values: np.ndarray) -> bytes:
+    """The values by byte planes, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _large(data: bytes, kind: type) -> np.ndarray:
+    n, wide = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], decompressed_size=n * wide, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(wide, n).T).view(kind).reshape(n)
+
+
+def count_pairs(texts: DataFrame) -> DataFrame:
+    """(a, b, c): how often unit b follows unit a (hashes) in ``texts`` (text)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted():
+            hashes = numbers.hashes().view(np.int64)
+            row, at = np.concatenate(units), _pair_places(np.array([len(u) for u in units]))
+            seen, times = np.unique((row[at].astype(np.uint64) << np.uint64(32)) | row[at + 1], return_counts=True)
+            for k in range(0, len(seen), 500_000):
+                a, b = seen[k:k + 500_000] >> np.uint64(32), seen[k:k + 500_000] & np.uint64(0xFFFFFFFF)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[a]), pa.array(hashes[b]), pa.array(times[k:k + 500_000])], ["a", "b", "c"])
+
+        numbers, units, held = _Units(), [], 0
+        for batch in slices(batches, "text"):
+            for text in batch.column("text").to_pylist():
+                units.append(numbers.of(text))
+                held += len(text)
+            if held > BLOCK_CHARS:
+                yield from counted()
+                numbers, units, held = _Units(), [], 0
+        if units:
+            yield from counted()
+
+    return texts.select(F.coalesce("text", F.lit("")).alias("text")).where("text <> ''").mapInArrow(count, "a long, b long, c long") \
+        .groupBy("a", "b").agg(F.sum("c").alias("c"))
+
+
+def unit_model(texts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
+    """The pairs (key, own) and units (key, total, freed, own) of the trusted ``texts``, and the units' share for spellings.
+
+    The chance of b after a is (own(ab) + freed(a) * p(b)) / total(a), or p(b) if total(a) is 0; p(b) is
+    own(b) + share * chance of its spelling.
+    """
+    path = fresh_path(texts.sparkSession, "pairs")
+    count_pairs(texts).sortWithinPartitions("a").write.option("compression", "zstd").parquet(path)
+    release(texts.sparkSession)
+    pairs = _discounted(texts.sparkSession.read.schema("a long, b long, c long").parquet(path))
+    first = pairs.groupBy(F.col("a").alias("key")).agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
+    then = _discounted(cut(pairs.groupBy(F.col("b").alias("key")).agg(F.count("*").alias("c"))))
+    whole, freed = then.agg(F.sum("c"), F.sum("d")).first()
+    units = first.join(then, "key", "full").select(
+        "key", *[F.coalesce(x, F.lit(0.0)).alias(n) for n, x in (
+            ("total", F.col("total").cast("double")), ("freed", F.col("freed")), ("own", (F.col("c") - F.col("d")) / F.lit(float(whole or 1))))])
+    turned = F.shiftleft("b", _TURN).bitwiseOR(F.shiftrightunsigned("b", 64 - _TURN))
+    return pairs.select(F.col("a").bitwiseXOR(turned).alias("key"), (F.col("c") - F.col("d")).cast("double").alias("own")), units, \
+        freed / whole if whole else 1.0
+
+
+def write_blocks(docs: DataFrame, table: np.ndarray, path: str) -> DataFrame:
+    """Write ``docs`` (doc_id, lang, held, text_key, text) as blocks, one row each, with unit numbers instead of texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    plain = ("doc_id", "lang", "held", "text_key")
+    schema = pa.schema([("block", pa.int64()), ("n_units", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("lang", pa.list_(pa.string())),
+                        ("held", pa.list_(pa.bool_())), ("text_key", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())),
+                        ("lengths", pa.list_(pa.int64())), ("units", pa.binary()), ("hashes", pa.binary()), ("spelled", pa.binary())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finished():
+            row = np.concatenate(units)
+            order = np.argsort(-np.bincount(row, minlength=len(numbers)), kind="stable")  # frequent units get small numbers, which compress
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            spelled = spellings(list(numbers), shared.value)[order].astype(np.float32)
+            yield pa.RecordBatch.from_pylist([{
+                **kept, "block": block, "n_units": len(row), "lengths": [len(u) for u in units], "units": _small(place[row]),
+                "hashes": numbers.hashes()[order].tobytes(), "spelled": spelled.tobytes()}], schema)
+
+        numbers, units, held, block = _Units(), [], 0, TaskContext.get().partitionId() << 32
+        kept = {c: [] for c in (*plain, "n")}
+        for batch in slices(batches, "text"):
+            for text in batch.column("text").to_pylist():
+                units.append(numbers.of(text))
+                kept["n"].append(len(text))
+                held += len(text)
+            for c in plain:
+                kept[c] += batch.column(c).to_pylist()
+            if held > BLOCK_CHARS:
+                yield from finished()
+                numbers, units, held, block = _Units(), [], 0, block + 1
+                kept = {c: [] for c in kept}
+        if units:
+            yield from finished()
+
+    docs.select(*plain, "text").mapInArrow(write, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(BLOCK_SCHEMA).parquet(path)
+
+
+def _block_pairs(units: bytes, hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the first and of the second unit, and hash, of each pair of a block."""
+    row, at = _large(units, np.uint32), _pair_places(lengths)
+    return row[at], row[at + 1], pair_hashes(hashes[row])[at]
+
+
+def ask(blocks: DataFrame, pair: bool) -> DataFrame:
+    """(block, pair, range, keys): the distinct hashes of each block's pairs or units, ascending, as steps, cut by their top bits."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = {c: batch.column(c)[k] for c in batch.schema.names}
+                keys = np.frombuffer(r["hashes"].as_py(), np.uint64)
+                if pair:
+                    keys = _block_pairs(r["units"].as_py(), keys, r["lengths"].values.to_numpy())[2]
+                keys = np.unique(keys)
+                cuts = np.searchsorted((keys >> np.uint64(64 - RANGE_BITS)).astype(np.int64), np.arange((1 << RANGE_BITS) + 1))
+                some = np.flatnonzero(np.diff(cuts))
+                lists = [_small(np.diff(keys[cuts[i]:cuts[i + 1]], prepend=np.uint64(0))) for i in some]
+                yield pa.RecordBatch.from_arrays([pa.array([r["block"].as_py()] * len(some), pa.int64()), pa.array([pair] * len(some)),
+                                                  pa.array(some.astype(np.int32)), pa.array(lists, pa.binary())], ["block", "pair", "range", "keys"])
+
+    return blocks.select("block", "units", "hashes", "lengths").mapInArrow(asked, "block long, pair boolean, range int, keys binary")
+
+
+def look_up(asked: DataFrame, n_keys: int, counts: DataFrame, values: list[str]) -> DataFrame:
+    """(block, pair, range, found): the ``values`` (float32, 0 if there are none) of all keys of each list in turn.
+
+    ``asked`` (block, pair, range, keys; ``n_keys`` at most) meets ``counts`` (key, values) in shards of neighbouring ranges.
+    """
+    width = max(0, RANGE_BITS - (n_keys // SHARD_KEYS).bit_length())  # a shard is so many bits of ranges
+    wide = len(values)
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = right.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        known = known[order]
+        table = np.zeros((len(known) + 1, wide), np.float32)
+        for k, v in enumerate(values):
+            table[:-1, k] = right.column(v).to_numpy()[order]
+        known = np.append(known, np.uint64(0))
+        found = []
+        for keys in left.column("keys").to_pylist():
+            keys = np.cumsum(_large(keys, np.uint64), dtype=np.uint64)
+            at = np.searchsorted(known[:-1], keys)
+            at[known[at] != keys] = len(known) - 1
+            found.append(_small(table[at].reshape(-1)))
+        return pa.table({"block": left.column("block"), "pair": left.column("pair"), "range": left.column("range"), "found": pa.array(found, pa.binary())})
+
+    lists = asked.withColumn("shard", F.shiftright("range", width)).select("shard", "block", "pair", "range", "keys")
+    rows = counts.withColumn("shard", F.shiftright(F.shiftrightunsigned("key", 64 - RANGE_BITS), width).cast("int"))
+    return lists.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(answer, "block long, pair boolean, range int, found binary")
+
+
+def score_blocks(blocks: DataFrame, pairs: DataFrame, units: DataFrame, share: float) -> DataFrame:
+    """(doc_id, lang, held, text_key, __ppl, __n) of each document; __ppl is the log perplexity per character, null without text."""
+    n_units = blocks.agg(F.sum("n_units")).first()[0] or 0
+    answers = look_up(ask(blocks, True), n_units, pairs, ["own"]).unionByName(look_up(ask(blocks, False), n_units, units, ["total", "freed", "own"]))
+    out = ["doc_id", "lang", "held", "text_key"]
+
+    def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        said = right.sort_by("range")
+
+        def answered(pair: bool) -> np.ndarray:
+            found = said.filter(said.column("pair") if pair else pc.invert(said.column("pair"))).column("found").to_pylist()
+            return np.concatenate([_large(f, np.float32) for f in found]).astype(np.float64)
+
+        listed = {c: left.column(c).combine_chunks().flatten() for c in [*out, "n", "lengths"]}
+        hashes = np.frombuffer(left.column("hashes")[0].as_py(), np.uint64)
+        spelled = np.exp(np.frombuffer(left.column("spelled")[0].as_py(), np.float32).astype(np.float64))
+        total, freed, own = answered(False).reshape(-1, 3)[np.unique(hashes, return_inverse=True)[1]].T
+        alone = np.maximum(own + share * spelled, 1e-300)  # a very long unknown unit underflows
+        lengths = listed["lengths"].to_numpy()
+        a, b, keys = _block_pairs(left.column("units")[0].as_py(), hashes, lengths)
+        of_pairs = answered(True)[np.unique(keys, return_inverse=True)[1]]
+        chance = np.where(total[a] > 0, (of_pairs + freed[a] * alone[b]) / np.maximum(total[a], 1), alone[b])
+        sums = np.add.reduceat(np.log(chance), np.cumsum(lengths - 1) - (lengths - 1))
+        n = listed["n"].to_numpy()
+        return pa.table({**{c: listed[c] for c in out}, "__ppl": pa.array(-sums / np.maximum(n, 1), mask=n == 0), "__n": n})
+
+    return blocks.drop("n_units").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        add_up, "doc_id long, lang string, held boolean, text_key long, __ppl double, __n long")
 
 
 def _excess(median: Column) -> Column:
@@ -175,12 +410,20 @@ def _limits(held: DataFrame) -> DataFrame:
     return wide.select("group", "median", (SLACK * F.greatest("z", F.lit(1.0))).alias("limit"))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
-    """The model of the good texts among ``docs`` (doc_id, text, lang), and the limits per language."""
-    good = docs.select("doc_id", "text", "lang").join(trusted_labels(labels).hint("shuffle_hash"), F.col("doc_id") == F.col("label_id"))
-    table = train(good.where("NOT held").select("text"))
-    held = with_perplexity(good.where("held").select("lang", "text"), table).select("lang", "__ppl", "__n")
-    return table, cut(_limits(held))
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, lang, text_key, __ppl, __n, __kept) of every row of ``docs`` (doc_id, lang, text)."""
+    spark = docs.sparkSession
+    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
+    roles = cut(trusted_labels(labels))
+    told = told.join(small_side(roles, MAX_BROADCAST_LABELS), F.col("doc_id") == F.col("label_id"), "left") \
+        .select("doc_id", "lang", "held", text_key(F.col("text")).alias("text_key"), "text")
+    trusted = told.where("NOT held").select("text")
+    pairs, units, share = unit_model(trusted)
+    release(spark)
+    blocks = write_blocks(told, train(trusted), fresh_path(spark, "units"))
+    scored = cut(score_blocks(blocks, pairs, units, share))
+    release(spark)
+    return _judged(scored, cut(_limits(scored.where("held").select("lang", "__ppl", "__n"))))
 
 
 def _judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
@@ -195,12 +438,11 @@ def _judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
 
 def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, kept) of every row of ``docs`` (doc_id, text, lang)."""
-    table, limits = fit(docs, labels)
-    scored = with_perplexity(docs.select("doc_id", "lang", "text"), table).drop("text")
-    return _judged(scored, limits).select("doc_id", "lang", F.col("__n").alias("n_chars"), F.exp("__ppl").alias("perplexity"), F.col("__kept").alias("kept"))
+    return judged(docs, labels).select("doc_id", "lang", F.col("__n").alias("n_chars"), F.exp("__ppl").alias("perplexity"), F.col("__kept").alias("kept"))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    table, limits = fit(docs, labels)
-    return _judged(with_perplexity(docs, table), limits).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = cut(judged(docs, labels).where("NOT __kept").select(F.col("doc_id").alias("__d"), F.col("lang").alias("__g"), F.col("text_key").alias("__k")).distinct())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__d")) & F.col("lang").eqNullSafe(F.col("__g")) & (text_key(F.col("text")) == F.col("__k"))
+    return docs.join(small_side(bad), same, "left_anti")
