@@ -16,7 +16,8 @@ root of the text's length (up to ``STEADY`` characters), may be at most ``SLACK`
 few held-out texts take the limits of all.
 
 Nulls: a null or empty text has no perplexity and is not kept; a null language is a group of its own; labels with null
-doc_id or quality are ignored, a doc_id with several labels is good if none of them says otherwise. Without good
+doc_id are ignored, a doc_id with several labels is good if none of them says otherwise, and toxic if any says so (a null quality or toxic says nothing).
+Texts labelled toxic teach nothing and set no limits; they are judged by their perplexity like all others, not dropped for the label. Without good
 texts all documents with a text are kept. Repeated rows are scored each. Other columns pass through ``filter_documents``.
 """
 
@@ -152,9 +153,9 @@ def train(texts: DataFrame) -> np.ndarray:
 
 
 def trusted_labels(labels: DataFrame) -> DataFrame:
-    """(label_id, held): doc_ids whose labels call them good, and whether a text is held out."""
-    good = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("label_id")) \
-        .agg(F.min("quality").alias("q")).where("q > 0")
+    """(label_id, held): doc_ids whose labels call them good and not toxic, and whether a text is held out."""
+    good = labels.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").groupBy(F.col("doc_id").cast("long").alias("label_id")) \
+        .agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0)).cast("int")).alias("t")).where("q > 0 AND t = 0")
     return good.select("label_id", (F.pmod(F.xxhash64("label_id"), F.lit(HELD_OUT)) == 0).alias("held"))
 
 

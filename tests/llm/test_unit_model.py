@@ -71,3 +71,9 @@ def test_more_trusted_text_teaches_more(spark):
     rows = [(i, t, "en") for i, t in enumerate(texts[:100])] + [(1000, f"part {known} of {known * 7} costs {known * 31}", "en"), (1001, "part 98 of 13 costs 1234"[:len(texts[known])], "en")]
     got = {r.doc_id: r.perplexity for r in kneser_ney.judge_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels).collect()}
     assert math.isclose(got[1000], got[known]) and got[1001] > got[1000]
+
+
+def test_toxic_texts_are_not_trusted(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 1, 0), (4, 1, 1), (5, 0, 0), (6, 1, 0), (6, None, 1), (7, None, 0), (None, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    assert {r.label_id for r in kneser_ney.trusted_labels(labels).collect()} == {1, 3}
