@@ -52,18 +52,34 @@ _FRAME_NAME = re.compile(
     r"newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|sidebar\w*|side|widget\w*|menu\w*|nav|navbar|"
     r"navigation|breadcrumb\w*|topbar|masthead|footer\w*|foot|copyright|legal|disclaimer|comment\w*|repl(?:y|ies)|respond|disqus|"
     r"form|search\w*|pagination|pager|toolbar|complementary|contentinfo|skip)(?:$|[\s_\d-])", re.I)
+#: Tokens that tell how a page looks, not what a part is; and names of the content itself, whatever stands beside them.
+_STATE_NAME = re.compile(r"(?:^|[_-])(?:no|not|non|has|have|with|without|open|opened|closed|enabled|disabled)(?:$|[_-])", re.I)
+_SURE_CONTENT = re.compile(r"(?:^|\s)(?:article|post|entry|story|main)[_-](?:content|body|text)(?:$|\s)", re.I)
+#: Lists whose items are often articles, and roles that are frames like the tags.
+_LIST_NAME = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|respond|disqus|related|recommend\w*)(?:$|[\s_\d-])", re.I)
+_FRAME_ROLE = {"navigation", "complementary", "contentinfo", "search", "form", "dialog", "menu"}
 _HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header\w*|hd)(?:$|[\s_\d-])", re.I)
 _CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|main|text)(?:$|[\s_\d-])", re.I)
 _SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
 
 
+def _frame_named(named: str) -> bool:
+    if not _FRAME_NAME.search(named) or _SURE_CONTENT.search(named):
+        return False
+    return any(_FRAME_NAME.search(token) and not _STATE_NAME.search(token) for token in named.split())
+
+
 class _Page:
-    """Collects the blocks of one page: (text, words, linked words, in_main, in_frame, content_name, tag)."""
+    """Collects the blocks of one page: (text, words, linked words, in_main, in_frame, content_name, tag).
 
-    def __init__(self):
+    With ``unwrap`` an article or main part inside a frame by name alone is main; ``wrapped`` tells if there is one.
+    """
+
+    def __init__(self, unwrap: bool = False):
         self.blocks, self.parts, self.links = [], [], []
-        # Open block-level elements: (tag, in_main, in_frame, content_name).
-        self.open = [("", False, False, False)]
+        # Open block-level elements: (tag, in_main, in_frame, content_name, framed by more than a name).
+        self.open = [("", False, False, False, False)]
+        self.unwrap, self.wrapped = unwrap, False
         self.in_link = False
 
     def text(self, piece: str) -> None:
@@ -78,7 +94,7 @@ class _Page:
             if text:
                 linked = len(html.unescape(" ".join(self.links)).split()) if self.links else 0
                 words = text.count(" ") + 1
-                tag, main, frame, named = self.open[-1]
+                tag, main, frame, named, _ = self.open[-1]
                 self.blocks.append((text, words, min(linked, words), main, frame, named, tag))
             self.parts, self.links = [], []
 
@@ -96,9 +112,9 @@ class _Page:
             # An inline element takes part in its block unless it is hidden or names itself something else.
             if tag == "br":
                 self.parts.append(" ")
-            elif tag not in _VOID and tag != "a" and (hidden or _FRAME_NAME.search(named)):
+            elif tag not in _VOID and tag != "a" and (hidden or _frame_named(named)):
                 self.end_block()
-                self.open.append((tag, False, True, False))
+                self.open.append((tag, False, True, False, True))
             return
         self.end_block()
         self.in_link = self.in_link and tag == "a"
@@ -106,12 +122,21 @@ class _Page:
             self.open.pop()
         if tag in _VOID:
             return
-        _, main, frame, content = self.open[-1]
-        header = tag == "header" or _HEADER_NAME.search(named)
-        frame = frame or hidden or tag in _FRAME or (bool(header) and not main) or bool(_FRAME_NAME.search(named))
-        main = (main or tag in ("article", "main") or names.get("role", "").lower() == "main") and not frame
+        _, main, frame, content, sure = self.open[-1]
+        role = names.get("role", "").lower()
+        article = tag in ("article", "main") or role == "main"
+        by_name = tag not in ("html", "body") and _frame_named(named)
+        listed = by_name and bool(_LIST_NAME.search(named))
+        sure = sure or hidden or tag in _FRAME or role in _FRAME_ROLE or listed or (by_name and main)
+        if article and not sure and (frame or by_name):
+            self.wrapped = True
+            if self.unwrap:
+                frame = by_name = False
+        header = tag == "header" or (tag not in ("html", "body") and bool(_HEADER_NAME.search(named)) and not article)
+        frame = frame or hidden or tag in _FRAME or (header and not main) or by_name
+        main = (main or article) and not frame
         content = (content or bool(_CONTENT_NAME.search(named))) and not frame
-        self.open.append((tag, main, frame, content))
+        self.open.append((tag, main, frame, content, sure))
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -130,7 +155,14 @@ class _Page:
 
 def flatten(page: str) -> list[tuple]:
     """The blocks of a page in order."""
-    out, at = _Page(), 0
+    out = _read(page)
+    if out.wrapped and not any(b[3] for b in out.blocks):
+        out = _read(page, unwrap=True)
+    return out.blocks
+
+
+def _read(page: str, unwrap: bool = False) -> _Page:
+    out, at = _Page(unwrap), 0
     while m := _TAG.search(page, at):
         out.text(page[at:m.start()])
         at = m.end()
@@ -148,7 +180,7 @@ def flatten(page: str) -> list[tuple]:
             out.start(tag, m[3] or m[6] or "")
     out.text(page[at:])
     out.end_block()
-    return out.blocks
+    return out
 
 
 def features(blocks: list[tuple]) -> list[tuple[float, ...]]:
@@ -193,6 +225,10 @@ def training_pages() -> list[str]:
             # Plain blocks outside a main part.
             f"<div>{text}</div><main><p>{MARK}{_words(2)}</p><p>{MARK}{text}</p><p>{MARK}<a href='/p'>{_words(n, '')}</a></p></main><p>{text}</p><div>{tail}</div>",
             f"<p>{text}</p><h2>{_words(3, '')}</h2><article><h1>{MARK}{_words(1, '')}</h1><div>{MARK}{text}</div></article><p>{text}</p><h2>{_words(4, '')}</h2>",
+            # Wrappers of the whole page whose names hold a frame's.
+            f"<body class='single no-sidebar'><nav><ul>{_links(1, 2)}</ul></nav><article><h1>{MARK}{_words(6, '')}</h1><p>{MARK}{text}</p></article>"
+            f"<div class='sidebar'><p>{text}</p></div></body>",
+            f"<div class='sidebar-left'><div class='menu'>{_links(1, 1)}</div><main><p>{MARK}{text}</p><p>{MARK}{tail}</p></main><footer>{text}</footer></div>",
             # Content only by name.
             f"<div id='menu'>{_links(1, 2, 1)}</div><div class='content'><h1>{MARK}{_words(5, '')}</h1><p>{MARK}{text}</p><p>{MARK}{_words(6)}</p>"
             f"<p>{MARK}{tail}</p></div><div class='footer'><p>{text}</p></div>",
