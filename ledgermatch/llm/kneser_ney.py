@@ -12,7 +12,7 @@ the counts, and the answers go back to the block, which sums over its texts. No
 a shard. The log perplexity is over the whole text, per character.
 
 The limits come from the held-out good texts of each language: the excess over the language's median, scaled by the
-root of the text's length (up to ``STEADY`` characters), may be at most ``SLACK`` times the upper quantile seen there. Languages with
+root of the text's length (up to ``STEADY`` characters), may be at most the upper quantile ``QUANTILE`` seen there. Languages with
 few held-out texts take the limits of all.
 
 Nulls: a null or empty text has no perplexity and is not kept; a null language is a group of its own; labels with null
@@ -44,7 +44,7 @@ CLASSES = 1 << BITS
 HELD_OUT = 5  # one good text in so many is not counted but sets the limits
 MIN_GROUP = 30
 STEADY = 400
-QUANTILE, SLACK = 0.99, 2.0
+QUANTILE = 0.995
 BLOCK_CHARS = 24 << 20
 RANGE_BITS = 12  # a block's lists are cut by the top bits of the hash
 SHARD_KEYS = 1_000_000  # keys asked for per shard at most, as far as there are ranges
@@ -406,9 +406,8 @@ def _limits(held: DataFrame) -> DataFrame:
     both = cut(held.where("__ppl IS NOT NULL").select(F.explode(F.array(F.coalesce("lang", F.lit("")), F.lit("*"))).alias("group"), "__ppl", "__n"))
     middle = both.groupBy("group").agg(F.count("*").alias("n"), F.percentile_approx("__ppl", 0.5, 10_000).alias("median")) \
         .where((F.col("n") >= MIN_GROUP) | (F.col("group") == "*"))
-    wide = both.join(small_side(middle), "group").withColumn("z", _excess(F.col("median"))) \
-        .groupBy("group", "median").agg(F.percentile_approx("z", QUANTILE, 10_000).alias("z"))
-    return wide.select("group", "median", (SLACK * F.greatest("z", F.lit(1.0))).alias("limit"))
+    return both.join(small_side(middle), "group").withColumn("z", _excess(F.col("median"))) \
+        .groupBy("group", "median").agg(F.percentile_approx("z", QUANTILE, 10_000).alias("limit"))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:

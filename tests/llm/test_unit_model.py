@@ -77,3 +77,10 @@ def test_toxic_texts_are_not_trusted(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, None), (4, 1, 0), (4, 1, 1), (5, 0, 0), (6, 1, 0), (6, None, 1), (7, None, 0), (None, 1, 0)],
                                    "doc_id long, quality int, toxic int")
     assert {r.label_id for r in kneser_ney.trusted_labels(labels).collect()} == {1, 3}
+
+
+def test_limit_is_the_quantile_of_held_out_texts(spark):
+    held = spark.createDataFrame([("en", 1.0 + i / 1000, 400) for i in range(200)], "lang string, __ppl double, __n long")
+    for r in kneser_ney._limits(held).collect():
+        over = sum(r["median"] + r["limit"] / 20 < 1.0 + i / 1000 for i in range(200))
+        assert r["limit"] < 2.0 and 0 < over <= 2
