@@ -27,6 +27,8 @@ GRAM = 7
 KEEP = WINDOW - GRAM + 1  # hashes a window is reduced from
 #: Item hashes up to this number are broadcast (about 24 bytes each); beyond it both sides are shuffled by hash.
 MAX_BROADCAST_HASHES = 200_000
+#: Words of whole items that are broadcast (8 bytes each) to extend matches along; beyond it Spark chooses the join.
+MAX_BROADCAST_WORDS = 4_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -133,6 +135,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                       ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def _item_words(items: DataFrame) -> DataFrame:
+    """(item, words), marked for broadcast if items and words are few."""
+    words = items.select("item", "words")
+    n = items.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    return small_side(words) if n <= MAX_BROADCAST_WORDS else words
+
+
 def _extended(docs: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFrame:
     """(doc_id, text_key, item, at): the words hit along the alignments."""
     al = aligned.withColumnsRenamed({"doc_id": "__d", "text_key": "__k"})
@@ -141,7 +150,7 @@ def _extended(docs: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFram
         .dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", word_hashes(F.col("text")).alias("doc_words"))
     # Only the part of the document beside the item goes on.
     pairs = texts.join(al, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_key") == F.col("__k"))) \
-        .join(small_side(items.select("item", "words")), "item")
+        .join(_item_words(items), "item")
     first, beside = F.greatest(F.col("shift"), F.lit(0)), F.size("words") + F.col("shift")
     pairs = pairs.select("doc_id", "text_key", "item", "words", "shift",
                          F.slice("doc_words", first + 1, F.greatest(beside - first, F.lit(0))).alias("part"))
