@@ -120,4 +120,70 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (i)"""
 
 
+VECTOR_SEARCH = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, min(v) AS v FROM whole GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS score
+  FROM e q JOIN e c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM r WHERE rank <= 20"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM pieces, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size),
+f AS (SELECT lang, phrase, size, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY 1),
+candidate AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 10),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:size], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, x.a AS l, y.a AS r, (1000000::HUGEINT * cut.a * cut.a // (x.a::HUGEINT * y.a))::BIGINT AS score, k
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = first JOIN f y ON y.lang = cut.lang AND y.phrase = rest),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+cover AS (
+  SELECT lang, part, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM candidate WHERE size = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN cover c ON c.lang = s.lang AND c.part = s.phrase WHERE c.a IS NULL OR 100 * c.a < 50 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce([n] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT unnest(range(256)) AS n)),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || list_transform(
+           regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'), lambda x: ('0x' || x)::BIGINT),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM runs, steps),
+slipped AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT x.word AS a, y.word AS b FROM cuts x JOIN cuts y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+    UNION ALL SELECT x.word, w.word FROM cuts x JOIN words w ON w.word = x.rest
+    UNION ALL SELECT w.word, x.word FROM cuts x JOIN words w ON w.word = x.rest)),
+near AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(b, (-w.n, b)) AS best, max(w.n) AS best_n FROM pairs JOIN words w ON w.word = b GROUP BY a),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+chain AS (
+  SELECT word, word AS reached FROM formed UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.reached WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, reached AS root FROM chain JOIN formed f ON f.word = chain.reached WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
+
+
 QUALITY_RULES = _quality_rules()

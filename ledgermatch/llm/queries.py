@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermatch.llm import (decontaminate, html_extract, kneser_ney, minhash, oracle, packing, quality_rules, sharding, token_counts,
-                             token_files, url_filter)
+from ledgermatch.llm import (collocations, decontaminate, html_extract, kneser_ney, minhash, oracle, packing, quality_rules, sharding,
+                             spelling, token_counts, token_files, url_filter, vector_search)
 from ledgermatch.llm.common import read
 
 #: (host, path, verdict) of op8.
@@ -59,9 +59,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(spark, read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search_embeddings(read(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_token_files, op3_near_duplicates, op4_quality_rules, op5_token_counts, op6_decontamination, op7_sharding,
-    op8_url_filter, op9_quality_classifier, op10_packing)}
+    op8_url_filter, op9_quality_classifier, op10_packing, op11_vector_search, op12_collocations, op13_spelling_variants)}
 
 # The other queries cannot be expressed: they hold a trained tree or model, or the ids of a tokenizer. Their tests use brute force.
 ORACLE_SQL = {
@@ -70,4 +82,7 @@ ORACLE_SQL = {
     "op6_decontamination": oracle.DECONTAMINATION,
     "op7_sharding": oracle.SHARDING,
     "op8_url_filter": oracle.url_filter(URL_RULES),
+    "op11_vector_search": oracle.VECTOR_SEARCH,
+    "op12_collocations": oracle.COLLOCATIONS,
+    "op13_spelling_variants": oracle.SPELLING_VARIANTS,
 }
