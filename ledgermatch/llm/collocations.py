@@ -5,6 +5,11 @@ the window it runs into, so chunks overlap by that window and equal texts are cu
 chunks are the dictionary, their counts the parse frequencies. A phrase starts in exactly one chunk before its overlap and
 ends inside it, so phrases are counted once per distinct chunk, weighted by the chunk's frequency.
 
+Nearly all phrases are rare, and a phrase is as frequent as its parts at most. So phrases of one and two words are first
+counted by hashes of 64 bits, in shards whose number follows the dictionary; the frequent ones set bits of a filter of fixed
+size (16 MB). Texts are then counted of what the filter lets through. It may let rare phrases through, more of them as it
+fills, and holds back no frequent one: the counts by text decide.
+
 Nulls, empty texts and texts of separators alone have no words. A null language is ``und``. Repeated rows count as often as
 they stand. An empty table gives no rows. Other columns are not read. Long texts are parsed a few hundred KB at a time, cut
 between pieces.
@@ -14,10 +19,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +34,10 @@ from ledgermatch.llm.common import fresh_path, release, slices
 PERIOD = 6
 #: Entries a task counts in memory before it hands them on.
 HELD = 300_000
+#: Hashes a task holds before it hands them on, and those of a shard (about).
+HELD_HASHES, SHARD_HASHES = 2_000_000, 2_000_000
+#: Size of the filter of frequent phrases: 2^27 bits are 16 MB.
+FILTER_BITS = 27
 #: Bytes of one text parsed at once.
 BLOCK = 1 << 18
 #: Parts in which a language's best rows are found before its own order is made.
@@ -101,34 +112,126 @@ def _parse(window: int):
     return run
 
 
-def _count(max_words: int):
+class _Grams:
+    """The words of a batch of chunks laid out flat, with hashes of their phrases of one and two words."""
+
+    def __init__(self, batch: pa.RecordBatch, window: int):
+        self.langs = batch.column("lang").to_pylist()
+        parts = [c.split(b" ") for c in batch.column("phrase").cast(pa.binary()).to_pylist()]
+        runs_on = np.array([not p[-1] for p in parts])
+        lengths = np.array([len(p) for p in parts])
+        self.words = [w for p in parts for w in p]
+        self.chunk = np.repeat(np.arange(len(parts)), lengths)
+        place = np.arange(len(self.words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        total = (lengths - runs_on)[self.chunk]
+        #: A phrase belongs to the chunk if it starts before the overlap; ``left`` words follow from its place to the chunk's end.
+        self.own = place < (lengths - runs_on * (1 + window))[self.chunk]
+        self.left = total - place
+        self.n = batch.column("n").to_numpy()[self.chunk]
+        seeds = np.array([crc32(lang.encode()) for lang in self.langs])[self.chunk].tolist()
+        self.one = np.fromiter(map(xxhash.xxh64_intdigest, self.words, seeds), np.uint64, len(self.words))
+        self.two = self.longer(self.one, 1)
+
+    def longer(self, hashes: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the phrases of one word more, from those of ``size`` words that start at each place."""
+        following = np.append(self.one[size:], np.zeros(min(size, len(self.one)), np.uint64))
+        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + following
+        return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+
+
+def _summed(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in ascending order, their sums, and a place of each."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.empty(0, bool))
+    return ordered[first], np.add.reduceat(n[order], first) if len(first) else n[:0], order[first]
+
+
+def _hashed_counts(window: int, shard_bits: int):
+    """(shard, hashes, counts): phrases of one and two words of many chunks, by the leading bits of their hashes."""
+    def flush(hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        found, n, _ = _summed(np.concatenate(hashes), np.concatenate(counts))
+        # Counts matter up to the least one asked for; a byte holds enough of them.
+        n = np.minimum(n, 255).astype(np.uint8)
+        shard = (found >> np.uint64(64 - shard_bits)).astype(np.int64)
+        cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)).tolist()
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([int(shard[a]) for a, _ in spans], pa.int64()), pa.array([found[a:z].tobytes() for a, z in spans], pa.binary()),
+             pa.array([n[a:z].tobytes() for a, z in spans], pa.binary())], ["shard", "hashes", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, held = [], [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grams = _Grams(batch, window)
+            pair = grams.own & (grams.left > 1)
+            hashes += [grams.one[grams.own], grams.two[pair]]
+            counts += [grams.n[grams.own], grams.n[pair]]
+            held += len(hashes[-1]) + len(hashes[-2])
+            if held > HELD_HASHES:
+                yield flush(hashes, counts)
+                hashes, counts, held = [], [], 0
+        if held:
+            yield flush(hashes, counts)
+    return run
+
+
+def _frequent_bits(min_count: int, shard_bits: int):
+    """One slice of the filter: the bits of the shard's hashes that occur often enough."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()])
+        n = np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]).astype(np.int64)
+        found, total, _ = _summed(hashes, n)
+        bits = np.zeros(1 << (FILTER_BITS - shard_bits), dtype=bool)
+        places = (found[total >= min_count] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        bits[places - (key[0].as_py() << (FILTER_BITS - shard_bits))] = True
+        return pa.table({"shard": [key[0].as_py()], "bits": pa.array([compress(np.packbits(bits).tobytes(), 1)], pa.binary())})
+    return run
+
+
+def _filter(chunks: DataFrame, max_words: int, min_count: int, own_words: int) -> np.ndarray:
+    """Bits of the hashes of frequent phrases of one and two words; ``1 << FILTER_BITS`` bits whatever the size of the corpus."""
+    shard_bits = min(max(4, (2 * own_words // SHARD_HASHES).bit_length()), FILTER_BITS - 3)
+    counted = chunks.mapInArrow(_hashed_counts(max_words - 1, shard_bits), "shard long, hashes binary, counts binary")
+    slices_ = counted.groupBy("shard").applyInArrow(_frequent_bits(min(min_count, 255), shard_bits), "shard long, bits binary").collect()
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    size = 1 << (FILTER_BITS - 3 - shard_bits)
+    for row in slices_:
+        out[row.shard * size:(row.shard + 1) * size] = np.frombuffer(decompress(row.bits), np.uint8)
+    return out
+
+
+def _count(max_words: int, frequent: Broadcast):
+    """Phrases by their text; of one and two words those that the filter lets through, longer ones if all their pairs do."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = frequent.value
         counts: dict[str, Counter] = {}
-        held = 0
+
+        def passes(hashes: np.ndarray) -> np.ndarray:
+            place = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool)
+
         for batch in batches:
-            rows = zip(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()).to_pylist(),
-                       batch.column("n").to_pylist(), strict=True)
-            for lang, chunk, n in rows:
-                counter = counts.setdefault(lang, Counter())
-                held -= len(counter)
-                words = chunk.split(b" ")
-                own = len(words)
-                if not words[-1]:
-                    words.pop()
-                    own = len(words) - max_words + 1
-                grams = words[:own]
-                for size in range(1, max_words + 1):
-                    if size > 1:
-                        grams = [a + b" " + b for a, b in zip(grams, words[size - 1:])]  # noqa: B905 - the shorter one ends it
-                    if n == 1:
-                        counter.update(grams)
-                    else:
-                        for gram in grams:
-                            counter[gram] += n
-                held += len(counter)
-                if held > HELD:
-                    yield from _emit(counts)
-                    held = 0
+            if not batch.num_rows:
+                continue
+            grams = _Grams(batch, max_words - 1)
+            pairs = (grams.left > 1) & passes(grams.two)
+            hashes, fits = grams.one, passes(grams.one)
+            for size in range(1, max_words + 1):
+                if size == 2:
+                    hashes, fits = grams.two, pairs
+                elif size > 2:
+                    hashes = grams.longer(hashes, size - 1)
+                    fits = fits & np.append(pairs[size - 2:], np.zeros(min(size - 2, len(pairs)), bool)) & (grams.left >= size)
+                rows = np.flatnonzero(fits & grams.own)
+                _, n, first = _summed(hashes[rows], grams.n[rows])
+                for row, more in zip(rows[first].tolist(), n.tolist(), strict=True):
+                    counter = counts.setdefault(grams.langs[grams.chunk[row]], Counter())
+                    counter[b" ".join(grams.words[row:row + size])] += more
+            if sum(map(len, counts.values())) > HELD:
+                yield from _emit(counts)
         yield from _emit(counts)
     return run
 
@@ -166,9 +269,12 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, cover
     chunks = spark.read.parquet(path)
     # Words that a chunk owns: the last field of a chunk that runs on is empty, and its overlap belongs to the next.
     own = F.size(F.split("phrase", " ")) - F.when(F.col("phrase").endswith(" "), 1 + window).otherwise(0)
-    totals = chunks.groupBy("lang").agg(F.sum(F.col("n") * own).alias("n"))
-
-    counted = chunks.mapInArrow(_count(max_words), _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
+    totals = chunks.groupBy("lang").agg(F.sum(F.col("n") * own).alias("n"), F.sum(own).alias("n_own"))
+    own_words = totals.agg(F.sum("n_own")).first()[0] or 0
+    totals = totals.drop("n_own")
+    frequent = spark.sparkContext.broadcast(_filter(chunks, max_words, min_count, own_words))
+    release(spark)
+    counted = chunks.mapInArrow(_count(max_words, frequent), _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
     path = fresh_path(spark, "phrases")
     # The parts of a frequent phrase are as frequent at least, so rarer ones are needed nowhere.
     counted.where(F.col("a") >= min_count).withColumn("words", _n_words("phrase")).write.parquet(path)
