@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from zlib import compress, crc32, decompress
 
 import numpy as np
@@ -34,8 +35,8 @@ from ledgermatch.llm.common import fresh_path, release, slices
 PERIOD = 6
 #: Entries a task counts in memory before it hands them on.
 HELD = 300_000
-#: Hashes a task holds before it hands them on, and those of a shard (about).
-HELD_HASHES, SHARD_HASHES = 2_000_000, 2_000_000
+#: Bytes of chunks that a task counts at once, and hashes of a shard (about).
+HELD_BYTES, SHARD_HASHES = 10 << 20, 2_000_000
 #: Size of the filter of frequent phrases: 2^27 bits are 16 MB.
 FILTER_BITS = 27
 #: Bytes of one text parsed at once.
@@ -112,45 +113,68 @@ def _parse(window: int):
     return run
 
 
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Grams:
-    """The words of a batch of chunks laid out flat, with hashes of their phrases of one and two words."""
-
-    def __init__(self, batch: pa.RecordBatch, window: int):
-        self.langs = batch.column("lang").to_pylist()
-        parts = [c.split(b" ") for c in batch.column("phrase").cast(pa.binary()).to_pylist()]
-        runs_on = np.array([not p[-1] for p in parts])
-        lengths = np.array([len(p) for p in parts])
-        self.words = [w for p in parts for w in p]
-        self.chunk = np.repeat(np.arange(len(parts)), lengths)
-        place = np.arange(len(self.words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        total = (lengths - runs_on)[self.chunk]
+    """The words of many chunks laid out flat as numbers, with hashes of their phrases of one and two words."""
+
+    def __init__(self, chunks: pa.Table, window: int):
+        parts = [c.split(b" ") for c in chunks.column("phrase").cast(pa.binary()).to_pylist()]
+        runs_on = np.fromiter((not p[-1] for p in parts), bool, len(parts))
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        words = list(chain.from_iterable(parts))
+        numbers = _Numbers()
+        self.word = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        self.words = list(numbers)
+        langs = _Numbers()
+        lang = np.fromiter(map(langs.__getitem__, chunks.column("lang").to_pylist()), np.int64, len(parts))
+        self.langs, self.lang = list(langs), np.repeat(lang, lengths)
+        ends = np.cumsum(lengths)
+        place = np.arange(len(words)) - np.repeat(ends - lengths, lengths)
         #: A phrase belongs to the chunk if it starts before the overlap; ``left`` words follow from its place to the chunk's end.
-        self.own = place < (lengths - runs_on * (1 + window))[self.chunk]
-        self.left = total - place
-        self.n = batch.column("n").to_numpy()[self.chunk]
-        seeds = np.array([crc32(lang.encode()) for lang in self.langs])[self.chunk].tolist()
-        self.one = np.fromiter(map(xxhash.xxh64_intdigest, self.words, seeds), np.uint64, len(self.words))
-        self.two = self.longer(self.one, 1)
-
-    def longer(self, hashes: np.ndarray, size: int) -> np.ndarray:
-        """Hashes of the phrases of one word more, from those of ``size`` words that start at each place."""
-        following = np.append(self.one[size:], np.zeros(min(size, len(self.one)), np.uint64))
-        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + following
-        return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-
-
-def _summed(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes in ascending order, their sums, and a place of each."""
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.empty(0, bool))
+        self.own = place < np.repeat(lengths - runs_on * (1 + window), lengths)
+        self.left = np.repeat(lengths - runs_on, lengths) - place
+        self.n = np.repeat(chunks.column("n").to_numpy(), lengths)
+        seeds = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.langs), np.uint64, len(self.langs))
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        #: Hashes with the language in them, of the words and of each two neighbours.
+        self.one = _mixed(seeds[self.lang], hashes[self.word])
+        self.two = _mixed(self.one, np.append(hashes[self.word[1:]], np.zeros(min(1, len(words)), np.uint64)))
+
+
+def _mixed(hashes: np.ndarray, more: np.ndarray) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + more
+    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Some ``HELD_BYTES`` of chunks at a time."""
+    waiting, held = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        held += batch.nbytes
+        if held > HELD_BYTES:
+            yield pa.Table.from_batches(waiting).combine_chunks()
+            waiting, held = [], 0
+    if held:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order, their sums, and a place of each."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, np.int64)
     return ordered[first], np.add.reduceat(n[order], first) if len(first) else n[:0], order[first]
 
 
 def _hashed_counts(window: int, shard_bits: int):
     """(shard, hashes, counts): phrases of one and two words of many chunks, by the leading bits of their hashes."""
-    def flush(hashes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
-        found, n, _ = _summed(np.concatenate(hashes), np.concatenate(counts))
+    def flush(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         # Counts matter up to the least one asked for; a byte holds enough of them.
         n = np.minimum(n, 255).astype(np.uint8)
         shard = (found >> np.uint64(64 - shard_bits)).astype(np.int64)
@@ -161,20 +185,18 @@ def _hashed_counts(window: int, shard_bits: int):
              pa.array([n[a:z].tobytes() for a, z in spans], pa.binary())], ["shard", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts, held = [], [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            grams = _Grams(batch, window)
+        for chunks in _gathered(batches):
+            grams = _Grams(chunks, window)
             pair = grams.own & (grams.left > 1)
-            hashes += [grams.one[grams.own], grams.two[pair]]
-            counts += [grams.n[grams.own], grams.n[pair]]
-            held += len(hashes[-1]) + len(hashes[-2])
-            if held > HELD_HASHES:
-                yield flush(hashes, counts)
-                hashes, counts, held = [], [], 0
-        if held:
-            yield flush(hashes, counts)
+            hashes, n = np.concatenate([grams.one[grams.own], grams.two[pair]]), np.concatenate([grams.n[grams.own], grams.n[pair]])
+            # Most chunks stand once: their hashes are sorted without weights.
+            once = np.sort(hashes[n == 1])
+            if len(once):
+                first = np.flatnonzero(np.append(True, once[1:] != once[:-1]))
+                yield flush(once[first], np.diff(np.append(first, len(once))))
+            found, total, _ = _summed(hashes[n > 1], n[n > 1])
+            if len(found):
+                yield flush(found, total)
     return run
 
 
@@ -207,32 +229,34 @@ def _count(max_words: int, frequent: Broadcast):
     """Phrases by their text; of one and two words those that the filter lets through, longer ones if all their pairs do."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = frequent.value
-        counts: dict[str, Counter] = {}
 
         def passes(hashes: np.ndarray) -> np.ndarray:
             place = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
             return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            grams = _Grams(batch, max_words - 1)
+        for chunks in _gathered(batches):
+            grams = _Grams(chunks, max_words - 1)
             pairs = (grams.left > 1) & passes(grams.two)
-            hashes, fits = grams.one, passes(grams.one)
+            # ``number`` tells the phrases of a size apart: a word in its language, then a shorter phrase and the next word.
+            fits, number = grams.own & passes(grams.one), grams.lang << 32 | grams.word
             for size in range(1, max_words + 1):
-                if size == 2:
-                    hashes, fits = grams.two, pairs
-                elif size > 2:
-                    hashes = grams.longer(hashes, size - 1)
+                if size > 1:
                     fits = fits & np.append(pairs[size - 2:], np.zeros(min(size - 2, len(pairs)), bool)) & (grams.left >= size)
-                rows = np.flatnonzero(fits & grams.own)
-                _, n, first = _summed(hashes[rows], grams.n[rows])
-                for row, more in zip(rows[first].tolist(), n.tolist(), strict=True):
-                    counter = counts.setdefault(grams.langs[grams.chunk[row]], Counter())
-                    counter[b" ".join(grams.words[row:row + size])] += more
-            if sum(map(len, counts.values())) > HELD:
-                yield from _emit(counts)
-        yield from _emit(counts)
+                places = np.flatnonzero(fits)
+                if not len(places):
+                    break
+                if size > 1:
+                    number[places] = number[places] << 32 | grams.word[places + size - 1]
+                distinct, number[places] = np.unique(number[places], return_inverse=True)
+                n = np.bincount(number[places], weights=grams.n[places]).astype(np.int64)
+                at = np.empty(len(distinct), np.int64)
+                at[number[places]] = places
+                texts = list(map(b" ".join, zip(*(map(grams.words.__getitem__, grams.word[at + k].tolist()) for k in range(size)), strict=True)))
+                lang = [grams.langs[k] for k in grams.lang[at].tolist()]
+                for k in range(0, len(texts), 50_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lang[k:k + 50_000], pa.string()), pa.array(texts[k:k + 50_000], pa.binary()).cast(pa.string()),
+                         pa.array(n[k:k + 50_000])], ["lang", "phrase", "n"])
     return run
 
 
