@@ -29,10 +29,10 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import fresh_path, release, slices
+from ledgermatch.llm.common import cut, fresh_path, release, slices
 
-#: One window in so many starts a chunk.
-PERIOD = 6
+#: One window in so many starts a chunk. Pieces end chunks as well, so a change resynchronises within a sentence anyway.
+PERIOD = 32
 #: Entries a task counts in memory before it hands them on.
 HELD = 300_000
 #: Bytes of chunks that a task counts at once, and hashes of a shard (about).
@@ -293,7 +293,7 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, cover
     chunks = spark.read.parquet(path)
     # Words that a chunk owns: the last field of a chunk that runs on is empty, and its overlap belongs to the next.
     own = F.size(F.split("phrase", " ")) - F.when(F.col("phrase").endswith(" "), 1 + window).otherwise(0)
-    totals = chunks.groupBy("lang").agg(F.sum(F.col("n") * own).alias("n"), F.sum(own).alias("n_own"))
+    totals = cut(chunks.groupBy("lang").agg(F.sum(F.col("n") * own).alias("n"), F.sum(own).alias("n_own")))
     own_words = totals.agg(F.sum("n_own")).first()[0] or 0
     totals = totals.drop("n_own")
     frequent = spark.sparkContext.broadcast(_filter(chunks, max_words, min_count, own_words))
