@@ -1,19 +1,35 @@
-"""Incremental load: rows whose serial number was not seen before."""
+"""Incremental load: rows whose serial number was not seen before.
+
+A run compares serials, not rows: the distinct serials of the ledger (a narrow scan) lose those of the base, and the few
+that are left pick their rows. In a monthly run these are broadcast, so the wide ledger is not shuffled at all.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.operators.harmonize import registry_serial
+from ledgermatch.session import written
 
 # Null keys never match, so they are replaced by a per-row key no serial can
 # equal. Without this every null-serial row would hash to one reducer.
 _NULL_KEY_PREFIX = "\u0000"
 
+#: New serials of at most so many rows and bytes are sent to every executor; beyond that Spark chooses the join.
+SMALL_ROWS, SMALL_BYTES = 500_000, 32 << 20
+
+
+#: Column of a bucketed base: the serial text, or for a null one a key that matches nothing.
+BUCKET_KEY = "_bucket_key"
+
 
 def base_serials(base: DataFrame) -> DataFrame | None:
-    """Distinct known serials as text: ``serialnumber``, else ``serialnumber_fixed``."""
+    """Distinct known serials as text: ``serialnumber``, else ``serialnumber_fixed``; of a bucketed base by its own key."""
+    if BUCKET_KEY in base.columns:
+        return (base.select(F.col(BUCKET_KEY).alias("_serial")).filter(~F.col("_serial").startswith(_NULL_KEY_PREFIX)).distinct())
     for name in ("serialnumber", "serialnumber_fixed"):
         if name in base.columns:
             return (base.select(F.col(name).cast("string").alias("_serial"))
@@ -41,15 +57,52 @@ def anti_join_serials(df: DataFrame, serial: Column, seen: DataFrame | None) ->
     return keyed.join(seen, "_serial", "left_anti").drop("_serial")
 
 
+def rows_of_serials(df: DataFrame, serial: Column, serials: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose serial text is in ``serials._serial`` (distinct, written), and all rows without a serial.
+
+    One pass over ``df``. A join that shuffles gives rows without a serial keys of their own.
+    """
+    rows, size = serials.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_serial")), F.lit(0))).first()
+    marked = serials.select("_serial", F.lit(True).alias("_is_new"))
+    if rows <= SMALL_ROWS and size <= SMALL_BYTES:
+        marked = F.broadcast(marked)
+    keyed = df.withColumn("_none", serial.isNull()).withColumn("_serial", spread_key(serial))
+    return keyed.join(marked, "_serial", "left").filter(F.col("_none") | F.col("_is_new")).drop("_serial", "_none", "_is_new")
+
+
 def find_new_rows(ledger: DataFrame, base: DataFrame,
                   registry_columns: dict[str, set[str]] | None = None) -> DataFrame:
     """New rows of a mixed registry ledger against the base's serial set.
 
     The serial set is global (not per registry); rows of a registry without a
-    serial column are all new; duplicates inside the batch stay.
+    serial column are all new; duplicates inside the batch stay. The new serials
+    are written down when this is called. ``base`` may be bucketed by its serial
+    (``write_bucketed``): then it is not shuffled.
     """
+    seen = base_serials(base)
+    if seen is None:
+        return ledger
     serial = registry_serial(ledger, registry_columns)
-    return anti_join_serials(ledger, serial, base_serials(base))
+    own = ledger.select(serial.alias("_serial")).filter(F.col("_serial").isNotNull()).distinct()
+    return rows_of_serials(ledger, serial, written(own.join(seen, "_serial", "left_anti"), "new_serials"))
+
+
+def write_bucketed(base: DataFrame, table: str, buckets: int, path: str | None = None, serial: str = "serialnumber") -> DataFrame:
+    """``base`` as a table bucketed and sorted by its serial text, read back; ``buckets`` should be the shuffle's partitions.
+
+    Serials are hashed once, when the base is written: every later run joins its serials to the buckets as they lie. Rows
+    without a serial are dealt over the buckets under keys that match nothing, so they do not meet in one.
+    """
+    if not re.fullmatch(r"\w+", table):
+        raise ValueError(f"not a table name: {table}")
+    spark: SparkSession = base.sparkSession
+    # The column that is bucketed is never null; the serial itself stays as it is.
+    keyed = base.withColumn(BUCKET_KEY, spread_key(F.col(serial).cast("string")))
+    writer = keyed.repartition(buckets, BUCKET_KEY).write.mode("overwrite").bucketBy(buckets, BUCKET_KEY).sortBy(BUCKET_KEY)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return spark.table(table)
 
 
 def snapshot_diff(new: DataFrame, previous: DataFrame | None, registry_col: str = "registry_key",

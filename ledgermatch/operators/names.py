@@ -6,17 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermatch.functions.text import blank_to_empty, normalize_folded
-from ledgermatch.functions.unicode_fold import fold_single, fold_udf, has_multi_char_fold
-
-
-def _folded(df: DataFrame, text: Column, out: str) -> DataFrame:
-    """Add ``out`` = accent fold of ``text`` in one pass over the frame.
-
-    Texts with a code point that folds to several characters (rare) go through
-    the Arrow UDF; for all others it gets a null and the fold stays on the JVM.
-    """
-    rare = F.when(has_multi_char_fold(text), text)
-    return df.withColumn(out, F.coalesce(fold_udf(rare), fold_single(text)))
+from ledgermatch.functions.unicode_fold import fold
 
 
 def normalize_names(df: DataFrame, col: str, out: str, suffixes: list[str] | None = None,
@@ -28,10 +18,10 @@ def normalize_names(df: DataFrame, col: str, out: str, suffixes: list[str] | Non
     text = blank_to_empty(F.col(col))
     if only_when is not None:
         text = F.when(only_when, text)
-    folded = _folded(df, text, "__folded")
+    folded = df.withColumn("__folded", fold(text))
     return folded.withColumn(out, normalize_folded(F.col("__folded"), suffixes)).drop("__folded")
 
 
 def fold_accents(df: DataFrame, col: str, out: str) -> DataFrame:
     """Accent-folded copy of a text column (NFKD, combining marks dropped)."""
-    return _folded(df, F.col(col), out)
+    return df.withColumn(out, fold(F.col(col)))

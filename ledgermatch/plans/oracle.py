@@ -433,6 +433,7 @@ def _sql() -> dict[str, str]:
       UNION ALL SELECT 'year', CAST(retirement_year AS VARCHAR), {STATS('output')}, NULL FROM output
         WHERE retirement_year IS NOT NULL GROUP BY retirement_year
       UNION ALL SELECT 'method', match_method, count(*), NULL, NULL, NULL, NULL FROM output GROUP BY match_method"""
+    q["rollup_maintained"] = q["summary_rollup"]
     q["registry_share"] = w + f"""
       SELECT upper(registry) AS registry_key, sum(total_mtco2) AS total_mtco2, sum(matched_mtco2) AS matched_mtco2
       FROM (SELECT registry, {STATS('output')} FROM output GROUP BY registry) GROUP BY 1"""
@@ -476,6 +477,7 @@ def _sql() -> dict[str, str]:
       matched_name, match_confidence, match_method FROM new_matched"""
     q["new_rows_anti"] = w + " SELECT seq, registry_key, serial FROM new_rows"
     q["stream_new_rows"] = q["new_rows_anti"]
+    q["new_rows_bucketed"] = q["new_rows_anti"]
     q["snapshot_diff"] = w + """ SELECT seq, registry_key, serial FROM ledger_rows l
       WHERE serial IS NULL OR serial NOT IN (
         SELECT serial FROM ledger_rows p WHERE p.retirement_year <= 2000 AND p.serial IS NOT NULL
@@ -572,6 +574,18 @@ def _sql() -> dict[str, str]:
            WHEN coalesce(sum(quantity), 0) >= 1e3 THEN printf('%.0f', round_even(sum(quantity) / 1e3, 0)) || 'K'
            ELSE printf('%,.0f', round_even(coalesce(sum(quantity), 0), 0)) END AS quantity_label
       FROM report"""
+    places = {"all": "true", "years": "coalesce(retirement_year BETWEEN 1996 AND 1999, false)",
+              "places": """coalesce(hq_country_name IN ('United States', 'Brazil', 'Germany', 'Cyprus', 'DR Congo'), false)
+                AND coalesce(country_clean IN ('Brazil', 'India', 'Kenya', 'Peru', 'Laos'), false)""",
+              "kinds": """coalesce(retirement_year BETWEEN 1993 AND 1998, false)
+                AND coalesce(project_category IN ('Renewable Energy', 'Other', 'Transport'), false)"""}
+    q["report_metrics_cube"] = w + " UNION ALL ".join(f""" SELECT '{name}' AS choice, coalesce(sum(quantity), 0.0) AS total_quantity,
+      count(*) AS transactions, count(DISTINCT factset_entity_id) AS unique_firms, count(DISTINCT country_clean) AS countries
+      FROM report WHERE {test}""" for name, test in places.items())
+    searches = ["firm (1|2)[0-9]$", "firm 3", "FIRM", "irm 1[05]", "^firm 4", "7$", "firm 1.?$", "(firm|company) 2", "m 4+$", "none of them"]
+    q["firm_search"] = w + " UNION ALL ".join(f""" SELECT '{p}' AS pattern, count(*) AS rows, coalesce(sum(quantity), 0.0) AS quantity
+      FROM report WHERE coalesce(regexp_matches(matched_name, '(?i){p}'), false)""" for p in searches)
+    q["firm_layout"] = w + " SELECT factset_entity_id, entity_proper_name, iso_country, isin, lei FROM firms"
     q["category_share"] = w + """ SELECT category, tonnes, tonnes / sum(tonnes) OVER () * 100 AS pct,
       CASE WHEN tonnes / sum(tonnes) OVER () * 100 >= 1 THEN printf('%.1f%%', tonnes / sum(tonnes) OVER () * 100)
            ELSE '' END AS label
@@ -672,6 +686,22 @@ def _sql() -> dict[str, str]:
       SELECT r.company_raw AS company_raw, company_normalized, r.official_name AS official_name,
              factset_entity_id, r.batch AS batch, r.ord_firm AS ord_firm, r.ord_seq AS ord_seq
       FROM next_cache"""
+    q["cache_versions"] = q["cache_update"].replace("FROM next_cache", ", 'v000003' AS version FROM next_cache")
+    q["fuzzy_match"] = w + f""",
+      near_keys AS (
+        SELECT company_normalized AS key, max({{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS pos,
+               arg_max({{'n': official_name, 'i': factset_entity_id}}, {{'b': batch, 'f': ord_firm, 's': ord_seq}}) AS v
+        FROM known_matches WHERE company_normalized <> '' GROUP BY 1),
+      missed AS (SELECT raw_name, {NORM('raw_name')} AS nkey FROM results WHERE match_method = 'unmatched'),
+      close AS (
+        SELECT edits, nkey, key, pos, v, levenshtein(nkey, key) AS distance
+        FROM (SELECT DISTINCT nkey FROM missed WHERE length(nkey) BETWEEN 5 AND 80) JOIN near_keys ON abs(length(nkey) - length(key)) <= 2,
+             (SELECT unnest([1, 2])::INTEGER AS edits)
+        WHERE length(key) BETWEEN 5 AND 80 AND v.i <> '' AND levenshtein(nkey, key) <= edits),
+      best AS (SELECT edits, nkey, arg_min({{'v': v, 'd': distance}}, {{'d': distance, 'p': pos, 'k': key}}) AS b FROM close GROUP BY 1, 2)
+      SELECT edits, raw_name, b.v.n AS matched_name, b.v.i AS factset_entity_id,
+             CASE WHEN b.d <= 1 THEN 'medium' ELSE 'low' END AS confidence, 'cache_near' AS match_method, b.d::INTEGER AS distance
+      FROM missed JOIN best USING (nkey)"""
     # Each update adds every name with one firm, so the second one's row is the last of every exact key that it
     # adds: of the names with one normal form the first seen stays, and gives that form's entry.
     q["cache_update_twice"] = w + f""",

@@ -9,18 +9,21 @@ under the session's checkpoint folder and return what they read back.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch import codes
 from ledgermatch.functions.text import clean_name, extract_on_behalf
-from ledgermatch.operators import (enrich, extract, harmonize, incremental, matching, names,
-                                   report, resolve)
+from ledgermatch.operators import (enrich, extract, facet_cube, harmonize, incremental, matching, name_search, names, near_miss,
+                                   report, resolve, rollups)
 from ledgermatch.plans import fixtures as fx
 from ledgermatch.plans.job import MatchingJob, build_cache, build_firms
 from ledgermatch.session import scratch_path, written
 from ledgermatch.sources import registry as reg_src
-from ledgermatch.sources import sinks, tables
+from ledgermatch.sources import fingerprint, sinks, tables, versions
 
 class Context:
     """Derived inputs, written lookups, the matching job and its published table.
@@ -69,6 +72,14 @@ class Context:
             cls._cache[key] = Context(spark, sf_dir)
         return cls._cache[key]
 
+    def bucketed_base(self) -> DataFrame:
+        """The base as a table bucketed by its serial (what a deployment keeps between runs)."""
+        def build():
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            name = f"base_by_serial_{uuid.uuid4().hex}"
+            return incremental.write_bucketed(self.base_raw, name, buckets, self.scratch("base_by_serial"))
+        return self._once("bucketed_base", build)
+
     def output(self) -> DataFrame:
         """The published matched table (written once by the job, then read)."""
         def build():
@@ -333,6 +344,21 @@ def q_fingerprint(spark, sf_dir):
     return docs.select("doc_id", F.sha2(F.col("text"), 256).alias("sha256"))
 
 
+def q_file_hashes(spark, sf_dir):
+    """SHA-256 and length of every Parquet file of the input folder."""
+    files = fingerprint.file_hashes(spark, sf_dir, "*.parquet")
+    return files.select(F.regexp_extract("path", r"([^/]+\.parquet(?:/[^/]+)*)$", 1).alias("file"), "length", "sha256")
+
+
+def q_rollup_maintained(spark, sf_dir):
+    """A1-A5 kept up to date: two runs (the base, then the new rows) merged into the state, the second one sent twice."""
+    c = _ctx(spark, sf_dir)
+    root = c.scratch("rollup")
+    rollups.update_rollup(spark, root, "2026-01", c.output().filter("src = 0"))
+    rollups.update_rollup(spark, root, "2026-02", c.output().filter("src = 1"))
+    return rollups.update_rollup(spark, root, "2026-02", c.output().filter("src = 1"))
+
+
 def q_registry_share(spark, sf_dir):
     """Stats JSON read back, registry case variants merged."""
     c = _ctx(spark, sf_dir)
@@ -464,6 +490,13 @@ def q_new_rows_anti(spark, sf_dir):
                       harmonize.registry_serial(new, fx.REGISTRY_COLUMNS).alias("serial"))
 
 
+def q_new_rows_bucketed(spark, sf_dir):
+    """The same against a base bucketed by its serial, which no run shuffles."""
+    c = _ctx(spark, sf_dir)
+    new = incremental.find_new_rows(c.ledger, c.bucketed_base(), fx.REGISTRY_COLUMNS)
+    return new.select("seq", "registry_key", harmonize.registry_serial(new, fx.REGISTRY_COLUMNS).alias("serial"))
+
+
 def q_snapshot_diff(spark, sf_dir):
     """Per registry, rows of the new snapshot absent from the previous one
     (previous snapshot = rows retired up to 2000), by that registry's serial column."""
@@ -492,6 +525,14 @@ def q_cache_lookups(spark, sf_dir):
     return e.unionByName(n)
 
 
+def q_fuzzy_match(spark, sf_dir):
+    """M7: names without any cache hit that are one, or up to two, edits from a key; the nearest key, then cache order."""
+    c = _ctx(spark, sf_dir)
+    missed = c.job.cache_results().filter(F.col("match_method") == "unmatched")
+    one, two = (near_miss.near_misses(missed, c.cache, k).withColumn("edits", F.lit(k)) for k in (1, 2))
+    return one.unionByName(two).select("edits", "raw_name", "matched_name", "factset_entity_id", "confidence", "match_method", "distance")
+
+
 def q_apply_matches(spark, sf_dir):
     """Match columns joined back onto the new rows by raw name."""
     m = _ctx(spark, sf_dir).job.new_matched()
@@ -526,8 +567,8 @@ def q_universe_coverage(spark, sf_dir):
 def q_stage_metrics(spark, sf_dir):
     """Stage counts of a run with a resolver as (stage, value)."""
     c = _ctx(spark, sf_dir)
-    job = c.new_job(resolver=resolve.local_resolver())
-    job._memo["new_rows"] = c.job.new_rows()
+    job = c.new_job(resolver=resolve.local_resolver()).after_new_rows_of(c.job)
+    job.write_output(c.scratch("counted_run"))
     return job.stage_counts()
 
 
@@ -538,6 +579,49 @@ def q_report_metrics(spark, sf_dir):
     return report.report_metrics(_ctx(spark, sf_dir).report())
 
 
+CUBE_CHOICES = {"all": {}, "years": dict(year_range=(1996, 1999)),
+                "places": dict(hq=["United States", "Brazil", "Germany", "Cyprus", "DR Congo"], countries=["Brazil", "India", "Kenya", "Peru", "Laos"]),
+                "kinds": dict(year_range=(1993, 1998), categories=["Renewable Energy", "Other", "Transport"])}
+
+
+def q_report_metrics_cube(spark, sf_dir):
+    """A14/A15/F11 by bitmaps: the report's figures under four facet choices from one small cube."""
+    c = _ctx(spark, sf_dir)
+    view = c.report()
+    firms = written(facet_cube.firm_numbers(view), "firm_numbers")
+    cube = written(facet_cube.build_cube(view, firms), "facet_cube")
+    out = None
+    for name, choice in CUBE_CHOICES.items():
+        one = facet_cube.metrics(cube, **choice).select(F.lit(name).alias("choice"), "total_quantity", "transactions", "unique_firms", "countries")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+FIRM_SEARCHES = ["firm (1|2)[0-9]$", "firm 3", "FIRM", "irm 1[05]", "^firm 4", "7$", "firm 1.?$", "(firm|company) 2", "m 4+$", "none of them"]
+
+
+def q_firm_search(spark, sf_dir):
+    """F12 by an inverted index of trigrams: rows and tonnes that each of ten searches finds."""
+    c = _ctx(spark, sf_dir)
+    view = c.report()
+    names_ = written(view.select(F.col("matched_name").alias("name")).filter("name IS NOT NULL").distinct(), "names")
+    index = written(name_search.build_index(view), "name_index")
+    out = None
+    for pattern in FIRM_SEARCHES:
+        rows = name_search.search_rows(view, index, names_, pattern)
+        one = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum("quantity"), F.lit(0.0)).alias("quantity")).select(
+            F.lit(pattern).alias("pattern"), "rows", "quantity")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_firm_layout(spark, sf_dir):
+    """The firm universe written in ranges of ids with Bloom filters and read back whole."""
+    c = _ctx(spark, sf_dir)
+    path = sinks.write_firms(c.firms, c.scratch("firms_by_id"))
+    return spark.read.parquet(path).select("factset_entity_id", "entity_proper_name", "iso_country", "isin", "lei")
+
+
 def q_category_share(spark, sf_dir):
     """Tonnes per category with share."""
     return report.category_share(_ctx(spark, sf_dir).report())
@@ -676,12 +760,31 @@ def _cache_columns(cache: DataFrame) -> DataFrame:
 def q_cache_update(spark, sf_dir):
     """Accepted resolver results appended, deduplicated, new cache version read back."""
     c = _ctx(spark, sf_dir)
-    job = c.new_job(resolver=resolve.local_resolver())
-    job._memo["new_rows"] = c.job.new_rows()
+    job = c.new_job(resolver=resolve.local_resolver()).after_new_rows_of(c.job)
     path = sinks.write_cache(job.updated_cache(), c.scratch("known_matches_v2"))
     return _cache_columns(tables.load_cache(spark, path))
 
 
+def q_cache_versions(spark, sf_dir):
+    """M4: the cache as a versioned table; a write that dies changes nothing, the next run starts from the version in use."""
+    c = _ctx(spark, sf_dir)
+    root = c.scratch("cache_store")
+    versions.write_version(spark, root, lambda path: sinks.write_cache(c.cache, path))
+
+    def dies(path: str) -> None:
+        sinks.write_cache(c.cache.filter(F.length("company_raw") % 2 == 0), path)
+        raise RuntimeError("the run is lost while it writes")
+
+    try:
+        versions.write_version(spark, root, dies)
+    except RuntimeError:
+        pass
+    job = dataclasses.replace(c.new_job(resolver=resolve.local_resolver()), cache=tables.load_current_cache(spark, root))
+    cache = job.after_new_rows_of(c.job).updated_cache()
+    versions.write_version(spark, root, lambda path: sinks.write_cache(cache, path))
+    return _cache_columns(tables.load_current_cache(spark, root)).withColumn("version", F.lit(versions.current_version(spark, root)))
+
+
 def q_cache_update_twice(spark, sf_dir):
     """M4: two updates that give every name another firm; the exact lookup takes the later one."""
     c = _ctx(spark, sf_dir)
@@ -732,6 +835,8 @@ QUERIES = {
     "map_json": q_map_json,
     "ingest_log": q_ingest_log,
     "fingerprint": q_fingerprint,
+    "file_hashes": q_file_hashes,
+    "rollup_maintained": q_rollup_maintained,
     "registry_share": q_registry_share,
     "report_table": q_report_table,
     "report_export_full": q_report_export_full,
@@ -756,9 +861,11 @@ QUERIES = {
     "extract_beneficiary": q_extract_beneficiary,
     "parse_rate": q_parse_rate,
     "new_rows_anti": q_new_rows_anti,
+    "new_rows_bucketed": q_new_rows_bucketed,
     "snapshot_diff": q_snapshot_diff,
     "unmatched_names": q_unmatched_names,
     "cache_lookups": q_cache_lookups,
+    "fuzzy_match": q_fuzzy_match,
     "apply_matches": q_apply_matches,
     "enrich_hq": q_enrich_hq,
     "review_queue": q_review_queue,
@@ -766,6 +873,9 @@ QUERIES = {
     "universe_coverage": q_universe_coverage,
     "stage_metrics": q_stage_metrics,
     "report_metrics": q_report_metrics,
+    "report_metrics_cube": q_report_metrics_cube,
+    "firm_search": q_firm_search,
+    "firm_layout": q_firm_layout,
     "category_share": q_category_share,
     "yearly_quantity": q_yearly_quantity,
     "faceted_filter": q_faceted_filter,
@@ -782,6 +892,7 @@ QUERIES = {
     "resolve_batch": q_resolve_batch,
     "cache_update": q_cache_update,
     "cache_update_twice": q_cache_update_twice,
+    "cache_versions": q_cache_versions,
     "firm_context": q_firm_context,
     "firm_context_bounded": q_firm_context_bounded,
     "stream_new_rows": q_stream_new_rows,

@@ -49,6 +49,22 @@ def write_cache(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
+def write_firms(df: DataFrame, path: str, files: int | None = None, group_bytes: int = 8 << 20, page_rows: int = 2000) -> str:
+    """The firm universe laid out for lookups by id.
+
+    Rows are ranged and sorted by id, so a file and a row group hold one interval
+    of ids, and every row group has a Bloom filter of its ids: a lookup of a few
+    ids skips the groups whose statistics or filter rule them out. ``files`` is
+    the number of ranges (default: the shuffle partitions).
+    """
+    key = "factset_entity_id"
+    ranged = df.repartitionByRange(files, key) if files else df.repartitionByRange(key)
+    (ranged.sortWithinPartitions(key).write.mode("overwrite")
+     .option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.block.size", group_bytes)
+     .option("parquet.page.row.count.limit", page_rows).parquet(path))
+    return path
+
+
 def stats_document(df: DataFrame, last_updated: str | None = None) -> DataFrame:
     """One-row frame holding the summary stats as a JSON string.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgermatch import codes
 from ledgermatch.operators.harmonize import OUTPUT_TYPES
 from ledgermatch.operators.lookups import CACHE_COLUMNS
+from ledgermatch.sources import versions
 from ledgermatch.sources.paths import exists
 from ledgermatch.sources.registry import CSV_OPTIONS
 
@@ -58,11 +59,22 @@ def load_cache(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(CACHE_SCHEMA).parquet(path).select(*CACHE_COLUMNS)
 
 
+def load_current_cache(spark: SparkSession, root: str) -> DataFrame:
+    """The version in use of a versioned cache (``MatchingJob.publish(cache_root=...)``); empty before the first."""
+    path = versions.current_path(spark, root)
+    return spark.createDataFrame([], CACHE_SCHEMA) if path is None else load_cache(spark, path)
+
+
 def load_firms(spark: SparkSession, path: str) -> DataFrame | None:
     """Firm universe Parquet, or None when absent (enrichment then gives "")."""
     return spark.read.parquet(path) if exists(spark, path) else None
 
 
+def firms_by_id(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
+    """Rows of the firm universe (``sinks.write_firms``) with one of some ids; the reader gets them as a pushed-down filter."""
+    return spark.read.parquet(path).filter(F.col("factset_entity_id").isin(ids))
+
+
 def read_published_csv(spark: SparkSession, path: str, schema: T.StructType = PUBLISHED_SCHEMA) -> DataFrame:
     """A published CSV with typed columns. An empty field is an empty text, or a null number."""
     raw = spark.read.options(**CSV_OPTIONS).option("multiLine", True).schema(schema).option("enforceSchema", False).csv(path)
