@@ -35,6 +35,13 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a table that this run has written (``fresh_path``) and that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new place for a written table under the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

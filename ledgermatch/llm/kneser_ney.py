@@ -6,10 +6,12 @@ with the trusted text. It is interpolated: pairs over continuation counts of uni
 The spelling of units that no trusted text has comes from a Kneser-Ney model of order 4 over 32 character
 classes (``train``), which is of one size (4 MB) and broadcast; it is only this base.
 
-Scoring joins counts in shards. The texts of a task form blocks; a block asks once for each of its distinct units and
-pairs, in lists by the top bits of the hash; a shard looks its part of the lists up in its part of
-the counts, and the answers go back to the block, which sums over its texts. No task holds more than a block, or
-a shard. The log perplexity is over the whole text, per character.
+Scoring joins counts in shards, in rounds of texts. The texts of a task form blocks; a block asks once for each of its
+distinct units and pairs, in lists by the top bits of the hash; a shard looks its part of the lists up in its part of
+the counts, and the answers go back to the block, which sums over its texts. The counts are packed once, a row per shard
+with its keys in ascending order; the number of shards follows the keys. A round's blocks are deleted when its scores are
+written, so disk holds the model and a part of the corpus. No task holds more than a block, or a shard. The log perplexity
+is over the whole text, per character.
 
 The limits come from the held-out good texts of each language: the excess over the language's median, scaled by the
 root of the text's length (up to ``STEADY`` characters), may be at most the upper quantile ``QUANTILE`` seen there. Languages with
@@ -26,6 +28,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut, fresh_path, release, slices, small_side
+from ledgermatch.llm.common import cut, delete, fresh_path, release, slices, small_side
 from ledgermatch.llm.decontaminate import text_key
 
 ORDER, BITS = 4, 5
@@ -46,13 +49,13 @@ MIN_GROUP = 30
 STEADY = 400
 QUANTILE = 0.995
 BLOCK_CHARS = 24 << 20
-RANGE_BITS = 12  # a block's lists are cut by the top bits of the hash
-SHARD_KEYS = 1_000_000  # keys asked for per shard at most, as far as there are ranges
+SHARD_KEYS = 1_000_000  # keys of a shard, about
+ROUND_CHARS, MOST_ROUNDS = 96 << 20, 8  # a round takes so many characters of text at least
 MAX_BROADCAST_LABELS = 1_000_000  # (long, boolean) rows
 START, END = "", "\0"  # no unit is empty, and a lone NUL is a mark
 _UNIT = re.compile(r"\w+|[^\w\s]+|\s\s+|[^\S ]")
 _TURN = 23
-BLOCK_SCHEMA = ("block long, n_units long, doc_id array<long>, lang array<string>, held array<boolean>, text_key array<long>, n array<long>, "
+BLOCK_SCHEMA = ("block long, doc_id array<long>, lang array<string>, held array<boolean>, text_key array<long>, n array<long>, "
                 "lengths array<long>, units binary, hashes binary, spelled binary")
 
 
@@ -109,12 +112,18 @@ def count_grams(texts: DataFrame) -> DataFrame:
         .groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def _discounted(counts: DataFrame) -> DataFrame:
-    """Add ``d``, the modified Kneser-Ney discount of each count, from the counts of counts."""
+def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+    """The modified Kneser-Ney discounts of the counts 1, 2, and 3 or more, from the counts of counts."""
     n1, n2, n3, n4 = counts.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first()
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     steps = [(i, i - (i + 1) * y * up / at if at else 0.5) for i, at, up in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
     d1, d2, d3 = (min(max(d, 0.1), i) for i, d in steps)
+    return d1, d2, d3
+
+
+def _discounted(counts: DataFrame, by: tuple[float, float, float] | None = None) -> DataFrame:
+    """Add ``d``, the discount of each count."""
+    d1, d2, d3 = by or _discounts(counts)
     return counts.withColumn("d", F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3))
 
 
@@ -252,16 +261,55 @@ def count_pairs(texts: DataFrame) -> DataFrame:
         .groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
-def unit_model(texts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
-    """The pairs (key, own) and units (key, total, freed, own) of the trusted ``texts``, and the units' share for spellings.
+@dataclass
+class Model:
+    """Packed counts: of pairs their occurrences, of units (total, freed, own); and the numbers that go with them."""
+
+    pairs: DataFrame
+    units: DataFrame
+    discounts: tuple[float, float, float]
+    share: float
+    bits: int
+
+
+def shard_bits(n_keys: int) -> int:
+    """Leading bits of a hash that give its shard: about ``SHARD_KEYS`` keys each, whatever ``n_keys`` is."""
+    return min(40, max(4, (n_keys // SHARD_KEYS).bit_length()))
+
+
+def _shard(key: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(key, 64 - bits)
+
+
+def packed(counts: DataFrame, values: list[str], kind: type, bits: int, name: str) -> DataFrame:
+    """(shard, keys, found): ``counts`` (key, values) written as one row per shard, keys ascending as steps, values in their order."""
+
+    def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        keys = rows.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        found = np.column_stack([rows.column(v).to_numpy()[order].astype(kind) for v in values])
+        return pa.table({"shard": [key[0].as_py()], "keys": pa.array([_small(np.diff(keys[order], prepend=np.uint64(0)))], pa.binary()),
+                         "found": pa.array([_small(found.reshape(-1))], pa.binary())})
+
+    path = fresh_path(counts.sparkSession, name)
+    schema = "shard long, keys binary, found binary"
+    counts.select(_shard(F.col("key"), bits).alias("shard"), "key", *values).groupBy("shard").applyInArrow(pack, schema).write.parquet(path)
+    release(counts.sparkSession)
+    return counts.sparkSession.read.schema(schema).parquet(path)
+
+
+def unit_model(texts: DataFrame, asked: int) -> Model:
+    """The model of the trusted ``texts``; ``asked`` is about how many keys a round of texts asks for.
 
     The chance of b after a is (own(ab) + freed(a) * p(b)) / total(a), or p(b) if total(a) is 0; p(b) is
     own(b) + share * chance of its spelling.
     """
-    path = fresh_path(texts.sparkSession, "pairs")
+    spark, path = texts.sparkSession, fresh_path(texts.sparkSession, "pairs")
     count_pairs(texts).sortWithinPartitions("a").write.option("compression", "zstd").parquet(path)
-    release(texts.sparkSession)
-    pairs = _discounted(texts.sparkSession.read.schema("a long, b long, c long").parquet(path))
+    release(spark)
+    counted = spark.read.schema("a long, b long, c long").parquet(path)
+    by = _discounts(counted)
+    pairs = _discounted(counted, by)
     first = pairs.groupBy(F.col("a").alias("key")).agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
     then = _discounted(cut(pairs.groupBy(F.col("b").alias("key")).agg(F.count("*").alias("c"))))
     whole, freed = then.agg(F.sum("c"), F.sum("d")).first()
@@ -269,15 +317,18 @@ def unit_model(texts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
         "key", *[F.coalesce(x, F.lit(0.0)).alias(n) for n, x in (
             ("total", F.col("total").cast("double")), ("freed", F.col("freed")), ("own", (F.col("c") - F.col("d")) / F.lit(float(whole or 1))))])
     turned = F.shiftleft("b", _TURN).bitwiseOR(F.shiftrightunsigned("b", 64 - _TURN))
-    return pairs.select(F.col("a").bitwiseXOR(turned).alias("key"), (F.col("c") - F.col("d")).cast("double").alias("own")), units, \
-        freed / whole if whole else 1.0
+    bits = shard_bits(max(asked, whole or 0))
+    model = Model(packed(counted.select(F.col("a").bitwiseXOR(turned).alias("key"), "c"), ["c"], np.uint32, bits, "packed-pairs"),
+                  packed(units, ["total", "freed", "own"], np.float32, bits, "packed-units"), by, freed / whole if whole else 1.0, bits)
+    delete(spark, path)
+    return model
 
 
 def write_blocks(docs: DataFrame, table: np.ndarray, path: str) -> DataFrame:
     """Write ``docs`` (doc_id, lang, held, text_key, text) as blocks, one row each, with unit numbers instead of texts."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
     plain = ("doc_id", "lang", "held", "text_key")
-    schema = pa.schema([("block", pa.int64()), ("n_units", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("lang", pa.list_(pa.string())),
+    schema = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("lang", pa.list_(pa.string())),
                         ("held", pa.list_(pa.bool_())), ("text_key", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())),
                         ("lengths", pa.list_(pa.int64())), ("units", pa.binary()), ("hashes", pa.binary()), ("spelled", pa.binary())])
 
@@ -289,7 +340,7 @@ def write_blocks(docs: DataFrame, table: np.ndarray, path: str) -> DataFrame:
             place[order] = np.arange(len(order), dtype=np.uint32)
             spelled = spellings(list(numbers), shared.value)[order].astype(np.float32)
             yield pa.RecordBatch.from_pylist([{
-                **kept, "block": block, "n_units": len(row), "lengths": [len(u) for u in units], "units": _small(place[row]),
+                **kept, "block": block, "lengths": [len(u) for u in units], "units": _small(place[row]),
                 "hashes": numbers.hashes()[order].tobytes(), "spelled": spelled.tobytes()}], schema)
 
         numbers, units, held, block = _Units(), [], 0, TaskContext.get().partitionId() << 32
@@ -318,8 +369,8 @@ def _block_pairs(units: bytes, hashes: np.ndarray, lengths: np.ndarray) -> tuple
     return row[at], row[at + 1], pair_hashes(hashes[row])[at]
 
 
-def ask(blocks: DataFrame, pair: bool) -> DataFrame:
-    """(block, pair, range, keys): the distinct hashes of each block's pairs or units, ascending, as steps, cut by their top bits."""
+def ask(blocks: DataFrame, pair: bool, bits: int) -> DataFrame:
+    """(block, pair, shard, keys): the distinct hashes of each block's pairs or units, ascending, as steps, cut by shard."""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,74 +380,92 @@ def ask(blocks: DataFrame, pair: bool) -> DataFrame:
                 if pair:
                     keys = _block_pairs(r["units"].as_py(), keys, r["lengths"].values.to_numpy())[2]
                 keys = np.unique(keys)
-                cuts = np.searchsorted((keys >> np.uint64(64 - RANGE_BITS)).astype(np.int64), np.arange((1 << RANGE_BITS) + 1))
-                some = np.flatnonzero(np.diff(cuts))
-                lists = [_small(np.diff(keys[cuts[i]:cuts[i + 1]], prepend=np.uint64(0))) for i in some]
-                yield pa.RecordBatch.from_arrays([pa.array([r["block"].as_py()] * len(some), pa.int64()), pa.array([pair] * len(some)),
-                                                  pa.array(some.astype(np.int32)), pa.array(lists, pa.binary())], ["block", "pair", "range", "keys"])
+                shard = (keys >> np.uint64(64 - bits)).astype(np.int64)
+                starts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+                ends = np.append(starts[1:], len(keys))
+                lists = [_small(np.diff(keys[i:j], prepend=np.uint64(0))) for i, j in zip(starts, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([r["block"].as_py()] * len(lists), pa.int64()), pa.array([pair] * len(lists)),
+                                                  pa.array(shard[starts]), pa.array(lists, pa.binary())], ["block", "pair", "shard", "keys"])
 
-    return blocks.select("block", "units", "hashes", "lengths").mapInArrow(asked, "block long, pair boolean, range int, keys binary")
+    return blocks.select("block", "units", "hashes", "lengths").mapInArrow(asked, "block long, pair boolean, shard long, keys binary")
 
 
-def look_up(asked: DataFrame, n_keys: int, counts: DataFrame, values: list[str]) -> DataFrame:
-    """(block, pair, range, found): the ``values`` (float32, 0 if there are none) of all keys of each list in turn.
+def look_up(asked: DataFrame, counts: DataFrame, wide: int, kind: type) -> DataFrame:
+    """(block, pair, shard, found): the ``wide`` values (0 if there are none) of all keys of each list in turn.
 
-    ``asked`` (block, pair, range, keys; ``n_keys`` at most) meets ``counts`` (key, values) in shards of neighbouring ranges.
+    ``asked`` (block, pair, shard, keys) meets ``counts`` (``packed``) by shard.
     """
-    width = max(0, RANGE_BITS - (n_keys // SHARD_KEYS).bit_length())  # a shard is so many bits of ranges
-    wide = len(values)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = right.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(known)
-        known = known[order]
-        table = np.zeros((len(known) + 1, wide), np.float32)
-        for k, v in enumerate(values):
-            table[:-1, k] = right.column(v).to_numpy()[order]
-        known = np.append(known, np.uint64(0))
+        known, table = np.zeros(0, np.uint64), np.zeros((0, wide), kind)
+        if right.num_rows:
+            known = np.cumsum(_large(right.column("keys")[0].as_py(), np.uint64), dtype=np.uint64)
+            table = _large(right.column("found")[0].as_py(), kind).reshape(-1, wide)
+        table = np.vstack([table, np.zeros((1, wide), kind)])
+        ended = np.append(known, np.uint64(0))
         found = []
         for keys in left.column("keys").to_pylist():
             keys = np.cumsum(_large(keys, np.uint64), dtype=np.uint64)
-            at = np.searchsorted(known[:-1], keys)
-            at[known[at] != keys] = len(known) - 1
+            at = np.searchsorted(known, keys)
+            at[ended[at] != keys] = len(known)
             found.append(_small(table[at].reshape(-1)))
-        return pa.table({"block": left.column("block"), "pair": left.column("pair"), "range": left.column("range"), "found": pa.array(found, pa.binary())})
+        return pa.table({"block": left.column("block"), "pair": left.column("pair"), "shard": left.column("shard"), "found": pa.array(found, pa.binary())})
 
-    lists = asked.withColumn("shard", F.shiftright("range", width)).select("shard", "block", "pair", "range", "keys")
-    rows = counts.withColumn("shard", F.shiftright(F.shiftrightunsigned("key", 64 - RANGE_BITS), width).cast("int"))
-    return lists.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(answer, "block long, pair boolean, range int, found binary")
+    return asked.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(answer, "block long, pair boolean, shard long, found binary")
 
 
-def score_blocks(blocks: DataFrame, pairs: DataFrame, units: DataFrame, share: float) -> DataFrame:
+def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang, held, text_key, __ppl, __n) of each document; __ppl is the log perplexity per character, null without text."""
-    n_units = blocks.agg(F.sum("n_units")).first()[0] or 0
-    answers = look_up(ask(blocks, True), n_units, pairs, ["own"]).unionByName(look_up(ask(blocks, False), n_units, units, ["total", "freed", "own"]))
+    answers = look_up(ask(blocks, True, model.bits), model.pairs, 1, np.uint32).unionByName(
+        look_up(ask(blocks, False, model.bits), model.units, 3, np.float32))
     out = ["doc_id", "lang", "held", "text_key"]
+    discounts, share = np.array([0.0, *model.discounts]), model.share
 
     def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        said = right.sort_by("range")
+        said = right.sort_by("shard")
 
-        def answered(pair: bool) -> np.ndarray:
+        def answered(pair: bool, kind: type) -> np.ndarray:
             found = said.filter(said.column("pair") if pair else pc.invert(said.column("pair"))).column("found").to_pylist()
-            return np.concatenate([_large(f, np.float32) for f in found]).astype(np.float64)
+            return np.concatenate([_large(f, kind) for f in found]).astype(np.float64)
 
         listed = {c: left.column(c).combine_chunks().flatten() for c in [*out, "n", "lengths"]}
         hashes = np.frombuffer(left.column("hashes")[0].as_py(), np.uint64)
         spelled = np.exp(np.frombuffer(left.column("spelled")[0].as_py(), np.float32).astype(np.float64))
-        total, freed, own = answered(False).reshape(-1, 3)[np.unique(hashes, return_inverse=True)[1]].T
+        total, freed, own = answered(False, np.float32).reshape(-1, 3)[np.unique(hashes, return_inverse=True)[1]].T
         alone = np.maximum(own + share * spelled, 1e-300)  # a very long unknown unit underflows
         lengths = listed["lengths"].to_numpy()
         a, b, keys = _block_pairs(left.column("units")[0].as_py(), hashes, lengths)
-        of_pairs = answered(True)[np.unique(keys, return_inverse=True)[1]]
+        counts = answered(True, np.uint32)
+        of_pairs = (counts - discounts[np.minimum(counts, 3).astype(np.int64)])[np.unique(keys, return_inverse=True)[1]]
         chance = np.where(total[a] > 0, (of_pairs + freed[a] * alone[b]) / np.maximum(total[a], 1), alone[b])
         sums = np.add.reduceat(np.log(chance), np.cumsum(lengths - 1) - (lengths - 1))
         n = listed["n"].to_numpy()
         return pa.table({**{c: listed[c] for c in out}, "__ppl": pa.array(-sums / np.maximum(n, 1), mask=n == 0), "__n": n})
 
-    return blocks.drop("n_units").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         add_up, "doc_id long, lang string, held boolean, text_key long, __ppl double, __n long")
 
 
+def score(told: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Scores of ``told`` (doc_id, lang, held, text_key, text) under the model of ``trusted`` (text), in rounds of texts."""
+    spark = told.sparkSession
+    n_chars = told.agg(F.sum(F.length("text"))).first()[0] or 0
+    rounds = max(1, min(MOST_ROUNDS, n_chars // ROUND_CHARS))
+    model = unit_model(trusted, n_chars // rounds // 6)
+    table = train(trusted)
+    # A round reads a part of every split; so few tasks that each can fill a block.
+    tasks = max(2 * spark.sparkContext.defaultParallelism, n_chars // rounds // BLOCK_CHARS)
+    scored = None
+    for k in range(rounds):
+        part = told if rounds == 1 else told.where(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(rounds)) == k).coalesce(tasks)
+        path = fresh_path(spark, "units")
+        one = cut(score_blocks(write_blocks(part, table, path), model))
+        delete(spark, path)
+        release(spark)
+        scored = one if scored is None else scored.unionByName(one)
+    return scored
+
+
 def _excess(median: Column) -> Column:
     return (F.col("__ppl") - median) * F.sqrt(F.least("__n", F.lit(STEADY)))
 
@@ -412,17 +481,11 @@ def _limits(held: DataFrame) -> DataFrame:
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, lang, text_key, __ppl, __n, __kept) of every row of ``docs`` (doc_id, lang, text)."""
-    spark = docs.sparkSession
     told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     roles = cut(trusted_labels(labels))
     told = told.join(small_side(roles, MAX_BROADCAST_LABELS), F.col("doc_id") == F.col("label_id"), "left") \
         .select("doc_id", "lang", "held", text_key(F.col("text")).alias("text_key"), "text")
-    trusted = told.where("NOT held").select("text")
-    pairs, units, share = unit_model(trusted)
-    release(spark)
-    blocks = write_blocks(told, train(trusted), fresh_path(spark, "units"))
-    scored = cut(score_blocks(blocks, pairs, units, share))
-    release(spark)
+    scored = score(told, told.where("NOT held").select("text"))
     return _judged(scored, cut(_limits(scored.where("held").select("lang", "__ppl", "__n"))))
 
 

@@ -84,3 +84,25 @@ def test_limit_is_the_quantile_of_held_out_texts(spark):
     for r in kneser_ney._limits(held).collect():
         over = sum(r["median"] + r["limit"] / 20 < 1.0 + i / 1000 for i in range(200))
         assert r["limit"] < 2.0 and 0 < over <= 2
+
+
+def test_rounds_and_shards_change_no_score(spark, monkeypatch):
+    """Many rounds of texts and many shards of keys give the scores of one round; a round's blocks are gone afterwards."""
+    words = "the cat sat on a mat and then it ran off, to see 12 dogs!".split()
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(words, int(n))) for n in rng.integers(1, 60, 120)] + [None, "", "once more", "once more"]
+    labels, _ = trusted_ids(spark, 60)
+    docs = spark.createDataFrame([(i if i < 122 else 500, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(5)
+
+    def scores():
+        return sorted(((r.doc_id, r.perplexity and round(r.perplexity, 6), r.kept) for r in kneser_ney.judge_documents(docs, labels).collect()), key=repr)
+
+    one = scores()
+    monkeypatch.setattr(kneser_ney, "ROUND_CHARS", 3000)
+    monkeypatch.setattr(kneser_ney, "SHARD_KEYS", 3)
+    assert kneser_ney.shard_bits(100) == 6 and scores() == one
+
+
+def test_number_of_shards_follows_the_keys():
+    for n in (0, 10 ** 6, 10 ** 8, 10 ** 11, 10 ** 14):
+        assert n / 2 ** kneser_ney.shard_bits(n) <= 2 * kneser_ney.SHARD_KEYS
