@@ -48,9 +48,10 @@ HELD_OUT = 5  # one good text in so many is not counted but sets the limits
 MIN_GROUP = 30
 STEADY = 400
 QUANTILE = 0.995
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 12 << 20
 SHARD_KEYS = 1_000_000  # keys of a shard, about
-ROUND_CHARS, MOST_ROUNDS = 96 << 20, 8  # a round takes so many characters of text at least
+ROUND_CHARS, MOST_ROUNDS = 64 << 20, 12  # a round takes so many characters of text at least
+CHARS_PER_UNIT = 5
 MAX_BROADCAST_LABELS = 1_000_000  # (long, boolean) rows
 START, END = "", "\0"  # no unit is empty, and a lone NUL is a mark
 _UNIT = re.compile(r"\w+|[^\w\s]+|\s\s+|[^\S ]")
@@ -114,7 +115,10 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     """The modified Kneser-Ney discounts of the counts 1, 2, and 3 or more, from the counts of counts."""
-    n1, n2, n3, n4 = counts.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first()
+    return _discounts_of(*counts.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first())
+
+
+def _discounts_of(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     steps = [(i, i - (i + 1) * y * up / at if at else 0.5) for i, at, up in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
     d1, d2, d3 = (min(max(d, 0.1), i) for i, d in steps)
@@ -234,8 +238,8 @@ def _large(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(wide, n).T).view(kind).reshape(n)
 
 
-def count_pairs(texts: DataFrame) -> DataFrame:
-    """(a, b, c): how often unit b follows unit a (hashes) in ``texts`` (text)."""
+def _pairs_of_blocks(texts: DataFrame) -> DataFrame:
+    """(a, b, c): how often unit b follows unit a (hashes) in each block of ``texts`` (text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted():
@@ -257,8 +261,12 @@ def count_pairs(texts: DataFrame) -> DataFrame:
         if units:
             yield from counted()
 
-    return texts.select(F.coalesce("text", F.lit("")).alias("text")).where("text <> ''").mapInArrow(count, "a long, b long, c long") \
-        .groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return texts.select(F.coalesce("text", F.lit("")).alias("text")).where("text <> ''").mapInArrow(count, "a long, b long, c long")
+
+
+def count_pairs(texts: DataFrame) -> DataFrame:
+    """(a, b, c): how often unit b follows unit a (hashes) in ``texts`` (text)."""
+    return _pairs_of_blocks(texts).groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -281,46 +289,82 @@ def _shard(key: Column, bits: int) -> Column:
     return F.shiftrightunsigned(key, 64 - bits)
 
 
-def packed(counts: DataFrame, values: list[str], kind: type, bits: int, name: str) -> DataFrame:
-    """(shard, keys, found): ``counts`` (key, values) written as one row per shard, keys ascending as steps, values in their order."""
+def packed_units(counts: DataFrame, values: list[str], bits: int) -> DataFrame:
+    """(shard, keys, found): ``counts`` (key, values) written as one row per shard, keys ascending as steps, values (float32) in their order."""
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
         keys = rows.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys)
-        found = np.column_stack([rows.column(v).to_numpy()[order].astype(kind) for v in values])
+        found = np.column_stack([rows.column(v).to_numpy()[order].astype(np.float32) for v in values])
         return pa.table({"shard": [key[0].as_py()], "keys": pa.array([_small(np.diff(keys[order], prepend=np.uint64(0)))], pa.binary()),
                          "found": pa.array([_small(found.reshape(-1))], pa.binary())})
 
-    path = fresh_path(counts.sparkSession, name)
+    path = fresh_path(counts.sparkSession, "packed-units")
     schema = "shard long, keys binary, found binary"
     counts.select(_shard(F.col("key"), bits).alias("shard"), "key", *values).groupBy("shard").applyInArrow(pack, schema).write.parquet(path)
-    release(counts.sparkSession)
     return counts.sparkSession.read.schema(schema).parquet(path)
 
 
-def unit_model(texts: DataFrame, asked: int) -> Model:
-    """The model of the trusted ``texts``; ``asked`` is about how many keys a round of texts asks for.
+def packed_pairs(texts: DataFrame, bits: int) -> DataFrame:
+    """The pairs of ``texts`` written as one row per shard: keys ascending as steps, counts (uint32) and first units in their
+    order, and how many counts are 1, 2, 3 and 4."""
+
+    def pack(key: tuple, rows: pa.Table) -> pa.Table:
+        a, b = (rows.column(c).to_numpy().view(np.uint64) for c in ("a", "b"))
+        keys = a ^ ((b << np.uint64(_TURN)) | (b >> np.uint64(64 - _TURN)))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        counts = np.add.reduceat(rows.column("c").to_numpy()[order], first)
+        return pa.table({"shard": [key[0].as_py()], "keys": pa.array([_small(np.diff(keys[first], prepend=np.uint64(0)))], pa.binary()),
+                         "found": pa.array([_small(counts.astype(np.uint32))], pa.binary()), "firsts": pa.array([_small(a[order][first])], pa.binary()),
+                         **{f"n{i}": [int((counts == i).sum())] for i in (1, 2, 3, 4)}})
+
+    path = fresh_path(texts.sparkSession, "packed-pairs")
+    schema = "shard long, keys binary, found binary, firsts binary, n1 long, n2 long, n3 long, n4 long"
+    turned = F.shiftleft("b", _TURN).bitwiseOR(F.shiftrightunsigned("b", 64 - _TURN))
+    _pairs_of_blocks(texts).withColumn("shard", _shard(F.col("a").bitwiseXOR(turned), bits)).groupBy("shard").applyInArrow(pack, schema).write.parquet(path)
+    release(texts.sparkSession)
+    return texts.sparkSession.read.schema(schema).parquet(path)
+
+
+def _sides(discounts: tuple[float, float, float]):
+    """(key, total, freed, c) of the units of some packed pairs: as first ones their counts and discounts, as second ones how many pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = np.array([0.0, *discounts])
+        for batch in batches:
+            for k in range(batch.num_rows):
+                keys = np.cumsum(_large(batch.column("keys")[k].as_py(), np.uint64), dtype=np.uint64)
+                a, c = _large(batch.column("firsts")[k].as_py(), np.uint64), _large(batch.column("found")[k].as_py(), np.uint32)
+                turned = keys ^ a
+                b = (turned >> np.uint64(_TURN)) | (turned << np.uint64(64 - _TURN))
+                first, at = np.unique(a, return_inverse=True)
+                second, n = np.unique(b, return_counts=True)
+                none = np.zeros(len(second))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([first, second]).view(np.int64)), pa.array(np.concatenate([np.bincount(at, c), none])),
+                     pa.array(np.concatenate([np.bincount(at, by[np.minimum(c, 3)]), none])),
+                     pa.array(np.concatenate([np.zeros(len(first), np.int64), n]))], ["key", "total", "freed", "c"])
+    return run
+
+
+def unit_model(texts: DataFrame, n_keys: int) -> Model:
+    """The model of the trusted ``texts``; ``n_keys`` is about how many keys it has, or how many a round of texts asks for if that is more.
 
     The chance of b after a is (own(ab) + freed(a) * p(b)) / total(a), or p(b) if total(a) is 0; p(b) is
     own(b) + share * chance of its spelling.
     """
-    spark, path = texts.sparkSession, fresh_path(texts.sparkSession, "pairs")
-    count_pairs(texts).sortWithinPartitions("a").write.option("compression", "zstd").parquet(path)
-    release(spark)
-    counted = spark.read.schema("a long, b long, c long").parquet(path)
-    by = _discounts(counted)
-    pairs = _discounted(counted, by)
-    first = pairs.groupBy(F.col("a").alias("key")).agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
-    then = _discounted(cut(pairs.groupBy(F.col("b").alias("key")).agg(F.count("*").alias("c"))))
+    bits = shard_bits(n_keys)
+    pairs = packed_pairs(texts, bits)
+    by = _discounts_of(*(n or 0 for n in pairs.agg(*[F.sum(f"n{i}") for i in (1, 2, 3, 4)]).first()))
+    sides = pairs.select("keys", "found", "firsts").mapInArrow(_sides(by), "key long, total double, freed double, c long")
+    units = cut(sides.groupBy("key").agg(*[F.sum(x).alias(x) for x in ("total", "freed", "c")]))
+    followers = units.where("c > 0")
+    then = _discounted(units, _discounts(followers)).withColumn("d", F.when(F.col("c") > 0, F.col("d")).otherwise(0.0))
     whole, freed = then.agg(F.sum("c"), F.sum("d")).first()
-    units = first.join(then, "key", "full").select(
-        "key", *[F.coalesce(x, F.lit(0.0)).alias(n) for n, x in (
-            ("total", F.col("total").cast("double")), ("freed", F.col("freed")), ("own", (F.col("c") - F.col("d")) / F.lit(float(whole or 1))))])
-    turned = F.shiftleft("b", _TURN).bitwiseOR(F.shiftrightunsigned("b", 64 - _TURN))
-    bits = shard_bits(max(asked, whole or 0))
-    model = Model(packed(counted.select(F.col("a").bitwiseXOR(turned).alias("key"), "c"), ["c"], np.uint32, bits, "packed-pairs"),
-                  packed(units, ["total", "freed", "own"], np.float32, bits, "packed-units"), by, freed / whole if whole else 1.0, bits)
-    delete(spark, path)
+    units = then.select("key", "total", "freed", ((F.col("c") - F.col("d")) / F.lit(float(whole or 1))).alias("own"))
+    model = Model(pairs.select("shard", "keys", "found"), packed_units(units, ["total", "freed", "own"], bits), by, freed / whole if whole else 1.0, bits)
+    release(texts.sparkSession)
     return model
 
 
@@ -449,9 +493,9 @@ def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
 def score(told: DataFrame, trusted: DataFrame) -> DataFrame:
     """Scores of ``told`` (doc_id, lang, held, text_key, text) under the model of ``trusted`` (text), in rounds of texts."""
     spark = told.sparkSession
-    n_chars = told.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_chars, n_trusted = (n or 0 for n in told.agg(F.sum(F.length("text")), F.sum(F.when(~F.col("held"), F.length("text")))).first())
     rounds = max(1, min(MOST_ROUNDS, n_chars // ROUND_CHARS))
-    model = unit_model(trusted, n_chars // rounds // 6)
+    model = unit_model(trusted, max(n_trusted, n_chars // rounds) // CHARS_PER_UNIT)
     table = train(trusted)
     # A round reads a part of every split; so few tasks that each can fill a block.
     tasks = max(2 * spark.sparkContext.defaultParallelism, n_chars // rounds // BLOCK_CHARS)
