@@ -1,4 +1,4 @@
-"""DuckDB SQL for the queries that SQL can express, each from the contract's words alone."""
+"""DuckDB SQL for the queries that SQL can express, from the contract's words; op4's method adds its two parameters (fence, least spreads)."""
 
 from __future__ import annotations
 
@@ -30,12 +30,15 @@ def _share(pattern: str) -> str:
 
 
 def _quality_rules(min_group: int = 50) -> str:
-    def quartile(m: str, p: float) -> str:
-        return f"list_sort(list({m}))[greatest(1, ceil({p} * count(*)))::BIGINT]"
+    def quartile(m: str, p: float, only: str = "") -> str:
+        return f"list_sort(list({m}){only})[greatest(1, ceil({p} * count(*){only}))::BIGINT]"
 
     def limits(m: str) -> str:
-        q1, q3 = quartile(m, 0.25), quartile(m, 0.75)
-        return f"{q3} + {FENCE} * greatest({q3} - {q1}, {LEAST_SPREAD[m]}) AS {m}"
+        # Symbols and repeated lines are absent from most texts: the quartiles of those that have some, and 0 if none has.
+        only = f" FILTER ({m} > 0)" if m in ("symbol_share", "dup_line_share") else ""
+        q1, q2, q3 = (quartile(m, p, only) for p in (0.25, 0.5, 0.75))
+        start = f"coalesce({q2}, 0)" if only else q3
+        return f"{start} + {FENCE} * greatest(coalesce({q3} - {q1}, 0), {LEAST_SPREAD[m]}) AS {m}"
 
     levels = ", ".join(limits(m) for m in LEAST_SPREAD)
     fits = " AND ".join(f"m.{m} <= CASE WHEN l0.n >= {min_group} THEN l0.{m} WHEN l1.n >= {min_group} THEN l1.{m} ELSE l2.{m} END" for m in LEAST_SPREAD)

@@ -4,9 +4,11 @@ Fixed rules reject a text with fewer than 10 words or with more than a fifth of
 5-word windows. The other measures have no fixed cutoff: per language and source, percentile_approx
 (its buffers are quantile summaries that partial aggregates merge) gives quartiles of each
 measure, and a text is rejected that lies above the upper quartile by more than ``FENCE`` times the
-quartile distance, which counts as ``LEAST_SPREAD`` at least. Groups with fewer than
+quartile distance. Symbols and repeated lines are absent from most texts: their quartiles are those of the texts
+that have some, and the limit lies above their median. Groups with fewer than
 ``min_group`` texts take the quartiles of their language, then of the whole table. The small
-table of thresholds is joined back to the texts.
+table of thresholds is joined back to the texts. ``LEAST_SPREAD`` guards groups whose texts are all alike; it is
+a tenth to a third of the distances seen in ordinary groups.
 
 Nulls: a null text has no words; null language or source are groups of their own. Repeated rows are judged
 row by row, with equal results. An empty table gives no rows. Other columns pass through ``filter_documents`` unchanged.
@@ -22,9 +24,11 @@ from ledgermatch.llm.common import cut, held, small_side
 MIN_WORDS = 10
 WINDOW = 5
 MAX_REPEATED_PERCENT = 20
-FENCE = 3.0
+FENCE = 10.0
 #: measure -> the least quartile distance that counts, so that uniform groups do not reject ordinary texts.
-LEAST_SPREAD = {"symbol_share": 0.03, "mark_share": 0.03, "capital_share": 0.04, "dup_line_share": 0.20, "word_length": 1.5}
+LEAST_SPREAD = {"symbol_share": 0.0015, "mark_share": 0.0015, "capital_share": 0.002, "dup_line_share": 0.01, "word_length": 0.075}
+#: Measures that are 0 for most texts.
+RARE = ("symbol_share", "dup_line_share")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SPACE = " \t\n\x0b\x0c\r"
 _BREAK = r"[\x20\x09-\x0D]+"
@@ -75,11 +79,19 @@ def thresholds(counted: DataFrame, min_group: int = 50) -> DataFrame:
     ``counted`` has lang, source and the fields of ``__q`` as columns. Levels: 0 language and source,
     1 language, 2 all.
     """
-    quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000)).alias(m) for m in LEAST_SPREAD]
+    thirds = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    quartiles = [F.percentile_approx(F.when(F.col(m) > 0, F.col(m)) if m in RARE else m, thirds, F.lit(10_000)).alias(m) for m in LEAST_SPREAD]
     passed = counted.where(~F.col("base_failed")).withColumns({"lang": F.coalesce("lang", F.lit("")), "source": F.coalesce("source", F.lit(""))})
     levels = passed.rollup("lang", "source").agg(
         F.count("*").alias("n"), (F.grouping("lang") + F.grouping("source")).alias("level"), *quartiles)
-    limits = [(F.col(m)[1] + FENCE * F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(least))).alias(m) for m, least in LEAST_SPREAD.items()]
+
+    def limit(m: str, least: float) -> Column:
+        q = F.col(m)
+        # A group of which no text has a symbol or a repeated line has no quartiles of these: 0.
+        start = F.coalesce(q[1], F.lit(0.0)) if m in RARE else q[2]
+        return start + FENCE * F.greatest(F.coalesce(q[2] - q[0], F.lit(0.0)), F.lit(least))
+
+    limits = [limit(m, least).alias(m) for m, least in LEAST_SPREAD.items()]
     return levels.select("lang", "source", "level", "n", F.struct(*limits).alias("limits")).where((F.col("n") >= min_group) | (F.col("level") == 2))
 
 

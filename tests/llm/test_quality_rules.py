@@ -40,9 +40,9 @@ def test_thresholds_are_the_quartile_fences(spark):
     passed = [x for x in rows if not x[0].base_failed]
 
     def fence(group, m):
-        v = sorted(r[m] for r, _, _ in group)
-        q1, q3 = (v[max(0, -(-p * len(v) // 4) - 1)] for p in (1, 3))
-        return q3 + rules.FENCE * max(q3 - q1, rules.LEAST_SPREAD[m])
+        v = sorted(r[m] for r, _, _ in group if r[m] > 0 or m not in rules.RARE)
+        q1, q2, q3 = (v[max(0, -(-p * len(v) // 4) - 1)] if v else 0.0 for p in (1, 2, 3))
+        return (q2 if m in rules.RARE else q3) + rules.FENCE * max(q3 - q1, rules.LEAST_SPREAD[m])
 
     for r, lang, source in rows:
         for group in ([x for x in passed if x[1:] == (lang, source)], [x for x in passed if x[1] == lang], passed):
@@ -51,6 +51,19 @@ def test_thresholds_are_the_quartile_fences(spark):
         assert r.kept == (not r.base_failed and all(r[m] <= fence(group, m) for m in rules.LEAST_SPREAD))
 
 
+def test_limits_follow_the_sketches(spark):
+    """In groups of 50 texts and more the least spread hardly ever decides."""
+    docs = spark.read.parquet(f"{SF.replace('0.01', '0.1')}/documents.parquet")
+    counted = rules.with_counts(docs.select("text", "lang", "source")).select("__doc.lang", "__doc.source", "__q.*").where("NOT base_failed")
+    from pyspark.sql import functions as F
+    spreads = counted.groupBy("lang", "source").agg(F.count("*").alias("n"), *[
+        (F.percentile_approx(F.when(F.col(m) > 0, F.col(m)) if m in rules.RARE else m, 0.75) -
+         F.percentile_approx(F.when(F.col(m) > 0, F.col(m)) if m in rules.RARE else m, 0.25)).alias(m) for m in rules.LEAST_SPREAD]).where("n >= 50").collect()
+    bound = {m: sum((r[m] or 0.0) < least for r in spreads) for m, least in rules.LEAST_SPREAD.items()}
+    print(len(spreads), bound)
+    assert len(spreads) > 50 and all(n < 0.25 * len(spreads) for n in bound.values())
+
+
 def test_labelled_texts(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = [r for r in QUERIES["op4_quality_rules"](spark, SF).collect() if r.doc_id in labels]
