@@ -3,14 +3,16 @@
 Length classes are the reciprocals capacity/1, capacity/2, capacity/4, ... Every document is cut
 from its start into pieces of exactly a class length, the longest first, until less than
 ``min_cut`` tokens are left; the tail, if any, joins the class whose slot it fits. A class with slots of
-capacity/j always takes j pieces a sequence, so where a piece goes depends on nothing but its number
-within its class: workers number their own pieces, and one small table of counts per worker and
-class places the workers after one another. Cut pieces fill their slots exactly. The last pieces of a class,
+capacity/j always takes j pieces a sequence: a worker holds back the pieces of a class until j of them
+fill a sequence and writes them with their place, independent of all other workers. Cut pieces fill their
+slots exactly. What a worker holds at its end, less than a sequence of each class, is packed over all workers: these
+pieces are numbered by ranges of (class, worker) and fill sequences in the same way. The last pieces of a class,
 too few for a sequence, are laid in sequences of 2^i pieces, whose length is a power of two and needs no
 padding. Only tails (less than ``min_cut`` tokens a document) leave room in their slots.
 
 Nulls: a null text is an empty one and has the end id alone; a null doc_id is kept. Rows that share a doc_id are
-packed each for itself. An empty table gives no pieces. Other columns of the input are ignored.
+packed each for itself. A very long text is encoded whole, its ids are held once. An empty table gives no pieces. Other
+columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,10 +27,14 @@ from pyspark.sql import functions as F
 
 from ledgermatch.llm.bpe import encoder
 from ledgermatch.llm.common import fresh_path, slices
+from ledgermatch.operators.numbering import number_rows
 
-#: ``ids``: little-endian unsigned 32-bit integers. ``slot``: class, ``rank``: number in worker and class.
+#: ``ids``: little-endian unsigned 32-bit integers. ``slot``: class, ``rank``: number among what the worker ``part`` holds at its
+#: end in the class; null, like ``part``, for the pieces that have their sequence.
 PIECE_SCHEMA = ("part int, slot int, tail boolean, rank long, doc_id long, start long, length long, "
-                "doc_tokens long, ids binary")
+                "doc_tokens long, ids binary, sequence_id long, offset long")
+#: Sequences of a worker are numbered from part * 2^40 on, those over all workers from 2^62 on.
+PART_BITS, SHARED = 40, 1 << 62
 
 
 def cut_lengths(total: int, capacity: int, min_cut: int) -> list[tuple[int, int, bool]]:
@@ -47,23 +53,37 @@ def cut_lengths(total: int, capacity: int, min_cut: int) -> list[tuple[int, int,
 
 
 def write_pieces(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, capacity: int, min_cut: int) -> str:
-    """Encode and cut ``docs`` (doc_id, text); numbers run per task and class."""
+    """Encode and cut ``docs`` (doc_id, text); sequences that a task fills by itself have their number and offsets."""
+    kinds = (pa.int32(), pa.int32(), pa.bool_(), *[pa.int64()] * 5, pa.binary(), pa.int64(), pa.int64())
+    names = ["part", "slot", "tail", "rank", "doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, ranks = encoder(tokenizer_path), TaskContext.get().partitionId(), {}
-        end = np.array([end_id], "<u4").tobytes()
+        enc, part = encoder(tokenizer_path), TaskContext.get().partitionId()
+        end, waiting, sequence = np.array([end_id], "<u4").tobytes(), {}, part << PART_BITS
         for batch in slices(batches, "text"):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = enc.encode(text) + end
                 n, start = len(ids) // 4, 0
                 for length, slot, tail in cut_lengths(n, capacity, min_cut):
-                    rank = ranks[slot, tail] = ranks.get((slot, tail), -1) + 1
-                    rows.append((part, slot, tail, rank, doc_id, start, length, n, ids[4 * start:4 * (start + length)]))
+                    held = waiting.setdefault((slot, tail), [])
+                    held.append((doc_id, start, length, n, ids[4 * start:4 * (start + length)]))
                     start += length
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.bool_(), *[pa.int64()] * 5, pa.binary()))],
-                ["part", "slot", "tail", "rank", "doc_id", "start", "length", "doc_tokens", "ids"])
+                    if len(held) * slot == capacity:
+                        offset = 0
+                        for piece in held:
+                            rows.append((None, slot, tail, None, *piece, sequence, offset))
+                            offset += piece[2]
+                        sequence += 1
+                        held.clear()
+            if rows:
+                yield batch_of(rows)
+        left = [(part, slot, tail, rank, *piece, None, None) for (slot, tail), held in waiting.items() for rank, piece in enumerate(held)]
+        if left:
+            yield batch_of(left)
 
     (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
      .mapInArrow(cut_up, PIECE_SCHEMA).write.option("compression", "zstd").parquet(path))
@@ -85,31 +105,29 @@ def place_pieces(spark: SparkSession, path: str, capacity: int) -> DataFrame:
     """The written pieces with ``sequence_id`` and ``offset``, gapless from 0 in each sequence."""
     rows = spark.read.schema(PIECE_SCHEMA).parquet(path)
     bits = capacity.bit_length()
-    earlier = Window.partitionBy("slot", "tail").orderBy("part")
-    counts = rows.groupBy("slot", "tail", "part").count()
-    # Per worker and class one row: bounded by workers times 2 log2(capacity) classes.
-    base = counts.select("slot", "tail", "part", (F.sum("count").over(earlier) - F.col("count")).alias("base"))
-    classes = counts.groupBy("slot", "tail").agg(F.sum("count").alias("n")).withColumn(
+    kept = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id"]
+    done = rows.where("part IS NULL").select(*kept, "offset")
+    held = number_rows(rows.where("part IS NOT NULL").drop("sequence_id", "offset"), ["slot", "tail", "part", "rank"], "at")
+    # One row a class: 2 log2(capacity) at most.
+    classes = held.groupBy("slot", "tail").agg(F.count("*").alias("n"), F.min("at").alias("first")).withColumn(
         "full", F.floor(F.col("n") * F.col("slot") / capacity).cast("long"))
     # Sequences of a class: its full ones, then one for each set bit of what is left (tails: one for all).
     width = F.col("full") + F.when(F.col("tail"), 1).otherwise(F.lit(bits))
-    first = Window.orderBy(F.desc("slot"), "tail").rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.withColumn("sequence_base", F.coalesce(F.sum(width).over(first), F.lit(0)))
-    table = F.broadcast(base.join(F.broadcast(classes), ["slot", "tail"]))
+    earlier = Window.orderBy(F.desc("slot"), "tail").rowsBetween(Window.unboundedPreceding, -1)
+    classes = classes.withColumn("sequence_base", F.lit(SHARED) + F.coalesce(F.sum(width).over(earlier), F.lit(0)))
     per = (F.lit(capacity) / F.col("slot")).cast("long")
-    at = rows.join(table, ["slot", "tail", "part"]).withColumn("at", F.col("base") + F.col("rank"))
+    at = held.join(F.broadcast(classes), ["slot", "tail"]).withColumn("at", F.col("at") - F.col("first"))
     at = at.withColumn("bin", F.floor(F.col("at") / per).cast("long")).withColumn("place", F.col("at") % per)
     left = F.col("n") - F.col("full") * per
     run, place = _block(F.col("place"), left, bits)
     last = (F.col("bin") == F.col("full")) & ~F.col("tail")
     at = at.withColumn("sequence_id", F.col("sequence_base") + F.col("bin") + F.when(last, run).otherwise(F.lit(0)))
     at = at.withColumn("place", F.when(last, place).otherwise(F.col("place")))
-    kept = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id"]
     exact = at.where(~F.col("tail")).select(*kept, (F.col("place") * F.col("slot")).alias("offset"))
     # Tails are shorter than their slots and stand close together; a sequence holds at most capacity of them.
     close = Window.partitionBy("sequence_id").orderBy("place")
     tails = at.where("tail").withColumn("offset", F.sum("length").over(close) - F.col("length"))
-    return exact.unionByName(tails.select(*kept, "offset"))
+    return done.unionByName(exact).unionByName(tails.select(*kept, "offset"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 2048,
