@@ -2,8 +2,8 @@
 
 A rule (host, path) fits its host and all subdomains where the url's path starts with the rule's. With
 the host's labels reversed ("www.example.com" -> "com.example.www."), the hosts a rule fits are
-one interval of keys. Rules of one path form nested intervals, swept in key order: a running sum of
-opened and closed intervals is the height of the stack, and the rule on its top after an event is
+one interval of keys. Rules of one path form nested intervals, swept in key order, in ranges of the order: a running sum
+of opened and closed intervals is the height of the stack, and the rule on its top after an event is
 the last one opened at that height. Urls are sorted into the same order, once for every
 rule path that their path starts with, and take the rule on top of the stack where they stand; the
 ranges of the order are swept independently, each starting with what was active at the end of the one before.
@@ -38,17 +38,31 @@ def reversed_host(host: Column) -> Column:
 
 
 def _segments(rules: DataFrame) -> DataFrame:
-    """(path, key, top): from ``key`` on, ``top`` is the innermost rule of that path (null in it: none)."""
+    """(path, key, top): from ``key`` on, ``top`` is the innermost rule of that path (null in it: none).
+
+    The events stand in order of (path, key) over all paths; a path closes what it opens, so one running sum gives the
+    heights of all. Ranges of the order are swept independently, however many rules one path has: the heights start with
+    the sums of the ranges before, and the rule on top is the last one opened at that height, in the range or before it.
+    """
     rules = rules.where("host <> '' AND path IS NOT NULL").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     rule = F.struct(F.concat("host", "path").alias("rule"), "verdict", F.length("host").alias("host_length"))
     opened = rules.select("path", reversed_host(F.col("host")).alias("key"), F.lit(1).alias("step"), rule.alias("own"))
     closed = opened.select("path", F.concat("key", F.unhex(F.lit("FF"))).alias("key"), F.lit(-1).alias("step"),
                            F.lit(None).cast(opened.schema["own"].dataType).alias("own"))
-    in_order = Window.partitionBy("path").orderBy("key")
-    events = opened.unionByName(closed).withColumn("height", F.sum("step").over(in_order))
-    same_height = Window.partitionBy("path", "height").orderBy("key")
-    return events.select("path", "key", F.struct(F.when(F.col("height") > 0, F.last("own", ignorenulls=True).over(same_height))
-                                                 .alias("rule")).alias("top"))
+    events = cut(opened.unionByName(closed).repartitionByRange("path", "key").withColumn("range", F.spark_partition_id()))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    base = events.groupBy("range").agg(F.sum("step").alias("steps")).select("range", F.coalesce(F.sum("steps").over(before), F.lit(0)).alias("base"))
+    here = Window.partitionBy("range").orderBy("path", "key").rowsBetween(Window.unboundedPreceding, 0)
+    # One row per range.
+    raised = cut(events.withColumn("in_range", F.sum("step").over(here)).join(F.broadcast(base), "range")
+                 .withColumn("height", F.col("base") + F.col("in_range")).drop("base", "in_range"))
+    # Per range and height the rule opened last: as many rows as ranges times the deepest nesting at most.
+    ends = raised.groupBy("range", "height").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.struct("path", "key"))).alias("own"))
+    earlier = Window.partitionBy("height").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("range", "height", F.last("own", ignorenulls=True).over(earlier).alias("carried"))
+    same_height = Window.partitionBy("range", "height").orderBy("path", "key").rowsBetween(Window.unboundedPreceding, 0)
+    found = raised.withColumn("seen", F.last("own", ignorenulls=True).over(same_height)).join(carried, ["range", "height"])
+    return found.select("path", "key", F.struct(F.when(F.col("height") > 0, F.coalesce("seen", "carried")).alias("rule")).alias("top"))
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
