@@ -3,7 +3,8 @@
 A page is flattened into blocks, the runs of text between block-level tags, with white space made single. Each block has
 its number of words and its link density (share of words inside links), those of the block before and the one
 after, and what its markup says: inside an article or main part, inside a navigation, header, footer, aside or form
-part (or one whose class or id names such a thing), heading, paragraph, sentence end. A decision tree
+part (or one whose class or id names such a thing), heading, paragraph, sentence end. A form
+that holds an article, a main part or most of the page's words is no frame. A decision tree
 trained on a small labelled table (``training_pages``) decides which blocks are main text; these are joined by
 newlines in page order.
 
@@ -60,28 +61,48 @@ _LIST_NAME = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|respond|disqus
 _FRAME_ROLE = {"navigation", "complementary", "contentinfo", "search", "form", "dialog", "menu"}
 _HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header\w*|hd)(?:$|[\s_\d-])", re.I)
 _CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post|entry|story|main|text)(?:$|[\s_\d-])", re.I)
+#: Names that say nothing about what stands inside an article: there a part may well be called so.
+_AMBIGUOUS_NAME = re.compile(r"(?:^|[\s_-])(?:legal|disclaimer|copyright|menu\w*|form|search\w*|side|foot|topbar|masthead|skip)(?:$|[\s_\d-])", re.I)
+#: Inline elements with these names are buttons or adverts; others take part in their block.
+_BUTTON_NAME = re.compile(r"(?:^|[\s_-])(?:share|sharing|social|ad|ads|advert\w*|sponsor\w*)(?:$|[\s_\d-])", re.I)
 _SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
 
 
-def _frame_named(named: str) -> bool:
+def _frame_named(named: str, in_main: bool = False) -> bool:
     if not _FRAME_NAME.search(named) or _SURE_CONTENT.search(named):
         return False
-    return any(_FRAME_NAME.search(token) and not _STATE_NAME.search(token) for token in named.split())
+    tokens = [token for token in named.split() if _FRAME_NAME.search(token) and not _STATE_NAME.search(token)]
+    return any(not _AMBIGUOUS_NAME.search(token) for token in tokens) if in_main else bool(tokens)
 
 
 class _Page:
     """Collects the blocks of one page: (text, words, linked words, in_main, in_frame, content_name, tag).
 
     With ``unwrap`` an article or main part inside a frame by name alone is main; ``wrapped`` tells if there is one.
+    Forms are numbered in page order; those in ``plain`` are no frames. ``forms`` has for each whether it holds an article
+    or main part, and its words.
     """
 
-    def __init__(self, unwrap: bool = False):
+    def __init__(self, unwrap: bool = False, plain: frozenset[int] = frozenset()):
         self.blocks, self.parts, self.links = [], [], []
         # Open block-level elements: (tag, in_main, in_frame, content_name, framed by more than a name).
         self.open = [("", False, False, False, False)]
-        self.unwrap, self.wrapped = unwrap, False
+        self.count: dict[str, int] = {}  # of the open elements by tag
+        self.unwrap, self.wrapped, self.plain = unwrap, False, plain
+        self.forms, self.form_depth = [], 0  # depth of the outermost open form, 0 outside
         self.in_link = False
 
+    def push(self, element: tuple) -> None:
+        self.open.append(element)
+        self.count[element[0]] = self.count.get(element[0], 0) + 1
+
+    def pop(self) -> str:
+        tag = self.open.pop()[0]
+        self.count[tag] -= 1
+        if len(self.open) <= self.form_depth:
+            self.form_depth = 0
+        return tag
+
     def text(self, piece: str) -> None:
         if piece:
             self.parts.append(piece)
@@ -96,6 +117,8 @@ class _Page:
                 words = text.count(" ") + 1
                 tag, main, frame, named, _ = self.open[-1]
                 self.blocks.append((text, words, min(linked, words), main, frame, named, tag))
+                if self.form_depth:
+                    self.forms[-1][1] += words
             self.parts, self.links = [], []
 
     def start(self, tag: str, attributes: str) -> None:
@@ -112,31 +135,39 @@ class _Page:
             # An inline element takes part in its block unless it is hidden or names itself something else.
             if tag == "br":
                 self.parts.append(" ")
-            elif tag not in _VOID and tag != "a" and (hidden or _frame_named(named)):
+            elif tag not in _VOID and tag != "a" and (hidden or _BUTTON_NAME.search(named)):
                 self.end_block()
-                self.open.append((tag, False, True, False, True))
+                self.push((tag, False, True, False, True))
             return
         self.end_block()
         self.in_link = self.in_link and tag == "a"
         if self.open[-1][0] == "p" or (tag in _CLOSED_BY_LIKE and self.open[-1][0] == tag):
-            self.open.pop()
+            self.pop()
         if tag in _VOID:
             return
         _, main, frame, content, sure = self.open[-1]
         role = names.get("role", "").lower()
         article = tag in ("article", "main") or role == "main"
-        by_name = tag not in ("html", "body") and _frame_named(named)
+        by_name = tag not in ("html", "body") and _frame_named(named, main)
         listed = by_name and bool(_LIST_NAME.search(named))
-        sure = sure or hidden or tag in _FRAME or role in _FRAME_ROLE or listed or (by_name and main)
+        framed = tag in _FRAME
+        if tag == "form" and not self.form_depth:
+            framed = len(self.forms) not in self.plain
+            by_name = by_name and framed
+            self.forms.append([False, 0])
+            self.form_depth = len(self.open)
+        elif article and self.form_depth:
+            self.forms[-1][0] = True
+        sure = sure or hidden or framed or role in _FRAME_ROLE or listed or (by_name and main)
         if article and not sure and (frame or by_name):
             self.wrapped = True
             if self.unwrap:
                 frame = by_name = False
         header = tag == "header" or (tag not in ("html", "body") and bool(_HEADER_NAME.search(named)) and not article)
-        frame = frame or hidden or tag in _FRAME or (header and not main) or by_name
+        frame = frame or hidden or framed or (header and not main) or by_name
         main = (main or article) and not frame
         content = (content or bool(_CONTENT_NAME.search(named))) and not frame
-        self.open.append((tag, main, frame, content, sure))
+        self.push((tag, main, frame, content, sure))
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -144,25 +175,28 @@ class _Page:
         if tag in _INLINE:
             if self.open[-1][0] == tag:
                 self.end_block()
-                self.open.pop()
+                self.pop()
             return
         self.end_block()
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
+        if self.count.get(tag):  # else nothing is open that it could close
+            while self.pop() != tag:
+                pass
 
 
 def flatten(page: str) -> list[tuple]:
     """The blocks of a page in order."""
     out = _read(page)
+    total = sum(b[1] for b in out.blocks)
+    plain = frozenset(k for k, (holds, words) in enumerate(out.forms) if holds or 2 * words > total)
+    if plain:
+        out = _read(page, plain=plain)
     if out.wrapped and not any(b[3] for b in out.blocks):
-        out = _read(page, unwrap=True)
+        out = _read(page, True, plain)
     return out.blocks
 
 
-def _read(page: str, unwrap: bool = False) -> _Page:
-    out, at = _Page(unwrap), 0
+def _read(page: str, unwrap: bool = False, plain: frozenset[int] = frozenset()) -> _Page:
+    out, at = _Page(unwrap, plain), 0
     while m := _TAG.search(page, at):
         out.text(page[at:m.start()])
         at = m.end()

@@ -31,7 +31,7 @@ def test_wrapped_articles(tree, page):
 
 
 def test_real_frames_stay(tree):
-    for tag in ("nav", "aside", "footer", "form"):
+    for tag in ("nav", "aside", "footer", "dialog"):
         assert html_extract.main_text(f"<{tag}>{ARTICLE}</{tag}>", tree) == ""
     assert not any(b[3] for b in html_extract.flatten(f"<div class='comments'>{ARTICLE}</div>"))
 
