@@ -24,7 +24,7 @@ _DEFAULT_CONF = {
 
 def get_spark(app_name: str = "ledgermatch", master: str | None = None,
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build or fetch a session with AQE and skew handling switched on."""
+    """Build or fetch a session with AQE and skew handling switched on; off ``local`` masters the package is shipped."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -36,6 +36,8 @@ def get_spark(app_name: str = "ledgermatch", master: str | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        ship_package(spark)
     return spark
 
 

@@ -130,3 +130,31 @@ def test_stream_restarts_and_reads_partition_folders(spark, tmp_path):
         os.remove(state / name)
     assert run() == sorted(first + [("s3", 4, "gold"), ("", 5, "verra")])
     assert spark.read.parquet(f"{out}/rows").select(F.count("*")).first()[0] == 4
+
+
+def test_export_columns_are_taken_by_the_header(spark, tmp_path):
+    from ledgermatch.sources import registry
+    from ledgermatch.plans import fixtures as fx
+    verra, gold = ({r: sorted(fx.REGISTRY_COLUMNS[r]) for r in ("verra", "gold")}[r] for r in ("verra", "gold"))
+    lacking = verra[0]
+    own = ["Unheard of", *reversed(verra[1:])]  # one column more, one less, another order
+    (tmp_path / "verra").mkdir()
+    (tmp_path / "verra" / "a.csv").write_text(",".join(f'"{c}"' for c in own) + "\n" + ",".join(f'"{c} 1"' for c in own) + "\n")
+    (tmp_path / "gold").mkdir()
+    (tmp_path / "gold" / "a.csv").write_text(",".join(f'"{c}"' for c in gold) + "\n" + ",".join(f'"{c} 2"' for c in gold) + "\n")
+    mixed, present = registry.load_registries(spark, {"verra": (str(tmp_path / "verra"), "csv"), "gold": (str(tmp_path / "gold"), "csv")},
+                                              {"verra": verra, "gold": gold})
+    rows = {r.registry_key: r.asDict() for r in mixed.collect()}
+    assert "Unheard of" not in mixed.columns and lacking in mixed.columns and lacking not in present["verra"]
+    assert all(rows["verra"][c] == f"{c} 1" for c in verra[1:]) and rows["verra"][lacking] is None
+    assert all(rows["gold"][c] == f"{c} 2" for c in gold)
+
+
+def test_snapshot_versions_are_compared_as_numbers(spark, tmp_path):
+    from ledgermatch.sources import registry
+    assert registry.latest_snapshot(spark, str(tmp_path)) is None
+    for group, last in ((["v9", "v10", "v2"], "v10"), (["2026-2", "2026-10", "2025-12"], "2026-10"), (["b", "a", "3"], "3")):
+        root = tmp_path / group[0]
+        for v in group:
+            (root / f"snapshot={v}").mkdir(parents=True)
+        assert registry.latest_snapshot(spark, str(root)) == last
