@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -26,13 +27,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, wait: float = 0.0) -> None:
     """Let Spark's cleaner drop the shuffle files and checkpoints that nothing refers to any more.
 
-    It acts on what the driver's garbage collection finds, which a small driver may not run for a whole loop.
+    It acts on what the driver's garbage collection finds, which a small driver may not run for a whole loop. Python's
+    references end a moment after its own collection and the cleaner works on its own: a step that needs the room before
+    it goes on collects twice and gives each ``wait`` seconds.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2 if wait else 1):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(wait)
 
 
 def delete(spark: SparkSession, path: str) -> None:

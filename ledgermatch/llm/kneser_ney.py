@@ -52,6 +52,7 @@ BLOCK_CHARS = 12 << 20
 SHARD_KEYS = 1_000_000  # keys of a shard, about
 ROUND_CHARS, MOST_ROUNDS = 64 << 20, 12  # a round takes so many characters of text at least
 CHARS_PER_UNIT = 5
+SETTLE = 0.7  # seconds that the files of a finished step get to go
 MAX_BROADCAST_LABELS = 1_000_000  # (long, boolean) rows
 START, END = "", "\0"  # no unit is empty, and a lone NUL is a mark
 _UNIT = re.compile(r"\w+|[^\w\s]+|\s\s+|[^\S ]")
@@ -324,7 +325,7 @@ def packed_pairs(texts: DataFrame, bits: int) -> DataFrame:
     schema = "shard long, keys binary, found binary, firsts binary, n1 long, n2 long, n3 long, n4 long"
     turned = F.shiftleft("b", _TURN).bitwiseOR(F.shiftrightunsigned("b", 64 - _TURN))
     _pairs_of_blocks(texts).withColumn("shard", _shard(F.col("a").bitwiseXOR(turned), bits)).groupBy("shard").applyInArrow(pack, schema).write.parquet(path)
-    release(texts.sparkSession)
+    release(texts.sparkSession, SETTLE)
     return texts.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -364,7 +365,7 @@ def unit_model(texts: DataFrame, n_keys: int) -> Model:
     whole, freed = then.agg(F.sum("c"), F.sum("d")).first()
     units = then.select("key", "total", "freed", ((F.col("c") - F.col("d")) / F.lit(float(whole or 1))).alias("own"))
     model = Model(pairs.select("shard", "keys", "found"), packed_units(units, ["total", "freed", "own"], bits), by, freed / whole if whole else 1.0, bits)
-    release(texts.sparkSession)
+    release(texts.sparkSession, SETTLE)
     return model
 
 
@@ -505,7 +506,7 @@ def score(told: DataFrame, trusted: DataFrame) -> DataFrame:
         path = fresh_path(spark, "units")
         one = cut(score_blocks(write_blocks(part, table, path), model))
         delete(spark, path)
-        release(spark)
+        release(spark, SETTLE)
         scored = one if scored is None else scored.unionByName(one)
     return scored
 
