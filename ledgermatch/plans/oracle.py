@@ -694,13 +694,11 @@ def _sql() -> dict[str, str]:
         FROM known_matches WHERE company_normalized <> '' GROUP BY 1),
       missed AS (SELECT raw_name, {NORM('raw_name')} AS nkey FROM results WHERE match_method = 'unmatched'),
       close AS (
-        SELECT edits, nkey, key, pos, v, levenshtein(nkey, key) AS distance
-        FROM (SELECT DISTINCT nkey FROM missed WHERE length(nkey) BETWEEN 5 AND 80) JOIN near_keys ON abs(length(nkey) - length(key)) <= 2,
-             (SELECT unnest([1, 2])::INTEGER AS edits)
-        WHERE length(key) BETWEEN 5 AND 80 AND v.i <> '' AND levenshtein(nkey, key) <= edits),
-      best AS (SELECT edits, nkey, arg_min({{'v': v, 'd': distance}}, {{'d': distance, 'p': pos, 'k': key}}) AS b FROM close GROUP BY 1, 2)
-      SELECT edits, raw_name, b.v.n AS matched_name, b.v.i AS factset_entity_id,
-             CASE WHEN b.d <= 1 THEN 'medium' ELSE 'low' END AS confidence, 'cache_near' AS match_method, b.d::INTEGER AS distance
+        SELECT nkey, key, pos, v, levenshtein(nkey, key) AS distance
+        FROM (SELECT DISTINCT nkey FROM missed WHERE length(nkey) BETWEEN 5 AND 80) JOIN near_keys ON abs(length(nkey) - length(key)) <= 1
+        WHERE length(key) BETWEEN 5 AND 80 AND v.i <> '' AND levenshtein(nkey, key) <= 1),
+      best AS (SELECT nkey, arg_min({{'v': v, 'd': distance}}, {{'d': distance, 'p': pos, 'k': key}}) AS b FROM close GROUP BY 1)
+      SELECT raw_name, b.v.n AS matched_name, b.v.i AS factset_entity_id, 'medium' AS confidence, 'cache_near' AS match_method, b.d::INTEGER AS distance
       FROM missed JOIN best USING (nkey)"""
     # Each update adds every name with one firm, so the second one's row is the last of every exact key that it
     # adds: of the names with one normal form the first seen stays, and gives that form's entry.
