@@ -70,3 +70,32 @@ def test_rows_without_firm_get_keys_of_their_own(spark):
     assert got.count() == 201
     assert sorted(r.hq_country for r in got.collect() if r.hq_country) == ["BR"]
     assert "_key" not in got.columns
+
+
+def test_numbered_rows_are_shuffled_once(spark):
+    import random
+
+    from ledgermatch.operators.numbering import number_rows
+    values = [(random.Random(i).choice([None, 1, 2, 3, 500, i]), i) for i in range(3000)]
+    rows = spark.createDataFrame(values, "k int, i int").repartition(7)
+    numbered = number_rows(rows, ["k", F.col("i") * -1], "_at")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan  # ranges are not shuffled again once they are written
+    assert numbered.columns == ["k", "i", "_at"]
+    want = sorted(values, key=lambda r: (r[0] is not None, r[0] or 0, -r[1]))
+    assert [(r.k, r.i, r["_at"]) for r in numbered.orderBy("_at").collect()] == [(k, i, n) for n, (k, i) in enumerate(want)]
+    assert number_rows(rows.where("false"), ["k"]).count() == 0
+
+
+def test_ledger_rows_are_written_once_and_exports_without_a_shuffle(spark, monkeypatch):
+    from ledgermatch.operators import numbering
+    from ledgermatch.plans import fixtures as fx
+    monkeypatch.setattr(fx, "_LANDED", {})
+    monkeypatch.setattr(fx, "_NUMBERED", {}, raising=False)
+    names, real_path, real_written = [], fx.scratch_path, numbering.written
+    monkeypatch.setattr(fx, "scratch_path", lambda s, name: names.append(name) or real_path(s, name))
+    monkeypatch.setattr(numbering, "written", lambda df, name: names.append(name) or real_written(df, name))
+    raw, base = fx.registry_ledger(spark, SF_SMALL), fx.base(spark, SF_SMALL)
+    assert sorted(names) == ["landed-base", "landed-ledger_raw", "numbered"]
+    seqs = [r.seq for r in raw.select("seq").orderBy("seq").collect()]
+    assert seqs == list(range(len(seqs))) and 0 < base.count() < len(seqs)
