@@ -99,3 +99,24 @@ def test_ledger_rows_are_written_once_and_exports_without_a_shuffle(spark, monke
     assert sorted(names) == ["landed-base", "landed-ledger_raw", "numbered"]
     seqs = [r.seq for r in raw.select("seq").orderBy("seq").collect()]
     assert seqs == list(range(len(seqs))) and 0 < base.count() < len(seqs)
+
+
+def test_matched_table_is_written_without_a_sort_by_folder(spark, tmp_path):
+    from ledgermatch.sources import sinks
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(conf)
+    seen = []
+    rows = spark.range(200).select(F.concat(F.lit("r"), (F.col("id") % 40).cast("string")).alias("registry"), "id")
+    class Writer:
+        def __init__(self, df):
+            self.sparkSession = df.sparkSession
+            self.df = df
+
+        def withColumn(self, *a):
+            seen.append(int(spark.conf.get(conf)))
+            return self.df.withColumn(*a)
+
+    path = sinks.write_matched(Writer(rows), str(tmp_path / "many"))  # more folders than are open at a time
+    assert seen == [sinks.OPEN_FOLDERS] and spark.conf.get(conf) == before
+    back = sinks.read_matched(spark, path, rows.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
