@@ -120,3 +120,19 @@ def test_matched_table_is_written_without_a_sort_by_folder(spark, tmp_path):
     assert seen == [sinks.OPEN_FOLDERS] and spark.conf.get(conf) == before
     back = sinks.read_matched(spark, path, rows.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_many_new_serials_do_not_shuffle_the_rows_that_are_known(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "SMALL_ROWS", 100)
+    rows = spark.range(20000).select(
+        "id", F.when(F.col("id") % 50 != 0, F.concat(F.lit("S"), (F.col("id") % 9000).cast("string"))).alias("serial"))
+    serials = spark.range(300).select(F.concat(F.lit("S"), (F.col("id") * 7).cast("string")).alias("_serial"))
+    want = sorted(r.id for r in rows.collect() if r.serial is None or (int(r.serial[1:]) % 7 == 0 and int(r.serial[1:]) < 2100))
+    for most in (incremental.MOST_BITS, 64):  # a map of few bits keeps more rows; the join is exact
+        monkeypatch.setattr(incremental, "MOST_BITS", most)
+        found = incremental.rows_of_serials(rows, F.col("serial"), serials)
+        assert sorted(r.id for r in found.collect()) == want and found.columns == rows.columns
+        kept = incremental.maybe_of_serials(rows, F.col("serial"), serials, 300)
+        assert set(want) <= {r.id for r in kept.collect()}
+        if most > 64:
+            assert kept.count() < len(want) + 3000
