@@ -142,3 +142,42 @@ def test_the_schema_of_the_published_table_needs_no_run(ctx):
     from ledgermatch.plans.job import ORDER_COLUMNS, TABLE_SCHEMA
     assert [(f.name, f.dataType) for f in TABLE_SCHEMA] == [(f.name, f.dataType) for f in ctx.output().schema]
     assert TABLE_SCHEMA.names[-2:] == ORDER_COLUMNS
+
+
+def test_ranged_rows_are_numbered_where_the_join_left_them(spark, monkeypatch):
+    import random
+
+    from ledgermatch.operators import numbering
+    rnd = random.Random(3)
+    lines = [(rnd.choice([None, 1, 2, 2 ** 60 + i % 3, i]), i) for i in range(2000)]
+    orders = [(k, f"o{k}") for k in {k for k, _ in lines if k is not None and k % 7}]
+    plans, real = [], numbering.written
+    monkeypatch.setattr(numbering, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        right = spark.createDataFrame(orders, "o long, text string")
+        left, bounds = spark.createDataFrame(lines, "k long, i int"), numbering.key_bounds(right, "o")
+        left, right = numbering.in_key_ranges(left, "k", bounds), numbering.in_key_ranges(right, "o", bounds)
+        both = left.join(right, (left["_range"] == right["_range"]) & (F.col("k") == F.col("o"))).drop(right["_range"])
+        numbered = numbering.number_ranges(both, ["k", F.col("i") * -1], "_at")
+        got = [(r.k, r.i, r.text, r["_at"]) for r in numbered.orderBy("_at").collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(((k, i) for k, i in lines if k is not None and k % 7), key=lambda r: (r[0], -r[1]))
+    assert got == [(k, i, f"o{k}", n) for n, (k, i) in enumerate(want)] and numbered.columns == ["k", "i", "o", "text", "_at"]
+    # One shuffle a side; the numbers need none. The session's setting is as before.
+    assert plans[0].count("Exchange") == 2 and "rangepartitioning" not in plans[0] and spark.conf.get(name) == before
+    none = spark.createDataFrame([], "o long, text string")
+    assert numbering.number_ranges(numbering.in_key_ranges(none, "o", numbering.key_bounds(none, "o")), ["o"]).count() == 0
+
+
+def test_ledger_derivation_sorts_no_wide_rows_into_ranges(spark, monkeypatch):
+    from ledgermatch.operators import numbering
+    from ledgermatch.plans import fixtures as fx
+    monkeypatch.setattr(fx, "_NUMBERED", {}, raising=False)
+    plans, real = [], numbering.written
+    monkeypatch.setattr(numbering, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+    fx.ledger_rows(spark, SF_SMALL)
+    assert len(plans) == 1 and "rangepartitioning" not in plans[0]
