@@ -186,3 +186,18 @@ def test_ledger_derivation_sorts_no_wide_rows_into_ranges(spark, monkeypatch):
 def test_bucketed_base_holds_what_a_run_compares(ctx):
     assert ctx.bucketed_base().columns == ["serialnumber", "seq", incremental.BUCKET_KEY]
     assert ctx.bucketed_base().count() == ctx.base_raw.count()
+
+
+def test_snapshot_diff_shuffles_a_text_serial_once(spark):
+    rows = [(1, "verra", "a"), (2, "verra", None), (3, "gold", "a"), (4, "verra", "\0b"), (5, "verra", "c"), (5, "verra", "c"), (6, None, "a")]
+    new = spark.createDataFrame(rows, "seq int, registry_key string, serial string")
+    old = spark.createDataFrame([(9, "verra", "a"), (9, "verra", "\0b"), (9, "gold", "c"), (9, "gold", None)], new.schema)
+    found = incremental.snapshot_diff(new, old)
+    key = lambda r: str(r)
+    assert found.columns == new.columns and sorted(map(tuple, found.collect()), key=key) == sorted([r for r in rows if r[0] > 1], key=key)
+    for line in plan(found).splitlines():
+        if "AS _serial#" in line and "Project" in line:
+            assert not re.search(r"[\[ ]serial#\d+L?[,\]]", line), line
+    numbers = spark.createDataFrame([(1, "x", 5), (2, "x", 6), (3, "x", None)], "seq int, registry_key string, serial int")
+    left = incremental.snapshot_diff(numbers, numbers.limit(0).unionByName(numbers.where("serial = 5")))
+    assert left.schema == numbers.schema and sorted(r.seq for r in left.collect()) == [2, 3]
