@@ -183,8 +183,8 @@ def test_ledger_derivation_sorts_no_wide_rows_into_ranges(spark, monkeypatch):
     assert len(plans) == 1 and "rangepartitioning" not in plans[0]
 
 
-def test_bucketed_base_holds_what_a_run_compares(ctx):
-    assert ctx.bucketed_base().columns == ["serialnumber", "seq", incremental.BUCKET_KEY]
+def test_bucketed_base_holds_the_whole_base(ctx):
+    assert ctx.bucketed_base().columns == [*ctx.base_raw.columns, incremental.BUCKET_KEY]
     assert ctx.bucketed_base().count() == ctx.base_raw.count()
 
 
