@@ -9,7 +9,7 @@ classes (``train``), which is of one size (4 MB) and broadcast; it is only this
 Scoring joins counts in shards, in rounds of texts. The texts of a task form blocks; a block asks once for each of its
 distinct units and pairs, in lists by the top bits of the hash; a shard looks its part of the lists up in its part of
 the counts, and the answers go back to the block, which sums over its texts. The counts are packed once, a row per shard
-with its keys in ascending order; the number of shards follows the keys. A round's blocks are deleted when its scores are
+with its keys in ascending order, in tables bucketed by shard, so that no round shuffles them; the number of shards follows the keys. A round's blocks are deleted when its scores are
 written, so disk holds the model and a part of the corpus. No task holds more than a block, or a shard. The log perplexity
 is over the whole text, per character.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermatch.llm.common import cut, delete, fresh_path, release, slices, small_side
@@ -55,6 +56,8 @@ CHARS_PER_UNIT = 5
 SETTLE = 0.7  # seconds that the files of a finished step get to go
 MAX_BROADCAST_LABELS = 1_000_000  # (long, boolean) rows
 START, END = "", "\0"  # no unit is empty, and a lone NUL is a mark
+UNIT_CHARS = 1 << 19  # characters whose units are found at once (a longer text alone)
+LONG_UNIT = 128  # units of more characters are told apart by themselves, not by their keys
 _UNIT = re.compile(r"\w+|[^\w\s]+|\s\s+|[^\S ]")
 _TURN = 23
 BLOCK_SCHEMA = ("block long, doc_id array<long>, lang array<string>, held array<boolean>, text_key array<long>, n array<long>, "
@@ -199,22 +202,91 @@ def pair_hashes(hashes: np.ndarray) -> np.ndarray:
     return a ^ ((b << np.uint64(_TURN)) | (b >> np.uint64(64 - _TURN)))
 
 
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Kind of each code point as ``_UNIT`` tells them apart: of words 0, other marks 1, white space 2."""
+    table = np.ones(0x110000, np.uint8)
+    every = "".join(map(chr, range(0x110000)))
+    for kind, pattern in ((0, r"\w+"), (2, r"\s+")):
+        for m in re.finditer(pattern, every):
+            table[m.start():m.end()] = kind
+    return table
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd number and of its inverse, modulo 2 ** 64."""
+    odd = 0x9E3779B97F4A7C15
+    return tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (odd, pow(odd, -1, 1 << 64)))
+
+
+def unit_places(whole: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and a 64-bit key of each unit that ``_UNIT`` finds in the texts which end at ``ends`` in ``whole``.
+
+    Equal units have equal keys; those of different ones differ but for chance (units up to ``LONG_UNIT`` characters).
+    """
+    points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _kinds()[points]
+    new = np.ones(len(points) + 1, bool)
+    new[1:-1] = kinds[1:] != kinds[:-1]
+    new[ends] = True
+    at = np.flatnonzero(new)
+    first, last = at[:-1], at[1:]
+    unit = (last - first > 1) | (points[first] != 32)
+    first, last = first[unit], last[unit]
+    up, down = _powers(max(2 * UNIT_CHARS, 1 << len(points).bit_length()))
+    mixed = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) * up[:len(points)]
+    sums = np.append(np.uint64(0), np.cumsum(mixed))
+    return first, last, (sums[last] - sums[first]) * down[first]
+
+
 class _Units(dict):
     """Numbers of the units in order of first sight; 0 and 1 are the start and the end of a text."""
 
     def __init__(self):
         super().__init__({START: 0, END: 1})
+        self.keys, self.known = np.zeros(0, np.uint64), np.zeros(0, np.uint32)  # ascending keys of units met, and their numbers
 
     def __missing__(self, unit: str) -> int:
         self[unit] = n = len(self)
         return n
 
-    def of(self, text: str) -> np.ndarray:
-        found = _UNIT.findall(text)
-        out = np.empty(len(found) + 2, np.uint32)
-        out[0], out[-1] = 0, 1
-        out[1:-1] = np.fromiter(map(self.__getitem__, found), np.uint32, len(found))
-        return out
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the units of the texts in a row, each text between its start and its end, and how many each text has."""
+        chars = np.cumsum([len(t) for t in texts])
+        cuts = [0, *np.flatnonzero(np.diff(chars // UNIT_CHARS)) + 1, len(texts)]
+        rows, lengths = zip(*(self._of(texts[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)), strict=True)
+        return np.concatenate(rows), np.concatenate(lengths)
+
+    def _of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        whole, ends = "".join(texts), np.cumsum([len(t) for t in texts])
+        first, last, keys = unit_places(whole, ends)
+        coded = pa.array(keys).dictionary_encode()
+        codes = coded.indices.to_numpy()
+        some = np.empty(len(coded.dictionary), np.int64)  # a place of each distinct unit
+        some[codes] = np.arange(len(codes))
+        keys, numbers = keys[some], np.zeros(len(some), np.uint32)
+        at = np.searchsorted(self.keys, keys)
+        old = np.append(self.keys, np.uint64(0))[at] == keys
+        old &= at < len(self.keys)
+        numbers[old] = self.known[at[old]]
+        new = np.flatnonzero(~old)
+        numbers[new] = self._numbers(whole, first[some[new]], last[some[new]])
+        new = new[np.argsort(keys[new])]
+        self.keys, self.known = np.insert(self.keys, at[new], keys[new]), np.insert(self.known, at[new], numbers[new])
+        found = numbers[codes]
+        long = np.flatnonzero(last - first > LONG_UNIT)
+        found[long] = self._numbers(whole, first[long], last[long])
+        lengths = np.diff(np.searchsorted(first, ends), prepend=0) + 2
+        row, inside, after = np.zeros(lengths.sum(), np.uint32), np.ones(lengths.sum(), bool), np.cumsum(lengths)
+        row[after - 1] = 1
+        inside[after - 1] = inside[after - lengths] = False
+        row[inside] = found
+        return row, lengths
+
+    def _numbers(self, whole: str, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return np.fromiter((self[whole[i:j]] for i, j in zip(first.tolist(), last.tolist(), strict=True)), np.uint32, len(first))
 
     def hashes(self) -> np.ndarray:
         return np.fromiter(map(unit_hash, self), np.uint64, len(self))
@@ -245,20 +317,21 @@ def _pairs_of_blocks(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted():
             hashes = numbers.hashes().view(np.int64)
-            row, at = np.concatenate(units), _pair_places(np.array([len(u) for u in units]))
+            row, at = np.concatenate(units), _pair_places(np.concatenate(lengths))
             seen, times = np.unique((row[at].astype(np.uint64) << np.uint64(32)) | row[at + 1], return_counts=True)
             for k in range(0, len(seen), 500_000):
                 a, b = seen[k:k + 500_000] >> np.uint64(32), seen[k:k + 500_000] & np.uint64(0xFFFFFFFF)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[a]), pa.array(hashes[b]), pa.array(times[k:k + 500_000])], ["a", "b", "c"])
 
-        numbers, units, held = _Units(), [], 0
+        numbers, units, lengths, held = _Units(), [], [], 0
         for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                units.append(numbers.of(text))
-                held += len(text)
+            texts = batch.column("text").to_pylist()
+            for into, found in zip((units, lengths), numbers.of(texts), strict=True):
+                into.append(found)
+            held += sum(map(len, texts))
             if held > BLOCK_CHARS:
                 yield from counted()
-                numbers, units, held = _Units(), [], 0
+                numbers, units, lengths, held = _Units(), [], [], 0
         if units:
             yield from counted()
 
@@ -279,6 +352,14 @@ class Model:
     discounts: tuple[float, float, float]
     share: float
     bits: int
+    tables: tuple[str, ...] = ()
+
+    def drop(self, spark: SparkSession) -> None:
+        """Remove the counts, when nothing is scored any more."""
+        for table in self.tables:
+            path = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+            spark.sql(f"DROP TABLE {table}")
+            delete(spark, path)
 
 
 def shard_bits(n_keys: int) -> int:
@@ -290,7 +371,15 @@ def _shard(key: Column, bits: int) -> Column:
     return F.shiftrightunsigned(key, 64 - bits)
 
 
-def packed_units(counts: DataFrame, values: list[str], bits: int) -> DataFrame:
+def _by_shard(packed: DataFrame, table: str) -> DataFrame:
+    """``packed`` written as the table ``table``, bucketed by shard into as many buckets as a shuffle has partitions, read back."""
+    spark = packed.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed.write.option("path", fresh_path(spark, table)).bucketBy(buckets, "shard").saveAsTable(table)
+    return spark.table(table)
+
+
+def packed_units(counts: DataFrame, values: list[str], bits: int, table: str) -> DataFrame:
     """(shard, keys, found): ``counts`` (key, values) written as one row per shard, keys ascending as steps, values (float32) in their order."""
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
@@ -300,13 +389,11 @@ def packed_units(counts: DataFrame, values: list[str], bits: int) -> DataFrame:
         return pa.table({"shard": [key[0].as_py()], "keys": pa.array([_small(np.diff(keys[order], prepend=np.uint64(0)))], pa.binary()),
                          "found": pa.array([_small(found.reshape(-1))], pa.binary())})
 
-    path = fresh_path(counts.sparkSession, "packed-units")
-    schema = "shard long, keys binary, found binary"
-    counts.select(_shard(F.col("key"), bits).alias("shard"), "key", *values).groupBy("shard").applyInArrow(pack, schema).write.parquet(path)
-    return counts.sparkSession.read.schema(schema).parquet(path)
+    sharded = counts.select(_shard(F.col("key"), bits).alias("shard"), "key", *values).groupBy("shard")
+    return _by_shard(sharded.applyInArrow(pack, "shard long, keys binary, found binary"), table)
 
 
-def packed_pairs(texts: DataFrame, bits: int) -> DataFrame:
+def packed_pairs(texts: DataFrame, bits: int, table: str) -> DataFrame:
     """The pairs of ``texts`` written as one row per shard: keys ascending as steps, counts (uint32) and first units in their
     order, and how many counts are 1, 2, 3 and 4."""
 
@@ -321,12 +408,12 @@ def packed_pairs(texts: DataFrame, bits: int) -> DataFrame:
                          "found": pa.array([_small(counts.astype(np.uint32))], pa.binary()), "firsts": pa.array([_small(a[order][first])], pa.binary()),
                          **{f"n{i}": [int((counts == i).sum())] for i in (1, 2, 3, 4)}})
 
-    path = fresh_path(texts.sparkSession, "packed-pairs")
     schema = "shard long, keys binary, found binary, firsts binary, n1 long, n2 long, n3 long, n4 long"
     turned = F.shiftleft("b", _TURN).bitwiseOR(F.shiftrightunsigned("b", 64 - _TURN))
-    _pairs_of_blocks(texts).withColumn("shard", _shard(F.col("a").bitwiseXOR(turned), bits)).groupBy("shard").applyInArrow(pack, schema).write.parquet(path)
+    sharded = _pairs_of_blocks(texts).withColumn("shard", _shard(F.col("a").bitwiseXOR(turned), bits)).groupBy("shard")
+    packed = _by_shard(sharded.applyInArrow(pack, schema), table)
     release(texts.sparkSession, SETTLE)
-    return texts.sparkSession.read.schema(schema).parquet(path)
+    return packed
 
 
 def _sides(discounts: tuple[float, float, float]):
@@ -356,7 +443,8 @@ def unit_model(texts: DataFrame, n_keys: int) -> Model:
     own(b) + share * chance of its spelling.
     """
     bits = shard_bits(n_keys)
-    pairs = packed_pairs(texts, bits)
+    tables = tuple(f"packed_{x}_{uuid.uuid4().hex}" for x in ("pairs", "units"))
+    pairs = packed_pairs(texts, bits, tables[0])
     by = _discounts_of(*(n or 0 for n in pairs.agg(*[F.sum(f"n{i}") for i in (1, 2, 3, 4)]).first()))
     sides = pairs.select("keys", "found", "firsts").mapInArrow(_sides(by), "key long, total double, freed double, c long")
     units = cut(sides.groupBy("key").agg(*[F.sum(x).alias(x) for x in ("total", "freed", "c")]))
@@ -364,7 +452,8 @@ def unit_model(texts: DataFrame, n_keys: int) -> Model:
     then = _discounted(units, _discounts(followers)).withColumn("d", F.when(F.col("c") > 0, F.col("d")).otherwise(0.0))
     whole, freed = then.agg(F.sum("c"), F.sum("d")).first()
     units = then.select("key", "total", "freed", ((F.col("c") - F.col("d")) / F.lit(float(whole or 1))).alias("own"))
-    model = Model(pairs.select("shard", "keys", "found"), packed_units(units, ["total", "freed", "own"], bits), by, freed / whole if whole else 1.0, bits)
+    model = Model(pairs.select("shard", "keys", "found"), packed_units(units, ["total", "freed", "own"], bits, tables[1]), by,
+                  freed / whole if whole else 1.0, bits, tables)
     release(texts.sparkSession, SETTLE)
     return model
 
@@ -385,21 +474,22 @@ def write_blocks(docs: DataFrame, table: np.ndarray, path: str) -> DataFrame:
             place[order] = np.arange(len(order), dtype=np.uint32)
             spelled = spellings(list(numbers), shared.value)[order].astype(np.float32)
             yield pa.RecordBatch.from_pylist([{
-                **kept, "block": block, "lengths": [len(u) for u in units], "units": _small(place[row]),
+                **kept, "block": block, "lengths": np.concatenate(lengths).tolist(), "units": _small(place[row]),
                 "hashes": numbers.hashes()[order].tobytes(), "spelled": spelled.tobytes()}], schema)
 
-        numbers, units, held, block = _Units(), [], 0, TaskContext.get().partitionId() << 32
+        numbers, units, lengths, held, block = _Units(), [], [], 0, TaskContext.get().partitionId() << 32
         kept = {c: [] for c in (*plain, "n")}
         for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                units.append(numbers.of(text))
-                kept["n"].append(len(text))
-                held += len(text)
+            texts = batch.column("text").to_pylist()
+            for into, found in zip((units, lengths), numbers.of(texts), strict=True):
+                into.append(found)
+            kept["n"] += map(len, texts)
+            held += sum(map(len, texts))
             for c in plain:
                 kept[c] += batch.column(c).to_pylist()
             if held > BLOCK_CHARS:
                 yield from finished()
-                numbers, units, held, block = _Units(), [], 0, block + 1
+                numbers, units, lengths, held, block = _Units(), [], [], 0, block + 1
                 kept = {c: [] for c in kept}
         if units:
             yield from finished()
@@ -508,6 +598,7 @@ def score(told: DataFrame, trusted: DataFrame) -> DataFrame:
         delete(spark, path)
         release(spark, SETTLE)
         scored = one if scored is None else scored.unionByName(one)
+    model.drop(spark)
     return scored
 
 

@@ -106,3 +106,30 @@ def test_rounds_and_shards_change_no_score(spark, monkeypatch):
 def test_number_of_shards_follows_the_keys():
     for n in (0, 10 ** 6, 10 ** 8, 10 ** 11, 10 ** 14):
         assert n / 2 ** kneser_ney.shard_bits(n) <= 2 * kneser_ney.SHARD_KEYS
+
+
+def test_units_found_at_once_are_those_of_the_pattern(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list(" \t\n_a1é.,#日\U0001f600̀\x00\x1c²"), int(n))) for n in rng.integers(0, 30, 500)]
+    long = "ab" * kneser_ney.LONG_UNIT
+    texts += ["", long + " " + long + "a " + long[1:], "\0", " ", "\n"]
+    monkeypatch.setattr(kneser_ney, "UNIT_CHARS", 1000)
+    for some in (texts, [""]):
+        units = kneser_ney._Units()
+        row, lengths = units.of(some)
+        names, at = list(units), 0
+        for text, n in zip(some, lengths, strict=True):
+            assert [names[i] for i in row[at:at + n]] == ["", *kneser_ney._UNIT.findall(text), "\0"]
+            at += n
+        assert at == len(row)
+
+
+def test_a_round_shuffles_its_questions_and_not_the_model(spark):
+    texts = spark.createDataFrame([(f"part {i} of {i * 7} costs {i * 31}",) for i in range(200)], "text string")
+    model = kneser_ney.unit_model(texts, 100)
+    asked = spark.createDataFrame([], "block long, pair boolean, shard long, keys binary")
+    found = kneser_ney.look_up(asked, model.pairs, 1, np.uint32)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(shard") == 1
+    assert found.collect() == []
+    model.drop(spark)
+    assert not any(spark.catalog.tableExists(t) for t in model.tables)
