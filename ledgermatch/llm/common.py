@@ -6,7 +6,9 @@ import gc
 import time
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,30 @@ def held(df: DataFrame, **columns: Column) -> DataFrame:
         *[F.col(f"`{c}`") for c in kept], *[F.col("__held")[n].alias(n) for n in columns])
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside pass rows to Python in Arrow batches of about ``SLICE_BYTES`` (a longer row alone).
+
+    Spark's own limit is 64 MB, which the executor and the worker hold side by side, once per running task.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(SLICE_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The values, ascending, each once. ``np.unique`` without counts goes by a hash table, with more time and memory."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[:len(values)]]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds a few MB of text (one row at least)."""
     for batch in batches:

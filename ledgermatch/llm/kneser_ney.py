@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut, delete, fresh_path, release, slices, small_side
+from ledgermatch.llm.common import cut, delete, distinct, fresh_path, release, slices, small_batches, small_side
 from ledgermatch.llm.decontaminate import text_key
 
 ORDER, BITS = 4, 5
@@ -88,18 +88,27 @@ def class_table() -> np.ndarray:
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Order-4 n-gram numbers of all the texts, and the number of characters of each."""
     lengths = np.array([len(t) for t in texts], np.int64)
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    ends = np.cumsum(lengths)
-    padded = np.zeros(len(points) + (ORDER - 1) * len(texts), np.uint32)
-    shift = (ORDER - 1) * (1 + np.repeat(np.arange(len(texts)), lengths))
-    at = np.arange(len(points)) + shift
-    padded[at] = class_table()[np.minimum(points, 0x10000)]
-    if not len(ends):
+    if not len(lengths):
         return np.zeros(0, np.uint32), lengths
-    out = np.zeros(len(at), np.uint32)
-    for k in range(ORDER):
-        out = (out << np.uint32(BITS)) | padded[at - (ORDER - 1 - k)]
-    return out, lengths
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    begins = np.cumsum(lengths + (ORDER - 1)) - lengths - (ORDER - 1)
+    inside = np.ones(len(points) + (ORDER - 1) * len(texts), bool)
+    for k in range(ORDER - 1):
+        inside[begins + k] = False
+    padded = np.zeros(len(inside), np.uint32)
+    padded[inside] = class_table()[np.minimum(points, 0x10000)]
+    rolled = padded[:-(ORDER - 1)].copy()
+    for k in range(1, ORDER):
+        rolled <<= np.uint32(BITS)
+        rolled |= padded[k:len(padded) - (ORDER - 1) + k]
+    return rolled[inside[ORDER - 1:]], lengths
+
+
+def parts(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in turn, in lists of about ``UNIT_CHARS`` characters (a longer text alone)."""
+    chars = np.cumsum([len(t) for t in texts])
+    cuts = [0, *np.flatnonzero(np.diff(chars // UNIT_CHARS)) + 1, len(texts)]
+    return (texts[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True))
 
 
 def count_grams(texts: DataFrame) -> DataFrame:
@@ -108,8 +117,8 @@ def count_grams(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES ** ORDER, np.int64)
         for batch in slices(batches, "text"):
-            seen, times = np.unique(grams(batch.column("text").to_pylist())[0], return_counts=True)
-            total[seen] += times
+            for part in parts(batch.column("text").to_pylist()):
+                total += np.bincount(grams(part)[0], minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["gram", "c"])
 
@@ -186,10 +195,13 @@ def _class_sizes() -> np.ndarray:
 
 def spellings(units: list[str], table: np.ndarray) -> np.ndarray:
     """log chance of each unit's characters and of the blank that ends it."""
-    codes, lengths = grams([u + " " for u in units])
-    sums = np.concatenate([[0.0], np.cumsum(table[codes].astype(np.float64) - _class_sizes()[codes & (CLASSES - 1)])])
-    ends = np.cumsum(lengths)
-    return sums[ends] - sums[ends - lengths]
+    found = []
+    for part in parts(units):
+        codes, lengths = grams([u + " " for u in part])
+        sums = np.concatenate([[0.0], np.cumsum(table[codes].astype(np.float64) - _class_sizes()[codes & (CLASSES - 1)])])
+        ends = np.cumsum(lengths)
+        found.append(sums[ends] - sums[ends - lengths])
+    return np.concatenate(found)
 
 
 def unit_hash(unit: str) -> int:
@@ -254,9 +266,7 @@ class _Units(dict):
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the units of the texts in a row, each text between its start and its end, and how many each text has."""
-        chars = np.cumsum([len(t) for t in texts])
-        cuts = [0, *np.flatnonzero(np.diff(chars // UNIT_CHARS)) + 1, len(texts)]
-        rows, lengths = zip(*(self._of(texts[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)), strict=True)
+        rows, lengths = zip(*map(self._of, parts(texts)), strict=True)
         return np.concatenate(rows), np.concatenate(lengths)
 
     def _of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -292,11 +302,11 @@ class _Units(dict):
         return np.fromiter(map(unit_hash, self), np.uint64, len(self))
 
 
-def _pair_places(lengths: np.ndarray) -> np.ndarray:
-    """Places in a row of texts with so many units each that start a pair inside a text."""
+def _pair_starts(lengths: np.ndarray) -> np.ndarray:
+    """Whether each but the last unit, in a row of texts with so many units each, starts a pair inside a text."""
     inside = np.ones(lengths.sum(), bool)
     inside[np.cumsum(lengths) - 1] = False
-    return np.flatnonzero(inside)
+    return inside[:-1]
 
 
 def _small(values: np.ndarray) -> bytes:
@@ -317,8 +327,8 @@ def _pairs_of_blocks(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted():
             hashes = numbers.hashes().view(np.int64)
-            row, at = np.concatenate(units), _pair_places(np.concatenate(lengths))
-            seen, times = np.unique((row[at].astype(np.uint64) << np.uint64(32)) | row[at + 1], return_counts=True)
+            row, inside = np.concatenate(units), _pair_starts(np.concatenate(lengths))
+            seen, times = np.unique((row[:-1][inside].astype(np.uint64) << np.uint64(32)) | row[1:][inside], return_counts=True)
             for k in range(0, len(seen), 500_000):
                 a, b = seen[k:k + 500_000] >> np.uint64(32), seen[k:k + 500_000] & np.uint64(0xFFFFFFFF)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[a]), pa.array(hashes[b]), pa.array(times[k:k + 500_000])], ["a", "b", "c"])
@@ -500,8 +510,8 @@ def write_blocks(docs: DataFrame, table: np.ndarray, path: str) -> DataFrame:
 
 def _block_pairs(units: bytes, hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of the first and of the second unit, and hash, of each pair of a block."""
-    row, at = _large(units, np.uint32), _pair_places(lengths)
-    return row[at], row[at + 1], pair_hashes(hashes[row])[at]
+    row, inside = _large(units, np.uint32), _pair_starts(lengths)
+    return row[:-1][inside], row[1:][inside], pair_hashes(hashes[row])[inside]
 
 
 def ask(blocks: DataFrame, pair: bool, bits: int) -> DataFrame:
@@ -514,7 +524,7 @@ def ask(blocks: DataFrame, pair: bool, bits: int) -> DataFrame:
                 keys = np.frombuffer(r["hashes"].as_py(), np.uint64)
                 if pair:
                     keys = _block_pairs(r["units"].as_py(), keys, r["lengths"].values.to_numpy())[2]
-                keys = np.unique(keys)
+                keys = distinct(keys)
                 shard = (keys >> np.uint64(64 - bits)).astype(np.int64)
                 starts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
                 ends = np.append(starts[1:], len(keys))
@@ -561,19 +571,22 @@ def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
 
         def answered(pair: bool, kind: type) -> np.ndarray:
             found = said.filter(said.column("pair") if pair else pc.invert(said.column("pair"))).column("found").to_pylist()
-            return np.concatenate([_large(f, kind) for f in found]).astype(np.float64)
+            return np.concatenate([_large(f, kind) for f in found])
 
         listed = {c: left.column(c).combine_chunks().flatten() for c in [*out, "n", "lengths"]}
         hashes = np.frombuffer(left.column("hashes")[0].as_py(), np.uint64)
         spelled = np.exp(np.frombuffer(left.column("spelled")[0].as_py(), np.float32).astype(np.float64))
-        total, freed, own = answered(False, np.float32).reshape(-1, 3)[np.unique(hashes, return_inverse=True)[1]].T
+        total, freed, own = answered(False, np.float32).astype(np.float64).reshape(-1, 3)[np.unique(hashes, return_inverse=True)[1]].T
         alone = np.maximum(own + share * spelled, 1e-300)  # a very long unknown unit underflows
         lengths = listed["lengths"].to_numpy()
         a, b, keys = _block_pairs(left.column("units")[0].as_py(), hashes, lengths)
-        counts = answered(True, np.uint32)
-        of_pairs = (counts - discounts[np.minimum(counts, 3).astype(np.int64)])[np.unique(keys, return_inverse=True)[1]]
-        chance = np.where(total[a] > 0, (of_pairs + freed[a] * alone[b]) / np.maximum(total[a], 1), alone[b])
-        sums = np.add.reduceat(np.log(chance), np.cumsum(lengths - 1) - (lengths - 1))
+        counts = answered(True, np.uint32)[np.unique(keys, return_inverse=True)[1]]
+        logs = np.empty(len(counts))
+        for k in range(0, len(counts), UNIT_CHARS):  # a part of the pairs at a time, so that only the logarithms are whole
+            i, j, c = (x[k:k + UNIT_CHARS] for x in (a, b, counts))
+            of_pairs = c.astype(np.float64) - discounts[np.minimum(c, 3)]
+            logs[k:k + UNIT_CHARS] = np.log(np.where(total[i] > 0, (of_pairs + freed[i] * alone[j]) / np.maximum(total[i], 1), alone[j]))
+        sums = np.add.reduceat(logs, np.cumsum(lengths - 1) - (lengths - 1))
         n = listed["n"].to_numpy()
         return pa.table({**{c: listed[c] for c in out}, "__ppl": pa.array(-sums / np.maximum(n, 1), mask=n == 0), "__n": n})
 
@@ -621,7 +634,8 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     roles = cut(trusted_labels(labels))
     told = told.join(small_side(roles, MAX_BROADCAST_LABELS), F.col("doc_id") == F.col("label_id"), "left") \
         .select("doc_id", "lang", "held", text_key(F.col("text")).alias("text_key"), "text")
-    scored = score(told, told.where("NOT held").select("text"))
+    with small_batches(docs.sparkSession):
+        scored = score(told, told.where("NOT held").select("text"))
     return _judged(scored, cut(_limits(scored.where("held").select("lang", "__ppl", "__n"))))
 
 

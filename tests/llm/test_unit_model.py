@@ -133,3 +133,47 @@ def test_a_round_shuffles_its_questions_and_not_the_model(spark):
     assert found.collect() == []
     model.drop(spark)
     assert not any(spark.catalog.tableExists(t) for t in model.tables)
+
+
+def test_helpers_of_the_model_take_little_memory():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    words = [f"w{k * 2654435761 % 2 ** 32:x}" for k in range(300_000)]
+    texts = [" ".join(words[k:k + 500]) for k in range(0, len(words), 500)]
+    table = rng.normal(size=kneser_ney.CLASSES ** kneser_ney.ORDER).astype(np.float32)
+    whole = sum(map(len, texts))
+
+    def peak(f):
+        tracemalloc.start()
+        out = f()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most / whole
+
+    kneser_ney.grams(["a"]), kneser_ney.spellings(["a"], table)
+    (codes, lengths), most = peak(lambda: kneser_ney.grams(texts))
+    assert len(codes) == whole == lengths.sum() and most < 35  # bytes a character; 65 with 64-bit places
+    spelled, most = peak(lambda: kneser_ney.spellings(words, table))
+    assert most < 25  # 70 with all units at once
+    one = np.array([kneser_ney.spellings([w], table)[0] for w in words[::30_000]])
+    assert np.allclose(spelled[::30_000], one)
+    assert [p for part in kneser_ney.parts(texts) for p in part] == texts and max(sum(map(len, p)) for p in kneser_ney.parts(texts)) < 1.1 * kneser_ney.UNIT_CHARS
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    import pyarrow as pa
+    from ledgermatch.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["x"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) AS text")
+    with common.small_batches(spark):
+        found = [r.x for r in rows.mapInArrow(sizes, "x long").collect()]
+    assert max(found) < 1.1 * common.SLICE_BYTES and sum(found) >= 30_000_000
+    assert spark.conf.get(key, None) == before
+    for v in ([], [5], [3, 1, 3, 2, 1]):
+        assert common.distinct(np.array(v, np.uint64)).tolist() == sorted(set(v))
