@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermatch.llm.common import cut, held, release, slices
+from ledgermatch.llm.common import cut, distinct, held, release, slices, small_batches
 from ledgermatch.llm.components import components
 
 SHINGLE = 4
@@ -71,7 +71,7 @@ def shingle_set(text: str, words: _Words, size: int = SHINGLE) -> np.ndarray:
     total = np.zeros(n, np.uint64)
     for k in range(size):
         total += h[k:n + k] * _PLACES[k]
-    return np.unique(_mixed(total))
+    return distinct(_mixed(total))
 
 
 def bands(shingles: np.ndarray) -> np.ndarray:
@@ -125,12 +125,12 @@ def connect(nodes: np.ndarray, sets: list[np.ndarray], percent: int = 80) -> lis
     values, owner = values[order], owner[order]
     starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
     ends = np.concatenate([starts[1:], [len(values)]])
-    distinct = values[starts]
+    once = values[starts]
     group = nodes.copy()  # label of each text's group, equal nodes being one from the start
     links = []
 
     def compare(i: int) -> None:
-        at = np.searchsorted(distinct, sets[i])
+        at = np.searchsorted(once, sets[i])
         lists = np.concatenate([owner[starts[k]:ends[k]] for k in at])
         common = np.bincount(lists, minlength=n)
         near = np.flatnonzero(100 * common >= percent * (size + size[i] - common))
@@ -188,7 +188,8 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, sizes: DataFrame) -> Dat
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
-    sketched = cut(sketches(docs))
+    with small_batches(docs.sparkSession):
+        sketched = cut(sketches(docs))
     named = sketched.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     # Equal sets are one node, named by their smallest doc_id.
     nodes = cut(named.groupBy("set_key").agg(F.min("doc_id").alias("node")))
@@ -197,7 +198,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     candidates = cut(components(candidate_links(first.select("node", "bands").distinct())))
     release(docs.sparkSession)
     sizes = first.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"))
-    links = cut(confirmed_links(docs, candidates, sizes))
+    with small_batches(docs.sparkSession):
+        links = cut(confirmed_links(docs, candidates, sizes))
     release(docs.sparkSession)
     # A doc_id with several texts connects the nodes of all of them.
     same_id = named.join(nodes_of, F.col("set_key") == F.col("__key")).where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermatch.llm.bpe import encoder
-from ledgermatch.llm.common import fresh_path, slices
+from ledgermatch.llm.common import fresh_path, slices, small_batches
 from ledgermatch.operators.numbering import number_rows
 
 #: ``ids``: little-endian unsigned 32-bit integers. ``slot``: class, ``rank``: number among what the worker ``part`` holds at its
@@ -85,8 +85,9 @@ def write_pieces(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, c
         if left:
             yield batch_of(left)
 
-    (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-     .mapInArrow(cut_up, PIECE_SCHEMA).write.option("compression", "zstd").parquet(path))
+    with small_batches(docs.sparkSession):
+        (docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+         .mapInArrow(cut_up, PIECE_SCHEMA).write.option("compression", "zstd").parquet(path))
     return path
 
 
