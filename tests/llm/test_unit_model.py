@@ -152,9 +152,9 @@ def test_helpers_of_the_model_take_little_memory():
 
     kneser_ney.grams(["a"]), kneser_ney.spellings(["a"], table)
     (codes, lengths), most = peak(lambda: kneser_ney.grams(texts))
-    assert len(codes) == whole == lengths.sum() and most < 35  # bytes a character; 65 with 64-bit places
+    assert len(codes) == whole == lengths.sum() and most < 35  # bytes a character; 44 with 64-bit places
     spelled, most = peak(lambda: kneser_ney.spellings(words, table))
-    assert most < 25  # 70 with all units at once
+    assert most < 25  # 53 with all units at once
     one = np.array([kneser_ney.spellings([w], table)[0] for w in words[::30_000]])
     assert np.allclose(spelled[::30_000], one)
     assert [p for part in kneser_ney.parts(texts) for p in part] == texts and max(sum(map(len, p)) for p in kneser_ney.parts(texts)) < 1.1 * kneser_ney.UNIT_CHARS
