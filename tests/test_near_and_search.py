@@ -68,6 +68,18 @@ def test_near_misses_form_no_block_of_pairs(ctx):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "xxhash64" in text
 
 
+def test_names_and_keys_are_not_broadcast_on_an_estimate(spark):
+    from ledgermatch.operators import lookups, matching
+    cache = spark.createDataFrame([("acme one", "acme one", "Acme", "E1", 0, "E1", 1)], CACHE)
+    missed = spark.createDataFrame([("acme two",), ("acme on",), (None,)], "raw_name string")
+    base = spark.createDataFrame([(1, "acme one", "Acme", "E1"), (2, "acme one", None, "E1")], "seq long, company string, official_name string, factset_entity_id string")
+    found = matching.match_cache(missed, cache, "raw_name")
+    frames = {1: near_miss.near_misses(missed, cache, 1), 3: near_miss.with_near_misses(found, cache, 1)}
+    assert {n: f.count() for n, f in frames.items()} == {1: 1, 3: 3}
+    for df in (*frames.values(), found, lookups.known_matches(base)):
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+
+
 def test_the_run_matches_nearly_only_when_asked(ctx):
     plain = ctx.job.cache_results()
     job = ctx.new_job(near_edits=1).after_new_rows_of(ctx.job)
