@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import os
+import random
 import re
 
 import pytest
@@ -222,6 +224,33 @@ def test_file_hashes(spark, tmp_path):
         fingerprint.file_hashes(spark, str(tmp_path), max_bytes=3)
 
 
+def test_large_files_are_hashed_in_pieces(spark, tmp_path, monkeypatch):
+    data = {"r.bin": random.Random(1).randbytes(300_000), "a [1] b{}.bin": b"\r\n\n\xff\xfe\n\0\r", "end.bin": b"text\n\n", "in/no.bin": b"\xc3(" * 900,
+            "bom.bin": b"\xef\xbb\xbfmark", "bom_end.bin": b"\xef\xbb\xbf\n\n", "only.bin": b"\n" * 9, "p.gz": gzip.compress(b"packed" * 50), "small": b"x\n", "none": b""}
+    (tmp_path / "in").mkdir()
+    for name, text in data.items():
+        (tmp_path / name).write_bytes(text)
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    want = {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in data.items() if d}
+    plain = fingerprint.file_hashes(spark, str(tmp_path))
+    pieces = fingerprint.file_hashes(spark, str(tmp_path), whole_bytes=4)
+    for found in (plain, pieces):
+        assert {os.path.relpath(r.path.removeprefix("file:"), tmp_path): (r.length, r.sha256) for r in found.collect()} == want
+    assert pieces.schema == plain.schema and spark.conf.get(conf) == before
+    assert sorted(r.path for r in pieces.collect()) == sorted(r.path for r in plain.collect())
+    # What no row can hold is not read as a value; only where the reader would unpack it this is an error.
+    monkeypatch.setattr(fingerprint, "MAX_BYTES", 5)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 5)
+    with pytest.raises(ValueError, match="p.gz"):
+        fingerprint.file_hashes(spark, str(tmp_path), whole_bytes=4)
+    try:
+        found = fingerprint.file_hashes(spark, str(tmp_path), "*.bin", whole_bytes=4)
+        assert {os.path.relpath(r.path.removeprefix("file:"), tmp_path): (r.length, r.sha256) for r in found.collect()} == {n: v for n, v in want.items() if n.endswith(".bin")}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_hashes_of_the_given_files(spark):
     from __spark_entry__ import queries
     got = {r.file: (r.length, r.sha256) for r in queries()["file_hashes"](spark, SF_SMALL).collect()}
