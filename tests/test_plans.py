@@ -202,3 +202,29 @@ def test_snapshot_diff_shuffles_a_text_serial_once(spark):
     numbers = spark.createDataFrame([(1, "x", 5), (2, "x", 6), (3, "x", None)], "seq int, registry_key string, serial int")
     left = incremental.snapshot_diff(numbers, numbers.limit(0).unionByName(numbers.where("serial = 5")))
     assert left.schema == numbers.schema and sorted(r.seq for r in left.collect()) == [2, 3]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    from ledgermatch.session import FREE_SHUFFLES, written
+    (name,) = FREE_SHUFFLES
+    before = spark.conf.get(name)
+
+    def shuffles() -> set[str]:
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    rows, old = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), shuffles()
+    back = written(rows, "grouped")
+    assert not shuffles() - old and spark.conf.get(name) == before
+    # the frame itself may be read and written again
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect())) == sorted(map(tuple, written(rows, "grouped").collect()))
+
+
+def test_a_query_lands_the_inputs_that_it_reads(spark, monkeypatch):
+    from ledgermatch.plans import fixtures as fx
+    names, real = [], fx.landed
+    monkeypatch.setattr(fx, "landed", lambda s, d, name: names.append(name) or real(s, d, name))
+    c = Context(spark, SF_SMALL)
+    assert names == ["ledger_raw"]  # all that a first run reads
+    assert c.base_raw.columns and c.coverage.columns and c.identifiers.columns and c.base_raw is c.base_raw
+    assert names == ["ledger_raw", "base", "entity_coverage", "entity_identifiers"]
